@@ -2,7 +2,7 @@
 
 Texts are equal when identical after each run of white space (0x20, 0x09-0x0D) becomes one space; the
 SHA-256 of that form stands for the text. Misra-Gries summaries of ``counters`` entries, one for each
-partition and then merged, hold every digest with more than 1/(counters+1) of the rows. Their exact counts and
+partition and then merged, hold every digest with more than 2/(counters+1) of the rows. Their exact counts and
 smallest ids are taken in one map-side aggregation; the verified winners, at most ``counters`` rows, are
 broadcast and their rows never enter the shuffle. All other digests go through an ordinary aggregation, in which
 no group holds more than that share of the rows.
