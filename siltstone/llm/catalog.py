@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, quality
 
 
 def queries() -> dict:
-    return {"op10_exact_dedup": exact_dedup.op10_exact_dedup}
+    return {
+        "op1_quality_nbsvm": quality.op1_quality_nbsvm,
+        "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
