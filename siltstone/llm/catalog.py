@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality
+from . import exact_dedup, packing, quality
 
 
 def queries() -> dict:
     return {
         "op1_quality_nbsvm": quality.op1_quality_nbsvm,
+        "op2_best_fit_packing": packing.op2_best_fit_packing,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
