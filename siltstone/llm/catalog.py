@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality
+from . import exact_dedup, near_dedup, packing, quality
 
 
 def queries() -> dict:
     return {
         "op1_quality_nbsvm": quality.op1_quality_nbsvm,
         "op2_best_fit_packing": packing.op2_best_fit_packing,
+        "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
