@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, near_dedup, packing, quality
+from . import decontaminate, exact_dedup, near_dedup, packing, quality
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_quality_nbsvm": quality.op1_quality_nbsvm,
         "op2_best_fit_packing": packing.op2_best_fit_packing,
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 

@@ -16,12 +16,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import featurise, fold, sample, score_table
 from .store import table
-from .textkit import LOWER, SPACE, U, hash_runs, mix, owners, salts, segment_sum
+from .textkit import LOWER, SPACE, U, chunks, hash_runs, mix, owners, salts, segment_sum
 
 BUCKETS = 1 << 18
 PER_CLASS = 1200
@@ -212,10 +214,6 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def score_rows(docs: DataFrame, model) -> DataFrame:
     """``docs`` with ``good``: the decision on each row's text."""
-    import pandas as pd
-    import pyarrow as pa
-
-    from .textkit import chunks
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:

@@ -133,7 +133,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     for size in range(1, width):
         short = np.flatnonzero(count == size)
         if len(short):
-            acc = np.full(len(short), U(size) * k[width], U)
+            acc = np.full(len(short), size, U) * k[width]
             for j in range(size):
                 acc += hashes[first[short] + j] * k[j]
             got.append(mix(acc))
