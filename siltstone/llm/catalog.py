@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, near_dedup, packing, quality
+from . import decontaminate, exact_dedup, near_dedup, packing, quality, secrets
 
 
 def queries() -> dict:
@@ -11,9 +11,10 @@ def queries() -> dict:
         "op2_best_fit_packing": packing.op2_best_fit_packing,
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op4_secret_ownership": secrets.op4_secret_ownership,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.SQL}
+    return {"op4_secret_ownership": secrets.SQL, "op10_exact_dedup": exact_dedup.SQL}
