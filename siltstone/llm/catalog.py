@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, near_dedup, packing, quality, secrets
+from . import decontaminate, exact_dedup, language, near_dedup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,8 @@ def queries() -> dict:
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op4_secret_ownership": secrets.op4_secret_ownership,
+        "op7_toxicity_cnn": toxicity.op7_toxicity_cnn,
+        "op9_language_ppm": language.op9_language_ppm,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 

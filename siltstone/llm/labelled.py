@@ -18,17 +18,19 @@ def fold(modulus: int) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> DataFrame:
-    """text, label of at most ``per_class`` labelled documents for either class, outside the held-out fold.
+    """doc_id, text, label of at most ``per_class`` labelled documents for either class, outside the held-out fold.
 
     Which ones is decided by a hash of doc_id, so the sample does not depend on the order of rows. Rows with a
-    null or other label are left out; a document labelled twice counts once.
+    null or other label are left out; a document labelled twice counts once. lang, where there is one, comes along
+    for fits that are made by language; it is no input of a score.
     """
     own = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
     own = own.where(fold(modulus) != held).groupBy("doc_id").agg(F.max("label").alias("label"))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [own.where(F.col("label") == k).orderBy(*by_hash).limit(per_class) for k in (0, 1)]
     ids = picked[0].unionByName(picked[1])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
+    kept = docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns])
+    return kept.join(F.broadcast(ids), "doc_id")
 
 
 def featurise(picked: DataFrame, features: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:

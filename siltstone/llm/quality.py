@@ -130,18 +130,24 @@ def dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, c: fl
 
 
 def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of P(1) = 1 / (1 + exp(-(a m + b))) by Newton steps with smoothed targets."""
+    """Slope and intercept of P(1) = 1 / (1 + exp(-(a m + b))) by damped Newton steps with smoothed targets."""
     pos, neg = (y > 0).sum(), (y <= 0).sum()
     t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    x = np.stack([margin, np.ones(len(margin))], 1)
-    b = np.array([1.0, 0.0])
+    scale = max(float(np.abs(margin).mean()), 1e-9)
+    x = np.stack([margin / scale, np.ones(len(margin))], 1)
+    start = np.array([scale, 0.0])
+    loss = lambda b: (np.logaddexp(0, x @ b) - t * (x @ b)).sum() + 5e-4 * ((b - start) ** 2).sum()
+    b = start
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (t - p) - 1e-3 * (b - [1, 0]))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (t - p) - 1e-3 * (b - start))
+        while loss(b + step) > loss(b) and np.abs(step).max() > 1e-6:
+            step = step / 2
         b = b + step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-5:
             break
-    return float(max(b[0], 1e-3)), float(b[1])
+    return float(max(b[0] / scale, 1e-3)), float(b[1])
 
 
 @dataclass
