@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language, near_dedup, packing, quality, secrets, toxicity
+from . import decontaminate, exact_dedup, language, near_dedup, packing, pii, quality, secrets, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op4_secret_ownership": secrets.op4_secret_ownership,
         "op7_toxicity_cnn": toxicity.op7_toxicity_cnn,
+        "op8_pii_bilstm_crf": pii.op8_pii_bilstm_crf,
         "op9_language_ppm": language.op9_language_ppm,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
