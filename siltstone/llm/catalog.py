@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language, near_dedup, packing, pii, quality, secrets, toxicity
+from . import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, secrets, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op4_secret_ownership": secrets.op4_secret_ownership,
+        "op6_html_bilstm": html_text.op6_html_bilstm,
         "op7_toxicity_cnn": toxicity.op7_toxicity_cnn,
         "op8_pii_bilstm_crf": pii.op8_pii_bilstm_crf,
         "op9_language_ppm": language.op9_language_ppm,
