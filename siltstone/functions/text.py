@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .keys import strip
 
@@ -43,7 +44,7 @@ def decode_entities(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
@@ -52,7 +53,7 @@ def normalize_text(c: Column) -> Column:
     return strip(nfc(decode_entities(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def slugify(s: pd.Series) -> pd.Series:
     """Lower-case ASCII words joined by hyphens."""
 
@@ -184,7 +185,7 @@ def _escaped(s: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def json_repair(s: pd.Series) -> pd.Series:
     return s.map(repair)
 
@@ -207,7 +208,7 @@ def reveal(page: str | None) -> str | None:
     return None if page is None else CLOAK.sub(one, page)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def email_deobfuscate(s: pd.Series) -> pd.Series:
     return s.map(reveal)
 

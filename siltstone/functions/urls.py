@@ -9,6 +9,7 @@ from urllib.parse import urldefrag, urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Link schemes that are never followed.
 SKIP_SCHEMES = ("javascript:", "mailto:", "tel:", "#", "data:")
@@ -129,7 +130,7 @@ def glob_regex(globs: list[str]) -> str:
     return "^(?:" + "|".join(out) + ")$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     """RFC 3986 resolution; null if either is null or cannot be resolved."""
 
@@ -142,7 +143,7 @@ def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([one(b, h) for b, h in zip(base, href)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def relative_path(source: pd.Series, target: pd.Series, href: pd.Series) -> pd.Series:
     """The path from one local page to another, keeping the link's fragment."""
 

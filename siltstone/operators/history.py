@@ -2,50 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.keys import strip
 
-BY = Window.partitionBy("conv_id").orderBy("turn")
+def by_turn() -> WindowSpec:
+    return Window.partitionBy("conv_id").orderBy("turn")
 
 
 def last_messages(conversations: DataFrame, n: int) -> DataFrame:
     """conv_id, turn, history: the n messages before each, oldest first, as labelled lines."""
     line = F.concat(F.col("role"), F.lit(': "'), F.col("text"), F.lit('"'))
-    before = F.collect_list(line).over(BY.rowsBetween(-n, -1))
+    before = F.collect_list(line).over(by_turn().rowsBetween(-n, -1))
     return conversations.select("conv_id", "turn", F.array_join(before, "\n").alias("history"))
 
 
 def domain_history(conversations: DataFrame, flagged: Column) -> DataFrame:
     """Turns without blank ones, flagged user turns and the assistant turns that answer those."""
     rows = conversations.where(strip(F.col("text")) != "").withColumn("flagged", F.coalesce(flagged & (F.col("role") == "user"), F.lit(False)))
-    asked = F.last(F.when(F.col("role") == "user", F.col("flagged")), ignorenulls=True).over(BY.rowsBetween(Window.unboundedPreceding, -1))
-    first_reply = F.lag("role").over(BY) == "user"
+    asked = F.last(F.when(F.col("role") == "user", F.col("flagged")), ignorenulls=True).over(by_turn().rowsBetween(Window.unboundedPreceding, -1))
+    first_reply = F.lag("role").over(by_turn()) == "user"
     skipped = (F.col("role") == "assistant") & F.coalesce(asked, F.lit(False)) & F.coalesce(first_reply, F.lit(False))
     return rows.withColumn("skipped", skipped).where(~F.col("flagged") & ~F.col("skipped")).drop("flagged", "skipped")
 
 
 def previous_exchange(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, question, answer: for each user turn the latest user turn that was answered at once before it."""
-    is_pair = (F.col("role") == "user") & (F.lead("role").over(BY) == "assistant")
-    pair = F.when(is_pair, F.struct(F.col("text").alias("question"), F.lead("text").over(BY).alias("answer")))
+    is_pair = (F.col("role") == "user") & (F.lead("role").over(by_turn()) == "assistant")
+    pair = F.when(is_pair, F.struct(F.col("text").alias("question"), F.lead("text").over(by_turn()).alias("answer")))
     rows = conversations.withColumn("pair", pair)
-    last = F.last("pair", ignorenulls=True).over(BY.rowsBetween(Window.unboundedPreceding, -1))
+    last = F.last("pair", ignorenulls=True).over(by_turn().rowsBetween(Window.unboundedPreceding, -1))
     return rows.withColumn("last", last).where("role = 'user'").select("conv_id", "turn", "last.question", "last.answer")
 
 
 def previous_questions(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, previous: the user's earlier questions."""
     own = conversations.where("role = 'user'")
-    earlier = F.collect_list("text").over(BY.rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.collect_list("text").over(by_turn().rowsBetween(Window.unboundedPreceding, -1))
     return own.select("conv_id", "turn", F.array_join(earlier, "\n").alias("previous"))
 
 
 def chat_prompt(conversations: DataFrame, documents: Column, system: str) -> DataFrame:
     """conv_id, prompt: turn-marked history of up to 6 messages, then system text, documents and the last user turn."""
     mark = F.concat(F.lit("<start_of_turn>"), F.when(F.col("role") == "assistant", "model").otherwise(F.col("role")), F.lit("\n"), F.col("text"), F.lit("<end_of_turn>"))
-    rows = conversations.where("role <> 'system'").withColumn("history", F.array_join(F.collect_list(mark).over(BY.rowsBetween(-6, -1)), "\n"))
+    rows = conversations.where("role <> 'system'").withColumn("history", F.array_join(F.collect_list(mark).over(by_turn().rowsBetween(-6, -1)), "\n"))
     final = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("turn")))
     last = rows.where("role = 'user'").withColumn("r", final).where("r = 1")
     parts = [F.col("history"), F.concat(F.lit("<start_of_turn>user\n"), F.lit(system), F.lit("\n\n"), documents, F.lit("\n\n"), F.col("text"), F.lit("<end_of_turn>\n<start_of_turn>model\n"))]
