@@ -1,0 +1 @@
+"""Scans, sinks and stage tables."""

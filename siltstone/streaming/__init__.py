@@ -1,0 +1 @@
+"""Stateful and incremental operators on Structured Streaming."""
