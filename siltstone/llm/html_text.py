@@ -300,7 +300,7 @@ def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return rows
 
 
-def fit(pages: list[str], steps: int = STEPS) -> Model:
+def fit(pages: list[str], steps: int | None = None) -> Model:
     g = np.random.default_rng(23)
     size = PATH + WORDS + EXTRA
     p = nn.lstm_params(g, DIM, HIDDEN, "f") | nn.lstm_params(g, DIM, HIDDEN, "r")
@@ -312,7 +312,7 @@ def fit(pages: list[str], steps: int = STEPS) -> Model:
     }
     model, rows = Model(p), examples(pages)
     adam = nn.Adam(p, RATE)
-    for _ in range(steps):
+    for _ in range(steps or STEPS):
         own = [rows[i] for i in g.integers(0, len(rows), BATCH)]
         longest = max(len(y) for _, y in own)
         x, mask = stacked([r for r, _ in own], longest)

@@ -215,15 +215,15 @@ def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-    return score_rows(docs, model).where("good").select(*docs.columns)
+    return docs.where(accepts(model)("text"))
 
 
-def score_rows(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``good``: the decision on each row's text."""
+def accepts(model):
+    """The decision on each text, as a column function."""
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
         out = [model.value.predict(data, offsets) >= THRESHOLD for _, _, data, offsets in chunks(pa.array(texts, pa.string(), from_pandas=True))]
         return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
 
-    return docs.withColumn("good", good("text"))
+    return good
