@@ -12,7 +12,8 @@ A document's set is its distinct shingles of ``width`` words; two documents are
    ("hot documents"). Each is compared with the ``PIVOTS`` pivots of its family (its most frequent value); after
    the links so found, those outside the main component of some list are a query set that is compared, in
    blocks, with all hot documents. No list is expanded into its pairs, none is capped.
-4. The union-sketch estimate of each candidate filters at ``ESTIMATE``; what passes is verified exactly.
+   Full sets decide there, in numpy, and only links come out.
+4. The union-sketch estimate of every other candidate filters at ``ESTIMATE``; what passes is verified exactly.
 5. Components by star contraction.
 
 Defined results: null, empty or blank texts have no shingles and link with nothing; a null doc_id links with
@@ -30,16 +31,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import materialize, table
+from .store import discard, materialize, table, tidy
 from .textkit import U, chunks, mix, shingles, words
 
 KEPT = 64
-LISTED = 48
+LISTED = 40
 HOT = 32
 PIVOTS = 6
 ESTIMATE = 0.5
-BLOCK = 4096
-SHARED = 22
+BLOCK = 1_500_000
+BROADCAST = 500_000
+SHARED = 18
 
 
 def needed(n: Column, percent: int) -> Column:
@@ -124,11 +126,16 @@ def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.where(passes("x", "y")).select("a", "b").distinct()
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of some documents; their ids are broadcast up to ``BROADCAST`` of them, else shuffled."""
+    ids = materialize(ids, "ids")
+    return docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets, taken from the whole texts, are similar enough; u, v and their Jaccard."""
     kind = pairs.schema["a"].dataType.simpleString()
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
     )
@@ -154,12 +161,31 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return both.select("a", "b", "x", "y").mapInArrow(run, f"u {kind}, v {kind}")
 
 
-def against_blocks(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components between a query set and all rows that share enough retained values.
+def full_sets(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
+    """doc, comp, n, hashes (the full set, ascending, as little-endian binary) of the documents in ``own`` (doc, comp)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = texts_of(docs, own.select(F.col("doc").alias("doc_id"))).join(own.withColumnRenamed("doc", "doc_id"), "doc_id")
 
-    Both have doc, n, comp, sketch. Each query block meets each block of rows; a task holds one block of either.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, last, data, offsets in chunks(b.column("text")):
+                d, h = shingles(*words(data, offsets), width)
+                cut = np.searchsorted(d, np.arange(len(offsets)))
+                part = b.slice(first, last - first)
+                sets = pa.array([h[x:y].astype("<u8").tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("comp"), pa.array(np.diff(cut)), sets], ["doc", "comp", "n", "hashes"])
+
+    return rows.select("doc_id", "comp", "text").mapInArrow(run, f"doc {kind}, comp {kind}, n long, hashes binary")
+
+
+def against_blocks(queries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between a query set and all rows of other components, by exact comparison of full sets.
+
+    Both have doc, comp, n, hashes. Either side is dealt into blocks of about ``BLOCK`` hashes; each query block
+    meets each block of rows in one task. A query has at most one link to each component from each block.
     """
-    q_blocks, r_blocks = -(-n_queries // BLOCK), -(-n_rows // BLOCK)
+    blocks = lambda df: max(1, -(-(df.agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    q_blocks, r_blocks = blocks(queries), blocks(rows)
     kind = queries.schema["doc"].dataType.simpleString()
     spread = lambda n: F.pmod(F.xxhash64("doc"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -167,26 +193,30 @@ def against_blocks(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows:
     r = rows.select("*", spread(r_blocks).alias("rb"), every(q_blocks).alias("qb"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        lists = [np.frombuffer(x, "<u8") for x in right["sketch"]]
-        out_a, out_b = [], []
-        if len(left) and lists:
+        u, v = [], []
+        if len(left) and len(right):
+            lists = [np.frombuffer(x, "<u8") for x in right["hashes"]]
             values = np.concatenate(lists)
             who = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
             order = np.argsort(values, kind="stable")
             values, who = values[order], who[order]
+            uniq, at = np.unique(values, return_index=True)
+            until = np.append(at[1:], len(values))
             n, comp, doc = right["n"].to_numpy(), right["comp"].to_numpy(), right["doc"].to_numpy()
-            for d, m, c, s in zip(left["doc"], left["n"], left["comp"], left["sketch"]):
+            for d, m, c, s in zip(left["doc"], left["n"], left["comp"], left["hashes"]):
                 mine = np.frombuffer(s, "<u8")
-                lo, hi = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-                hits = np.concatenate([who[x:y] for x, y in zip(lo, hi)]) if len(mine) else np.zeros(0, np.int64)
+                spot = np.searchsorted(uniq, mine)
+                spot = spot[(spot < len(uniq)) & (uniq[np.minimum(spot, len(uniq) - 1)] == mine)]
+                size = until[spot] - at[spot]
+                hits = who[np.repeat(at[spot] - np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)[: len(size)], size) + np.arange(size.sum())]
                 shared = np.bincount(hits, minlength=len(lists))
-                small, large = np.minimum(n, m), np.maximum(n, m)
-                ok = (comp != c) & (100 * small >= percent * large) & (shared >= ESTIMATE * np.minimum(small, KEPT))
-                out_a += [min(d, x) for x in doc[ok]]
-                out_b += [max(d, x) for x in doc[ok]]
-        return pd.DataFrame({"a": pd.Series(out_a, dtype="int64"), "b": pd.Series(out_b, dtype="int64")})
+                ok = np.flatnonzero((comp != c) & (100 * shared >= percent * (n + m - shared)) & (shared > 0))
+                first = ok[np.unique(comp[ok], return_index=True)[1]]
+                u += [int(d)] * len(first)
+                v += doc[first].tolist()
+        return pd.DataFrame({"u": pd.Series(u, dtype="int64"), "v": pd.Series(v, dtype="int64")})
 
-    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(run, f"a {kind}, b {kind}").distinct()
+    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(run, f"u {kind}, v {kind}")
 
 
 def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -195,6 +225,7 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     listed = materialize(
         all_posts.join(all_posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value"), "listed"
     )
+    tidy(listed.sparkSession)
     heat = listed.where(F.col("df") > HOT).groupBy("doc", "n").agg(
         F.count(F.lit(1)).alias("heat"), F.max(F.struct("df", "value"))["value"].alias("family")
     )
@@ -214,22 +245,23 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     ).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
 
     hot = materialize(heat.where(F.col("heat") >= needed(F.col("n"), percent)), "hot")
-    n_hot = hot.count()
-    if n_hot:
+    any_hot = hot.count() > 0
+    if any_hot:
         rank = F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("doc"), "doc"))
         pivots = hot.select("family", F.col("doc").alias("pivot"), F.col("n").alias("m"), rank.alias("r")).where(F.col("r") <= PIVOTS)
         stars = hot.join(pivots, "family").where((F.col("doc") != F.col("pivot")) & like_sized("n", "m", percent))
         near = near.unionByName(stars.select(*pair("doc", "pivot")))
     first = materialize(alike(near.distinct(), reps), "pairs")
     edges = materialize(verified(first, docs, width, percent), "links")
+    tidy(edges.sparkSession)
     found = materialize(components(edges), "parts")
-    if not n_hot:
+    if not any_hot:
         return found
     # The rest of the hot documents: those outside the main component of a list they are in.
     label = lambda df: df.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
         "comp", F.coalesce("component", "doc")
     ).drop("component")
-    own = materialize(label(hot.select("doc", "n")).join(reps.select(F.col("doc_id").alias("doc"), "sketch"), "doc"), "hot-sketches")
+    own = materialize(label(hot.select("doc")), "hot-parts")
     # Of a linked pair's shared values, the rarest is among the heat - needed + 1 rarest hot values of both.
     rarest = F.row_number().over(Window.partitionBy("doc").orderBy("df", "value"))
     lists = (
@@ -243,13 +275,12 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     sizes = lists.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("value").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"))
     outside = lists.join(main.where("parts > 1"), "value").where("comp <> main").select("doc").distinct()
-    rest = materialize(own.join(outside, "doc", "left_semi"), "rest")
-    n_rest = rest.count()
-    if not n_rest:
+    rest = materialize(outside, "rest")
+    if not rest.count():
         return found
-    more = materialize(against_blocks(rest, own, n_rest, n_hot, percent), "pairs")
-    late = verified(alike(more, reps), docs, width, percent)
-    late = materialize(late, "links")
+    sets = materialize(full_sets(docs, own, width), "hot-sets")
+    asked = materialize(sets.join(rest, "doc", "left_semi"), "query-sets")
+    late = materialize(against_blocks(asked, sets, percent), "links")
     return materialize(components(edges.unionByName(late)), "parts")
 
 
@@ -260,21 +291,19 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     groups = live.groupBy("sig", "n_shingles").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("rep"))
     groups = materialize(groups.where("size > 1").select("sig", "n_shingles", "rep"), "classes")
     classed = materialize(
-        rows.where("doc_id IS NOT NULL").select("doc_id", "n_shingles", "sig").join(groups, ["sig", "n_shingles"], "left").select(
-            "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")
+        rows.select("doc_id", "n_shingles", "sig").join(groups, ["sig", "n_shingles"], "left").select(
+            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")
         ),
         "classed",
     )
-    reps = live.join(classed.where("rep <> doc_id").select("doc_id"), "doc_id", "left_anti")
-    reps = materialize(reps.select("doc_id", "n_shingles", "sketch"), "reps")
+    copies = classed.where("rep <> doc_id").select("doc_id")
+    reps = materialize(live.join(copies, "doc_id", "left_anti").select("doc_id", "n_shingles", "sketch"), "reps")
+    discard(rows)
     parts = link(docs, reps, width, percent)
-    named = classed.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+    discard(reps)
+    return classed.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
-    )
-    nameless = rows.where("doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return named.unionByName(nameless).select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
