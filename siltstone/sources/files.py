@@ -86,10 +86,11 @@ def gather_jsonl(spark: SparkSession, path: str, schema: StructType | str, glob:
 
 
 def combine_json(spark: SparkSession, path: str, schema: StructType | str, folders: tuple[str, ...]) -> DataFrame:
-    """Objects of the JSON list files below folders of the given names, each file read once."""
-    df = spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
-    fields = F.array(*[F.col(c).isNotNull() for c in df.columns])
-    return df.where(F.col("_metadata.file_path").rlike(rf"/(?:{'|'.join(folders)})/") & F.exists(fields, lambda x: x))
+    """The objects of JSON list files below folders of the given names; other items and files are left out, each file is read once."""
+    files = texts(spark, path, "*.json").where(F.col("path").rlike(rf"/(?:{'|'.join(folders)})/"))
+    items = files.select(F.explode(F.from_json("text", "array<string>")).alias("item")).where(F.ltrim("item").startswith("{"))
+    shape = schema if isinstance(schema, str) else schema.simpleString()
+    return items.select(F.from_json("item", shape).alias("x")).select("x.*")
 
 
 def publish(rows: DataFrame, path: str, split: str = "split") -> None:
