@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import origin_key, seeded_uniform, short_hash
 from ..functions.text import strip_links
+from .rank import row_numbers
 
 #: Names of the writing styles, and the schedule of row index i by them.
 STYLES = ("naturalistic", "casual", "formal")
@@ -109,14 +110,13 @@ def stratified_split(rows: DataFrame, origin: str, key: str, ratio: float, seed:
 
     At most n - 1 go to val, so an origin of one row is all train. Rows are ranked by a seeded hash.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(origin))
-    r = F.row_number().over(Window.partitionBy(origin).orderBy(seeded_uniform(seed, F.col(key)), key))
+    u = seeded_uniform(seed, F.col(key))
+    out = row_numbers(rows, origin, "_r", [u, key], spread=u, total="_n")
     exact = F.col("_n") * F.lit(float(ratio))
     base = F.floor(exact)
     more = F.when(seeded_uniform(seed + "-frac", F.col(origin)) < exact - base, 1).otherwise(0)
-    out = rows.withColumn("_n", n).withColumn("_r", r)
     val = F.greatest(F.lit(0), F.least(base + more, F.col("_n") - 1))
-    return out.withColumn("split", F.when(F.col("_r") <= F.col("_n") - val, "train").otherwise("val")).drop("_n", "_r")
+    return out.withColumn("split", F.when(F.col("_r") < F.col("_n") - val, "train").otherwise("val")).drop("_n", "_r")
 
 
 def pair_key(path: Column, question: Column, prefix: str = "default_") -> Column:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rank import row_numbers
+
 MAX_CHARS = 40000
 MARKS = (".\n", "\n", ". ")
 
@@ -48,8 +50,8 @@ def ordinals(df: DataFrame, group: str, *order: str) -> Column:
 
 
 def batches(df: DataFrame, group: str, order: str, size: int) -> DataFrame:
-    """group, batch, keys (in order): consecutive batches of ``size`` rows."""
-    rows = df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1) / size).cast("long"))
+    """group, batch, keys (in order): consecutive batches of ``size`` rows; ``order`` is numeric."""
+    rows = row_numbers(df.select(group, order), group, "batch", [order]).withColumn("batch", F.floor(F.col("batch") / size))
     return rows.groupBy(group, "batch").agg(F.sort_array(F.collect_list(order)).alias("keys"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import seeded_uniform
+from .rank import row_numbers
 
 BROADCAST = 2000
 
@@ -56,12 +57,12 @@ def tail_k(scored: DataFrame, k: int) -> DataFrame:
 def pad_random(items: DataFrame, group: str, key: str, k: int, seed: str) -> DataFrame:
     """For each item k others of its group: those that follow it in a seeded circular order of the group.
 
-    One window a group instead of all pairs: an item's others are its successors, wrapping round; a group
+    No pairs are formed: an item's others are its successors, wrapping round; a group
     of n has at most n - 1 others.
     """
-    by = Window.partitionBy(group).orderBy(seeded_uniform(seed, F.col(key)), key)
-    n = F.count(F.lit(1)).over(Window.partitionBy(group))
-    place = items.select(F.col(group).alias("grp"), F.col(key).alias("id"), (F.row_number().over(by) - 1).alias("r"), n.alias("n"))
+    u = seeded_uniform(seed, F.col(key))
+    place = row_numbers(items.select(group, key), group, "r", [u, key], spread=u, total="n")
+    place = place.select(F.col(group).alias("grp"), F.col(key).alias("id"), "r", "n")
     steps = place.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(k)))).where(F.col("step") < F.col("n"))
     want = steps.select("grp", "id", "step", F.pmod(F.col("r") + F.col("step"), F.col("n")).alias("r"))
     return want.join(place.select("grp", "r", F.col("id").alias("other")), ["grp", "r"]).select("grp", "id", "step", "other")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
 from ..operators import assemble, chunks, files, markdown
+from ..operators.rank import row_numbers
 from .registry import STRIP, query
 
 TITLE = "nullif(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '')"
@@ -248,5 +248,5 @@ def intersect_text(load):
 
 @query("SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::BIGINT AS done, count(*) OVER (PARTITION BY source) AS total FROM documents")
 def file_progress(load):
-    by = Window.partitionBy("source")
-    return load("documents").select("doc_id", F.row_number().over(by.orderBy("doc_id")).cast("long").alias("done"), F.count(F.lit(1)).over(by).alias("total"))
+    rows = row_numbers(load("documents").select("doc_id", "source"), "source", "done", ["doc_id"], total="total")
+    return rows.select("doc_id", (F.col("done") + 1).alias("done"), "total")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import assemble
+from ..operators.rank import row_numbers
 from .registry import query, uniform
 
 SPLIT = f"""n AS (SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY {uniform('split', 'doc_id')}, doc_id) AS r FROM documents),
@@ -50,7 +50,7 @@ _PLAIN = "SELECT doc_id, i, {s} AS style FROM r WHERE NOT c AND {w}"
     SELECT doc_id, i::INT AS i, style, it::INT AS iteration, 'chunk_' || doc_id || '_' || style || '_' || it AS styled_hash FROM x, range(0, 2) t(it)"""
 )
 def style_schedule(load):
-    rows = load("documents").withColumn("i", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1)
-    out = assemble.style_schedule(rows.select("doc_id", "i", "lang"), "i", F.col("lang") != "en", iterations=2)
+    rows = row_numbers(load("documents").select("doc_id", "lang", "source"), "source", "i", ["doc_id"])
+    out = assemble.style_schedule(rows.select("doc_id", F.col("i").cast("int").alias("i"), "lang"), "i", F.col("lang") != "en", iterations=2)
     key = assemble.styled_key(F.concat(F.lit("chunk_"), "doc_id"), F.col("style"), F.col("iteration"))
     return out.select("doc_id", "i", "style", "iteration", key.alias("styled_hash"))

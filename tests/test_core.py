@@ -283,3 +283,29 @@ def test_streams(spark, tmp_path):
     rate.awaitTermination()
     flagged = state.flagged_questions(spark.createDataFrame([(1, "user", "x"), (1, "user", " x ")], "conv_id long, role string, text string"), F.lit(True))
     assert flagged.count() == 1
+
+
+def test_row_numbers(spark):
+    from pyspark.sql import Window
+
+    from siltstone.operators.rank import row_numbers
+
+    g = random.Random(3)
+    rows = [(g.choice(["hot"] * 5 + ["a", "b", None]), i * g.choice([1, 1000])) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
+    got = row_numbers(df, "g", "r", ["k"], buckets=7, total="n")
+    pick = lambda d: sorted((str(r["g"]), r["k"], r["r"]) for r in d.collect())
+    assert [x[2] for x in pick(got)] == [x[2] for x in pick(want)]
+    assert {r["g"]: r["n"] for r in got.collect()} == {k: sum(a == k for a, _ in rows) for k in {a for a, _ in rows}}
+
+
+def test_details(spark):
+    from siltstone.operators import details
+
+    page = '<table><tr><th>Code:</th><td>MAT1010</td></tr><tr><td>only</td></tr></table>'
+    assert details.rows(page) == [("Code", "MAT1010")] and details.rows(None) == []
+    cell = '( <a title="Calculus">MAT1010</a> E <a>ALG2020</a> ) OU FIS1001'
+    assert details.expression(cell) == "( Calculus (MAT1010) E ALG2020 ) OU FIS1001"
+    df = spark.createDataFrame([(page,), (None,)], "h string").select(details.syllabus_url(details.detail_pairs("h"), "Code").alias("v"))
+    assert [r["v"] for r in df.collect()] == ["MAT1010", None]
