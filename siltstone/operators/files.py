@@ -63,7 +63,7 @@ def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
     """
     least = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_least"))
     joined = df.join(least, key, "left")
-    return joined.where(F.col(key).isNull() | (F.col(order) == F.col("_least"))).select(*df.columns)
+    return joined.where(F.col(key).isNull() | F.col(order).eqNullSafe(F.col("_least"))).select(*df.columns)
 
 
 def collision_suffix(df: DataFrame, name: str, key: str) -> DataFrame:
