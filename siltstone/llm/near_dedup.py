@@ -6,7 +6,7 @@ A document's set is its distinct shingles of ``width`` words; two documents are
 1. Every document gets its set's size, a 128-bit signature and the ``KEPT`` smallest hashes. Documents with equal
    sets form a class, whose smallest doc_id stands for it.
 2. Inverted lists over the ``LISTED`` smallest hashes of the representatives give overlaps. A linked pair shares
-   at least ``needed(n)`` listed values: exactly so for sets of up to 0.8 * LISTED, else but for a chance below 1e-7.
+   at least ``needed(n)`` listed values: exactly so for sets of up to 0.8 * LISTED, else but for a chance below 1e-6.
    Values in at most ``HOT`` representatives generate pairs, whose overlaps are counted.
 3. Pairs whose shared values are mostly hot can only be among representatives with ``needed(n)`` hot values
    ("hot documents"). Each is compared with the ``PIVOTS`` pivots of its family (its most frequent value); after
@@ -227,8 +227,9 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     )
     tidy(listed.sparkSession)
     heat = listed.where(F.col("df") > HOT).groupBy("doc", "n").agg(
-        F.count(F.lit(1)).alias("heat"), F.max(F.struct("df", "value"))["value"].alias("family")
+        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("hot_values")
     )
+    heat = heat.withColumns({"heat": F.size("hot_values"), "family": F.element_at("hot_values", -1)["value"]})
     heat = materialize(heat, "heat")
     cold = listed.where(F.col("df") <= HOT).join(heat.select("doc", "heat"), "doc", "left").select(
         "value", "doc", "n", F.coalesce("heat", F.lit(0)).alias("heat")
@@ -263,15 +264,8 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     ).drop("component")
     own = materialize(label(hot.select("doc")), "hot-parts")
     # Of a linked pair's shared values, the rarest is among the heat - needed + 1 rarest hot values of both.
-    rarest = F.row_number().over(Window.partitionBy("doc").orderBy("df", "value"))
-    lists = (
-        listed.where(F.col("df") > HOT)
-        .join(hot.select("doc", (F.col("heat") - needed(F.col("n"), percent) + 1).alias("prefix")), "doc")
-        .withColumn("r", rarest)
-        .where("r <= prefix")
-        .select("value", "doc")
-        .join(own.select("doc", "comp"), "doc")
-    )
+    prefix = F.slice("hot_values", F.lit(1), F.col("heat") - needed(F.col("n"), percent) + 1)
+    lists = hot.join(own, "doc").select("doc", "comp", F.explode(F.transform(prefix, lambda x: x["value"])).alias("value"))
     sizes = lists.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("value").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"))
     outside = lists.join(main.where("parts > 1"), "value").where("comp <> main").select("doc").distinct()
