@@ -127,6 +127,53 @@ def viterbi(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return out
 
 
+def states(ids: np.ndarray, mask: np.ndarray, table: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """The states of ``lstm`` without what training needs: ``table`` has each symbol's input terms, masked steps lie at one end."""
+    steps, n = ids.shape
+    hid = hidden.shape[0]
+    scale = np.ones(4 * hid, np.float32)
+    scale[: 3 * hid] = 0.5  # sigmoid(x) is (1 + tanh(x / 2)) / 2
+    table, hidden = table * scale, hidden * scale
+    h, c = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
+    out = np.empty((steps, n, hid), np.float32)
+    whole = mask.all(1)
+    for t in range(steps):
+        z = np.tanh(table[ids[t]] + h @ hidden)
+        gates = z[:, : 3 * hid] * 0.5 + 0.5
+        c = gates[:, hid : 2 * hid] * c + gates[:, :hid] * z[:, 3 * hid :]
+        h = gates[:, 2 * hid :] * np.tanh(c)
+        if not whole[t]:
+            c, h = c * mask[t][:, None], h * mask[t][:, None]
+        out[t] = h
+    return out
+
+
+def best_paths(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """``viterbi`` with the batch as the last axis, for many rows and few tags."""
+    steps, n, k = e.shape
+    e = np.ascontiguousarray(e.transpose(0, 2, 1))
+    score, back = e[0], np.zeros((steps, k, n), np.int8)
+    whole, same = mask.all(1), np.arange(k, dtype=np.int8)[:, None]
+    for t in range(1, steps):
+        best, arg = score[0] + trans[0][:, None], back[t]
+        for j in range(1, k):
+            cand = score[j] + trans[j][:, None]
+            np.copyto(arg, j, where=cand > best)
+            np.maximum(best, cand, out=best)
+        best += e[t]
+        if not whole[t]:
+            m = mask[t] > 0
+            back[t] = np.where(m, arg, same)
+            best = np.where(m, best, score)
+        score = best
+    out = np.zeros((steps, n), np.int8)
+    out[-1] = score.argmax(0)
+    rows = np.arange(n)
+    for t in range(steps - 1, 0, -1):
+        out[t - 1] = back[t][out[t], rows]
+    return out
+
+
 class Adam:
     def __init__(self, p: Params, rate: float):
         self.p, self.rate, self.t = p, rate, 0

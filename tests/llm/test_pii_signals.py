@@ -1,0 +1,65 @@
+"""Personal data without a digit or an at sign, and decoding by signals against decoding everywhere."""
+
+import os
+
+import numpy as np
+import pytest
+
+from siltstone.llm import nn, pii
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+PLAIN = "The long road along the river was quiet and the people of the house went home late in the evening. "
+SPELLED = ["jane at example dot com", "mary [at] harbor [dot] org", "john(at)garden(dot)net"]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    """Rows by doc_id of the texts here, with the network trained on the table's documents."""
+    rows = [(-1 - k, PLAIN * 3 + f"Please write to {s} when you can. " + PLAIN * 3) for k, s in enumerate(SPELLED)] + [(-9, PLAIN * 5)]
+    known = spark.read.parquet(f"{SF}/documents.parquet").where("text RLIKE '[0-9@]'").select("doc_id", "text")
+    docs = known.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {r["doc_id"]: (r, dict(rows)[r["doc_id"]]) for r in pii.find_personal_data(docs).where("doc_id < 0").collect()}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
+def test_spelled_out_emails_without_digits(found):
+    for k, s in enumerate(SPELLED):
+        r, text = found[-1 - k]
+        spans = [x.split(":") for x in r["spans"].split(",") if x]
+        assert r["n_added"] == len(spans) == 1 and spans[0][0] == "email"
+        a = text.index(s)
+        assert abs(int(spans[0][1]) - a) <= 3 and abs(int(spans[0][2]) - a - len(s)) <= 3
+    assert found[-9][0]["n_added"] == 0 and found[-9][0]["spans"] == ""
+
+
+def test_signals_lose_no_span():
+    g = np.random.default_rng(4)
+    words = [*"at dot cat data . @ [at] (dot) 7 12.5.5.5 a".split(), "4111 1111 1111 1111", "house", "along", "x" * 70]
+    texts = ["", *(" ".join(g.choice(words, g.integers(1, 150))) for _ in range(60))]
+    more = 0
+    for seed in range(4):
+        g = np.random.default_rng(seed)
+        k = len(pii.KINDS) + 1
+        p = nn.lstm_params(g, pii.DIM, pii.HIDDEN, "f") | nn.lstm_params(g, pii.DIM, pii.HIDDEN, "r")
+        p |= {"e": g.standard_normal((pii.N_SYMBOLS, pii.DIM)).astype(np.float32), "o": g.standard_normal((2 * pii.HIDDEN, k)).astype(np.float32)}
+        model = pii.Model(p | {"c": np.zeros(k, np.float32), "t": (4 * np.eye(k)).astype(np.float32)})
+        some, every = model.tags(texts), model.tags(texts, everywhere=True)
+        for t, a, b in zip(texts, some, every):
+            assert pii.added_spans(t, a, []) == pii.added_spans(t, b, [])
+            more += len(pii.added_spans(t, b, []))
+    assert more > 20
+
+
+def test_inference_equals_training_forms():
+    g = np.random.default_rng(3)
+    p = nn.lstm_params(g, 5, 4, "f") | nn.lstm_params(g, 5, 4, "r")
+    e = g.standard_normal((7, 5)).astype(np.float32)
+    ids, mask = g.integers(0, 7, (12, 9)), np.ones((12, 9), np.float32)
+    for j in range(9):
+        mask[12 - j :, j] = 0
+    h, _ = nn.bilstm(e[ids], mask, p, False)
+    live = mask[:, :, None]
+    assert np.allclose(h[:, :, :4] * live, nn.states(ids, mask, e @ p["fx"] + p["fb"], p["fh"]) * live, atol=1e-5)
+    assert np.allclose(h[:, :, 4:] * live, nn.states(ids[::-1], mask[::-1], e @ p["rx"] + p["rb"], p["rh"])[::-1] * live, atol=1e-5)
+    x, trans = g.standard_normal((12, 9, 5)).astype(np.float32), g.standard_normal((5, 5)).astype(np.float32)
+    assert (nn.viterbi(x, mask, trans) == nn.best_paths(x, mask, trans)).all()
