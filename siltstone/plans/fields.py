@@ -98,3 +98,9 @@ def pair_keys(load):
 def content_hash(load):
     rows = load("documents").where(F.octet_length("text") <= 4096)
     return rows.select("doc_id", keys.head_tail_hash(F.col("text").cast("binary")).alias("content_hash"))
+
+
+@query()
+def content_hash_all(load):
+    """``content_hash`` of every document, long and null ones too; SQL has no bytes of the tail."""
+    return load("documents").select("doc_id", keys.head_tail_hash(F.col("text").cast("binary")).alias("content_hash"))
