@@ -143,6 +143,20 @@ def around(document: Column, first: Column, last: Column, tail: int = 200, reach
     return F.substring(document, start, F.greatest(stop - start + 1, F.lit(0)))
 
 
+def around_batch(document: Column, first: Column, last: Column, tail: int = 200, reach: int = 4000) -> Column:
+    """``around`` with the last chunk searched behind the first; the whole document if a chunk is empty or neither is found."""
+    f, l = F.right(first, F.lit(tail)), F.right(last, F.lit(tail))  # noqa: E741
+    a = F.position(f, document)
+    behind = F.when(a > 0, a + F.length(f)).otherwise(F.lit(1))
+    b = F.position(l, F.substring(document, behind, F.length(document)))
+    b = F.when(b > 0, b + behind - 1).otherwise(F.lit(0))
+    start = F.when(a > 0, a).otherwise(b)
+    stop = F.when(b > 0, b).otherwise(start + 1) + F.length(l) - 1 + reach
+    low = F.greatest(F.lit(1), start - reach)
+    known = (F.length(first) > 0) & (F.length(last) > 0) & (start > 0)
+    return F.when(known, F.substring(document, low, stop - low + 1)).otherwise(document)
+
+
 def repair(s: str | None) -> str | None:
     """A JSON object from text that is nearly one; null if it cannot be read."""
     if s is None:

@@ -205,6 +205,14 @@ def context_window(load):
     return rows.select("doc_id", text.around(F.col("text"), F.col("a"), F.col("b"), 200, 400).alias("around"))
 
 
+@query()
+def context_window_all(load):
+    """``context_window`` of every document at the operator's own reach."""
+    lines = F.split("text", "\n")
+    rows = load("documents").select("doc_id", "text", lines[0].alias("a"), F.element_at(lines, -1).alias("b"))
+    return rows.select("doc_id", text.around_batch(F.col("text"), F.col("a"), F.col("b")).alias("around"))
+
+
 @query(
     """SELECT o_orderkey, coalesce(string_agg(l_linenumber || ':' || l_quantity::BIGINT, ';' ORDER BY l_linenumber, l_quantity::BIGINT), '') AS lines, coalesce(sum(l_quantity::BIGINT), 0)::BIGINT AS hours
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey"""
