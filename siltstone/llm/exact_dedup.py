@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import materialize, table
@@ -45,9 +45,12 @@ def summarise(counters: int):
     return run
 
 
+def digest(text: Column) -> Column:
+    return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    norm = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return docs.select("doc_id", F.sha2(norm, 256).alias("text_sha256"))
+    return docs.select("doc_id", digest(F.col("text")).alias("text_sha256"))
 
 
 def frequent(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -85,9 +88,13 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
-    dropped = exact_dedup(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """The rows of ``docs`` that exact_dedup keeps, with all their columns.
+
+    A row is known by its doc_id (null is a value of its own) and its digest, so rows that share a doc_id are judged
+    each by its own text.
+    """
+    gone = exact_dedup(docs).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest(F.col("text")) == F.col("_sha")), "left_anti")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,21 +3,26 @@
 A document's set is its distinct shingles of ``width`` words; two documents are linked when
 100 * |A and B| >= ``percent`` * |A or B|, which is confirmed on the full sets of the whole texts.
 
-1. Every document gets its set's size, a 128-bit signature and the ``KEPT`` smallest hashes. Documents with equal
-   sets form a class, whose smallest doc_id stands for it.
+1. Every row gets its set's size, a signature (two 64-bit sums and the size) and the ``KEPT`` smallest hashes. Rows with
+   equal sets form a class, a node of the graph, which one of its rows represents.
 2. Inverted lists over the ``LISTED`` smallest hashes of the representatives give overlaps. A linked pair shares
    at least ``needed(n)`` listed values: exactly so for sets of up to 0.8 * LISTED, else but for a chance below 1e-6.
-   Values in at most ``HOT`` representatives generate pairs, whose overlaps are counted.
+   Values in at most ``HOT`` representatives generate pairs, whose overlaps are counted; the most frequent values are
+   counted by broadcast, so no list meets its count in one task.
 3. Pairs whose shared values are mostly hot can only be among representatives with ``needed(n)`` hot values
    ("hot documents"). Each is compared with the ``PIVOTS`` pivots of its family (its most frequent value); after
    the links so found, those outside the main component of some list are a query set that is compared, in
-   blocks, with all hot documents. No list is expanded into its pairs, none is capped.
-   Full sets decide there, in numpy, and only links come out.
+   blocks, with the hot documents of the lists that several components share. No list is expanded into its pairs, none
+   is capped. Within a block only rows that share one of the rarest 20 % of a query's values (any linked row does) are
+   compared, by full sets in numpy, and only links come out.
 4. The union-sketch estimate of every other candidate filters at ``ESTIMATE``; what passes is verified exactly.
 5. Components by star contraction.
 
 Defined results: null, empty or blank texts have no shingles and link with nothing; a null doc_id links with
-nothing, has a null component_id and is kept; rows that share a doc_id are one node; other columns are ignored.
+nothing, has a null component_id and is kept; doc_ids of any type, which need not be unique: each row is linked by its
+own text, and its component_id is the smallest doc_id among the rows that it reaches, so rows of one doc_id with
+texts that are not alike can be of several components; rows that repeat the smallest doc_id of a component are all kept;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import most_frequent, split_join
 from .components import components
 from .store import discard, materialize, table, tidy
 from .textkit import U, chunks, mix, shingles, words
@@ -39,7 +45,7 @@ LISTED = 40
 HOT = 32
 PIVOTS = 6
 ESTIMATE = 0.5
-BLOCK = 1_500_000
+BLOCK = 4_000_000
 BROADCAST = 500_000
 SHARED = 18
 
@@ -52,7 +58,7 @@ def needed(n: Column, percent: int) -> Column:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, sig, sketch (the smallest hashes, ascending, as little-endian binary) of every row."""
+    """row, doc_id, h (hash of the text), n_shingles, sig, sketch (the smallest hashes, ascending, as little-endian binary) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,24 +70,25 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sums = np.zeros((2, len(h) + 1), U)
                 np.cumsum(h, out=sums[0, 1:])
                 np.cumsum(mix(h ^ U(0x5851F42D4C957F2D)), out=sums[1, 1:])
-                sig = (sums[:, cut[1:]] - sums[:, cut[:-1]]).T.astype("<u8")
+                sig = np.concatenate([sums[:, cut[1:]] - sums[:, cut[:-1]], n[None].astype(U)]).T.astype("<u8")
                 part = b.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("h"),
                         pa.array(n.astype(np.int64)),
                         pa.array([x.tobytes() for x in sig], pa.binary()),
                         pa.array([h[x : min(x + KEPT, y)].astype("<u8").tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "sig", "sketch"],
+                    ["doc_id", "h", "n_shingles", "sig", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, sig binary, sketch binary")
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(run, f"doc_id {kind}, h long, n_shingles long, sig binary, sketch binary")
+    return found.withColumn("row", F.monotonically_increasing_id())
 
 
 def postings(reps: DataFrame) -> DataFrame:
     """value, doc, n: the listed values of each representative."""
-    kind = reps.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -89,10 +96,10 @@ def postings(reps: DataFrame) -> DataFrame:
             if lists:
                 rows = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists)), b.column("doc_id").take(rows), b.column("n_shingles").take(rows)], ["value", "doc", "n"]
+                    [pa.array(np.concatenate(lists)), b.column("node").take(rows), b.column("n_shingles").take(rows)], ["value", "doc", "n"]
                 )
 
-    return reps.select("doc_id", "n_shingles", "sketch").mapInArrow(run, f"value long, doc {kind}, n long")
+    return reps.select("node", "n_shingles", "sketch").mapInArrow(run, "value long, doc long, n long")
 
 
 def like_sized(a: str, b: str, percent: int) -> Column:
@@ -114,9 +121,8 @@ def estimate(x: bytes, y: bytes) -> float:
 
 def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose union-sketch estimate passes."""
-    own = reps.select("doc_id", "sketch")
-    both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a").join(
-        own.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b"
+    both = pairs.join(reps.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(
+        reps.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b"
     )
 
     @F.pandas_udf("boolean")
@@ -126,18 +132,18 @@ def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.where(passes("x", "y")).select("a", "b").distinct()
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text of some documents; their ids are broadcast up to ``BROADCAST`` of them, else shuffled."""
-    ids = materialize(ids, "ids")
-    return docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, "doc_id", "left_semi")
+def texts_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text of some representatives; their keys are broadcast up to ``BROADCAST`` of them, else shuffled."""
+    keys = materialize(reps.select("node", "doc_id", "h").join(nodes, "node", "left_semi"), "keys")
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(keys) if keys.count() <= BROADCAST else keys, ["doc_id", "h"])
+    return found.groupBy("node").agg(F.first("text").alias("text"))  # a repeated row has its text once
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets, taken from the whole texts, are similar enough; u, v and their Jaccard."""
-    kind = pairs.schema["a"].dataType.simpleString()
-    texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets, taken from the whole texts, are similar enough, as u, v."""
+    texts = texts_of(docs, reps, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,13 +164,12 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
                     sub = part.slice(lo, hi - lo).filter(pa.array(ok))
                     yield pa.RecordBatch.from_arrays([sub.column("a"), sub.column("b")], ["u", "v"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, f"u {kind}, v {kind}")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def full_sets(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """doc, comp, n, hashes (the full set, ascending, as little-endian binary) of the documents in ``own`` (doc, comp)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts_of(docs, own.select(F.col("doc").alias("doc_id"))).join(own.withColumnRenamed("doc", "doc_id"), "doc_id")
+def full_sets(docs: DataFrame, reps: DataFrame, own: DataFrame, width: int) -> DataFrame:
+    """doc, comp, n, hashes (the full set, ascending, as little-endian binary) of the nodes in ``own`` (doc, comp)."""
+    rows = texts_of(docs, reps, own.select(F.col("doc").alias("node"))).join(own.withColumnRenamed("doc", "node"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -173,58 +178,80 @@ def full_sets(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
                 cut = np.searchsorted(d, np.arange(len(offsets)))
                 part = b.slice(first, last - first)
                 sets = pa.array([h[x:y].astype("<u8").tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("comp"), pa.array(np.diff(cut)), sets], ["doc", "comp", "n", "hashes"])
-
-    return rows.select("doc_id", "comp", "text").mapInArrow(run, f"doc {kind}, comp {kind}, n long, hashes binary")
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("comp"), pa.array(np.diff(cut)), sets], ["doc", "comp", "n", "hashes"])
+
+    return rows.select("node", "comp", "text").mapInArrow(run, "doc long, comp long, n long, hashes binary")
+
+
+class Block:
+    """Rows of a block: their sets, and an index over the rarest values of each."""
+
+    def __init__(self, rows: pd.DataFrame, percent: int):
+        self.doc, self.comp, self.n = (rows[c].to_numpy() for c in ("doc", "comp", "n"))
+        self.sets, self.percent = [np.frombuffer(x, "<u8") for x in rows["hashes"]], percent
+        values = np.concatenate(self.sets)
+        who = np.repeat(np.arange(len(self.sets)), self.n)
+        self.values, back, self.df = np.unique(values, return_inverse=True, return_counts=True)
+        order = np.lexsort((values, self.df[back], who))  # each row's values, rarest first
+        first = np.cumsum(self.n) - self.n
+        keep = np.arange(len(values)) - np.repeat(first, self.n) < np.repeat(self.rare(self.n), self.n)
+        values, who = values[order][keep], who[order][keep]
+        order = np.argsort(values, kind="stable")
+        self.listed, self.who = values[order], who[order]
+
+    def rare(self, n):
+        """How many of n values a linked set cannot all lack."""
+        return n - -(-n * self.percent // 100) + 1
+
+    def links(self, doc: int, comp: int, mine: np.ndarray) -> list[tuple[int, int]]:
+        """The linked rows of other components, one for each."""
+        spot = np.minimum(np.searchsorted(self.values, mine), len(self.values) - 1)
+        df = np.where(self.values[spot] == mine, self.df[spot], 0)
+        rare = mine[np.lexsort((mine, df))[: self.rare(len(mine))]]
+        a, b = np.searchsorted(self.listed, rare, "left"), np.searchsorted(self.listed, rare, "right")
+        near = np.unique(np.concatenate([self.who[x:y] for x, y in zip(a, b) if y > x] or [np.zeros(0, np.int64)]))
+        m, n = len(mine), self.n[near]
+        near = near[(self.comp[near] != comp) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))]
+        out: dict[int, int] = {}
+        for i in near.tolist():
+            c = int(self.comp[i])
+            if c not in out:
+                same = len(np.intersect1d(self.sets[i], mine, assume_unique=True))
+                if 100 * same >= self.percent * (m + len(self.sets[i]) - same):
+                    out[c] = int(self.doc[i])
+        return [(doc, v) for v in out.values()]
 
 
 def against_blocks(queries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between a query set and all rows of other components, by exact comparison of full sets.
+    """Links (u, v) between a query set and rows of other components, by exact comparison of full sets.
 
     Both have doc, comp, n, hashes. Either side is dealt into blocks of about ``BLOCK`` hashes; each query block
     meets each block of rows in one task. A query has at most one link to each component from each block.
     """
     blocks = lambda df: max(1, -(-(df.agg(F.sum("n")).first()[0] or 0) // BLOCK))
     q_blocks, r_blocks = blocks(queries), blocks(rows)
-    kind = queries.schema["doc"].dataType.simpleString()
     spread = lambda n: F.pmod(F.xxhash64("doc"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = queries.select("*", spread(q_blocks).alias("qb"), every(r_blocks).alias("rb"))
     r = rows.select("*", spread(r_blocks).alias("rb"), every(q_blocks).alias("qb"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        u, v = [], []
+        found: list[tuple[int, int]] = []
         if len(left) and len(right):
-            lists = [np.frombuffer(x, "<u8") for x in right["hashes"]]
-            values = np.concatenate(lists)
-            who = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            order = np.argsort(values, kind="stable")
-            values, who = values[order], who[order]
-            uniq, at = np.unique(values, return_index=True)
-            until = np.append(at[1:], len(values))
-            n, comp, doc = right["n"].to_numpy(), right["comp"].to_numpy(), right["doc"].to_numpy()
-            for d, m, c, s in zip(left["doc"], left["n"], left["comp"], left["hashes"]):
-                mine = np.frombuffer(s, "<u8")
-                spot = np.searchsorted(uniq, mine)
-                spot = spot[(spot < len(uniq)) & (uniq[np.minimum(spot, len(uniq) - 1)] == mine)]
-                size = until[spot] - at[spot]
-                hits = who[np.repeat(at[spot] - np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)[: len(size)], size) + np.arange(size.sum())]
-                shared = np.bincount(hits, minlength=len(lists))
-                ok = np.flatnonzero((comp != c) & (100 * shared >= percent * (n + m - shared)) & (shared > 0))
-                first = ok[np.unique(comp[ok], return_index=True)[1]]
-                u += [int(d)] * len(first)
-                v += doc[first].tolist()
-        return pd.DataFrame({"u": pd.Series(u, dtype="int64"), "v": pd.Series(v, dtype="int64")})
-
-    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(run, f"u {kind}, v {kind}")
+            block = Block(right, percent)
+            for d, c, s in zip(left["doc"], left["comp"], left["hashes"]):
+                found += block.links(d, c, np.frombuffer(s, "<u8"))
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(run, "u long, v long")
 
 
 def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component over the linked representatives."""
-    all_posts = postings(reps)
-    listed = materialize(
-        all_posts.join(all_posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value"), "listed"
-    )
+    posts = postings(reps)
+    counts = materialize(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
+    listed = materialize(split_join(posts, counts, "value", most_frequent(counts, "value", "df")), "listed")
+    discard(counts)
     tidy(listed.sparkSession)
     heat = listed.where(F.col("df") > HOT).groupBy("doc", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "value"))).alias("hot_values")
@@ -250,10 +277,12 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     if any_hot:
         rank = F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("doc"), "doc"))
         pivots = hot.select("family", F.col("doc").alias("pivot"), F.col("n").alias("m"), rank.alias("r")).where(F.col("r") <= PIVOTS)
-        stars = hot.join(pivots, "family").where((F.col("doc") != F.col("pivot")) & like_sized("n", "m", percent))
+        sizes = hot.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+        stars = split_join(hot.select("family", "doc", "n"), pivots, "family", most_frequent(sizes, "family", "size"))
+        stars = stars.where((F.col("doc") != F.col("pivot")) & like_sized("n", "m", percent))
         near = near.unionByName(stars.select(*pair("doc", "pivot")))
     first = materialize(alike(near.distinct(), reps), "pairs")
-    edges = materialize(verified(first, docs, width, percent), "links")
+    edges = materialize(verified(first, docs, reps, width, percent), "links")
     tidy(edges.sparkSession)
     found = materialize(components(edges), "parts")
     if not any_hot:
@@ -265,39 +294,47 @@ def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFram
     own = materialize(label(hot.select("doc")), "hot-parts")
     # Of a linked pair's shared values, the rarest is among the heat - needed + 1 rarest hot values of both.
     prefix = F.slice("hot_values", F.lit(1), F.col("heat") - needed(F.col("n"), percent) + 1)
-    lists = hot.join(own, "doc").select("doc", "comp", F.explode(F.transform(prefix, lambda x: x["value"])).alias("value"))
+    lists = materialize(hot.join(own, "doc").select("doc", "comp", F.explode(F.transform(prefix, lambda x: x["value"])).alias("value")), "lists")
     sizes = lists.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("value").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    outside = lists.join(main.where("parts > 1"), "value").where("comp <> main").select("doc").distinct()
-    rest = materialize(outside, "rest")
-    if not rest.count():
+    main = sizes.groupBy("value").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"))
+    main = materialize(main.where("parts > 1"), "main")
+    mixed = split_join(lists, main.select("value", "main"), "value", most_frequent(main, "value", "size"))
+    mixed = materialize(mixed.groupBy("doc", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("outside")), "mixed")
+    if mixed.where("outside").isEmpty():
         return found
-    sets = materialize(full_sets(docs, own, width), "hot-sets")
-    asked = materialize(sets.join(rest, "doc", "left_semi"), "query-sets")
+    sets = materialize(full_sets(docs, reps, mixed.select("doc", "comp"), width), "hot-sets")
+    asked = materialize(sets.join(mixed.where("outside"), "doc", "left_semi"), "query-sets")
     late = materialize(against_blocks(asked, sets, percent), "links")
     return materialize(components(edges.unionByName(late)), "parts")
 
 
-def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, h, n_shingles, component_id, kept of every row of ``docs``."""
     rows = materialize(sketches(docs, width), "sketches")
     live = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    groups = live.groupBy("sig", "n_shingles").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("rep"))
-    groups = materialize(groups.where("size > 1").select("sig", "n_shingles", "rep"), "classes")
+    groups = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("rep"), F.min("row").alias("node"))
+    groups = materialize(groups.where("size > 1"), "classes")
+    joined = split_join(live.select("row", "doc_id", "h", "n_shingles", "sig"), groups.select("sig", "rep", "node"), "sig", most_frequent(groups, "sig", "size"), "left")
     classed = materialize(
-        rows.select("doc_id", "n_shingles", "sig").join(groups, ["sig", "n_shingles"], "left").select(
-            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")
-        ),
-        "classed",
+        joined.select("row", "doc_id", "h", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("node", "row").alias("node")), "classed"
     )
-    copies = classed.where("rep <> doc_id").select("doc_id")
-    reps = materialize(live.join(copies, "doc_id", "left_anti").select("doc_id", "n_shingles", "sketch"), "reps")
-    discard(rows)
+    copies = classed.where("row <> node").select("row")
+    reps = materialize(live.join(copies, "row", "left_anti").select(F.col("row").alias("node"), "doc_id", "h", "n_shingles", "sketch"), "reps")
     parts = link(docs, reps, width, percent)
     discard(reps)
-    return classed.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = classed.where("row = node").select("node", "rep").join(parts, "node")
+    sums = materialize(least.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("size")), "least")
+    named = split_join(parts, sums.select("component", "component_id"), "component", most_frequent(sums, "component", "size")).select("node", "component_id")
+    sizes = classed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    out = split_join(classed, named, "node", most_frequent(sizes, "node", "size"), "left")
+    out = out.select("doc_id", "h", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
+    dead = rows.where("NOT (n_shingles > 0 AND doc_id IS NOT NULL)").select("doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(dead).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    return linked_rows(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,6 +342,9 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component."""
-    gone = near_components(docs, width, percent).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` that stay: of each component those with its smallest doc_id; null doc_ids stay.
+
+    A row is known by its doc_id and the hash of its text, so a text that is alone stays whatever else has its doc_id.
+    """
+    gone = linked_rows(docs, width, percent).where("NOT kept").select("doc_id", "h").distinct()
+    return docs.join(gone.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
