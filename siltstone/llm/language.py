@@ -1,17 +1,19 @@
 """Language identification by prediction by partial matching over bytes.
 
-Each language has a context tree of up to ``ORDER`` bytes with escape probabilities (method C, with
-exclusion); its statistics are frozen after training, so the probability of every byte after every context
-is tabulated once, and the exact code length of a text in each language is a sum of table entries. The
-shortest code wins; the score is the winner's share when code lengths are read as probabilities.
-
+Each language has a context tree of up to ``ORDER`` bytes with escape probabilities (method C, with exclusion). Its
+statistics are frozen after training, so every (context, byte) of a tree has one code length, and every
+context one escape cost. A byte is coded at the longest context in which it was seen, after the escapes of the longer
+ones; the exact code length of a text in a language is the sum. The shortest code wins; the score is the winner's
+share when code lengths are read as probabilities.
+
+Trees hold every context and byte of their sample: languages, bytes and contexts have no cap. Languages are kept in
+blocks of ``TOGETHER``, whose trees share one sorted table of (context, byte) with a column for each language.
 Before coding, A-Z and the upper-case letters of Latin-1 are lower-cased, and every other ASCII character
-counts as a space; only the first of several spaces is coded. Learnt from at most ``PER_LANG`` documents of each of
-the ``LANGS`` most frequent languages outside the held-out fold (a bound on fitting alone); all texts are scored
-whole. Contexts are kept by how often they occur, up to ``ENTRIES`` table entries.
+counts as a space; only the first of several spaces is coded. Learnt from at most ``PER_LANG`` documents of at most
+``LONGEST`` bytes of each language outside the held-out fold (a bound on fitting alone); all texts are scored whole.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0; ties go to the language that sorts
-first; without training rows all texts give ``und``.
+first; without training rows all texts give ``und``; a doc_id that occurs with several languages counts for each.
 """
 
 from __future__ import annotations
@@ -28,12 +30,12 @@ from .labelled import fold
 from .store import table
 from .textkit import LOWER, chunks, segment_sum
 
-ORDER = 3
+ORDER = 5
 PER_LANG = 200
-LANGS = 64
-SYMBOLS = 112
-ENTRIES = 6_000_000
-LEAST = 4
+LONGEST = 1 << 15
+TOGETHER = 8
+#: Bytes that can be coded: space, a-z and the bytes beyond ASCII.
+ALPHABET = 1 + 26 + 128
 UND = "und"
 
 LETTER = np.zeros(256, bool)
@@ -50,40 +52,103 @@ def plain(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte under the ``ORDER`` bytes before it, as one number, and which are coded; a document begins after spaces."""
+    own = plain(data)
+    n = len(own)
+    begin = np.zeros(n + 1, bool)
+    begin[offsets] = True
+    out, fresh, before = own.astype(np.int64), np.zeros(n, bool), None
+    for k in range(1, ORDER + 1):
+        prev = np.full(n, 32, np.int64)
+        prev[k:] = own[: max(n - k, 0)]
+        fresh[k - 1 :] |= begin[: max(n - k + 1, 0)]  # a document begins within the last k bytes
+        prev[fresh] = 32
+        before = prev if before is None else before
+        out |= prev << (8 * k)
+    return out, (own != 32) | (before != 32)
+
+
+def suffix(key: np.ndarray, order: int) -> np.ndarray:
+    """The (context, byte) of a shorter context; order -1 leaves nothing."""
+    return key & ((1 << 8 * (order + 1)) - 1)
+
+
+def spots(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand in a sorted table, and whether they are in it."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
+class Tree:
+    """The frozen tree of one language: for each order its (context, byte) with code lengths, and its contexts with escape costs."""
+
+    def __init__(self, coded: np.ndarray):
+        self.pairs, self.bits, self.contexts, self.escapes = [], [], [], []
+        p = None
+        for order in range(ORDER + 1):
+            pair, count = np.unique(suffix(coded, order), return_counts=True)
+            context, who = np.unique(pair >> 8, return_inverse=True)
+            below = p[spots(self.pairs[-1], suffix(pair, order - 1))[0]] if order else np.full(len(pair), 1 / ALPHABET)
+            n, d = np.bincount(who, count), np.bincount(who).astype(float)
+            left = 1 - np.bincount(who, below)
+            escape = np.where(left > 1e-9, d / (n + d), 0.0)
+            p = count / n[who] * (1 - escape[who])
+            self.pairs.append(pair)
+            self.bits.append(-np.log2(p))
+            self.contexts.append(context)
+            self.escapes.append(-np.log2(np.maximum(escape, 1e-12) / np.maximum(left, 1e-9)))
+
+
+class Block:
+    """The trees of some languages side by side, tabulated for every (context, byte) that one of them has."""
+
+    def __init__(self, trees: list[Tree]):
+        self.pairs, self.bits, self.contexts, self.escapes = [], [], [], []
+        for order in range(ORDER + 1):
+            context = np.unique(np.concatenate([t.contexts[order] for t in trees]))
+            escape = np.zeros((len(context), len(trees)))
+            for j, t in enumerate(trees):
+                escape[spots(context, t.contexts[order])[0], j] = t.escapes[order]
+            pair = np.unique(np.concatenate([t.pairs[order] for t in trees]))
+            below = self.bits[-1][spots(self.pairs[-1], suffix(pair, order - 1))[0]] if order else np.log2(ALPHABET)
+            bits = below + escape[spots(context, pair >> 8)[0]]
+            for j, t in enumerate(trees):
+                bits[spots(pair, t.pairs[order])[0], j] = t.bits[order]
+            self.pairs.append(pair)
+            self.bits.append(bits.astype(np.float32))
+            self.contexts.append(context)
+            self.escapes.append(escape.astype(np.float32))
+
+    def cost(self, coded: np.ndarray) -> np.ndarray:
+        """Bits of each (context, byte) in each language."""
+        out = np.zeros((len(coded), self.bits[0].shape[1]), np.float32)
+        todo = np.arange(len(coded))
+        for order in range(ORDER, -1, -1):
+            key = suffix(coded[todo], order)
+            at, known = spots(self.pairs[order], key)
+            out[todo[known]] += self.bits[order][at[known]]
+            todo, key = todo[~known], key[~known]
+            at, known = spots(self.contexts[order], key >> 8)
+            out[todo[known]] += self.escapes[order][at[known]]
+        out[todo] += np.float32(np.log2(ALPHABET))
+        return out
+
+
 @dataclass
 class Model:
     langs: list[str]
-    symbol: np.ndarray  # of each byte; 0 stands for all bytes that have none
-    look: np.ndarray  # context of ORDER symbols -> node
-    bits: np.ndarray  # (nodes * symbols, languages) code lengths
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols, their contexts of ORDER symbols, and which are coded; a document begins after spaces."""
-        sym = self.symbol[plain(data)].astype(np.int32)
-        space = int(self.symbol[32])
-        size = int(self.symbol.max()) + 1
-        begin = np.zeros(len(sym) + 1, bool)
-        begin[offsets] = True
-        ctx = np.zeros(len(sym), np.int32)
-        fresh = np.zeros(len(sym), bool)  # a document begins here or within the last symbols
-        for k in range(1, ORDER + 1):
-            prev = np.full(len(sym), space, np.int32)
-            prev[k:] = sym[:-k] if len(sym) > k else sym[:0]
-            fresh[k - 1 :] |= begin[: max(len(sym) - k + 1, 0)]
-            prev[fresh] = space
-            ctx += prev * size ** (k - 1)
-        before = np.full(len(sym), space, np.int32)
-        before[1:] = sym[:-1]
-        before[begin[:-1]] = space
-        return sym, ctx, (sym != space) | (before != space)
+    blocks: list[Block]
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of each document in each language."""
-        sym, ctx, coded = self.encode(data, offsets)
+        key, coded = keys(data, offsets)
         where = np.flatnonzero(coded)
-        size = int(self.symbol.max()) + 1
-        rows = self.bits[self.look[ctx[where]] * size + sym[where]]
-        return segment_sum(rows, np.searchsorted(where, offsets))
+        uniq, back = np.unique(key[where], return_inverse=True)
+        first = np.searchsorted(where, offsets)
+        return np.concatenate([segment_sum(b.cost(uniq)[back], first) for b in self.blocks], 1)
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         n = len(offsets) - 1
@@ -101,73 +166,23 @@ class Model:
 
 
 def fit(texts: dict[str, list[bytes]]) -> Model:
-    """Context trees from the training texts of each language."""
-    langs = sorted(texts)
-    symbol = np.zeros(256, np.int64)
-    if not langs:
-        return Model([], symbol, np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
-    raw = {k: np.frombuffer(b"".join(v), np.uint8) for k, v in texts.items()}
-    offs = {k: np.concatenate([[0], np.cumsum([len(x) for x in v])]).astype(np.int64) for k, v in texts.items()}
-    seen = sum(np.bincount(plain(raw[k]), minlength=256) for k in langs)
-    seen[32] += 1 << 40
-    kept = [b for b in np.argsort(-seen, kind="stable")[:SYMBOLS] if seen[b]]
-    symbol[kept] = np.arange(1, len(kept) + 1)
-    size = len(kept) + 1
-    model = Model(langs, symbol, np.zeros(1, np.int32), np.zeros(0))
-    counts = []  # for each language: sorted keys of (context, symbol) and their counts
-    for k in langs:
-        sym, ctx, coded = model.encode(raw[k], offs[k])
-        counts.append((ctx[coded].astype(np.int64), sym[coded].astype(np.int64)))
-    limit = max(1, ENTRIES // (size * len(langs)))
-    # Nodes of each order, most frequent first; the suffix of a node's context is a node of the order below.
-    unseen_bytes = 256 - (size - 1)
-    p = np.full((1, size, len(langs)), 1 / 256)
-    p[:, 0] = 1 / 256 if unseen_bytes else 0.0
-    nodes, levels, parent_of = 0, [], np.zeros(1, np.int64)
-    share = [max(1, limit // 64), max(1, limit // 8), limit]
-    for order in range(ORDER + 1):
-        base = size**order
-        total = np.zeros(base)
-        for ctx, _ in counts:
-            total += np.bincount(ctx % base, minlength=base)
-        if order:
-            ok = (total >= LEAST) & (parent_of[np.arange(base) % (base // size)] >= 0)
-            chosen = np.flatnonzero(ok)
-            chosen = np.sort(chosen[np.argsort(-total[chosen], kind="stable")[: share[order - 1]]])
-            parent = parent_of[chosen % (base // size)]
-        else:
-            chosen, parent = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        here = np.full(base, -1, np.int64)
-        here[chosen] = np.arange(len(chosen))
-        level = np.empty((len(chosen), size, len(langs)))
-        for j, (ctx, sym) in enumerate(counts):
-            at = here[ctx % base]
-            c = np.zeros((len(chosen), size))
-            np.add.at(c, (at[at >= 0], sym[at >= 0]), 1)
-            up = p[parent, :, j]
-            weight = np.where(np.arange(size) == 0, unseen_bytes, 1)  # symbol 0 stands for that many bytes
-            n, d = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-            left = (np.where(c > 0, 0, up) * weight).sum(1, keepdims=True)
-            escape = np.where(left > 1e-12, d / np.maximum(n + d, 1), 0.0)
-            own = c / np.maximum(weight, 1) / np.maximum(n, 1) * (1 - escape)
-            level[:, :, j] = np.where(n > 0, np.where(c > 0, own, escape * up / np.maximum(left, 1e-12)), up)
-        levels.append(level)
-        # For every context of this order: the node here or, without one, the parent's entry below.
-        node = np.where(here >= 0, here + nodes, 0)
-        if order:
-            node = np.where(here >= 0, node, below[np.arange(base) % (base // size)])
-        below, parent_of, p = node, here, level
-        nodes += len(chosen)
-    bits = -np.log2(np.maximum(np.concatenate(levels), 1e-12)).reshape(-1, len(langs)).astype(np.float32)
-    return Model(langs, symbol, below.astype(np.int32), bits)
+    """Context trees from the training texts of each language; a language without a coded byte is left out."""
+    trees = {}
+    for lang in sorted(texts):
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts[lang]])]).astype(np.int64)
+        key, coded = keys(np.frombuffer(b"".join(texts[lang]), np.uint8), offsets)
+        if coded.any():
+            trees[lang] = Tree(key[coded])
+    own = list(trees.values())
+    return Model(list(trees), [Block(own[k : k + TOGETHER]) for k in range(0, len(own), TOGETHER)])
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
-    own = docs.select("doc_id", "lang").where((fold(4) != 2) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    top = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
+    """Fit on documents that are chosen by a hash of doc_id."""
+    own = docs.select("doc_id", "lang").where((fold(4) != 2) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= LONGEST))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = own.withColumn("r", rank).where(F.col("r") <= per_lang).join(F.broadcast(top), "lang", "left_semi").select("doc_id").distinct()
-    rows = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(ids), "doc_id", "left_semi").collect()
+    ids = own.withColumn("r", rank).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct()
+    rows = docs.select("doc_id", "lang", "text").where(F.octet_length("text") <= LONGEST).join(ids, ["doc_id", "lang"]).distinct().collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"].encode("utf-8", "replace"))
