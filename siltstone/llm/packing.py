@@ -3,8 +3,10 @@
 Documents become token ids plus an end id; those longer than a sequence are cut into whole sequences behind a
 first piece that takes the remainder. Pieces of full length fill a sequence each. The others are dealt out evenly
 over groups of about ``GROUP`` pieces; each group is packed by best fit in decreasing order, then improved: moves,
-one-for-one and two-for-one exchanges between underfull bins, each of which increases the sum of squared fills,
-until bins empty or no exchange is left. A group's bins lie within one task; groups do not depend on each other.
+one-for-one, two-for-one and one-for-two exchanges between underfull bins, each of which increases the sum of squared
+fills, so that the search ends: when the bins are as few as the sizes allow, or no exchange is left. Items of one size
+in a bin are the same to an exchange, so all exchanges of a bin are tried by its distinct sizes (at most
+sqrt(2 * length)) and pairs of them. A group's bins lie within one task; groups do not depend on each other.
 
 Defined results: null text is empty and has its end id alone; every row is packed, repeated ones too; an empty
 table gives no rows; other columns are ignored.
@@ -28,7 +30,6 @@ from .textkit import chunks
 LENGTH = 1024
 END_ID = 2
 GROUP = 16384
-PASSES = 12
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict = {}
@@ -136,61 +137,105 @@ class Bins:
         return None
 
 
-def improve(bins: Bins, passes: int) -> None:
-    """Local search: moves, one-for-one and two-for-one exchanges that raise the sum of squared fills."""
+def singles(bins: Bins, k: int) -> dict[int, list[int]]:
+    """One item of each size in bin k, by size."""
+    return {bins.sizes[i]: [i] for i in reversed(bins.items[k])}
+
+
+def doubles(bins: Bins, k: int) -> dict[int, list[int]]:
+    """Two items of bin k for each sum of sizes that two of them make."""
+    by_size: dict[int, list[int]] = {}
+    for i in bins.items[k]:
+        by_size.setdefault(bins.sizes[i], []).append(i)
+    sizes = sorted(by_size)
+    out: dict[int, list[int]] = {}
+    for a, x in enumerate(sizes):
+        if len(by_size[x]) > 1:
+            out.setdefault(2 * x, by_size[x][:2])
+        for y in sizes[a + 1 :]:
+            out.setdefault(x + y, [by_size[x][0], by_size[y][0]])
+    return out
+
+
+class Stock:
+    """Which underfull bins can give away which total, as one item or as two."""
+
+    def __init__(self, bins: Bins, used: list[int]):
+        self.bins, self.used = bins, set(used)
+        self.one: dict[int, set[int]] = {}
+        self.two: dict[int, set[int]] = {}
+        self.totals: dict[int, tuple[dict, dict]] = {}
+        for k in used:
+            self.enter(k)
+
+    def enter(self, k: int) -> None:
+        own = self.totals[k] = singles(self.bins, k), doubles(self.bins, k)
+        for totals, stock in zip(own, (self.one, self.two)):
+            for t in totals:
+                stock.setdefault(t, set()).add(k)
+
+    def leave(self, k: int) -> None:
+        for totals, stock in zip(self.totals.pop(k), (self.one, self.two)):
+            for t in totals:
+                stock[t].discard(k)
+
+    def swap(self, k: int, give: list[int], frm: int, take: list[int]) -> None:
+        for x in (k, frm):
+            if x in self.totals:
+                self.leave(x)
+        self.bins.change(k, give, take)
+        self.bins.change(frm, take, give)
+        for x in (k, frm):
+            if x in self.used:
+                self.enter(x)
+
+    def find(self, stock: dict[int, set[int]], total: int, k: int) -> int | None:
+        """A bin that is not fuller than bin k and can give ``total``."""
+        most = self.bins.fill[k]
+        return min((x for x in stock.get(total, ()) if x != k and self.bins.fill[x] <= most), default=None)
+
+    def best(self, k: int) -> tuple[list[int], int, list[int]] | None:
+        """The exchange that fills bin k most: items it gives, the other bin, items it takes."""
+        room = self.bins.length - self.bins.fill[k]
+        one, two = self.totals[k]
+        for gain in range(room, 0, -1):
+            for gives, stocks in ((one, (self.one, self.two)), (two, (self.one,))):
+                for weight, give in gives.items():
+                    for stock in stocks:
+                        frm = self.find(stock, weight + gain, k)
+                        if frm is not None:
+                            return give, frm, self.totals[frm][stock is self.two][weight + gain]
+        return None
+
+
+def improve(bins: Bins, passes: int | None = None) -> None:
+    """Local search: moves and exchanges that raise the sum of squared fills, until none is left (or for ``passes`` rounds)."""
     sizes, length = bins.sizes, bins.length
     least = -(-sum(sizes) // length)
-    for _ in range(passes):
+    while passes is None or passes > 0:
+        passes = None if passes is None else passes - 1
         used = sorted((k for k in range(len(bins.fill)) if 0 < bins.fill[k] < length), key=lambda k: (bins.fill[k], k))
         if sum(f > 0 for f in bins.fill) <= least or len(used) < 2:
             return
         changed = False
-        donors: dict[int, list[tuple[int, int]]] = {}  # size: (item, its bin), over the emptier bins
-        for k in used:
-            for i in bins.items[k]:
-                donors.setdefault(sizes[i], []).append((i, k))
-        where = {i: k for k in used for i in bins.items[k]}
         for k in used:  # moves empty the emptiest bins first
             for i in sorted(bins.items[k], key=lambda i: -sizes[i]):
                 to = bins.best_fit(sizes[i], k)
                 if to is not None and bins.fill[to] + sizes[i] > bins.fill[k]:
                     bins.change(k, [i], [])
                     bins.change(to, [], [i])
-                    where[i] = to
                     changed = True
+        stock = Stock(bins, [k for k in used if bins.fill[k]])
         for k in reversed(used):  # fullest first: fill its room by exchanges with emptier bins
-            room = length - bins.fill[k]
-            if room == 0 or bins.fill[k] == 0:
-                continue
-            own = sorted(bins.items[k], key=lambda i: sizes[i])
-            gives = [([i], sizes[i]) for i in own] + [([i, j], sizes[i] + sizes[j]) for a, i in enumerate(own[:8]) for j in own[a + 1 : 8]]
-            best = None
-            for give, weight in gives:
-                for size in range(weight + room, weight, -1):
-                    if best and size - weight <= best[0]:
-                        break
-                    for i, _ in donors.get(size, ()):
-                        frm = where[i]
-                        if frm != k and bins.fill[frm] <= bins.fill[k]:
-                            best = (size - weight, give, i, frm)
-                            break
-                    else:
-                        continue
-                    break
-                if best and best[0] == room:
-                    break
-            if best:
-                _, give, i, frm = best
-                bins.change(k, give, [i])
-                bins.change(frm, [i], give)
-                where[i] = k
-                where.update(dict.fromkeys(give, frm))
+            while 0 < bins.fill[k] < length and (found := stock.best(k)):
+                give, frm, take = found
+                stock.swap(k, list(give), frm, list(take))
                 changed = True
         if not changed:
             return
 
 
-def pack(sizes: list[int], length: int = LENGTH, passes: int = PASSES) -> list[int]:
+def pack(sizes: list[int], length: int = LENGTH, passes: int | None = None) -> list[int]:
     """The bin of each item: best fit in decreasing order, then local search."""
     bins = Bins(sizes, length)
     for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):

@@ -1,7 +1,8 @@
 """Token ids of whole batches by a byte-level BPE file of the ``tokenizers`` library.
 
 The pre-tokenizer's pattern is applied to code points with numpy; every distinct piece is encoded once by the
-library, and documents are put together from the pieces. Texts with a character whose class could depend on the
+library, and documents are put together from the pieces. Pieces of a batch are brought together by hash and then
+compared with their fellows character by character; across batches a piece is looked up as a string. Texts with a character whose class could depend on the
 Unicode version go through the library whole. Strings of special tokens in a text are ordinary text.
 """
 
@@ -46,7 +47,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, U)
+        self.slot: dict[str, int] = {}
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -79,37 +80,35 @@ class Encoder:
         sums = np.zeros(len(points) + 1, U)
         np.cumsum((points.astype(U) + U(1)) * up[: len(points)], out=sums[1:])
         keys = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
-        uniq, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        self.learn(uniq, [joined[starts[i] : ends[i]] for i in where] if len(self.keys) == 0 else None, joined, starts, ends, where)
-        slot = np.searchsorted(self.keys, uniq)[back]
+        _, where, back = np.unique(keys, return_index=True, return_inverse=True)
+        slot = self.learn([joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])[back]
+        length = ends - starts
+        fellow = np.arange(len(points)) + np.repeat(starts[where][back] - starts, length)  # the same place in the piece that stands for it
+        unlike = (length != length[where][back]) | np.logical_or.reduceat(points != points[np.minimum(fellow, len(points) - 1)], starts)
         size = self.size[slot]
         first = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.at[slot] - first[:-1], size) + np.arange(first[-1])]
         edge = first[np.searchsorted(starts, offsets)]
         out = [ids[a:b] for a, b in zip(edge[:-1], edge[1:])]
-        for i in unsure:
+        apart = np.searchsorted(offsets, starts[unlike], "right") - 1
+        for i in {*unsure, *apart.tolist()}:
             out[i] = self.whole(texts[i])
         return out
 
-    def learn(self, uniq: np.ndarray, fresh: list[str] | None, joined: str, starts: np.ndarray, ends: np.ndarray, where: np.ndarray) -> None:
-        if len(self.keys) > KEEP:
+    def learn(self, pieces: list[str]) -> np.ndarray:
+        """Where the ids of each piece are held."""
+        if len(self.slot) > KEEP:
             self.forget()
-        spot = np.searchsorted(self.keys, uniq)
-        known = np.zeros(len(uniq), bool)
-        inside = spot < len(self.keys)
-        known[inside] = self.keys[spot[inside]] == uniq[inside]
-        new = np.flatnonzero(~known)
-        if len(new) == 0:
-            return
-        pieces = [joined[starts[i] : ends[i]] for i in where[new]]
-        got = [x.ids for x in self.lib.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        at = len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))])
-        put = spot[new]
-        self.keys = np.insert(self.keys, put, uniq[new])
-        self.at = np.insert(self.at, put, at)
-        self.size = np.insert(self.size, put, size)
+        new = [p for p in pieces if p not in self.slot]
+        if new:
+            got = [x.ids for x in self.lib.encode_batch_fast(new, add_special_tokens=False)]
+            size = np.fromiter(map(len, got), np.int64, len(got))
+            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(size) - size])
+            self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))])
+            self.size = np.concatenate([self.size, size])
+            for p in new:
+                self.slot.setdefault(p, len(self.slot))
+        return np.array([self.slot[p] for p in pieces], np.int64)
 
     @staticmethod
     def cuts(points: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -295,3 +295,36 @@ def test_indicators_are_distinct_and_whole():
     twice = np.frombuffer((t * 2).encode(), np.uint8)
     d2, f2 = quality.indicators(twice, np.array([0, len(raw), 2 * len(raw)]))
     assert Counter(d2.tolist()) == {0: len(f), 1: len(f)} and f2[: len(f)].tolist() == f.tolist()
+
+
+def test_encoder_survives_equal_hashes(monkeypatch):
+    monkeypatch.setattr(tokens, "mix", lambda h: h % np.uint64(5))
+    enc = tokens.Encoder(packing.default_tokenizer())
+    texts = ["one two three", "", "a bb ccc dddd", "one one two", "x" * 400, "the end, of it"]
+    assert [x.tolist() for x in enc.encode(texts)] == [enc.whole(t).tolist() for t in texts]
+
+
+def gain_left(sizes, out, length):
+    """Whether a move or an exchange of one for one, two for one or one for two would raise the squared fill."""
+    items = defaultdict(list)
+    for i, k in enumerate(out):
+        items[k].append(sizes[i])
+    bins = [v for v in items.values() if sum(v) < length]
+    groups = lambda v: [(), *combinations(v, 1), *combinations(v, 2)]
+    for a in bins:
+        for b in bins:
+            if a is not b and sum(a) >= sum(b):
+                for give in groups(a):
+                    for take in groups(b):
+                        d = sum(take) - sum(give)
+                        if (len(give), len(take)) in {(0, 1), (1, 1), (2, 1), (1, 2)} and 0 < d <= length - sum(a):
+                            return True
+    return False
+
+
+def test_local_search_ends_without_a_gain():
+    g = random.Random(13)
+    for _ in range(60):
+        sizes = [g.choice([g.randint(1, 40), g.randint(30, 70), 35]) for _ in range(g.randint(2, 60))]
+        out = packing.pack(sizes, 100)
+        assert len(set(out)) == -(-sum(sizes) // 100) or not gain_left(sizes, out, 100)
