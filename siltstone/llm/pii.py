@@ -4,11 +4,9 @@ Kinds are email, ip, card and phone. Base spans are the patterns' leftmost non-o
 text; they always stay. The network is trained in numpy from labelled spans: windows around base spans and other
 digits of a bounded sample of documents, and variants of the four kinds (spelled-out signs, other groupings, no
 country code) written into plain windows, beside dates, versions, prices and hashes that are none, and plain windows
-as they are. A text is cut into overlapping windows, decoded by the Viterbi path; each character takes its tag from
-the window in which it lies most central, so that windows agree over the whole text. Runs of a tag that pass its
-kind's plain test and touch no base span are added. The plain tests need a digit, an at sign or the letters "at", so
-decoding starts where these lie most central and goes on to each side as long as a run reaches the part's end: the
-runs that pass are those of decoding every window.
+as they are. Every text is cut into overlapping windows, all of which are decoded by the Viterbi path; each character
+takes its tag from the window in which it lies most central, so that windows agree over the whole text. Runs of a tag
+are widened to whole words; those that pass their kind's plain test and touch no base span are added.
 
 Positions count code points, the end is exclusive. Defined results: null text is empty; without spans the digest
 is that of the empty string; each row is scanned on its own, repeated ones too; other columns are ignored.
@@ -35,7 +33,7 @@ SIZE, STRIDE = 96, 48
 DIM, HIDDEN = 10, 16
 SAMPLE_DOCS = 600
 WINDOWS = 1500
-STEPS, BATCH, RATE = 400, 64, 0.01
+STEPS, BATCH, RATE = 600, 64, 0.01
 
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -44,8 +42,7 @@ IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
-#: One of these is in every span that ``plausible`` lets pass, whatever the text around.
-SIGNAL = re.compile(r"[0-9@]|at")
+ENDING = re.compile(r"\s*[A-Za-z]{2,}")
 
 
 def luhn(digits: str) -> bool:
@@ -135,38 +132,22 @@ class Model:
         e = nn.states(ids, mask, f, p["fh"]) @ p["o"][:HIDDEN] + nn.states(ids[::-1], mask[::-1], r, p["rh"])[::-1] @ p["o"][HIDDEN:] + p["c"]
         return nn.best_paths(e, mask, p["t"])
 
-    def tags(self, texts: list[str], everywhere: bool = False) -> list[np.ndarray]:
-        """The reconciled tag of every character: 0 for none, else the kind's number.
-
-        Runs without a signal may stay 0, unless ``everywhere``.
-        """
+    def tags(self, texts: list[str]) -> list[np.ndarray]:
+        """The reconciled tag of every character: 0 for none, else the kind's number."""
         out = [np.zeros(len(t), np.int8) for t in texts]
-        last = [len(windows(len(t))) - 1 for t in texts]
-        home = lambda i, c: min(max(0, (c - STRIDE // 2) // STRIDE), last[i])  # noqa: E731 the window in which c is most central
-        if everywhere:
-            seen = {(i, k) for i, t in enumerate(texts) if t for k in range(last[i] + 1)}
-        else:
-            seen = {(i, home(i, m.start())) for i, t in enumerate(texts) for m in SIGNAL.finditer(t)}
         coded = [symbols(t) if t else np.zeros(0, np.uint8) for t in texts]
-        todo = sorted(seen)
-        while todo:
-            more = set()
-            for at in range(0, len(todo), 512):
-                part = todo[at : at + 512]
-                ids = np.zeros((SIZE, len(part)), np.int64)
-                mask = np.zeros((SIZE, len(part)), np.float32)
-                for j, (i, k) in enumerate(part):
-                    w = coded[i][k * STRIDE : k * STRIDE + SIZE]
-                    ids[: len(w), j], mask[: len(w), j] = w, 1
-                best = self.decode(ids, mask)
-                for j, (i, k) in enumerate(part):
-                    a = STRIDE // 2 if k else 0
-                    b = len(texts[i]) - k * STRIDE if k == last[i] else STRIDE // 2 + STRIDE
-                    out[i][k * STRIDE + a : k * STRIDE + b] = best[a:b, j]
-                    more |= {(i, k - 1)} if k and best[a, j] else set()
-                    more |= {(i, k + 1)} if k < last[i] and best[b - 1, j] else set()
-            todo = sorted(more - seen)
-            seen |= more
+        todo = [(i, k) for i, t in enumerate(texts) if t for k in windows(len(t))]
+        for at in range(0, len(todo), 512):
+            part = todo[at : at + 512]
+            ids = np.zeros((SIZE, len(part)), np.int64)
+            mask = np.zeros((SIZE, len(part)), np.float32)
+            for j, (i, k) in enumerate(part):
+                w = coded[i][k : k + SIZE]
+                ids[: len(w), j], mask[: len(w), j] = w, 1
+            best = self.decode(ids, mask)
+            for j, (i, k) in enumerate(part):
+                a = STRIDE // 2 if k else 0
+                out[i][k + a : k + SIZE] = best[a : len(texts[i]) - k, j]  # the next window overwrites what is more central in it
         return out
 
 
@@ -174,7 +155,7 @@ def plausible(kind: str, s: str) -> bool:
     """The plain test of an added span."""
     n = len(digits_of(s))
     if kind == "email":
-        return bool(re.search(r"(@|\bat\b)", s)) and bool(re.search(r"(\.|\bdot\b)", s)) and len(s) >= 6
+        return len(s) >= 6 and bool(re.search(r"(@|\bat\b).*(\.|\bdot\b)\W*[A-Za-z0-9]{2,}$", s, re.S))
     if kind == "ip":
         parts = re.findall(r"[0-9]+", s)
         return len(parts) == 4 and all(map(byte_part, parts))
@@ -194,7 +175,13 @@ def added_spans(t: str, tags: np.ndarray, base: list[tuple[str, int, int]]) -> l
             a += 1
         while b > a and t[b - 1] in " \n.,;:":
             b -= 1
-        if plausible(kind, t[a:b]) and not any(x < b and a < y for _, x, y in base):
+        while 0 < a < b and t[a].isalnum() and t[a - 1].isalnum():
+            a -= 1
+        while a < b < len(t) and t[b - 1].isalnum() and t[b].isalnum():
+            b += 1
+        if kind == "email" and re.search(r"(?:\bdot[\])]?|\.)$", t[a:b]) and (m := ENDING.match(t, b)):
+            b = m.end()
+        if plausible(kind, t[a:b]) and not any(x < b and a < y for _, x, y in base + out):
             out.append((kind, int(a), int(b)))
     return out
 
@@ -204,7 +191,7 @@ def variants(g: np.random.Generator) -> tuple[str, int]:
     word = lambda lo, hi: "".join(g.choice(list("abcdefghijklmnopqrstuvwxyz"), g.integers(lo, hi)))
     num = lambda n: "".join(map(str, g.integers(0, 10, n)))
     pick = lambda *a: a[g.integers(len(a))]
-    kind = pick(0, 1, 1, 1, 2, 3, 4)
+    kind = pick(0, 1, 1, 1, 2, 3, 4, 4)
     if kind == 1:
         at, dot = pick((" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " dot "), ("[at]", "."), ("@", "."), (" @ ", "."))
         return word(3, 9) + pick("", ".", "_") + pick("", num(2)) + at + word(3, 9) + dot + pick("com", "org", "net", "example.com", "de", "fr"), 1
