@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .textkit import chunks
 
+LONGEST = 1 << 17
+
 
 def fold(modulus: int) -> Column:
     """crc32 of doc_id as text, modulo ``modulus``; -1 for a null doc_id."""
@@ -18,10 +21,11 @@ def fold(modulus: int) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> DataFrame:
-    """doc_id, text, label of at most ``per_class`` labelled documents for either class, outside the held-out fold.
+    """doc_id, label, text, lang of at most ``per_class`` labelled documents for either class, outside the held-out fold.
 
     Which ones is decided by a hash of doc_id, so the sample does not depend on the order of rows. Rows with a
-    null or other label are left out; a document labelled twice counts once. lang, where there is one, comes along
+    null or other label are left out; a document labelled twice counts once, and of rows that share a doc_id the one
+    with the least text. Texts of more than ``LONGEST`` bytes are not learnt from. lang (null without such a column) is
     for fits that are made by language; it is no input of a score.
     """
     own = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
@@ -29,25 +33,31 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: i
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [own.where(F.col("label") == k).orderBy(*by_hash).limit(per_class) for k in (0, 1)]
     ids = picked[0].unionByName(picked[1])
-    kept = docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns])
-    return kept.join(F.broadcast(ids), "doc_id")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("doc_id", F.struct(F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang")).alias("row")).where(F.octet_length("row.text") <= LONGEST)
+    return rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("row").alias("row")).select("doc_id", "label", "row.text", "row.lang")
+
+
+class Example(NamedTuple):
+    doc_id: object
+    label: int
+    lang: str | None
+    feature: bytes
 
 
-def featurise(picked: DataFrame, features: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
-    """(doc_id, label, feature array) of each sampled document; only features come to the driver."""
+def featurise(picked: DataFrame, features: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[Example]:
+    """The sampled documents by doc_id, each with its feature array as bytes; only features come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, last, data, offsets in chunks(b.column("text")):
                 rows = [np.ascontiguousarray(x).tobytes() for x in features(data, offsets)]
                 part = b.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "f"]
-                )
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "label", "lang")), pa.array(rows, pa.binary())], ["doc_id", "label", "lang", "f"])
 
-    got = picked.select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(run, "doc_id long, label int, f binary").toArrow()
-    rows = zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["f"].to_pylist())
-    return sorted(((d, k, f) for d, k, f in rows), key=lambda x: x[0])
+    kind = picked.schema["doc_id"].dataType.simpleString()
+    got = picked.select("doc_id", "text", "label", "lang").mapInArrow(run, f"doc_id {kind}, label int, lang string, f binary").toArrow()
+    return sorted((Example(*x) for x in zip(*(got[c].to_pylist() for c in ("doc_id", "label", "lang", "f")))), key=lambda x: x.doc_id)
 
 
 def score_table(docs: DataFrame, held: Column, predict: Callable[[np.ndarray, np.ndarray], np.ndarray], threshold: float) -> DataFrame:

@@ -32,6 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 SIZE, STRIDE = 96, 48
 DIM, HIDDEN = 10, 16
 SAMPLE_DOCS = 600
+LONGEST = 1 << 16
 WINDOWS = 1500
 STEPS, BATCH, RATE = 600, 64, 0.01
 
@@ -283,9 +284,10 @@ def fit(texts: list[str], steps: int | None = None) -> Model:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
-    """Fit on windows of at most ``sample`` documents with a digit or an at sign, chosen by a hash of doc_id."""
-    rows = docs.select("doc_id", "text").where("text RLIKE '[0-9@]'").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    got = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").orderBy("doc_id", "text").select("text").toArrow()
+    """Fit on windows of at most ``sample`` documents of at most ``LONGEST`` bytes with a digit or an at sign, chosen by a hash of doc_id."""
+    docs = docs.select("doc_id", "text").where(F.octet_length("text") <= LONGEST)
+    rows = docs.where("text RLIKE '[0-9@]'").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    got = docs.join(F.broadcast(rows), "doc_id").distinct().orderBy("doc_id", "text").select("text").toArrow()
     return fit([t for t in got["text"].to_pylist() if t])
 
 

@@ -2,7 +2,7 @@
 
 Each document is a set of n-gram indicators: words, word pairs, and runs of three and four token shapes (lower,
 capitalised, upper, digits, the punctuation run itself, repeat of the previous word), hashed to ``BUCKETS``.
-Indicators are scaled by the log-count ratio of the two classes; a linear model with squared hinge loss is fitted
+Indicators are scaled by the log-count ratio of the two classes; a linear model with hinge loss is fitted
 to them by dual coordinate descent; its weights are drawn towards their mean size as in the published method. The
 margin becomes a probability by a logistic fit on cross-fitted margins (``FOLDS`` folds).
 
@@ -106,19 +106,18 @@ def as_features(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, c: float, rounds: int, seed: int = 7) -> np.ndarray:
-    """Weights (bias last) of a linear model with squared hinge loss, by dual coordinate descent."""
+    """Weights (bias last) of a linear model with hinge loss, by dual coordinate descent: each dual variable stays within 0 and c."""
     w = np.zeros(len(scale) + 1)
     values = [np.append(scale[r], 1.0) for r in rows]
     where = [np.append(r, len(scale)) for r in rows]
-    diag = 1 / (2 * c)
-    q = np.array([v @ v for v in values]) + diag
+    q = np.array([v @ v for v in values])
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(seed)
     for _ in range(rounds):
         most = 0.0
         for i in order.permutation(len(rows)):
-            g = y[i] * (w[where[i]] @ values[i]) - 1 + diag * alpha[i]
-            new = max(alpha[i] - g / q[i], 0.0)
+            g = y[i] * (w[where[i]] @ values[i]) - 1
+            new = min(max(alpha[i] - g / q[i], 0.0), c)
             step = new - alpha[i]
             if step:
                 w[where[i]] += step * y[i] * values[i]
@@ -199,7 +198,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, c: float = 0.1, beta: float
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     got = featurise(sample(docs, labels, "quality", 4, 2, per_class), as_features)
-    return fit([np.frombuffer(f, np.int32) for _, _, f in got], np.array([k for _, k, _ in got]))
+    return fit([np.frombuffer(x.feature, np.int32) for x in got], np.array([x.label for x in got]))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:

@@ -22,11 +22,19 @@ def test_quality(spark):
     assert sum(p == y for _, p, y in rows) / len(rows) >= 0.95
 
 
-def test_toxicity_runs(spark):
+@pytest.mark.parametrize(("folder", "auc", "recall"), [(SF, 0.9, 0.5), ("/root/testdata/sf0.1", 0.95, 0.85)])
+def test_toxicity(spark, folder, auc, recall):
     from siltstone.llm.toxicity import op7_toxicity_cnn
 
-    rows = scored(spark, op7_toxicity_cnn(spark, SF), "toxic")
-    assert sum(p == y for _, p, y in rows) / len(rows) >= 0.8
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    rows = op7_toxicity_cnn(spark, folder).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = ([r for r in rows if r["toxic"] == k] for k in (1, 0))
+    above = sum((a["score"] > b["score"]) + (a["score"] == b["score"]) / 2 for a in toxic for b in clean)
+    caught, wrong = sum(r["predicted"] for r in toxic), sum(r["predicted"] for r in clean)
+    print("held out: auc", above / len(toxic) / len(clean), "recall", caught, len(toxic), "wrong", wrong, len(clean))
+    assert above >= auc * len(toxic) * len(clean) and caught >= recall * len(toxic) and wrong <= 0.03 * len(clean)
 
 
 def test_language(spark):
