@@ -224,13 +224,32 @@ def test_secret_spans(spark):
 
 
 def test_ownership_separates_copied_from_live(spark):
-    own, copied = "a1" * 16, "b2" * 16
+    own, copied, spread = "a17f3c9e5b2d8064" * 2, "b2c4d6e8f0a19375" * 2, "c93b5d7f1e80a264" * 2
     rows = [(0, "s0", f"password = {own}"), (1, "s0", f"token: {own}")] + [(i, f"s{i}", f"secret={copied}") for i in range(2, 8)]
-    rows.append((9, "s9", "key " + "Zz9" * 10))
+    rows.append((9, "s9", "key " + "Zz9qR4tY7" * 4))
+    rows += [(20 + i, "s0", f"hash {spread}") for i in range(7)]  # one owner, many repositories
+    rows += [(30, None, f"hash {'d' + own[1:]}"), (31, None, f"hash {'d' + own[1:]}")]  # unknown owners are not one owner
+    rows += [(40, "s1", "password = changeme99"), (41, "s1", "api_key = aaaabbbbaaaabbbb"), (42, None, "token = hT5vQ9xK2m")]
+    rows += [(50, "s5", f"password = {'e' + own[1:]}")] * 9  # repeated rows are one repository
     got = {r["doc_id"]: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
-    assert got[0]["n_live"] == 2 and got[0]["n_copied"] == 0
-    assert got[2]["n_live"] == 0 and got[2]["n_copied"] == 2
-    assert got[9]["spans"] == "token:4:34"
+    counts = {d: (r["n_live"], r["n_copied"]) for d, r in got.items()}
+    assert counts[0] == (2, 0) and counts[2] == (0, 2) and counts[20] == (0, 1) and counts[30] == (0, 1)
+    assert counts[40] == (0, 1) and counts[41] == (0, 1) and counts[42] == (1, 0) and counts[50] == (2, 0)
+    assert got[9]["spans"] == "token:4:40"
+
+
+def test_secrets_of_a_text_with_many_spans(spark):
+    text = "x\x01password=a1b2c3 " * 1500
+    rows = [(1, "s", text), (1, "s", text), (2, "s", "\x01\x01 token=\x01 AKIA" + "7" * 16)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, source string, text string")).orderBy("doc_id").collect()
+    assert got[0]["base_sha256"] == got[1]["base_sha256"] == hash_of(spans_by_python(text)) and got[0]["n_assign"] == 1500
+    assert got[2]["spans"] == spans_by_python(rows[2][2])
+
+
+def hash_of(s):
+    from hashlib import sha256
+
+    return sha256(s.encode()).hexdigest()
 
 
 def test_email_spans_equal_the_pattern():
