@@ -4,9 +4,13 @@ A page becomes its sequence of leaf blocks: text between block-level tags, with
 bidirectional LSTM reads, for each block, hashed vectors of its tag path (tags, classes, ids) and of its words with
 a few measures (length, share of link text, punctuation), and labels all blocks with the whole page as context.
 
-It is trained on blocks labelled by where they stand: at most ``PAGES`` pages of the table, chosen by a hash of page_id,
-and ``MADE`` pages composed of the same blocks in other layouts (menus, sidebars, notices, adverts, forms and
-reader comments under many names). Scripts, styles, templates and titles are never text. Whole pages are read.
+It is trained on at most ``PAGES`` pages of the table with at most ``LONGEST`` characters, chosen by a hash of page_id, and on
+``MADE`` pages. In the table's pages the author's own elements tell the article: article and main, without the nav, header,
+footer, aside, form and similar elements inside. Pages that mark no article are not learnt from. (That a block repeats over
+pages tells nothing here: articles have copies, and licence lines within them repeat.) Made pages are composed
+of the blocks so found in other layouts (menus, sidebars, notices, adverts, forms and reader comments), labelled by what
+was composed; a part of them carries names that are usual for such parts, another random names or none. Scripts,
+styles, templates, titles and form fields are never text. Whole pages are read.
 
 Defined results: null or empty html, and pages without article blocks, give an empty text; each row is read on its own;
 other columns are ignored.
@@ -30,6 +34,8 @@ from .store import table
 from .textkit import LOWER, SPACE, U, hash_runs, owners, runs
 
 PAGES, MADE = 300, 700
+LONGEST = 1 << 18
+SLICE = 1 << 14
 PATH, WORDS, EXTRA = 128, 64, 6
 DIM, HIDDEN = 24, 16
 STEPS, BATCH, RATE = 300, 32, 0.01
@@ -43,7 +49,8 @@ NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"
 PART = re.compile(r"[a-z]+")
 #: Fixed sets of HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg canvas iframe object select".split())
+RAW = frozenset("script style template textarea title svg iframe select".split())
+CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -95,7 +102,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                     break
             continue
         if tag in RAW:
-            if not attrs.endswith("/"):
+            if not (tag == "svg" and CLOSED.search(attrs)):  # only there a slash closes an element
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
                 pos = end.end() if end else size
             continue
@@ -110,7 +117,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                     break
                 if stack[k][0] in SCOPE and tag != "body":
                     break
-        if tag in VOID or attrs.endswith("/"):
+        if tag in VOID:
             continue
         names = [f"<{tag}"] if tag in BLOCK else []
         if attrs and tag in BLOCK:
@@ -136,9 +143,10 @@ def path_bins(path: tuple[str, ...]) -> np.ndarray:
     return got
 
 
-def features(page_blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
-    """One row for each block: tag-path vector, hashed-word vector, measures."""
+def features(page_blocks: list[tuple[str, tuple[str, ...], int]], at: int = 0, total: int | None = None) -> np.ndarray:
+    """One row for each block: tag-path vector, hashed-word vector, measures. The blocks begin at ``at`` of ``total`` in their page."""
     n = len(page_blocks)
+    total = n if total is None else total
     out = np.zeros((n, PATH + WORDS + EXTRA), np.float32)
     if not n:
         return out
@@ -160,8 +168,8 @@ def features(page_blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
             inside / len(text),
             text[-1] in ".!?:;\"'",
             min(text.count(",") + text.count("."), 20) / 20,
-            i / max(n - 1, 1),
-            min(n, 200) / 200,
+            (at + i) / max(total - 1, 1),
+            min(total, 200) / 200,
         )
     return out
 
@@ -172,52 +180,71 @@ class Model:
 
     def logits(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
         z = x @ self.p["w"] + self.p["d"]
-        own = {k: v for k, v in self.p.items() if k[0] in "fr"}
-        h, kept = nn.bilstm(np.tanh(z), mask, own, keep)
-        return z, h, kept, h @ self.p["o"] + self.p["c"]
+        return z, *self.read(np.tanh(z), mask, keep)
 
-    def label(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+    def read(self, z: np.ndarray, mask: np.ndarray, keep: bool = False):
+        h, kept = nn.bilstm(z, mask, {k: v for k, v in self.p.items() if k[0] in "fr"}, keep)
+        return h, kept, h @ self.p["o"] + self.p["c"]
+
+    def inputs(self, page_blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
+        """What the network reads of each block, made ``SLICE`` blocks at a time."""
+        n = len(page_blocks)
+        parts = [features(page_blocks[a : a + SLICE], a, n) @ self.p["w"] + self.p["d"] for a in range(0, n, SLICE)]
+        return np.tanh(np.concatenate([np.zeros((0, DIM), np.float32), *parts]))
+
+    def label(self, pages: list[list[tuple[str, tuple[str, ...], int]]]) -> list[np.ndarray]:
         """Whether each block of each page belongs to the article; pages of like length share a batch."""
-        out = [np.zeros(len(r), bool) for r in rows]
-        order = sorted((i for i in range(len(rows)) if len(rows[i])), key=lambda i: len(rows[i]))
+        out = [np.zeros(len(r), bool) for r in pages]
+        order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
         while order:
-            size = len(rows[order[-1]])
+            size = len(pages[order[-1]])
             n = max(1, min(len(order), CELLS // size))
             own, order = order[-n:], order[:-n]
-            x, mask = stacked([rows[i] for i in own], size)
-            score = self.logits(x, mask)[3]
+            x, mask = stacked([self.inputs(pages[i]) for i in own], size)
+            score = self.read(x, mask)[2]
             for j, i in enumerate(own):
-                out[i] = score[: len(rows[i]), j] > 0
+                out[i] = score[: len(pages[i]), j] > 0
         return out
 
 
 def stacked(rows: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    x = np.zeros((size, len(rows), PATH + WORDS + EXTRA), np.float32)
+    x = np.zeros((size, len(rows), rows[0].shape[1]), np.float32)
     mask = np.zeros((size, len(rows)), np.float32)
     for j, r in enumerate(rows):
         x[: len(r), j], mask[: len(r), j] = r, 1
     return x, mask
 
 
-#: Names that mark what is not the article, and what is; for labelling the sample and for made pages.
+#: HTML elements for what stands apart from an article, and names that made pages give to such parts and to articles.
+APART = frozenset("<nav <header <footer <aside <form <menu <button <dialog <head <fieldset <label".split())
 ASIDE = "nav menu navbar sidebar header masthead footer ad ads advert advertisement banner cookie notice consent promo sponsored related share social breadcrumb newsletter subscribe login search form comment comments reply widget popup pagination toolbar copyright legal".split()
 ARTICLE = "article main content post entry story body text".split()
-APART = frozenset(["<nav", "<header", "<footer", "<aside", "<form", "<menu", "<button", "<dialog", "<head", *ASIDE])
 
 
 def placed(path: tuple[str, ...]) -> bool:
-    """Whether a path stands inside an article and in nothing that is set apart from it."""
+    """Whether a path stands inside an article element and in no element that is set apart from it."""
     return ("<article" in path or "<main" in path) and not APART & set(path)
 
 
-def made_page(g: np.random.Generator, texts: list[str]) -> tuple[str, list[bool]]:
-    """A page composed of known parts in a random layout, and whether each of its blocks is article."""
+def labelled(pages: list[str]) -> list[tuple[list[tuple[str, tuple[str, ...], int]], np.ndarray]]:
+    """The blocks of pages that mark their article, and which of them are article."""
+    out = []
+    for page in map(blocks, pages):
+        y = np.array([placed(path) for _, path, _ in page], bool)
+        if y.any():
+            out.append((page, y))
+    return out
+
+
+def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) -> tuple[str, list[bool]]:
+    """A page composed of article texts and of others in a random layout, and whether each of its blocks is article."""
     pick = lambda xs: xs[int(g.integers(len(xs)))]
+    plain = g.random() < 0.25  # parts of this page have random names or none
     html: list[str] = []
     labels: list[bool] = []
 
-    def words(lo: int, hi: int) -> str:
-        w = pick(texts).split()
+    def words(lo: int, hi: int, apart: bool = False) -> str:
+        w = pick(outside if apart and g.random() < 0.5 else inside).split()
         n = int(g.integers(lo, hi))
         a = int(g.integers(0, max(1, len(w) - n)))
         return entities.escape(" ".join(w[a : a + n]) or "text")
@@ -227,29 +254,32 @@ def made_page(g: np.random.Generator, texts: list[str]) -> tuple[str, list[bool]
         return s
 
     def attrs(names: list[str]) -> str:
+        if plain:
+            return "" if g.random() < 0.5 else f' class="{"".join(pick("abcdefghijklmnopqrstuvwxyz") for _ in range(6))}"'
         key = pick(["class", "id"])
         return f' {key}="{pick(names)}{pick(["", "-box", "-1", " wide", "_area", "-wrapper", ""])}"'
 
     def extra(kind: str) -> None:
         tags = {"nav": ["nav", "div", "ul", "header"], "footer": ["footer", "div"], "header": ["header", "div"], "form": ["form"], "aside": ["aside", "div", "section"]}
         names = {"nav": ["nav", "menu", "navbar", "breadcrumb", "topnav menu"], "footer": ["footer", "copyright", "legal", "site footer"], "header": ["header", "masthead", "banner", "site header"]}
-        tag = pick(tags.get(kind, ["div", "section", "aside"]))
+        options = tags.get(kind, ["div", "section", "aside"])
+        tag = pick([t for t in options if f"<{t}" in APART] or ["aside"]) if plain else pick(options)
         own = names.get(kind, [kind] if kind != "aside" else ["sidebar", "widget", "related", "share social"])
         html.append(f"<{tag}{attrs(own) if tag in ('div', 'ul', 'section') or g.random() < 0.5 else ''}>")
         if kind == "nav" or (kind == "aside" and g.random() < 0.5):
-            inner = [f'<li><a href="/x">{put(words(1, 4), False)}</a></li>' for _ in range(int(g.integers(2, 8)))]
+            inner = [f'<li><a href="/x">{put(words(1, 4, True), False)}</a></li>' for _ in range(int(g.integers(2, 8)))]
             html.append("".join(inner) if tag == "ul" else f"<ul>{''.join(inner)}</ul>")
         elif kind in ("comment", "comments"):
             inner_tag = pick(["li", "div", "p"])
             for _ in range(int(g.integers(1, 5))):
-                inner = "" if inner_tag == "p" else f"<p>{put(words(5, 40), False)}</p>"
-                html.append(f"<{inner_tag}>{inner or put(words(5, 40), False)}</{inner_tag}>")
+                inner = "" if inner_tag == "p" else f"<p>{put(words(5, 40, True), False)}</p>"
+                html.append(f"<{inner_tag}>{inner or put(words(5, 40, True), False)}</{inner_tag}>")
         elif kind == "form":
-            html.append(f"<label>{put(words(1, 5), False)} <input name=q></label><button>{put(words(1, 3), False)}</button>")
+            html.append(f"<label>{put(words(1, 5, True), False)} <input name=q></label><button>{put(words(1, 3, True), False)}</button>")
         else:
             for _ in range(int(g.integers(1, 4))):
                 t = pick(["p", "div", "span", ""])
-                s = words(1, 25)
+                s = words(1, 25, True)
                 if t in ("p", "div"):
                     html.append(f"<{t}>{put(s, False)}</{t}>")
                 else:
@@ -258,7 +288,7 @@ def made_page(g: np.random.Generator, texts: list[str]) -> tuple[str, list[bool]
 
     for kind in g.permutation(["header", "nav", pick(ASIDE), "aside"])[: int(g.integers(1, 5))]:
         extra(str(kind))
-    tag = pick(["article", "main", "div", "section", "article", "div"])
+    tag = pick(["article", "main"] if plain else ["article", "main", "div", "section", "article", "div"])
     html.append(f"<{tag}{attrs(ARTICLE) if tag in ('div', 'section') else ''}>")
     if g.random() < 0.6:
         html.append(f"<h1>{put(words(2, 12), True)}</h1>")
@@ -285,15 +315,13 @@ def made_page(g: np.random.Generator, texts: list[str]) -> tuple[str, list[bool]
 
 def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     g = np.random.default_rng(17)
-    rows, texts = [], []
-    for page in pages:
-        own = blocks(page)
-        texts += [t for t, _, _ in own if len(t) > 40]
-        if own:
-            rows.append((features(own), np.array([placed(path) for _, path, _ in own])))
-    texts = texts or ["some words of a page that has more of them, and then some others"]
+    known = labelled(pages)
+    rows = [(features(page), y) for page, y in known]
+    inside = [t for page, y in known for (t, _, _), ok in zip(page, y) if ok and len(t) > 40]
+    inside = inside or ["some words of a page that has more of them, and then some others"]
+    outside = [t for page, y in known for (t, _, _), ok in zip(page, y) if not ok] or inside
     for _ in range(MADE):
-        page, labels = made_page(g, texts)
+        page, labels = made_page(g, inside, outside)
         own = blocks(page)
         if len(own) == len(labels):
             rows.append((features(own), np.array(labels)))
@@ -329,8 +357,9 @@ def fit(pages: list[str], steps: int | None = None) -> Model:
 
 
 def train(pages: DataFrame, sample: int = PAGES) -> Model:
-    picked = pages.select("page_id", "html").where("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id").select("page_id").limit(sample)
-    got = pages.select("page_id", "html").join(F.broadcast(picked), "page_id").orderBy("page_id", "html").select("html").toArrow()
+    pages = pages.select("page_id", "html").where(F.length("html") <= LONGEST)
+    picked = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    got = pages.join(F.broadcast(picked), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id").select("html").toArrow()
     return fit([h for h in got["html"].to_pylist() if h])
 
 
@@ -343,7 +372,7 @@ def extract(pages: DataFrame, sample: int = PAGES) -> DataFrame:
             for k in range(0, len(b), 256):
                 part = b.slice(k, 256)
                 own = [blocks(h or "") for h in part.column("html").to_pylist()]
-                keep = model.value.label([features(x) for x in own])
+                keep = model.value.label(own)
                 texts = ["\n".join(t for (t, _, _), ok in zip(x, y) if ok) for x, y in zip(own, keep)]
                 kept = np.array([int(y.sum()) for y in keep], np.int64)
                 size = np.array([len(x) for x in own], np.int64)

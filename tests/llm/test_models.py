@@ -1,7 +1,6 @@
 """Held-out accuracy of the trained operators on the driver's tables, and the pipeline against its stages."""
 
 import os
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,20 +44,6 @@ def test_language(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) >= 0.95
 
 
-def test_html(spark):
-    import html
-
-    from siltstone.llm.html_text import op6_html_bilstm
-
-    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    wrong = 0
-    for r in op6_html_bilstm(spark, SF).collect():
-        inner = pages[r["page_id"]].partition("<article>")[2].split("</article>")[0]
-        parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
-        wrong += r["text"] != "\n".join(x for x in parts if x)
-    assert wrong <= 0.02 * len(pages)
-
-
 def test_pipeline_is_its_stages(spark):
     import corpus_pipeline
 
