@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return
 the columns of ``documents``. ``run`` writes each stage's result in the shared folder and reads it again.
+
+Defined results: the unit is the row, known by its doc_id and its text, so rows that share a doc_id are judged each by
+its own text. Null and empty texts are scored by the classifier like others, are equal to each other as exact copies, link
+with nothing, hold no passage, and pack to their end id. A null doc_id goes where an equal text has a doc_id, is no near copy
+of anything, and goes where it holds a passage. Rows that repeat the doc_id and text that stays all stay. Empty tables give
+no rows. Further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
