@@ -130,12 +130,16 @@ def test_packing_round_trip(spark):
         for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
             want[d, k] = (a, b - a, zlib.crc32(ids[a:b].tobytes()))
     assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got} == want
+    check_bins(got, 256)
+
+
+def check_bins(rows, length):
     bins = defaultdict(list)
-    for r in got:
+    for r in rows:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
     for parts in bins.values():
         assert [o for o, _ in sorted(parts)] == np.cumsum([0] + [n for _, n in sorted(parts)])[:-1].tolist()
-        assert sum(n for _, n in parts) <= 256
+        assert sum(n for _, n in parts) <= length
 
 
 def test_local_search_only_improves():
