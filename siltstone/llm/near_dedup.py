@@ -133,10 +133,15 @@ def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of some representatives; their keys are broadcast up to ``BROADCAST`` of them, else shuffled."""
+    """node, text of some representatives; their keys are broadcast up to ``BROADCAST`` of them, else shuffled.
+
+    The texts are written, so that joins of pairs with them are plain ones, whose hot keys Spark splits at run time.
+    """
     keys = materialize(reps.select("node", "doc_id", "h").join(nodes, "node", "left_semi"), "keys")
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(keys) if keys.count() <= BROADCAST else keys, ["doc_id", "h"])
-    return found.groupBy("node").agg(F.first("text").alias("text"))  # a repeated row has its text once
+    out = materialize(found.groupBy("node").agg(F.first("text").alias("text")), "texts")  # a repeated row has its text once
+    discard(keys)
+    return out
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = 8 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Where none is named, a temporary one in local mode (tests), else an error."""
@@ -24,6 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
+    lean(spark)
     path = f"{shared_dir(spark)}/siltstone-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -46,5 +49,13 @@ def tidy(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def lean(spark: SparkSession) -> None:
+    """Send Arrow batches of at most ``BATCH`` bytes to Python workers, which bounds what a task holds outside the heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

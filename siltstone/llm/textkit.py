@@ -64,6 +64,7 @@ def chunks(arr: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.nda
         last = min(last, len(arr))
         yield first, last, buffer[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def runs(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
