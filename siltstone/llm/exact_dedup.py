@@ -14,9 +14,11 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from heapq import nlargest
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,22 +27,22 @@ from .store import materialize, table
 COUNTERS = 1024
 
 
-def shrink(counts: pd.Series, counters: int) -> pd.Series:
+def shrink(counts: Counter, counters: int) -> Counter:
     """Misra-Gries decrement: take the next largest count off all, keep what is left."""
     if len(counts) <= counters:
         return counts
-    top = counts.nlargest(counters + 1)
-    top = top - top.iloc[-1]
-    return top[top > 0]
+    least = nlargest(counters + 1, counts.values())[-1]
+    return Counter({k: n - least for k, n in counts.items() if n > least})
 
 
 def summarise(counters: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.Series(dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
         for b in batches:
-            held = shrink(held.add(b["text_sha256"].value_counts(), fill_value=0), counters)
-        held = held[held > 1]
-        yield pd.DataFrame({"text_sha256": held.index.astype(str), "n": held.to_numpy("int64")})
+            held.update({x["values"]: x["counts"] for x in b.column("text_sha256").value_counts().to_pylist()})
+            held = shrink(held, counters)
+        rows = [(k, n) for k, n in held.items() if n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["text_sha256", "n"])
 
     return run
 
@@ -55,7 +57,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def frequent(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The digests that Misra-Gries retains (at most ``counters``), with exact group_size and keep_id."""
-    local = keys.select("text_sha256").mapInPandas(summarise(counters), "text_sha256 string, n long")
+    local = keys.select("text_sha256").mapInArrow(summarise(counters), "text_sha256 string, n long")
     top = local.groupBy("text_sha256").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "text_sha256").limit(counters)
     return (
         keys.join(F.broadcast(top.select("text_sha256")), "text_sha256", "left_semi")

@@ -30,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -125,9 +124,9 @@ def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         reps.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b"
     )
 
-    @F.pandas_udf("boolean")
-    def passes(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([estimate(p, q) >= ESTIMATE for p, q in zip(x, y)], dtype=bool)
+    @F.arrow_udf("boolean")
+    def passes(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([estimate(p, q) >= ESTIMATE for p, q in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
 
     return both.where(passes("x", "y")).select("a", "b").distinct()
 
@@ -191,9 +190,9 @@ def full_sets(docs: DataFrame, reps: DataFrame, own: DataFrame, width: int) -> D
 class Block:
     """Rows of a block: their sets, and an index over the rarest values of each."""
 
-    def __init__(self, rows: pd.DataFrame, percent: int):
+    def __init__(self, rows: pa.Table, percent: int):
         self.doc, self.comp, self.n = (rows[c].to_numpy() for c in ("doc", "comp", "n"))
-        self.sets, self.percent = [np.frombuffer(x, "<u8") for x in rows["hashes"]], percent
+        self.sets, self.percent = [np.frombuffer(x, "<u8") for x in rows["hashes"].to_pylist()], percent
         values = np.concatenate(self.sets)
         who = np.repeat(np.arange(len(self.sets)), self.n)
         self.values, back, self.df = np.unique(values, return_inverse=True, return_counts=True)
@@ -240,15 +239,15 @@ def against_blocks(queries: DataFrame, rows: DataFrame, percent: int) -> DataFra
     q = queries.select("*", spread(q_blocks).alias("qb"), every(r_blocks).alias("rb"))
     r = rows.select("*", spread(r_blocks).alias("rb"), every(q_blocks).alias("qb"))
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if len(left) and len(right):
             block = Block(right, percent)
-            for d, c, s in zip(left["doc"], left["comp"], left["hashes"]):
+            for d, c, s in zip(*(left[x].to_pylist() for x in ("doc", "comp", "hashes"))):
                 found += block.links(d, c, np.frombuffer(s, "<u8"))
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
-    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(run, "u long, v long")
+    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInArrow(run, "u long, v long")
 
 
 def link(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:

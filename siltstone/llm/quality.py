@@ -16,7 +16,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,9 +219,9 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepts(model):
     """The decision on each text, as a column function."""
 
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
-        out = [model.value.predict(data, offsets) >= THRESHOLD for _, _, data, offsets in chunks(pa.array(texts, pa.string(), from_pandas=True))]
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        out = [model.value.predict(data, offsets) >= THRESHOLD for _, _, data, offsets in chunks(texts)]
+        return pa.array(np.concatenate([np.zeros(0, bool), *out]))
 
     return good

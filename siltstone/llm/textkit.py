@@ -6,6 +6,7 @@ split between documents so that working memory stays near ``CHUNK`` bytes (or on
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -25,6 +26,11 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+try:
+    TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    TRIM = None
+
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -46,6 +52,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+def give_back() -> None:
+    """Return memory that this process no longer uses to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
+
+
 def chunks(arr: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, row after the last, UTF-8 bytes, offsets of the rows) of a string column; null is empty."""
     if isinstance(arr, pa.ChunkedArray):
@@ -64,7 +77,7 @@ def chunks(arr: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.nda
         last = min(last, len(arr))
         yield first, last, buffer[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def runs(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

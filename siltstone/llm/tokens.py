@@ -16,7 +16,7 @@ import numpy as np
 from .textkit import U, mix, powers
 
 CHARS = 1 << 19
-KEEP = 1 << 21
+KEEP = 1 << 18
 #: White space of the pattern's \s (Unicode White_Space).
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 OTHER, LETTER, NUMBER, BLANK, UNSURE = range(5)
