@@ -1,8 +1,8 @@
 """Token ids of whole batches by a byte-level BPE file of the ``tokenizers`` library.
 
 The pre-tokenizer's pattern is applied to code points with numpy; every distinct piece is encoded once by the
-library, and documents are put together from the pieces. Pieces of a batch are brought together by hash and then
-compared with their fellows character by character; across batches a piece is looked up as a string. Texts with a character whose class could depend on the
+library, and documents are put together from the pieces. Pieces are looked up by hash and then compared with the
+remembered piece character by character; a document with a piece of equal hash and other characters goes through the library whole. Texts with a character whose class could depend on the
 Unicode version go through the library whole. Strings of special tokens in a text are ordinary text.
 """
 
@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from itertools import chain
 
 import numpy as np
 
 from .textkit import U, mix, powers
 
 CHARS = 1 << 19
-KEEP = 1 << 18
+KEEP = 1 << 19
 #: White space of the pattern's \s (Unicode White_Space).
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 OTHER, LETTER, NUMBER, BLANK, UNSURE = range(5)
@@ -47,10 +48,10 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.keys = np.zeros(0, U)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each key: where its ids are, and how many
+        self.char_at, self.chars = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the same for its characters
+        self.ids, self.points = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -80,11 +81,12 @@ class Encoder:
         sums = np.zeros(len(points) + 1, U)
         np.cumsum((points.astype(U) + U(1)) * up[: len(points)], out=sums[1:])
         keys = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
-        _, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        slot = self.learn([joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])[back]
+        uniq, where, back = np.unique(keys, return_index=True, return_inverse=True)
+        self.learn(uniq, joined, points, starts[where], ends[where])
+        slot = np.searchsorted(self.keys, uniq)[back]
         length = ends - starts
-        fellow = np.arange(len(points)) + np.repeat(starts[where][back] - starts, length)  # the same place in the piece that stands for it
-        unlike = (length != length[where][back]) | np.logical_or.reduceat(points != points[np.minimum(fellow, len(points) - 1)], starts)
+        known = np.repeat(self.char_at[slot] - starts, length) + np.arange(len(points))  # the same place in the remembered piece
+        unlike = (length != self.chars[slot]) | np.logical_or.reduceat(points != self.points[np.minimum(known, len(self.points) - 1)], starts)
         size = self.size[slot]
         first = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.at[slot] - first[:-1], size) + np.arange(first[-1])]
@@ -95,20 +97,23 @@ class Encoder:
             out[i] = self.whole(texts[i])
         return out
 
-    def learn(self, pieces: list[str]) -> np.ndarray:
-        """Where the ids of each piece are held."""
-        if len(self.slot) > KEEP:
+    def learn(self, uniq: np.ndarray, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Remember the pieces of the keys that are new."""
+        if len(self.keys) > KEEP:
             self.forget()
-        new = [p for p in pieces if p not in self.slot]
-        if new:
-            got = [x.ids for x in self.lib.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(size) - size])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))])
-            self.size = np.concatenate([self.size, size])
-            for p in new:
-                self.slot.setdefault(p, len(self.slot))
-        return np.array([self.slot[p] for p in pieces], np.int64)
+        put = np.searchsorted(self.keys, uniq)
+        new = np.append(self.keys, U(0))[put] != uniq
+        new |= put == len(self.keys)
+        if not new.any():
+            return
+        put, starts, chars = put[new], starts[new], (ends - starts)[new]
+        got = [x.ids for x in self.lib.encode_batch_fast([joined[a : a + n] for a, n in zip(starts.tolist(), chars.tolist())], add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        at, char_at = len(self.ids) + np.cumsum(size) - size, len(self.points) + np.cumsum(chars) - chars
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])
+        self.points = np.concatenate([self.points, points[np.repeat(starts - (np.cumsum(chars) - chars), chars) + np.arange(chars.sum())]])
+        self.keys = np.insert(self.keys, put, uniq[new])
+        self.at, self.size, self.char_at, self.chars = (np.insert(x, put, y) for x, y in ((self.at, at), (self.size, size), (self.char_at, char_at), (self.chars, chars)))
 
     @staticmethod
     def cuts(points: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
