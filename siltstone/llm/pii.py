@@ -29,8 +29,11 @@ from .store import table
 from .textkit import chunks
 
 KINDS = ("email", "ip", "card", "phone")
-SIZE, STRIDE = 96, 48
-DIM, HIDDEN = 10, 16
+SIZE, STRIDE = 480, 432
+EDGE = (SIZE - STRIDE) // 2
+EXAMPLE = 96
+DIM, HIDDEN = 10, 12
+TOGETHER = 768
 SAMPLE_DOCS = 600
 LONGEST = 1 << 16
 WINDOWS = 1500
@@ -114,9 +117,9 @@ def _symbol_table() -> np.ndarray:
 SYMBOL = _symbol_table()
 
 
-def windows(n: int) -> list[int]:
+def windows(n: int, size: int = SIZE, stride: int = STRIDE) -> list[int]:
     """Starts of the overlapping windows of a text of n characters."""
-    return list(range(0, max(1, n - SIZE + STRIDE), STRIDE))
+    return list(range(0, max(1, n - size + stride), stride))
 
 
 @dataclass
@@ -129,26 +132,40 @@ class Model:
         return x, h, kept, h @ self.p["o"] + self.p["c"]
 
     def decode(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """The best path of each window.
+
+        A path with tags at some steps has at most two transitions for each that it need not share with the path without
+        tags. Where no step's best tag makes up for what these can gain, the path without tags is best.
+        """
         p, (f, r) = self.p, (self.p["e"] @ self.p[f"{d}x"] + self.p[f"{d}b"] for d in "fr")
         e = nn.states(ids, mask, f, p["fh"]) @ p["o"][:HIDDEN] + nn.states(ids[::-1], mask[::-1], r, p["rh"])[::-1] @ p["o"][HIDDEN:] + p["c"]
-        return nn.best_paths(e, mask, p["t"])
+        gain = 2 * max(0.0, float(p["t"].max() - p["t"][0, 0]))
+        top = np.maximum(np.maximum(e[:, :, 1], e[:, :, 2]), np.maximum(e[:, :, 3], e[:, :, 4]))
+        open_ = np.flatnonzero(((e[:, :, 0] - top <= gain) & (mask > 0)).any(0))
+        out = np.zeros(ids.shape, np.int8)
+        if len(open_):
+            out[:, open_] = nn.best_paths(e[:, open_], mask[:, open_], p["t"])
+        return out
 
     def tags(self, texts: list[str]) -> list[np.ndarray]:
         """The reconciled tag of every character: 0 for none, else the kind's number."""
         out = [np.zeros(len(t), np.int8) for t in texts]
         coded = [symbols(t) if t else np.zeros(0, np.uint8) for t in texts]
         todo = [(i, k) for i, t in enumerate(texts) if t for k in windows(len(t))]
-        for at in range(0, len(todo), 512):
-            part = todo[at : at + 512]
-            ids = np.zeros((SIZE, len(part)), np.int64)
-            mask = np.zeros((SIZE, len(part)), np.float32)
+        todo.sort(key=lambda x: min(len(texts[x[0]]) - x[1], SIZE))
+        for at in range(0, len(todo), TOGETHER):
+            part = todo[at : at + TOGETHER]
+            longest = min(max(len(texts[i]) - k for i, k in part), SIZE)
+            ids = np.zeros((longest, len(part)), np.int64)
+            mask = np.zeros((longest, len(part)), np.float32)
             for j, (i, k) in enumerate(part):
                 w = coded[i][k : k + SIZE]
                 ids[: len(w), j], mask[: len(w), j] = w, 1
             best = self.decode(ids, mask)
             for j, (i, k) in enumerate(part):
-                a = STRIDE // 2 if k else 0
-                out[i][k + a : k + SIZE] = best[a : len(texts[i]) - k, j]  # the next window overwrites what is more central in it
+                a, last = EDGE if k else 0, k + SIZE >= len(texts[i])
+                b = len(texts[i]) - k if last else SIZE - EDGE
+                out[i][k + a : k + b] = best[a:b, j]
         return out
 
 
@@ -235,8 +252,8 @@ def examples(texts: list[str]) -> list[tuple[str, np.ndarray]]:
         tags = np.zeros(len(t), np.int64)
         for kind, a, b in base_spans(t):
             tags[a:b] = KINDS.index(kind) + 1
-        for s in windows(len(t)):
-            (found if TRIGGER.search(t, s, s + SIZE) else quiet).append((t[s : s + SIZE], tags[s : s + SIZE]))
+        for s in windows(len(t), EXAMPLE, EXAMPLE // 2):
+            (found if TRIGGER.search(t, s, s + EXAMPLE) else quiet).append((t[s : s + EXAMPLE], tags[s : s + EXAMPLE]))
     g.shuffle(found)
     g.shuffle(quiet)
     out = found[:WINDOWS] + quiet[: WINDOWS // 4]
@@ -249,8 +266,8 @@ def examples(texts: list[str]) -> list[tuple[str, np.ndarray]]:
         new = w[:a] + s + " " + w[a:]
         tags = np.zeros(len(new), np.int64)
         tags[a : a + len(s)] = kind
-        cut = int(min(max(0, a - g.integers(0, SIZE // 2)), max(0, len(new) - SIZE)))
-        out.append((new[cut : cut + SIZE], tags[cut : cut + SIZE]))
+        cut = int(min(max(0, a - g.integers(0, EXAMPLE // 2)), max(0, len(new) - EXAMPLE)))
+        out.append((new[cut : cut + EXAMPLE], tags[cut : cut + EXAMPLE]))
     return out
 
 
@@ -268,7 +285,7 @@ def fit(texts: list[str], steps: int | None = None) -> Model:
     adam = nn.Adam(p, RATE)
     for _ in range(steps or STEPS):
         own = [rows[i] for i in g.integers(0, len(rows), BATCH)]
-        ids, tags, mask = np.zeros((SIZE, BATCH), np.int64), np.zeros((SIZE, BATCH), np.int64), np.zeros((SIZE, BATCH), np.float32)
+        ids, tags, mask = np.zeros((EXAMPLE, BATCH), np.int64), np.zeros((EXAMPLE, BATCH), np.int64), np.zeros((EXAMPLE, BATCH), np.float32)
         for j, (w, y) in enumerate(own):
             n = len(w)
             if n:
