@@ -69,6 +69,22 @@ def within_depth(depth: Column, u: Column, start_host: str, root: str, inside: i
     return (limit < 0) | (depth <= limit)
 
 
+def offsite_html(u: Column, content_type: Column, start_host: str) -> Column:
+    """HTML outside the start's host: by media type, or without one by a suffix that HTML has or by none."""
+    suffix = ext_of(u)
+    typed = F.lower(content_type).contains("text/html")
+    untyped = (suffix == "") | suffix.isin(".html", ".htm") | path(u).endswith("/")
+    return F.coalesce(typed, untyped) & (host(u) != start_host)
+
+
+def disposition_name(header: Column) -> Column:
+    """The file name of a Content-Disposition header, decoded and sanitised; null without one."""
+    raw = F.regexp_extract(header, r"""(?i)filename\*?=(?:UTF-8'')?("[^"]+"|[^;\s]+)""", 1)
+    plain = F.btrim(raw, F.lit('"'))
+    name = F.coalesce(F.try_url_decode(plain), plain)
+    return F.nullif(F.btrim(F.regexp_replace(F.regexp_replace(name, r"(?U)[^\w.\-?=&]", "_"), r"_+", "_"), F.lit("_.")), F.lit(""))
+
+
 def under_prefix(u: Column, start: str) -> Column:
     bare = re.sub(r"[?#].*$", "", start)
     return F.regexp_replace(u, r"[?#].*$", "").startswith(bare)
@@ -88,13 +104,16 @@ def sanitize_title(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r'[<>:"/\\|?*]', "_"), r"_+", "_")
 
 
-def local_path(u: Column, mime: Column | None = None) -> Column:
-    """host/path with the query appended and a suffix: where a page is kept."""
+def local_path(u: Column, mime: Column | None = None, disposition: Column | None = None) -> Column:
+    """host/path with the query appended and a suffix: where a page is kept. A Content-Disposition header names the file."""
     p = F.btrim(path(u), F.lit("/"))
     p = F.when(p == "", "index").otherwise(p)
     q = F.when(query(u) == "", "").otherwise(F.concat(F.lit("_"), F.regexp_replace(query(u), r"[^A-Za-z0-9_.=&-]", "_")))
     ext = F.when(ext_of(u) == "", F.when(F.lit(mime is None), ".html").otherwise(ext_of(u, mime) if mime is not None else F.lit(""))).otherwise("")
-    return F.concat(host(u), F.lit("/"), p, q, ext)
+    own = F.concat(host(u), F.lit("/"), p, q, ext)
+    if disposition is None:
+        return own
+    return F.coalesce(F.concat(host(u), F.lit("/"), F.regexp_extract(p, r"^(.*/)[^/]*$", 1), disposition_name(disposition)), own)
 
 
 def domain_path(path_col: Column, original_url: Column, domains: list[str]) -> Column:

@@ -36,6 +36,13 @@ def styled_key(key: Column, style: Column, iteration: Column) -> Column:
     return F.concat(key, F.lit("_"), F.regexp_replace(F.lower(style), r"[^a-z0-9]+", "-"), F.lit("_"), iteration)
 
 
+def reuse_style(rows: DataFrame, cached: DataFrame, key: str, styles: tuple[str, ...] = STYLES) -> DataFrame:
+    """``rows`` with ``style``: the first style, in their order, whose question a run has already stored (key, style); null without one."""
+    order = F.array_position(F.array(*map(F.lit, styles)), F.col("style"))
+    first = cached.where(F.col("style").isin(*styles)).groupBy(key).agg(F.min_by("style", order).alias("style"))
+    return rows.join(first, key, "left")
+
+
 def assembled(golden: Column, distractors: Column, key: Column, probability: float, seed: str) -> dict[str, Column]:
     """docs, golden_present, golden_index: golden shuffled among distractors, included with a probability.
 

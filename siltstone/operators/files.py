@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import strip
 from ..functions.urls import glob_regex
 
-#: Words that open a question.
-QUESTION_WORDS = ("what", "how", "when", "where", "who", "why", "which", "can", "is", "qual", "como", "quando", "onde", "quem", "por que", "o que", "posso")
+#: What names a page of questions, and words that open a question.
+FAQ_NAMES = ("faq", "perguntas", "frequentes", "duvidas", "q&a")
+QUESTION_WORDS = ("como", "existe", "existem", "qual", "quais", "o que", "onde", "quando", "por que", "posso")
 
 
 def has_extension(path: Column, extensions: list[str]) -> Column:
@@ -22,11 +24,15 @@ def not_ignored(path: Column, globs: list[str]) -> Column:
     return ~path.rlike(glob_regex(globs)) if globs else F.lit(True)
 
 
+def asks(text: Column) -> Column:
+    """Whether a text ends as a question or begins like one."""
+    return strip(text).endswith("?") | F.lower(strip(text)).rlike(f"^(?:{'|'.join(QUESTION_WORDS)})")
+
+
 def is_faq(name: Column, title: Column, n_details: Column, n_summary: Column, bold: Column) -> Column:
-    """A keyword in name or title, several foldable questions, or more than three question-like bold texts."""
-    key = F.lower(F.concat_ws(" ", name, title)).rlike(r"faq|frequently asked|perguntas frequentes|d[uú]vidas frequentes")
-    asks = lambda t: F.trim(t).endswith("?") | F.lower(F.trim(t)).rlike(rf"^(?:{'|'.join(QUESTION_WORDS)})\b")
-    return key | ((n_details > 2) & (n_summary > 0)) | (F.size(F.filter(bold, asks)) > 3)
+    """A name of such pages in file name or title, more than two foldable questions, or more than three question-like bold texts."""
+    named = F.lower(F.concat_ws("\n", name, title)).rlike("|".join(FAQ_NAMES))
+    return named | F.coalesce((n_details > 2) & (n_summary > 2), F.lit(False)) | (F.size(F.filter(bold, asks)) > 3)
 
 
 def is_component(path: Column, code: Column, folder: str = "components") -> Column:
@@ -57,13 +63,13 @@ def title_or_stem(title: Column, path: Column) -> Column:
 
 
 def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row for each key, the one that sorts first; null keys are all kept.
+    """One row for each key, the one that sorts first (of rows that tie, one); null keys are all kept.
 
-    The choice is an aggregation, which combines before its shuffle; a window would sort all rows of a hot key in one task.
+    The choice is an aggregation that carries the row and combines before its shuffle, so a hot key moves one row a task.
     """
-    least = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_least"))
-    joined = df.join(least, key, "left")
-    return joined.where(F.col(key).isNull() | F.col(order).eqNullSafe(F.col("_least"))).select(*df.columns)
+    rank = F.struct(F.col(order).isNull(), F.col(order), F.xxhash64(*[c for c in df.columns if not df.schema[c].dataType.typeName() == "map"]))
+    first = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*df.columns), rank).alias("_row"))
+    return first.select("_row.*").unionByName(df.where(F.col(key).isNull()))
 
 
 def collision_suffix(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -73,6 +79,27 @@ def collision_suffix(df: DataFrame, name: str, key: str) -> DataFrame:
     return df.withColumn("_n", n).withColumn("unique_name", F.when(F.col("_n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_n"), ext))).drop("_n")
 
 
+def with_default(df: DataFrame, known: DataFrame, key: str, value: str, default: str) -> DataFrame:
+    """``df`` with ``value`` looked up by ``key`` in ``known`` (key, value), ``default`` where it is not there."""
+    return df.join(known.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def with_source(df: DataFrame, sources: DataFrame, key: str) -> DataFrame:
+    """Each file with the columns of the page that it came from; files without a known page keep nulls."""
+    return df.join(sources, key, "left")
+
+
+def stage_order(kind: Column) -> Column:
+    """The stage that a file is worked on in: offerings before all others, which look them up."""
+    return F.when(kind == "offerings", 0).otherwise(1)
+
+
+def without_parts(path: Column, other: Column) -> Column:
+    """The parts of a path that another path does not have, in order and with repeats."""
+    gone = F.split(other, "/")
+    return F.array_join(F.filter(F.split(path, "/"), lambda p: ~F.array_contains(gone, p)), "/")
+
+
 def not_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What a cached stage still has to do."""
     return df.join(done.select(key).distinct(), key, "left_anti")

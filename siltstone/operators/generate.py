@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import answer_valid, json_object, repair
+from ..functions.text import answer_valid, json_object, repair, strip_fences
 
 Generator = Callable[[str, float], str]
 DOCS = "array<struct<chunk:string,topic:string,professor:string>>"
@@ -39,6 +39,14 @@ def stub(prompt: str, temperature: float = 0.0) -> str:
         return json.dumps({"question": f"What links them ({h})?", "selected_chunk_indices": list(range(1, n + 1))})
     if "FORMAT: intent" in prompt:
         return "TIPO: " + ("small_talk" if re.match(r"(?i)\s*(hi|hello|oi|ol[aá])\b", body) else "domain_query")
+    if "FORMAT: text" in prompt or "FORMAT: alone" in prompt:
+        return body
+    if "FORMAT: offerings" in prompt:
+        return json.dumps({c: {"name": c, "year_period": "", "offerings": []} for c in sorted(set(re.findall(r"\b[A-Z]{3}\d{4}\b", body)))})
+    if "FORMAT: unanswerable" in prompt:
+        return json.dumps({"question": f"What is not said about it ({h})?"})
+    if "FORMAT: variants" in prompt:
+        return "\n".join(f"{body} ({h}{i})" for i in range(3))
     if "FORMAT: line" in prompt:
         return f"* {body.splitlines()[0][:120] if body else h}"
     return f"<REASON>From the text: <quote>{body[:80]}</quote></REASON><ANSWER>{h}</ANSWER>"
@@ -53,6 +61,11 @@ CONTRACTS = {
     "multihop": "Write one question that needs at least two of the numbered passages, and name them.",
     "intent": "Say what kind of message this is, as TIPO: label.",
     "line": "Reply with one line.",
+    "text": "Correct broken characters, line ends and layout of the text as Markdown; keep every word and link.",
+    "offerings": "List the offerings of each component in the text by its code, with teachers, hours, schedule, place and vacancies.",
+    "unanswerable": "Write one question about the entity that looks answerable from the numbered passages but is not.",
+    "variants": "Write three other ways to ask the question, one a line.",
+    "alone": "Rewrite the question so that it can be understood without the conversation.",
     "tagged": "Reason in REASON with quotes in quote, then give the ANSWER.",
 }
 
@@ -173,6 +186,58 @@ def multihop_question(rows: DataFrame, key: str, docs: str, least: int = 2, gene
     return out.select(key, F.col("r.question").alias("question"), F.transform(index, lambda i: F.get(F.col(docs), i - 1)).alias("chosen")).where(F.col("question").isNotNull() & (F.size("chosen") >= least))
 
 
+def revised_text(rows: DataFrame, key: str, text: str, generator: Generator = stub) -> DataFrame:
+    """key, text: corrected text, or Markdown of text from a PDF; the text as it is where no reply came."""
+    got = call(rows.select(key, prompt("text", F.col(text)).alias("p")), key, "p", generator, lambda r: bool(r and r.strip()))
+    return rows.select(key, text).join(got.select(key, "reply"), key, "left").select(key, F.coalesce(strip_fences(F.trim("reply")), F.col(text)).alias("text"))
+
+
+def extract_offerings(rows: DataFrame, key: str, text: str, generator: Generator = stub) -> DataFrame:
+    """key, offerings: map of component code to its offerings; an empty map where no reply could be read."""
+    from .offerings import OFFERING
+
+    kind = f"map<string,struct<name:string,year_period:string,offerings:array<{OFFERING}>>>"
+    got = call(rows.select(key, prompt("offerings", F.col(text)).alias("p")), key, "p", generator, lambda r: repair(r) is not None)
+    return got.select(key, F.coalesce(F.from_json(json_object(F.col("reply")), kind), F.create_map().cast(kind)).alias("offerings"))
+
+
+def unanswerable_question(rows: DataFrame, key: str, entity: Column, docs: str, generator: Generator = stub) -> DataFrame:
+    """key, question that the documents do not answer; rows without a valid reply are dropped."""
+    got = call(rows.select(key, prompt("unanswerable", numbered(F.col(docs)), ("entity", entity)).alias("p")), key, "p", generator, lambda r: is_object(r, "question"), temperature=1.0)
+    return got.where("error IS NULL").select(key, F.get_json_object(json_object(F.col("reply")), "$.question").alias("question")).where("question <> ''")
+
+
+def multihop_answer(rows: DataFrame, key: str, question: Column, docs: str, unanswerable: Column, generator: Generator = stub) -> DataFrame:
+    """key, reply with reason and answer from several documents; asked anew until both tags are there, else set aside with an error."""
+    shown = F.array_join(F.transform(F.col(docs), lambda d: F.concat(F.lit("<DOCUMENT>"), d, F.lit("</DOCUMENT>"))), "\n...\n\n")
+    note = F.when(unanswerable, F.lit("The documents do not answer it; say so and why."))
+    asked = rows.select(key, prompt("tagged", F.concat(shown, F.lit("\n...\n")), ("question", question), ("note", note)).alias("p"))
+    return call(asked, key, "p", generator, lambda r: "<REASON>" in r and "<ANSWER>" in r, temperature=0.7)
+
+
+def expand_query(rows: DataFrame, key: str, query: Column, generator: Generator | None = stub) -> DataFrame:
+    """key, expansion: other ways to ask; empty without a model or a reply."""
+    if generator is None:
+        return rows.select(key, F.lit("").alias("expansion"))
+    got = call(rows.select(key, prompt("variants", query).alias("p")), key, "p", generator, temperature=1.0)
+    return got.select(key, F.coalesce(F.trim("reply"), F.lit("")).alias("expansion"))
+
+
+def contextualize(rows: DataFrame, key: str, query: Column, history: Column, generator: Generator | None = stub) -> DataFrame:
+    """key, query rewritten to stand alone; unchanged without a model, a reply or a history."""
+    own = rows.select(key, query.alias("query"), history.alias("history"))
+    if generator is None:
+        return own.select(key, "query")
+    asked = own.where("history <> ''").select(key, prompt("alone", F.col("query"), ("history", F.col("history"))).alias("p"))
+    got = call(asked, key, "p", generator).select(key, F.nullif(F.trim("reply"), F.lit("")).alias("reply"))
+    return own.join(got, key, "left").select(key, F.coalesce("reply", "query").alias("query"))
+
+
+def debug_rows(examples: DataFrame, key: str, *columns: str) -> DataFrame:
+    """key, debug: what an example was made of, as one JSON object, for a side table (``sources.files.Stage``)."""
+    return examples.select(key, F.to_json(F.struct(*columns)).alias("debug"))
+
+
 def intent(rows: DataFrame, key: str, query: Column, history: Column | None = None, generator: Generator = stub) -> DataFrame:
     """key, label; without a model every message is a domain query."""
     from ..functions.text import intent_label
@@ -188,17 +253,16 @@ def embed(rows: DataFrame, key: str, text: str, size: int = 64) -> DataFrame:
 
     kind = rows.schema[key].dataType.simpleString()
 
-    def vector(t: str) -> list[float]:
-        v = np.zeros(size, np.float64)
-        for w in re.findall(r"\w+", (t or "").lower()):
-            h = int.from_bytes(sha256(w.encode()).digest()[:8], "little")
-            v[h % size] += 1 if h >> 63 else -1
-        n = np.linalg.norm(v)
-        return (v / n if n else v).astype(np.float32).tolist()
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({key: b[key], "embedding": [vector(t) for t in b[text]]})
+            words = [re.findall(r"\w+", (t or "").lower()) for t in b[text]]
+            place = {w: int.from_bytes(sha256(w.encode()).digest()[:8], "little") for own in words for w in own}
+            at = np.array([place[w] % size for own in words for w in own], np.int64)
+            sign = np.array([1.0 if place[w] >> 63 else -1.0 for own in words for w in own])
+            who = np.repeat(np.arange(len(words)), [len(own) for own in words])
+            v = np.bincount(who * size + at, sign, len(words) * size).reshape(-1, size)
+            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+            yield pd.DataFrame({key: b[key], "embedding": list(v.astype(np.float32))})
 
     return rows.select(key, text).mapInPandas(run, f"{key} {kind}, embedding array<float>")
 
@@ -206,7 +270,8 @@ def embed(rows: DataFrame, key: str, text: str, size: int = 64) -> DataFrame:
 def answer(conversations: DataFrame, corpus: DataFrame, system: str, k: int = 10, generator: Generator = stub) -> DataFrame:
     """conv_id, label, prompt, reply: the last user turn of each conversation, answered from retrieved documents.
 
-    ``corpus`` has item, body, embedding. Messages outside the domain are answered without documents.
+    ``corpus`` has item, body, embedding. The question is rewritten to stand alone and asked in other ways too before documents
+    are looked up. Messages outside the domain are answered without documents.
     """
     from . import history, retrieve
 
@@ -214,7 +279,10 @@ def answer(conversations: DataFrame, corpus: DataFrame, system: str, k: int = 10
     own = conversations.join(valid, "conv_id", "left_semi")
     last = own.where("role = 'user'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("query"))
     label = intent(last, "conv_id", F.col("query"), generator=generator)
-    vectors = embed(last, "conv_id", "query")
+    before = history.last_messages(own, 6).join(own.where("role = 'user'").groupBy("conv_id").agg(F.max("turn").alias("turn")), ["conv_id", "turn"])
+    asked = contextualize(last.join(before, "conv_id", "left"), "conv_id", F.col("query"), F.coalesce("history", F.lit("")), generator)
+    asked = asked.join(expand_query(asked, "conv_id", F.col("query"), generator), "conv_id").select("conv_id", F.concat_ws("\n", "query", F.nullif(F.col("expansion"), F.lit(""))).alias("query"))
+    vectors = embed(asked, "conv_id", "query")
     found = retrieve.top_k(vectors.withColumnRenamed("conv_id", "vec_id"), corpus.withColumnRenamed("item", "vec_id"), k)
     docs = found.join(corpus.select("item", "body"), "item").groupBy(F.col("query").alias("conv_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "body"))), lambda x: F.concat(F.lit("<DOCUMENT>"), x["body"], F.lit("</DOCUMENT>"))), "\n").alias("docs")

@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import defrag, follows
+from ..functions.urls import defrag, follows, url_join
+
+
+#: A tag with its first href or src, whose value is quoted either way or not at all.
+LINK = r"""(?i)<(?:a|link|img|iframe|script)\b(?:[^>"']|"[^"]*"|'[^']*')*?[\s"'](?:href|src)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """src_url, href: the href and src attributes of each page, without line ends and tabs, trimmed."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"""<(?:a|link|img|iframe|script)\b[^>]*?\b(?:href|src)="([^"]*)\""""), F.lit(1))
-    rows = pages.select(F.col(url).alias("src_url"), F.explode(found).alias("raw"))
-    return rows.select("src_url", F.trim(F.regexp_replace("raw", r"[\r\n\t]", "")).alias("href"))
+    rows = pages.select(F.col(url).alias("src_url"), F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1))).alias("raw"))
+    bare = F.when(F.left("raw", F.lit(1)).isin('"', "'"), F.substring(F.col("raw"), F.lit(2), F.length("raw") - 2)).otherwise(F.col("raw"))
+    return rows.select("src_url", F.trim(F.regexp_replace(bare, r"[\r\n\t]", "")).alias("href"))
+
+
+def resolved(edges: DataFrame) -> DataFrame:
+    """Edges (src_url, href) with dst_url, the address that href means on its page; what cannot be resolved goes."""
+    return edges.withColumn("dst_url", url_join(F.col("src_url"), F.col("href"))).where("dst_url IS NOT NULL")
 
 
 def wanted(edges: DataFrame) -> DataFrame:
@@ -32,20 +42,24 @@ def frontier(edges: DataFrame, visited: DataFrame) -> DataFrame:
     return edges.select(defrag(F.col("dst_url")).alias("dst_url")).distinct().join(seen, "dst_url", "left_anti")
 
 
-def reach(edges: DataFrame, seeds: DataFrame, depth: int, keep: Column | None = None, truncate=None) -> DataFrame:
-    """node, depth: breadth-first levels from ``seeds`` (node) over ``edges`` (src, dst), up to ``depth``.
+def reach(edges: DataFrame, seeds: DataFrame, depth: int | None = None, keep: Column | None = None, truncate=None) -> DataFrame:
+    """node, depth: breadth-first levels from ``seeds`` (node) over ``edges`` (src, dst), up to ``depth``, or to the last.
 
-    Each level is an anti join against what was seen. ``truncate`` (a function of a DataFrame, such as a checkpoint)
-    cuts the lineage between levels on deep crawls.
+    Each level is an anti join against what was seen. ``truncate`` (a function of a DataFrame that writes and
+    rereads it) cuts the lineage between levels; without ``depth`` it is needed, as each level is asked whether it is empty.
     """
+    if depth is None and truncate is None:
+        raise ValueError("a crawl without a depth needs truncate")
     seen = seeds.select("node").distinct().withColumn("depth", F.lit(0))
-    level = seen
-    for d in range(1, depth + 1):
+    level = seen = truncate(seen) if truncate else seen
+    for d in count(1) if depth is None else range(1, depth + 1):
         step = level.join(edges, level["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
         if keep is not None:
             step = step.where(keep)
         level = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
         level = truncate(level) if truncate else level
+        if truncate and level.isEmpty():
+            break
         seen = seen.unionByName(level)
     return seen
 

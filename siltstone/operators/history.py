@@ -60,6 +60,19 @@ def valid_requests(conversations: DataFrame) -> DataFrame:
     return rows.select("conv_id", ((F.col("m.role") == "user") & (strip(F.col("m.text")) != "")).alias("valid"))
 
 
+def trailing(events: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
+    """Rows with n (rows of the key in the ``seconds`` up to each) and first (the earliest of them); ``at`` is in whole seconds.
+
+    Time is cut into buckets of ``seconds``; a row counts in its own bucket and is context in the next, so a task holds
+    two buckets of a key however many rows the key has.
+    """
+    bucket = F.floor(F.col(at) / seconds)
+    rows = events.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+    rows = rows.withColumn("_bucket", F.when(F.col("_own"), bucket).otherwise(bucket + 1))
+    before = Window.partitionBy(key, "_bucket").orderBy(at).rangeBetween(1 - seconds, 0)
+    return rows.withColumns({"n": F.count(F.lit(1)).over(before), "first": F.min(at).over(before)}).where("_own").drop("_own", "_bucket")
+
+
 def positional_pairs(conversations: DataFrame) -> DataFrame:
     """conv_id, n, question, answer by position; conversations whose counts differ are dropped."""
     rows = conversations.where("role IN ('user', 'assistant')")

@@ -7,6 +7,7 @@ rules run in a pandas UDF; documents stay whole.
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -24,11 +25,16 @@ FENCE = {"p": {"div", "section", "article", "li", "td", "th", "blockquote", "bod
 BLOCKS = frozenset("p div section article main ul ol table blockquote pre h1 h2 h3 h4 h5 h6 hr details dl figure body".split())
 
 
+#: Fixed value: HTML reads a larger colspan as this one.
+COLSPAN = 1000
+NESTING, LEVELS = 3, 6
+
+
 class Node:
-    __slots__ = ("attrs", "kids", "tag")
+    __slots__ = ("attrs", "blocky", "kids", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.kids = tag, attrs or {}, []
+        self.tag, self.attrs, self.kids, self.blocky = tag, attrs or {}, [], False
 
     def walk(self):
         todo = [self]
@@ -38,7 +44,14 @@ class Node:
             todo += [k for k in reversed(n.kids) if isinstance(k, Node)]
 
     def text(self) -> str:
-        return "".join(k if isinstance(k, str) else k.text() for k in self.kids)
+        out, todo = [], [self]
+        while todo:
+            n = todo.pop()
+            if isinstance(n, str):
+                out.append(n)
+            else:
+                todo += reversed(n.kids)
+        return "".join(out)
 
 
 class Builder(HTMLParser):
@@ -46,6 +59,7 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("root")
         self.open = [self.root]
+        self.deepest = 1
 
     def handle_starttag(self, tag, attrs):
         ends = IMPLIED.get(tag, {"p"} if tag in BLOCKS else set())
@@ -58,8 +72,9 @@ class Builder(HTMLParser):
                 break
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].kids.append(node)
-        if tag not in VOID and len(self.open) < 400:
+        if tag not in VOID:
             self.open.append(node)
+            self.deepest = max(self.deepest, len(self.open))
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].kids.append(Node(tag, {k: v or "" for k, v in attrs}))
@@ -78,6 +93,8 @@ def parse(html: str) -> Node:
     b = Builder()
     b.feed(html)
     b.close()
+    # The rules call each other once for each level of the tree; such calls use no C stack.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 8 * b.deepest + 1000))
     return b.root
 
 
@@ -157,7 +174,7 @@ def table_md(t: Node, base: str) -> str:
 
 def span(c: Node) -> int:
     s = c.attrs.get("colspan", "1")
-    return max(1, min(int(s), 100)) if s.isdigit() else 1
+    return max(1, min(int(s), COLSPAN)) if s.isdigit() else 1
 
 
 def inline(n: Node, base: str, line_break: str = "\n") -> str:
@@ -183,11 +200,38 @@ def inline(n: Node, base: str, line_break: str = "\n") -> str:
     return "".join(out)
 
 
+def is_heading(n: Node) -> bool:
+    return len(n.tag) == 2 and n.tag[0] == "h" and n.tag[1] in "123456"
+
+
 def levels(root: Node) -> dict[int, int]:
-    """Heading levels counted from the page's highest, at most 6."""
-    found = sorted({int(n.tag[1]) for n in root.walk() if re.fullmatch("h[1-6]", n.tag)})
-    low = found[0] if found else 1
-    return {x: min(6, x - low + 1) for x in found}
+    """The level of each heading (by id of its node), at most ``LEVELS``.
+
+    It counts from the page's highest; each enclosing element that holds an earlier heading with text adds one, at most ``NESTING``.
+    """
+    low = min((int(n.tag[1]) for n in root.walk() if is_heading(n)), default=1)
+    out: dict[int, int] = {}
+    path: list[list] = [[root, 0, False]]  # element, its next kid, whether it held a heading so far
+    while path:
+        top = path[-1]
+        if top[1] == len(top[0].kids):
+            path.pop()
+            continue
+        k = top[0].kids[top[1]]
+        top[1] += 1
+        if isinstance(k, str):
+            continue
+        if is_heading(k):
+            out[id(k)] = min(LEVELS, int(k.tag[1]) - low + 1 + min(NESTING, sum(held for _, _, held in path)))
+            top[2] = top[2] or bool(k.text().strip())
+        path.append([k, 0, False])
+    return out
+
+
+def mark_blocks(root: Node) -> None:
+    """Note for every node whether a block stands somewhere inside it."""
+    for n in reversed(list(root.walk())):
+        n.blocky = any(isinstance(k, Node) and (k.blocky or k.tag in BLOCKS) for k in n.kids)
 
 
 def block(n: Node, base: str, depth: dict[int, int], indent: int = 0) -> str:
@@ -205,7 +249,7 @@ def block(n: Node, base: str, depth: dict[int, int], indent: int = 0) -> str:
             loose.clear()
 
     for k in n.kids:
-        if isinstance(k, str) or not (k.tag in BLOCKS or any(x.tag in BLOCKS for x in k.walk())):
+        if isinstance(k, str) or not (k.tag in BLOCKS or k.blocky):
             loose.append(k)
             continue
         settle()
@@ -224,8 +268,8 @@ def block(n: Node, base: str, depth: dict[int, int], indent: int = 0) -> str:
             out.append("```\n" + k.text().strip("\n") + "\n```")
         elif k.tag == "hr":
             out.append("---")
-        elif k.tag[0] == "h" and k.tag[1:].isdigit():
-            out.append("#" * depth[int(k.tag[1])] + " " + re.sub(r"\s+", " ", inline(k, base)).strip())
+        elif is_heading(k):
+            out.append("#" * depth[id(k)] + " " + re.sub(r"\s+", " ", inline(k, base)).strip())
         elif k.tag == "blockquote":
             out.append("\n".join("> " + x for x in block(k, base, depth).split("\n") if x.strip()))
         elif k.tag == "details":
@@ -247,6 +291,7 @@ def convert(html: str | None, base: str | None = "") -> str | None:
     root = parse(html)
     stripped(root)
     main = main_content(root)
+    mark_blocks(main)
     md = block(main, base or "", levels(main))
     return re.sub(r"\n{3,}", "\n\n", "\n".join(x.rstrip() for x in md.split("\n"))).strip()
 

@@ -96,11 +96,13 @@ def positional_zip(load):
 )
 def chat_messages(load):
     by = Window.partitionBy("conv_id").orderBy("turn")
-    rows = load("conversations").withColumn("answer", F.lead("text").over(by)).withColumn("next", F.lead("role").over(by))
-    rows = rows.where("role = 'user' AND next = 'assistant' AND text <> '' AND answer <> ''")
-    m = assemble.to_messages(F.col("text"), F.col("answer"))
-    shown = F.array_join(F.transform(m, lambda x: F.concat_ws(": ", x["role"], x["content"])), " | ")
-    return rows.select("conv_id", "turn", shown.alias("messages"), F.lit(-1).alias("golden_index"), assemble.pair_key(F.col("conv_id").cast("string"), F.col("text")).alias("qa_pair_hash"))
+    rows = load("conversations").withColumn("answer", F.lead("text").over(by)).withColumn("next", F.lead("role").over(by)).where("role = 'user' AND next = 'assistant'")
+    key = assemble.pair_key(F.col("conv_id").cast("string"), F.col("text"))
+    none = F.lit(None).cast("string")
+    rows = rows.select(F.col("text").alias("question"), "answer", F.concat_ws("/", "conv_id", "turn").alias("file_url"), none.alias("url"), F.lit(None).cast("int").alias("golden_index"), key.alias("qa_pair_hash"))
+    shown = F.array_join(F.transform("messages", lambda x: F.concat_ws(": ", x["role"], x["content"])), " | ")
+    ids = F.split("url", "/")
+    return assemble.chat_records(rows).select(ids[0].cast("long").alias("conv_id"), ids[1].cast("long").alias("turn"), shown.alias("messages"), "golden_index", "qa_pair_hash")
 
 
 @query(f"SELECT conv_id, role = 'user' AND {STRIP.format('text')} <> '' AS valid FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r = 1")
@@ -111,9 +113,8 @@ def request_validation(load):
 @query("SELECT event_id, count(*) OVER w AS n_60s, 60 - (epoch(date_trunc('second', ts))::BIGINT - min(epoch(date_trunc('second', ts))::BIGINT) OVER w) AS wait_s FROM events WINDOW w AS (PARTITION BY event_type ORDER BY epoch(date_trunc('second', ts))::BIGINT RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)")
 def trailing_60s(load):
     s = F.unix_timestamp(F.col("ts").cast("timestamp"))
-    rows = load("events").select("event_id", "event_type", s.alias("s"))
-    w = Window.partitionBy("event_type").orderBy("s").rangeBetween(-59, 0)
-    return rows.select("event_id", F.count(F.lit(1)).over(w).alias("n_60s"), (60 - (F.col("s") - F.min("s").over(w))).alias("wait_s"))
+    rows = history.trailing(load("events").select("event_id", "event_type", s.alias("s")), "event_type", "s", 60)
+    return rows.select("event_id", F.col("n").alias("n_60s"), (60 - (F.col("s") - F.col("first"))).alias("wait_s"))
 
 
 @query(

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import files, graph
+from ..sources.shared import written
 from .registry import query
 
 HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1))"
 PATH = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
-LINKS = r"""l AS (SELECT url AS src_url, trim(regexp_replace(u, '[\r\n\t]', '', 'g')) AS href FROM (SELECT url,
-  unnest(regexp_extract_all(html, '<(?:a|link|img|iframe|script)\b[^>]*?\b(?:href|src)="([^"]*)"', 1)) AS u FROM pages)),
+LINKS = r"""l AS (SELECT url AS src_url, trim(regexp_replace(CASE WHEN left(u, 1) IN ('"', '''') THEN substr(u, 2, length(u) - 2) ELSE u END, '[\r\n\t]', '', 'g')) AS href FROM (SELECT url,
+  unnest(regexp_extract_all(html, '(?i)<(?:a|link|img|iframe|script)\b(?:[^>"'']|"[^"]*"|''[^'']*'')*?[\s"''](?:href|src)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)) AS u FROM pages)),
 w AS (SELECT * FROM l WHERE length(href) > 0 AND NOT regexp_matches(lower(href), '^(javascript:|mailto:|tel:|#|data:)')
-  AND (NOT regexp_matches(lower(href), '^[a-z][a-z0-9+.-]*:') OR regexp_matches(lower(href), '^https?:')))"""
+  AND (NOT regexp_matches(lower(href), '^[a-z][a-z0-9+.-]*:') OR regexp_matches(lower(href), '^https?:'))),
+t AS (SELECT src_url, href, CASE WHEN regexp_matches(lower(href), '^https?:') THEN href ELSE regexp_extract(src_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href END AS dst_url FROM w),
+v AS (SELECT DISTINCT regexp_replace(dst_url, '#.*$', '') AS url FROM t WHERE length(dst_url) % 2 = 0)"""
 
 
 @query(f"SELECT page_id, {PATH} AS path FROM pages WHERE NOT regexp_matches({PATH}, '^(.*/1[0-9]*|/[Dd]e/.*)$')")
@@ -69,27 +74,63 @@ def link_explode(load):
     return graph.wanted(graph.links(load("pages")))
 
 
-@query(f"WITH {LINKS} SELECT DISTINCT src_url, href AS dst_url, page_id::VARCHAR AS local_path FROM w LEFT JOIN pages ON regexp_replace(url, '#.*$', '') = href")
+def _edges(load):
+    return graph.resolved(graph.wanted(graph.links(load("pages"))))
+
+
+def _visited(edges):
+    """Every other target by length, as what a crawl has kept so far."""
+    seen = edges.where(F.length("dst_url") % 2 == 0).select(urls.defrag(F.col("dst_url")).alias("url")).distinct()
+    return seen.withColumn("local_path", F.concat(F.lit("kept/"), "url"))
+
+
+@query(f"WITH {LINKS} SELECT src_url, href, dst_url FROM t")
+def link_resolved(load):
+    return _edges(load)
+
+
+@query(f"WITH {LINKS} SELECT DISTINCT t.src_url, t.dst_url, 'kept/' || v.url AS local_path FROM t LEFT JOIN v ON v.url = t.dst_url")
 def link_join_visited(load):
-    visited = load("pages").select("url", F.col("page_id").cast("string").alias("local_path"))
-    edges = graph.wanted(graph.links(load("pages"))).select("src_url", F.col("href").alias("dst_url"))
-    return graph.targets(edges.distinct(), visited).select("src_url", "dst_url", "local_path")
+    edges = _edges(load)
+    return graph.targets(edges.select("src_url", "dst_url").distinct(), _visited(edges)).select("src_url", "dst_url", "local_path")
 
 
-@query(f"WITH {LINKS} SELECT DISTINCT regexp_replace(href, '#.*$', '') AS dst_url FROM w WHERE regexp_replace(href, '#.*$', '') NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages)")
+@query(f"WITH {LINKS} SELECT DISTINCT regexp_replace(dst_url, '#.*$', '') AS dst_url FROM t WHERE regexp_replace(dst_url, '#.*$', '') NOT IN (SELECT url FROM v)")
 def frontier_anti(load):
-    return graph.frontier(graph.wanted(graph.links(load("pages"))).select(F.col("href").alias("dst_url")), load("pages"))
+    edges = _edges(load)
+    return graph.frontier(edges, _visited(edges))
 
 
 @query(
     f"""WITH RECURSIVE {LINKS}, e AS (SELECT DISTINCT src_url AS src, 'token:' || href AS dst FROM w UNION SELECT DISTINCT 'token:' || href, src_url FROM w),
-    r AS (SELECT DISTINCT url AS node, 0 AS depth FROM pages WHERE page_id % 50 = 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.node WHERE r.depth < 3)
-    SELECT node, min(depth)::INT AS depth FROM r GROUP BY node"""
+    r AS (SELECT DISTINCT url AS node FROM pages WHERE page_id % 50 = 0 UNION SELECT e.dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r"""
 )
 def crawl_reachability(load):
+    """All that a crawl from the seeds reaches over pages and the words that they link to, to the last level."""
     w = graph.wanted(graph.links(load("pages"))).select(F.col("src_url").alias("a"), F.concat(F.lit("token:"), "href").alias("b")).distinct()
-    edges = w.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(w.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-    return graph.reach(edges, load("pages").where("page_id % 50 = 0").select(F.col("url").alias("node")), 3)
+    edges = written(w.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(w.select(F.col("b").alias("src"), F.col("a").alias("dst"))), "edges")
+    return graph.reach(edges, load("pages").where("page_id % 50 = 0").select(F.col("url").alias("node")), truncate=lambda df: written(df, "level")).select("node")
+
+
+@query(rf"""SELECT page_id, (s IN ('', '.html', '.htm') OR ends_with({PATH}, '/')) AND {HOST} <> 'www.example.com' AS refused, CASE WHEN page_id % 2 = 0 THEN {HOST} <> 'www.example.com' ELSE false END AS refused_typed
+    FROM (SELECT *, lower(regexp_extract({PATH}, '(\.[A-Za-z0-9]{{1,5}})$', 1)) AS s FROM pages)""")
+def offsite_html(load):
+    kind = F.when(F.col("page_id") % 2 == 0, "text/html; charset=utf-8").otherwise("application/pdf")
+    u = F.col("url")
+    return load("pages").select("page_id", urls.offsite_html(u, F.lit(None).cast("string"), "www.example.com").alias("refused"), urls.offsite_html(u, kind, "www.example.com").alias("refused_typed"))
+
+
+@query(f"SELECT page_id, url FROM pages WHERE starts_with(regexp_replace(url, '[?#].*$', ''), (SELECT regexp_extract(min(url), '^([a-z]+://[^/?#]*)', 1) FROM pages))")
+def prefix_only(load):
+    """Pages below the site of the first page in order."""
+    start = load("pages").agg(F.min("url")).first()[0] or ""
+    return load("pages").where(urls.under_prefix(F.col("url"), re.sub(r"^([a-z]+://[^/?#]*).*$", r"\1", start))).select("page_id", "url")
+
+
+@query(rf"SELECT page_id, lower(regexp_extract({PATH}, '(\.[A-Za-z0-9]{{1,5}})$', 1)) AS own, CASE WHEN regexp_matches({PATH}, '\.[A-Za-z0-9]{{1,5}}$') THEN lower(regexp_extract({PATH}, '(\.[A-Za-z0-9]{{1,5}})$', 1)) WHEN page_id % 3 = 0 THEN '.html' WHEN page_id % 3 = 1 THEN '.pdf' ELSE '' END AS typed FROM pages")
+def ext_of(load):
+    kind = F.element_at(F.array(F.lit("Text/HTML; charset=x"), F.lit("application/pdf"), F.lit("x/unknown")), (F.col("page_id") % 3 + 1).cast("int"))
+    return load("pages").select("page_id", urls.ext_of(F.col("url")).alias("own"), urls.ext_of(F.col("url"), kind).alias("typed"))
 
 
 @query(f"SELECT page_id, {HOST} || '/' || CASE WHEN p = '' THEN 'index' ELSE p END || CASE WHEN q = '' THEN '' ELSE '_' || regexp_replace(q, '[^A-Za-z0-9_.=&-]', '_', 'g') END || CASE WHEN regexp_matches({PATH}, '\\.[A-Za-z0-9]{{1,5}}$') THEN '' ELSE '.html' END AS local_path FROM (SELECT page_id, url, trim({PATH}, '/') AS p, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages)")

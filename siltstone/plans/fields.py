@@ -40,9 +40,16 @@ def group_by_dir(load):
     return files.group_files(rows, "u").select("dir", F.array_join("files", " ").alias("files"))
 
 
-@query(r"SELECT page_id, regexp_replace(regexp_replace(url, '/index\.html?$', ''), '\.html?$', '') AS origin FROM pages")
+@query(
+    r"""SELECT page_id, regexp_replace(regexp_replace(CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'site.org/a' || page_id || '/index.html' WHEN 2 THEN 'other-host.net/b/' || page_id || '.html' ELSE 'folder/' || page_id || '.htm' END,
+    '/index\.html?$', ''), '\.html?$', '') AS origin FROM pages"""
+)
 def domain_path(load):
-    return load("pages").select("page_id", urls.domain_path(F.lit("x/y.html"), F.col("url"), ["example.com"]).alias("origin"))
+    """All four ways: the recorded URL, a known domain, a dotted folder, the last two parts."""
+    n = F.col("page_id").cast("string")
+    paths = [F.lit("x/y.html"), F.concat(F.lit("/data/Site/site.org/a"), n, F.lit("/index.html")), F.concat(F.lit("/data/other-host.net/b/"), n, F.lit(".html")), F.concat(F.lit("/Data/deep/folder/"), n, F.lit(".htm"))]
+    path = F.element_at(F.array(*paths), (F.col("page_id") % 4 + 1).cast("int"))
+    return load("pages").select("page_id", urls.domain_path(path, F.when(F.col("page_id") % 4 == 0, F.col("url")).otherwise(""), ["site.org"]).alias("origin"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE substr('ABC' || lpad((doc_id % 10000)::VARCHAR, 4, '0') || '_name', 1, 7) END AS code FROM documents")
@@ -60,7 +67,7 @@ def model_turn(load):
 @query("SELECT page_id, regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '^www\\.', '') AS host FROM pages WHERE NOT contains(url, ')')")
 def citation_links(load):
     s = F.concat(F.lit("see *[source]("), "url", F.lit(")* and [other](http://no.org)"))
-    return load("pages").where(~F.col("url").contains(")")).select("page_id", F.explode(text.citation_hosts(s)).alias("host"))
+    return load("pages").select("page_id", F.explode(text.citation_hosts(s)).alias("host"))
 
 
 @query("SELECT doc_id, source AS file, 'https://example.org/' || doc_id AS url, trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS body FROM documents")
@@ -80,11 +87,15 @@ def latest_checkpoint(load):
     return rows.groupBy("source").agg(F.max_by("name", F.regexp_extract("name", r"(\d+)$", 1).cast("long")).alias("latest"))
 
 
-@query("SELECT url AS src_url, url || '#top' AS href, page_id::VARCHAR AS local_path FROM pages WHERE url NOT LIKE '%#%' UNION ALL SELECT url, '/none', NULL FROM pages WHERE url NOT LIKE '%#%'")
+@query(
+    """SELECT a.url AS src_url, a.url || '#top' AS href, coalesce(e.page_id, b.page_id)::VARCHAR AS local_path FROM pages a LEFT JOIN pages e ON e.url = a.url || '#top' LEFT JOIN pages b ON b.url = regexp_replace(a.url, '#.*$', '')
+    UNION ALL SELECT url, '/none', NULL FROM pages UNION ALL SELECT url, url, page_id::VARCHAR FROM pages"""
+)
 def relink(load):
-    own = load("pages").where("url NOT LIKE '%#%'")
+    own = load("pages")
     edges = own.select(F.col("url").alias("src_url"), F.concat("url", F.lit("#top")).alias("href"), F.concat("url", F.lit("#top")).alias("dst_url"))
     edges = edges.unionByName(own.select(F.col("url").alias("src_url"), F.lit("/none").alias("href"), F.lit("http://none/none").alias("dst_url")))
+    edges = edges.unionByName(own.select(F.col("url").alias("src_url"), F.col("url").alias("href"), F.col("url").alias("dst_url")))
     edges = edges.withColumn("edge", F.concat_ws(" ", "src_url", "href"))
     return graph.relink(edges, own.select("url", F.col("page_id").cast("string").alias("local_path"))).select("src_url", "href", "local_path")
 
@@ -94,13 +105,51 @@ def pair_keys(load):
     return load("documents").select("doc_id", assemble.pair_key(F.col("source"), F.col("text")).alias("qa_pair_hash"))
 
 
-@query("SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE octet_length(encode(text)) <= 4096")
+@query("SELECT doc_id, sha256(unhex(substr(h, 1, 8192) || CASE WHEN length(h) > 8192 THEN right(h, 8192) ELSE '' END)) AS content_hash FROM (SELECT doc_id, hex(encode(text)) AS h FROM documents)")
 def content_hash(load):
-    rows = load("documents").where(F.octet_length("text") <= 4096)
-    return rows.select("doc_id", keys.head_tail_hash(F.col("text").cast("binary")).alias("content_hash"))
+    return load("documents").select("doc_id", keys.head_tail_hash(F.col("text").cast("binary")).alias("content_hash"))
 
 
-@query()
-def content_hash_all(load):
-    """``content_hash`` of every document, long and null ones too; SQL has no bytes of the tail."""
-    return load("documents").select("doc_id", keys.head_tail_hash(F.col("text").cast("binary")).alias("content_hash"))
+_TAGS = "CASE doc_id % 4 WHEN 0 THEN '<REASON><quote>' || lang || '</quote></REASON>' WHEN 1 THEN '<REASON>' || lang || '</REASON>' WHEN 2 THEN '' ELSE '<REASON></quote>' END || CASE WHEN doc_id % 3 > 0 THEN '<ANSWER>' ELSE '' END || coalesce(text, '')"
+
+
+@query(
+    f"""SELECT doc_id, contains(t, '<ANSWER>') AND contains(t, '<REASON>') AND contains(t, '</quote>') AS valid, contains(t, '<ANSWER>') AND contains(t, '<REASON>') AS valid_unanswerable
+    FROM (SELECT doc_id, {_TAGS} AS t FROM documents)"""
+)
+def answer_valid(load):
+    rows = load("documents").select("doc_id", F.expr(_TAGS).alias("t"))
+    return rows.select("doc_id", text.answer_valid(F.col("t")).alias("valid"), text.answer_valid(F.col("t"), True).alias("valid_unanswerable"))
+
+
+@query(r"""SELECT page_id, regexp_replace(regexp_replace(url, '[<>:"/\\|?*]', '_', 'g'), '_+', '_', 'g') AS name FROM pages""")
+def title_sanitize(load):
+    return load("pages").select("page_id", urls.sanitize_title(F.col("url")).alias("name"))
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents""")
+def slugs(load):
+    return load("documents").select("doc_id", text.slugify(F.col("text")).alias("slug"))
+
+
+@query("SELECT event_id, (regexp_extract(props, '([0-9]+)', 1))::BIGINT AS k, event_type || ' \"x\" ' || event_id AS note FROM events")
+def json_repaired(load):
+    """Objects with quotes and line ends inside strings, between other words, read after repair."""
+    damaged = F.concat(F.lit("reply: "), F.regexp_replace("props", r"\}$", ""), F.lit(', "note": "'), "event_type", F.lit(' "x" '), "event_id", F.lit('"}\nend'))
+    fixed = text.json_repair(damaged)
+    return load("events").select("event_id", F.get_json_object(fixed, "$.k").cast("long").alias("k"), F.get_json_object(fixed, "$.note").alias("note"))
+
+
+@query(
+    """WITH c AS (SELECT doc_id, unnest(['formal', 'casual', 'other']) AS style, unnest([doc_id % 2 = 0, doc_id % 3 = 0, true]) AS has FROM labels)
+    SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM c WHERE style = 'casual' AND has) THEN 'casual' WHEN doc_id IN (SELECT doc_id FROM c WHERE style = 'formal' AND has) THEN 'formal' END AS style FROM documents"""
+)
+def style_reuse(load):
+    kept = load("labels").select("doc_id", F.explode(F.array(F.struct(F.lit("formal").alias("style"), (F.col("doc_id") % 2 == 0).alias("has")), F.struct(F.lit("casual").alias("style"), (F.col("doc_id") % 3 == 0).alias("has")), F.struct(F.lit("other").alias("style"), F.lit(True).alias("has")))).alias("x"))
+    return assemble.reuse_style(load("documents").select("doc_id"), kept.where("x.has").select("doc_id", "x.style"), "doc_id")
+
+
+@query(r"""SELECT page_id, array_to_string(list_filter(string_split(url, '/'), lambda p: NOT list_contains(['https:', '', 'en'], p)), '/') AS parts, CASE WHEN page_id % 3 = 0 THEN 0 ELSE 1 END AS stage FROM pages""")
+def path_difference(load):
+    kind = F.when(F.col("page_id") % 3 == 0, "offerings").otherwise("regular")
+    return load("pages").select("page_id", files.without_parts(F.col("url"), F.lit("https://en")).alias("parts"), files.stage_order(kind).alias("stage"))

@@ -35,7 +35,7 @@ def retrieve_topk_excluding_golden(load):
 
 @query(f"WITH {SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score, item)::INT AS rank FROM s) SELECT * FROM r WHERE rank <= 5")
 def distractors_tail(load):
-    return retrieve.tail_k(retrieve.scores(_queries(load), load("embeddings"), "vec_id", "vec_id", "embedding"), 5)
+    return retrieve.tail_k(_queries(load), load("embeddings"), 5)
 
 
 @query(
@@ -99,3 +99,14 @@ def context_assembly(load):
     texts = load("documents").select(F.col("doc_id").alias("d"), "text")
     docs = rows.join(texts, "d").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]).alias("texts"))
     return docs.select("doc_id", F.sha2(assemble.context(F.col("texts")), 256).alias("context_sha256"))
+
+
+@query(
+    f"""WITH {SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM s), g AS (SELECT query, string_agg(item::VARCHAR, ',' ORDER BY rank) AS golden FROM r WHERE rank <= 3 AND query % 100 = 0 GROUP BY query)
+    SELECT vec_id, label, golden FROM embeddings JOIN g ON vec_id = query"""
+)
+def golden_join(load):
+    """Seeds with the golden documents that an earlier step stored for them."""
+    top = retrieve.top_k(_queries(load).where("vec_id % 100 = 0"), load("embeddings"), 3)
+    stored = top.groupBy(F.col("query").alias("vec_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "item"))), lambda x: x["item"].cast("string")), ",").alias("golden"))
+    return retrieve.with_golden(load("embeddings").select("vec_id", "label"), stored, "vec_id")

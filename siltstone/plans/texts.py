@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
-from ..operators import assemble, chunks, files, markdown
+from ..operators import assemble, chunks, files, markdown, offerings
 from ..operators.rank import row_numbers
 from .registry import STRIP, query
 
@@ -64,14 +64,13 @@ def batches(load):
 
 
 @query(
-    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS chunk, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
-    r AS (SELECT doc_id, chunk, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS ordinal FROM l WHERE trim(chunk) <> '')
-    SELECT doc_id, ordinal::INT AS ordinal, chunk, 'chunk_' || doc_id || '_' || ordinal AS chunk_hash FROM r"""
+    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS chunk, unnest(range(len(string_split(text, chr(10))))) AS pos, lang AS topic FROM documents),
+    r AS (SELECT doc_id, chunk, topic, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS ordinal FROM l WHERE chunk <> '' AND topic <> '')
+    SELECT doc_id, ordinal::INT AS ordinal, 'chunk_' || doc_id || '_' || ordinal AS chunk_hash, chunk, topic FROM r"""
 )
 def chunk_ordinals(load):
-    rows = load("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "chunk")).where(F.trim("chunk") != "")
-    rows = rows.withColumn("ordinal", chunks.ordinals(rows, "doc_id", "pos"))
-    return rows.select("doc_id", "ordinal", "chunk", F.concat(F.lit("chunk_"), "doc_id", F.lit("_"), "ordinal").alias("chunk_hash"))
+    items = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("chunk"), F.col("lang").alias("topic")))
+    return chunks.chunk_rows(load("documents").select("doc_id", F.lit(0).alias("part_no"), items.alias("items")), "doc_id", "part_no", "items")
 
 
 @query(
@@ -117,13 +116,13 @@ def type_counts(load):
 
 @query("SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
 def source_join(load):
-    return load("documents").join(load("labels"), "doc_id", "left").select("doc_id", "source", "quality", "toxic")
+    return files.with_source(load("documents").select("doc_id", "source"), load("labels").select("doc_id", "quality", "toxic"), "doc_id")
 
 
 @query("SELECT c_custkey, coalesce(n_name, 'unknown') AS label FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey >= 5) n ON c_nationkey = n_nationkey")
 def lookup_default(load):
-    known = load("nation").where("n_nationkey >= 5").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return load("customer").join(known, "c_nationkey", "left").select("c_custkey", F.coalesce("n_name", F.lit("unknown")).alias("label"))
+    known = load("nation").where("n_nationkey >= 5").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("label"))
+    return files.with_default(load("customer"), known, "c_nationkey", "label", "unknown").select("c_custkey", "label")
 
 
 @query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -159,14 +158,21 @@ def html_to_markdown(load):
     return load("pages").select("page_id", markdown.to_markdown(F.col("html"), F.col("url")).alias("markdown"))
 
 
+_ASKS = "lambda x: ends_with(trim(x, ' ' || chr(10) || chr(9) || chr(13)), '?') OR regexp_matches(lower(trim(x, ' ' || chr(10) || chr(9) || chr(13))), '^(como|existe|existem|qual|quais|o que|onde|quando|por que|posso)')"
+
+
 @query(
-    r"""SELECT page_id, len(regexp_extract_all(html, '<details')) AS n_details, len(regexp_extract_all(html, '<summary')) AS n_summary,
-    len(list_filter(regexp_extract_all(html, '<b>([^<]*)', 1), lambda x: ends_with(trim(x), '?'))) AS n_asking FROM pages"""
+    rf"""SELECT page_id, n_details, n_summary, n_asking, regexp_matches(lower(url || chr(10) || title), 'faq|perguntas|frequentes|duvidas|q&a') OR (n_details > 2 AND n_summary > 2) OR n_asking > 3 AS is_faq
+    FROM (SELECT page_id, url, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '<details')) AS n_details, len(regexp_extract_all(html, '<summary')) AS n_summary,
+    len(list_filter(regexp_extract_all(html, '<(?:b|p)>([^<]*)', 1), {_ASKS})) AS n_asking FROM pages)"""
 )
 def faq_signals(load):
+    """The page's signals and the decision; paragraphs count as bold texts, as the made pages have few."""
     count = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0))).cast("long")
-    asking = F.filter(F.regexp_extract_all("html", F.lit("<b>([^<]*)"), F.lit(1)), lambda x: F.trim(x).endswith("?"))
-    return load("pages").select("page_id", count("<details").alias("n_details"), count("<summary").alias("n_summary"), F.size(asking).cast("long").alias("n_asking"))
+    bold = F.regexp_extract_all("html", F.lit("<(?:b|p)>([^<]*)"), F.lit(1))
+    rows = load("pages").select("page_id", "url", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"), count("<details").alias("n_details"), count("<summary").alias("n_summary"), bold.alias("bold"))
+    asking = F.size(F.filter("bold", files.asks)).cast("long")
+    return rows.select("page_id", "n_details", "n_summary", asking.alias("n_asking"), files.is_faq(F.col("url"), F.col("title"), F.col("n_details"), F.col("n_summary"), F.col("bold")).alias("is_faq"))
 
 
 @query(
@@ -194,46 +200,68 @@ def route_type(load):
 
 
 @query(
-    """SELECT doc_id, substr(text, s, greatest(e - s + 1, 0)) AS around FROM (SELECT doc_id, text,
-      greatest(1, CASE WHEN strpos(text, right(a, 200)) > 0 THEN strpos(text, right(a, 200)) - 400 ELSE 1 END) AS s,
-      least(length(text), CASE WHEN strpos(text, right(b, 200)) > 0 THEN strpos(text, right(b, 200)) + 600 ELSE length(text) END) AS e
-      FROM (SELECT doc_id, text, string_split(text, chr(10))[1] AS a, string_split(text, chr(10))[-1] AS b FROM documents) WHERE a <> '' AND b <> '')"""
+    """SELECT doc_id, CASE WHEN length(a) > 0 AND length(b) > 0 AND start > 0 THEN substr(text, greatest(1, start - 4000), CASE WHEN pb > 0 THEN pb ELSE start + 1 END + length(l) - 1 + 4000 - greatest(1, start - 4000) + 1) ELSE text END AS around
+    FROM (SELECT *, CASE WHEN pa > 0 THEN pa ELSE pb END AS start FROM (SELECT *, CASE WHEN strpos(substr(text, behind), l) > 0 THEN strpos(substr(text, behind), l) + behind - 1 ELSE 0 END AS pb
+      FROM (SELECT *, strpos(text, f) AS pa, CASE WHEN strpos(text, f) > 0 THEN strpos(text, f) + length(f) ELSE 1 END AS behind
+        FROM (SELECT doc_id, text, a, b, right(a, 200) AS f, right(b, 200) AS l FROM (SELECT doc_id, text, string_split(text, chr(10))[1] AS a, string_split(text, chr(10))[-1] AS b FROM documents)))))"""
 )
 def context_window(load):
-    lines = F.split("text", "\n")
-    rows = load("documents").select("doc_id", "text", lines[0].alias("a"), F.element_at(lines, -1).alias("b")).where("a <> '' AND b <> ''")
-    return rows.select("doc_id", text.around(F.col("text"), F.col("a"), F.col("b"), 200, 400).alias("around"))
-
-
-@query()
-def context_window_all(load):
-    """``context_window`` of every document at the operator's own reach."""
     lines = F.split("text", "\n")
     rows = load("documents").select("doc_id", "text", lines[0].alias("a"), F.element_at(lines, -1).alias("b"))
     return rows.select("doc_id", text.around_batch(F.col("text"), F.col("a"), F.col("b")).alias("around"))
 
 
+def _teachers(load):
+    """Line items as the teachers of an order's offering."""
+    li = load("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("name"), F.col("l_quantity").cast("long").cast("string").alias("hours")))).alias("teachers")
+    )
+    rows = load("orders").select("o_orderkey").join(li, "o_orderkey", "left")
+    return rows.withColumn("teachers", F.coalesce("teachers", F.array().cast("array<struct<name:string,hours:string>>")))
+
+
+@query("SELECT o_orderkey, coalesce(sum(l_quantity::BIGINT), 0)::INT AS hours FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")
+def sum_nested(load):
+    return _teachers(load).select("o_orderkey", offerings.hours(F.col("teachers")).alias("hours"))
+
+
+def _offerings(load):
+    """One offering for each order that has line items."""
+    nothing = F.lit(None).cast("string")
+    one = F.struct(
+        "teachers", F.lit(0).alias("total_hours"), F.struct(F.lit("24M12").alias("code"), nothing.alias("description")).alias("schedule"),
+        F.size("teachers").alias("vacancies_offered"), F.lit(1).alias("vacancies_filled"), F.lit("hall").alias("location"),
+    )
+    return _teachers(load).where(F.size("teachers") > 0).select("o_orderkey", F.array(one.cast(offerings.OFFERING)).alias("offerings"))
+
+
+@query("SELECT 'f' || l_orderkey AS file, 'ABC' || (l_orderkey % 10) AS code, l_linenumber::VARCHAR AS name, l_quantity::BIGINT::VARCHAR AS hours FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)")
+def offerings_explode(load):
+    entry = F.struct(F.lit("n").alias("name"), F.lit("2025.1").alias("year_period"), "offerings")
+    rows = _offerings(load).select(F.concat(F.lit("f"), "o_orderkey").alias("file"), F.create_map(F.concat(F.lit("ABC"), F.col("o_orderkey") % 10), entry).alias("offerings"))
+    return offerings.exploded(rows).select("file", "code", "teacher.name", "teacher.hours")
+
+
 @query(
-    """SELECT o_orderkey, coalesce(string_agg(l_linenumber || ':' || l_quantity::BIGINT, ';' ORDER BY l_linenumber, l_quantity::BIGINT), '') AS lines, coalesce(sum(l_quantity::BIGINT), 0)::BIGINT AS hours
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey"""
+    """SELECT o_orderkey, '## Offerings 2025.1' || chr(10) || '### 1' || chr(10) || '- Teachers: ' || string_agg(l_linenumber || ' (' || l_quantity::BIGINT || 'h)', '; ' ORDER BY l_linenumber::VARCHAR, l_quantity::BIGINT::VARCHAR) || chr(10)
+    || '- Hours: ' || sum(l_quantity::BIGINT) || chr(10) || '- Schedule: 24M12' || chr(10) || '- Place: hall' || chr(10) || '- Vacancies: 1/' || count(*) AS block FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey"""
 )
-def sum_nested(load):
-    li = load("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_quantity").cast("long").alias("q")))).alias("items"))
-    rows = load("orders").select("o_orderkey").join(li, "o_orderkey", "left")
-    rows = rows.withColumn("items", F.coalesce("items", F.array().cast("array<struct<l_linenumber:int,q:bigint>>")))
-    total = F.aggregate("items", F.lit(0).cast("long"), lambda s, x: s + x["q"])
-    shown = F.array_join(F.transform("items", lambda x: F.concat(x["l_linenumber"].cast("string"), F.lit(":"), x["q"].cast("string"))), ";")
-    return rows.select("o_orderkey", shown.alias("lines"), total.alias("hours"))
+def offering_markdown(load):
+    return _offerings(load).select("o_orderkey", offerings.to_markdown(F.lit("2025.1"), F.col("offerings")).alias("block"))
 
 
 @query(
-    """WITH f AS (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS r FROM lineitem WHERE l_returnflag = 'R')
-    SELECT o_orderkey, CASE WHEN f.l_orderkey IS NOT NULL THEN 'supplier ' || l_suppkey WHEN o_orderstatus = 'F' THEN 'none listed' END AS block FROM orders LEFT JOIN f ON o_orderkey = l_orderkey AND r = 1"""
+    """WITH c AS (SELECT 'ABC' || s_suppkey AS code, s_name AS text FROM supplier), b AS (SELECT 'ABC' || l_suppkey AS code, year(l_shipdate)::VARCHAR AS period, l_orderkey || '-' || l_linenumber AS file, 'order ' || l_orderkey AS block FROM lineitem WHERE l_returnflag = 'R'),
+    f AS (SELECT code, period, arg_min(block, file) AS block FROM b GROUP BY ALL), p AS (SELECT DISTINCT period FROM b),
+    g AS (SELECT c.code, string_agg(coalesce(f.block, '## Offerings ' || p.period || chr(10) || 'none'), chr(10) || chr(10) ORDER BY p.period) AS s FROM c CROSS JOIN p LEFT JOIN f ON f.code = c.code AND f.period = p.period GROUP BY 1)
+    SELECT c.code, c.text || coalesce(chr(10) || chr(10) || g.s, '') AS text FROM c LEFT JOIN g USING (code)"""
 )
 def first_match_with_notice(load):
-    first = load("lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias("s"))
-    block = F.when(F.col("s").isNotNull(), F.concat(F.lit("supplier "), "s")).when(F.col("o_orderstatus") == "F", "none listed")
-    return load("orders").join(first, "o_orderkey", "left").select("o_orderkey", block.alias("block"))
+    code = lambda c: F.concat(F.lit("ABC"), F.col(c).cast("string"))
+    blocks = load("lineitem").where("l_returnflag = 'R'").select(
+        code("l_suppkey").alias("code"), F.year("l_shipdate").cast("string").alias("period"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("file"), F.concat(F.lit("order "), "l_orderkey").alias("block")
+    )
+    return offerings.with_offerings(load("supplier").select(code("s_suppkey").alias("code"), F.col("s_name").alias("text")), blocks, "none")
 
 
 @query("SELECT event_id, regexp_extract(props, '(?s)(\\{.*\\})', 1) AS obj, len(json_keys(props)) AS n_keys FROM events")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +50,12 @@ class Config:
 def tree(spark: SparkSession, config: Config) -> DataFrame:
     """path, length, content, ext, dir of a tree's files: the configured extensions, not ignored, not empty.
 
-    Filters on path and length are part of the scan, so bodies of other files are not read.
+    Suffixes are a glob of the listing and the length is pushed to the scan, so bodies of other files are not read.
     """
     root = config.base_dir.rstrip("/") + (f"/{config.only_folder}" if config.only_folder else "")
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    either = lambda e: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e)
+    glob = "*{" + ",".join(either(e) for e in config.extensions) + "}"
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     keep = F.col("length") > 0
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     keep = keep & ext.isin(*config.extensions)
@@ -66,6 +70,27 @@ def decode_utf8(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
 
+def extract_text(tree: DataFrame, max_pdf_chars: int = 600_000, pdf: Callable[[bytes], str] | None = None) -> DataFrame:
+    """path, text of a tree's files by suffix: HTML as Markdown, plain formats decoded, PDF through ``pdf``.
+
+    ``pdf`` (bytes -> text) is whatever library there is; without one PDF files have a null text. A PDF whose text is longer
+    than ``max_pdf_chars`` gives an empty text; other suffixes give a null one.
+    """
+    from ..operators.markdown import to_markdown
+
+    @F.pandas_udf(StringType())
+    def of_pdf(content: pd.Series) -> pd.Series:
+        return content.map(lambda b: None if b is None or pdf is None else pdf(bytes(b)))
+
+    ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
+    plain, paper = decode_utf8(F.col("content")), of_pdf(F.col("content"))
+    whole = F.when(F.length(paper) > max_pdf_chars, "").otherwise(F.trim(paper))
+    kinds = {(".html", ".htm"): to_markdown(plain, F.col("path")), (".pdf",): whole, (".txt", ".md", ".csv", ".json"): plain}
+    parts = [tree.where(ext.isin(*names)).select("path", text.alias("text")) for names, text in kinds.items()]
+    other = tree.where(~ext.isin(*[n for names in kinds for n in names])).select("path", F.lit(None).cast("string").alias("text"))
+    return reduce(DataFrame.unionByName, [*parts, other])
+
+
 def texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """path, text of whole files."""
     df = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)

@@ -49,9 +49,9 @@ def fetched(frontier: DataFrame, fetch: Fetcher, attempts: int = 3) -> DataFrame
 
 def crawl(seeds: DataFrame, snapshot: DataFrame, depth: int) -> DataFrame:
     """url, depth, body reached from ``seeds`` (url) through a snapshot (url, body), level by level."""
-    from ..operators.graph import links, reach, wanted
+    from ..operators.graph import links, reach, resolved, wanted
 
-    edges = wanted(links(snapshot.withColumnRenamed("body", "html"))).select(defrag(F.col("src_url")).alias("src"), defrag(F.col("href")).alias("dst"))
+    edges = resolved(wanted(links(snapshot.withColumnRenamed("body", "html")))).select(defrag(F.col("src_url")).alias("src"), defrag(F.col("dst_url")).alias("dst"))
     found = reach(edges, seeds.select(defrag(F.col("url")).alias("node")), depth)
     return from_snapshot(found.select(F.col("node").alias("url")), snapshot).join(found.withColumnRenamed("node", "url"), "url")
 

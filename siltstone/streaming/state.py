@@ -18,14 +18,18 @@ def request_rate(events: DataFrame, key: str, ts: str = "ts", seconds: int = 60,
     return rows.groupBy(F.window("_at", f"{seconds} seconds", f"{slide} seconds"), key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def limiter(events: DataFrame, key: str, limit: int, seconds: int = 60) -> DataFrame:
+def limiter(events: DataFrame, key: str, limit: int, seconds: int = 60, late: str = "2 minutes") -> DataFrame:
     """key, event_id, admitted, wait_s: a trailing-window limiter with state for each key.
 
-    Every request counts once it is admitted, including one that had to wait; events of a batch are taken by time.
+    Every request counts once it is admitted, including one that had to wait; events of a batch are taken by time. A
+    key's state goes when the watermark has passed its last admission by the window.
     """
     kind = events.schema[key].dataType.simpleString()
 
     def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         times = list(state.get[0]) if state.exists else []
         rows = []
         for f in frames:
@@ -36,11 +40,12 @@ def limiter(events: DataFrame, key: str, limit: int, seconds: int = 60) -> DataF
                 times.append(at + wait)
                 rows.append((k[0], r.event_id, wait == 0.0, wait))
         state.update((times[-limit:],))
+        state.setTimeoutTimestamp(max(int((max(times) + seconds) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(rows, columns=[key, "event_id", "admitted", "wait_s"])
 
-    rows = events.select(key, "event_id", F.col("ts").cast("timestamp").cast("double").alias("at"))
+    rows = events.select(key, "event_id", F.col("ts").cast("timestamp").alias("_at"), F.col("ts").cast("timestamp").cast("double").alias("at")).withWatermark("_at", late)
     return rows.groupBy(key).applyInPandasWithState(
-        run, f"{key} {kind}, event_id long, admitted boolean, wait_s double", "times array<double>", "append", GroupStateTimeout.NoTimeout
+        run, f"{key} {kind}, event_id long, admitted boolean, wait_s double", "times array<double>", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

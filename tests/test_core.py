@@ -120,10 +120,21 @@ def test_markdown():
         "<ul><li>one<li>two<ol><li>x</ol></ul><details><summary>Q?</summary>ans</details><pre>a  b</pre><select><option>o1<option>o2</select><h3>S</h3></main>"
     )
     md = markdown.convert(page, "http://h/x/")
-    for part in ("# T", "two [l](http://h/u/) a@b.c", "**K:** v\\|1", "| A | B |", "| **S** |  |", "| 1 | 2 |", "- one\n- two\n  1. x", "**Q?**", "```\na  b\n```", "- o1\n- o2", "## S"):
+    for part in ("# T", "two [l](http://h/u/) a@b.c", "**K:** v\\|1", "| A | B |", "| **S** |  |", "| 1 | 2 |", "- one\n- two\n  1. x", "**Q?**", "```\na  b\n```", "- o1\n- o2", "### S"):
         assert part in md, part
     assert "x\n" not in md.split("# T")[0]
     assert markdown.convert(None) is None and markdown.convert("") == ""
+    deep = "<b>" * 3000 + "inner" + "</b>" * 3000
+    assert "inner" in markdown.convert(f"<main><p>{deep}</p><p>after</p></main>") and "after" in markdown.convert("<div>" * 3000 + "<script>x</script>after")
+    assert "x" not in markdown.convert("<div>" * 3000 + "<script>x</script>after")
+    wide = markdown.convert("<main><table><tr><th>a<th>b<th>c</tr><tr><td colspan=150>v<td>w</tr></table></main>")
+    assert wide.count(" --- |") == 151
+
+
+def test_heading_levels():
+    page = "<main><h2>A</h2><section><h2>B</h2><div><h3>C</h3><h3></h3></div><section><h4>D</h4></section></section><h2>E</h2></main>"
+    md = markdown.convert(page)
+    assert [x for x in md.split("\n") if x.startswith("#")][:3] == ["# A", "## B", "#### C"] and "##### D" in md and "## E" in md
 
 
 def test_routes(spark):
@@ -132,7 +143,7 @@ def test_routes(spark):
     kind = files.file_type(p, files.is_faq(p, F.lit(None).cast("string"), F.lit(0), F.lit(0), F.array().cast("array<string>")), files.is_component(p, F.col("c")), files.is_offerings(p))
     assert [r[0] for r in one(spark, "p string, c string", rows, kind)] == ["component", "offerings", "faq", "regular", "component"]
     asks = files.is_faq(F.lit("x"), F.lit(None).cast("string"), F.lit(0), F.lit(0), F.col("b"))
-    assert [r[0] for r in one(spark, "b array<string>", [(["a?", "How b", "why c", "d?"],), (["a?"],)], asks)] == [True, False]
+    assert [r[0] for r in one(spark, "b array<string>", [(["a?", "Como b", "por que c", " d? "],), (["a?", "b?", "Onde", "How b"],)], asks)] == [True, False]
 
 
 def test_dedup_and_cache(spark, tmp_path):
@@ -245,6 +256,85 @@ def test_crawl(spark):
     assert {(r["url"], r["status"]) for r in pages.fetched(front, fetch).collect()} == {("http://h/ok", 200), ("http://h/bad", -1)}
 
 
+def test_relative_links_and_quotes(spark):
+    rows = [("http://h/d/a.html", "<a class='k' href='b.html'>x</a> <A HREF=/c?q=1>y</a><img src=\"../p.png\"><a title=\"x>y\" href = \"b.html#f\">"), ("http://h/d/b.html", "<a href=//o/z>")]
+    df = spark.createDataFrame(rows, "url string, body string")
+    got = {(r["href"], r["dst_url"]) for r in graph.resolved(graph.links(df, "body")).collect()}
+    assert got == {("b.html", "http://h/d/b.html"), ("/c?q=1", "http://h/c?q=1"), ("../p.png", "http://h/p.png"), ("b.html#f", "http://h/d/b.html#f"), ("//o/z", "http://o/z")}
+    crawl = pages.crawl(spark.createDataFrame([("http://h/d/a.html",)], "url string"), df, 2)
+    assert {(r["url"], r["depth"], r["body"] is not None) for r in crawl.collect()} == {("http://h/d/a.html", 0, True), ("http://h/d/b.html", 1, True), ("http://h/c?q=1", 1, False), ("http://h/p.png", 1, False), ("http://o/z", 2, False)}
+    names = [("attachment; filename=\"my file.pdf\"", "my_file.pdf"), ("x; filename*=UTF-8''a%20b.txt", "a_b.txt"), ("inline", None), (None, None)]
+    assert [r[0] for r in one(spark, "h string", [(h,) for h, _ in names], urls.disposition_name(F.col("h")))] == [n for _, n in names]
+    assert one(spark, "u string, h string", [("http://h/d/x?y=1", names[0][0]), ("http://h/d/x", None)], urls.local_path(F.col("u"), None, F.col("h"))) == [("h/d/my_file.pdf",), ("h/d/x.html",)]
+
+
+def test_reach_without_depth(spark, tmp_path):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(12, 0)], "src long, dst long")
+    n = iter(range(99))
+
+    def write(df):
+        path = str(tmp_path / str(next(n)))
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    got = {r["node"]: r["depth"] for r in graph.reach(edges, spark.createDataFrame([(0,)], "node long"), truncate=write).collect()}
+    assert got == {i: i for i in range(13)}
+    with pytest.raises(ValueError):
+        graph.reach(edges, spark.createDataFrame([(0,)], "node long"))
+
+
+def test_first_of_ties(spark):
+    rows = [("k", 1, "a"), ("k", 1, "b"), ("k", 1, "a"), ("l", None, "c"), ("l", 2, "d"), (None, 3, "e"), (None, 3, "e")]
+    got = files.first_of(spark.createDataFrame(rows, "k string, o int, v string"), "k", "o").collect()
+    assert sorted(str(r["k"]) for r in got) == ["None", "None", "k", "l"] and {r["v"] for r in got if r["k"] == "l"} == {"d"}
+
+
+def test_trailing_window(spark):
+    g = random.Random(5)
+    rows = [(i, g.choice("ab"), g.randint(0, 400)) for i in range(300)]
+    got = {r["i"]: (r["n"], r["first"]) for r in history.trailing(spark.createDataFrame(rows, "i long, k string, s long"), "k", "s", 60).collect()}
+    for i, k, s in rows:
+        near = [t for _, j, t in rows if j == k and s - 59 <= t <= s]
+        assert got[i] == (len(near), min(near))
+
+
+def test_extract_text(spark, tmp_path):
+    for name, body in {"a.HTML": b"<main><p>hi</p></main>", "b.txt": b"plain \xff", "c.pdf": b"12345", "d.pdf": b"123456789", "e.css": b"no"}.items():
+        (tmp_path / name).write_bytes(body)
+    tree = sources.tree(spark, sources.Config(str(tmp_path)))
+    got = {os.path.basename(r["path"]): r["text"] for r in sources.extract_text(tree, 6, lambda b: b.decode()).collect()}
+    assert got == {"a.HTML": "hi", "b.txt": "plain ", "c.pdf": "12345", "d.pdf": ""}
+    assert {r["text"] for r in sources.extract_text(tree).where("path LIKE '%.pdf'").collect()} == {None}
+
+
+def test_skewed_join(spark):
+    from siltstone.operators.skew import most_frequent, split_join
+
+    g = random.Random(6)
+    rows = [(g.choice(["hot"] * 6 + ["b", "c", "d", None]), i) for i in range(200)]
+    left = spark.createDataFrame(rows, "k string, i long")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("b", 3), ("x", 4)], "k string, v int")
+    sizes = left.groupBy("k").count()
+    for how in ("inner", "left"):
+        got = split_join(left, right, "k", most_frequent(sizes, "k", "count", 1), how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).collect()))
+
+
+def test_generation_of_the_rest(spark):
+    df = spark.createDataFrame([(1, "About MAT1010 and FIS2020", ["one", "two"], True), (2, "none", ["x"], False)], "k long, t string, docs array<string>, un boolean")
+    assert {r["k"]: sorted(r["offerings"]) for r in generate.extract_offerings(df, "k", "t").collect()} == {1: ["FIS2020", "MAT1010"], 2: []}
+    assert {r["text"] for r in generate.revised_text(df, "k", "t").collect()} == {"About MAT1010 and FIS2020", "none"}
+    assert generate.unanswerable_question(df, "k", F.lit("e"), "docs").count() == 2
+    answers = generate.multihop_answer(df, "k", F.col("t"), "docs", F.col("un")).collect()
+    assert all("<ANSWER>" in r["reply"] and r["error"] is None for r in answers)
+    assert generate.multihop_answer(df, "k", F.col("t"), "docs", F.col("un"), lambda p, t: "no tags").first()["error"] == "invalid reply"
+    assert {len(r["expansion"].split("\n")) for r in generate.expand_query(df, "k", F.col("t")).collect()} == {3}
+    assert generate.expand_query(df, "k", F.col("t"), None).first()["expansion"] == ""
+    alone = generate.contextualize(df, "k", F.col("t"), F.when(F.col("un"), "before").otherwise(""), lambda p, t: " whole question ")
+    assert {r["k"]: r["query"] for r in alone.collect()} == {1: "whole question", 2: "none"}
+    assert json.loads(generate.debug_rows(df, "k", "t", "docs").where("k = 1").first()["debug"]) == {"t": "About MAT1010 and FIS2020", "docs": ["one", "two"]}
+
+
 def test_generation(spark):
     df = spark.createDataFrame([(1, ["doc a", "doc b"])], "k long, docs array<string>")
     pairs = generate.default_pairs(df, "k", "docs").orderBy("pos").collect()

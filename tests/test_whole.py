@@ -8,7 +8,7 @@ from siltstone.plans import catalog
 def test_content_hash_of_all_documents(spark, tmp_path):
     texts = [None, "", "a", "é" * 2048, "é" * 2048 + "b", "ab" * 3000, "x" * 8192, "y" * 4096 + "ü" * 2500, "head" + "z" * 20000 + "tail"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: r["content_hash"] for r in catalog.queries()["content_hash_all"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["content_hash"] for r in catalog.queries()["content_hash"](spark, str(tmp_path)).collect()}
     want = {}
     for k, t in enumerate(texts):
         b = t.encode() if t is not None else None
@@ -31,5 +31,5 @@ def test_context_window_of_all_documents(spark, tmp_path):
     middle = "word " * 3000
     texts = [None, "", "one line", f"a\n{middle}\n", f"\n{middle}\nend", f"begin end\n{middle}\nend", "x" * 9000 + "first\n" + middle + "\nlast", "é" * 20000, f"same\n{middle}\nsame", f"ab\n{middle}\nz\n{middle}\nz"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: r["around"] for r in catalog.queries()["context_window_all"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["around"] for r in catalog.queries()["context_window"](spark, str(tmp_path)).collect()}
     assert got == dict(enumerate(map(window, texts)))
