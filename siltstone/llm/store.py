@@ -3,24 +3,13 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH = 8 << 20
-
+from ..sources.shared import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Where none is named, a temporary one in local mode (tests), else an error."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not path:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="siltstone-")
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+BATCH = 8 << 20
 
 
 def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
