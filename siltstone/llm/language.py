@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .labelled import fold
-from .store import table
+from .store import materialize, table
 from .textkit import LOWER, chunks, segment_sum
 
 ORDER = 5
 PER_LANG = 200
 LONGEST = 1 << 15
 TOGETHER = 8
+BROADCAST = 500_000
 #: Bytes that can be coded: space, a-z and the bytes beyond ASCII.
 ALPHABET = 1 + 26 + 128
 UND = "und"
@@ -181,7 +182,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on documents that are chosen by a hash of doc_id."""
     own = docs.select("doc_id", "lang").where((fold(4) != 2) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= LONGEST))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = own.withColumn("r", rank).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct()
+    ids = materialize(own.withColumn("r", rank).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct(), "sample")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
     rows = docs.select("doc_id", "lang", "text").where(F.octet_length("text") <= LONGEST).join(ids, ["doc_id", "lang"]).distinct().collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
