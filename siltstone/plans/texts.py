@@ -57,6 +57,14 @@ def split_long_text(load):
     return parts.select("doc_id", "part_no", "part", F.length("part").alias("n_chars"))
 
 
+@query("SELECT doc_id, sha256(text) AS whole_sha256, true AS fits FROM documents WHERE text IS NOT NULL")
+def split_round_trip(load):
+    """The parts of ``split_long_text`` put together again, and whether each is short enough."""
+    parts = chunks.split_long(load("documents"), "doc_id", "text", 8000).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("part_no", "part"))).alias("parts"))
+    whole = F.array_join(F.transform("parts", lambda x: x["part"]), "")
+    return parts.select("doc_id", F.sha2(whole, 256).alias("whole_sha256"), F.forall("parts", lambda x: F.length(x["part"]) <= 8000).alias("fits"))
+
+
 @query("SELECT source, ((r - 1) // 5)::BIGINT AS batch, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS members FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) GROUP BY 1, 2")
 def batches(load):
     rows = chunks.batches(load("documents"), "source", "doc_id", 5)
