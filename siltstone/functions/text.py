@@ -158,45 +158,38 @@ def around_batch(document: Column, first: Column, last: Column, tail: int = 200,
 
 
 def repair(s: str | None) -> str | None:
-    """A JSON object from text that is nearly one; null if it cannot be read."""
+    """A JSON object from text that is nearly one; null if it cannot be read.
+
+    The text from the first to the last brace is read. Wherever the decoder stops, what it stumbled over is escaped and
+    it reads again: a raw control character, a stray backslash, or else the last quote before, which then was part of a string.
+    """
     if s is None:
         return None
-    m = re.search(r"\{.*\}", s, re.S)
-    body = m[0] if m else s
-    for attempt in (body, _escaped(body)):
+    body = s[s.find("{") : s.rfind("}") + 1] or s
+    shown: str | None = body
+    for _ in range(len(body) + 1):
         try:
-            got = json.loads(attempt)
+            got = json.loads(shown)
             return json.dumps(got, ensure_ascii=False) if isinstance(got, dict) else None
-        except ValueError:
-            pass
+        except json.JSONDecodeError as e:
+            shown = _mended(shown, e)
+        if shown is None:
+            break
     pair = re.search(r'"question"\s*:\s*"(.*?)"\s*,\s*"answer"\s*:\s*"(.*)"', body, re.S)
     return json.dumps({"question": pair[1], "answer": pair[2]}, ensure_ascii=False) if pair else None
 
 
-def _escaped(s: str) -> str:
-    """Quotes inside strings, raw line ends and stray backslashes, escaped."""
-    out, inside, i = [], False, 0
-    while i < len(s):
-        c = s[i]
-        if not inside:
-            inside = c == '"'
-            out.append(c)
-        elif c == "\\":
-            if i + 1 < len(s) and s[i + 1] in '"\\/bfnrtu':
-                out.append(s[i : i + 2])
-                i += 1
-            else:
-                out.append("\\\\")
-        elif c == '"':
-            if re.match(r"\s*([,:}\]]|$)", s[i + 1 :]):
-                inside = False
-                out.append(c)
-            else:
-                out.append('\\"')
-        else:
-            out.append({"\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(c, c))
-        i += 1
-    return "".join(out)
+def _mended(s: str, e: json.JSONDecodeError) -> str | None:
+    """``s`` with one character escaped at the decoder's error; null where nothing can be."""
+    if e.msg.startswith("Invalid control"):
+        return s[: e.pos] + json.dumps(s[e.pos])[1:-1] + s[e.pos + 1 :]
+    if e.msg.startswith("Unterminated"):
+        return None
+    mark = "\\" if e.msg.startswith("Invalid \\") else '"'
+    at = s.rfind(mark, 0, e.pos + (mark == "\\"))
+    while mark == '"' and at > 0 and (at - len(s[:at].rstrip("\\"))) % 2:
+        at = s.rfind(mark, 0, at)
+    return s[:at] + "\\" + s[at:] if at >= 0 else None
 
 
 @F.pandas_udf(StringType())

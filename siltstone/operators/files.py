@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import strip
 from ..functions.urls import glob_regex
+from .rank import row_numbers
 
 #: What names a page of questions, and words that open a question.
 FAQ_NAMES = ("faq", "perguntas", "frequentes", "duvidas", "q&a")
@@ -73,10 +74,10 @@ def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def collision_suffix(df: DataFrame, name: str, key: str) -> DataFrame:
-    """``name`` made unique: the second owner of a name gets _1 before its suffix, the third _2, by key."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(key)) - 1
+    """``name`` made unique: the second owner of a name gets _1 before its suffix, the third _2, by key (a number or a time)."""
+    n = F.col("_owner")
     stem, ext = F.regexp_extract(name, r"^(.*?)(\.[^./]*)?$", 1), F.regexp_extract(name, r"(\.[^./]*)$", 1)
-    return df.withColumn("_n", n).withColumn("unique_name", F.when(F.col("_n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_n"), ext))).drop("_n")
+    return row_numbers(df, name, "_owner", [key]).withColumn("unique_name", F.when(n == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), n, ext))).drop("_owner")
 
 
 def with_default(df: DataFrame, known: DataFrame, key: str, value: str, default: str) -> DataFrame:

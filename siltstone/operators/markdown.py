@@ -28,6 +28,8 @@ BLOCKS = frozenset("p div section article main ul ol table blockquote pre h1 h2
 #: Fixed value: HTML reads a larger colspan as this one.
 COLSPAN = 1000
 NESTING, LEVELS = 3, 6
+#: Classes of tables of labels and values.
+PAIR_TABLES = frozenset(("visualizacao", "programaRelatorio"))
 
 
 class Node:
@@ -127,17 +129,15 @@ def link(n: Node, base: str, inner: str) -> str:
     return f"[{inner}]({url})" if inner else ""
 
 
-def grid(table: Node) -> list[list[Node]]:
-    """Rows of cells, without those of nested tables."""
+def grid(table: Node) -> list[Node]:
+    """Rows with cells, without those of nested tables."""
     rows = []
     for k in table.kids:
-        if isinstance(k, str):
-            continue
-        if k.tag == "tr":
-            rows.append([c for c in k.kids if isinstance(c, Node) and c.tag in ("td", "th")])
-        elif k.tag in ("thead", "tbody", "tfoot"):
+        if isinstance(k, Node) and k.tag == "tr":
+            rows += [k] if cells_of(k) else []
+        elif isinstance(k, Node) and k.tag in ("thead", "tbody", "tfoot"):
             rows += grid(k)
-    return [r for r in rows if r]
+    return rows
 
 
 def cell_text(c: Node, base: str) -> str:
@@ -146,30 +146,67 @@ def cell_text(c: Node, base: str) -> str:
 
 
 def table_md(t: Node, base: str) -> str:
-    rows = grid(t)
+    """Rows of a label and a value as bold pairs; else a grid: caption, column names, rows padded to the widest, section rows as headings."""
+    rows = [cells_of(r) for r in grid(t)]
     caption = next((inline(n, base).strip() for n in t.walk() if n.tag == "caption"), "")
-    out = [f"**{caption}**", ""] if caption else []
-    hint = re.search(r"info|detail|key|data", t.attrs.get("class", ""))
-    pairs = rows and all(len(r) == 2 for r in rows[:5]) and (hint or sum(map(len, rows)) < 10 or all(r[0].tag == "th" for r in rows[:5]))
-    if pairs:
-        for r in rows:
-            cells = [cell_text(c, base) for c in r]
-            out.append(f"**{cells[0].rstrip(':')}:** {cells[1]}" if len(cells) == 2 else f"### {' '.join(cells)}")
-        return "\n".join(out)
-    width = max((sum(span(c) for c in r) for r in rows), default=0)
-    lines, header = [], False
-    for r in rows:
-        cells: list[str] = []
-        for c in r:
-            cells += [cell_text(c, base)] + [""] * (span(c) - 1)
-        if len(r) == 1 and width > 1 and span(r[0]) >= width:
-            lines.append("| " + " | ".join([f"**{cells[0]}**"] + [""] * (width - 1)) + " |")
+    out = [f"#### {caption}", ""] if caption else []
+    widths = [len(r) for r in rows]
+    hint = PAIR_TABLES & set(t.attrs.get("class", "").split())
+    named = sum(n.tag == "th" and n.attrs.get("scope") == "col" for n in t.walk())
+    if rows and max(widths) <= 2 and (hint or set(widths[:5]) == {2} or (sum(widths) < 10 and len(rows) > named)):
+        return "\n".join(out + [pair(r, base) for r in rows]).strip("\n")
+    head = header(t)
+    foot = [id(r) for part in t.kids if isinstance(part, Node) and part.tag == "tfoot" for r in part.kids]
+    over = [id(r) for r in head]
+    width = max((sum(span(c) for c in cells_of(r)) for r in grid(t) if id(r) not in foot), default=0)
+    titles = padded(head[-1], width, base) if head else []
+    names = [line(titles), "|" + " --- |" * width] if head else []
+    out += names
+    for r in grid(t):
+        if id(r) in over or id(r) in foot:
             continue
-        lines.append("| " + " | ".join(cells + [""] * (width - len(cells))) + " |")
-        if not header:
-            lines.append("|" + " --- |" * width)
-            header = True
-    return "\n".join(out + lines)
+        own = cells_of(r)
+        if "agrupador" in r.attrs.get("class", "").split() or (len(own) == 1 and width > 1 and span(own[0]) >= width - 1 and "colspan" in own[0].attrs):
+            title = re.sub(r"\s+", " ", r.text()).strip()
+            out += ["", f"### {title}", "", *names] if title else []
+            continue
+        cells = padded(r, width, base)
+        if any(cells):
+            out.append(line(cells))
+    closing = re.sub(r"\s+", " ", " ".join(cell_text(c, base) for r in grid(t) if id(r) in foot for c in cells_of(r))).strip()
+    return "\n".join(out + (["", f"**{closing}**"] if closing else []))
+
+
+def pair(cells: list[Node], base: str) -> str:
+    """A label and its value; a cell alone is a heading if it is a th, else a line."""
+    shown = [cell_text(c, base) for c in cells]
+    if len(shown) == 1:
+        return f"\n### {shown[0]}\n" if cells[0].tag == "th" and shown[0] else shown[0]
+    label = f"**{shown[0].rstrip(':').strip()}:**" if shown[0] else ""
+    return f"{label} {shown[1]}".strip()
+
+
+def cells_of(row: Node) -> list[Node]:
+    return [c for c in row.kids if isinstance(c, Node) and c.tag in ("td", "th")]
+
+
+def header(table: Node) -> list[Node]:
+    """The rows that name the columns: those of thead, else a first row of th cells only."""
+    named = [r for part in table.kids if isinstance(part, Node) and part.tag == "thead" for r in grid(part)]
+    first = grid(table)[:1]
+    return named or [r for r in first if all(c.tag == "th" for c in cells_of(r))]
+
+
+def padded(row: Node, width: int, base: str) -> list[str]:
+    """The row's cells, each followed by empty ones for its span, up to ``width``."""
+    cells: list[str] = []
+    for c in cells_of(row):
+        cells += [cell_text(c, base)] + [""] * (span(c) - 1)
+    return cells + [""] * (width - len(cells))
+
+
+def line(cells: list[str]) -> str:
+    return "| " + " | ".join(cells) + " |"
 
 
 def span(c: Node) -> int:

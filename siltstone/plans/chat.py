@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import assemble, history
+from ..operators import assemble, history, rank
 from .registry import STRIP, query
 
 FLAG = "contains(lower(text), 'er')"
@@ -123,15 +123,13 @@ def trailing_60s(load):
     SELECT user_id, k::BIGINT AS session, count(*) AS n FROM s GROUP BY 1, 2"""
 )
 def session_activity(load):
-    by = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = (F.col("ts") - F.lag("ts").over(by)) <= F.expr("INTERVAL 30 MINUTE")
-    rows = load("events").withColumn("fresh", F.when(gap, 0).otherwise(1))
-    return rows.withColumn("session", F.sum("fresh").over(by)).groupBy("user_id", "session").agg(F.count(F.lit(1)).alias("n"))
+    rows = rank.sessions(load("events"), "user_id", ["ts", "event_id"], F.expr("INTERVAL 30 MINUTE"), "session")
+    return rows.groupBy("user_id", "session").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     """SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_purchase FROM events"""
 )
 def asof_last_event(load):
-    by = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    return load("events").select("event_id", F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), ignorenulls=True).over(by).alias("last_purchase"))
+    bought = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    return rank.last_before(load("events"), "user_id", ["ts", "event_id"], bought, "last_purchase").select("event_id", "last_purchase")

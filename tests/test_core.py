@@ -81,6 +81,11 @@ def test_text(spark):
         ('x {"a": "say "hi" now"} y', {"a": 'say "hi" now'}),
         ('{"a": "two\nlines"}', {"a": "two\nlines"}),
         (r'{"a": "bad \q"}', {"a": r"bad \q"}),
+        (r'{"a": "bad \u12"}', {"a": r"bad \u12"}),
+        ('{"a": "say "hi", then"}', {"a": 'say "hi", then'}),
+        ('{"a": ["x "y", z", "w"]}', {"a": ['x "y", z', "w"]}),
+        ('{"question": "a"b", "answer": "c "d" e"}', {"question": 'a"b', "answer": 'c "d" e'}),
+        ("}{", None),
         ("[1, 2]", None),
         ("hopeless", None),
         (None, None),
@@ -116,11 +121,11 @@ def test_chunk_rows(spark):
 def test_markdown():
     page = (
         '<body><nav>x</nav><main><h2>T</h2><p>a <b>bold<br>next<p>two <a href="/u/index.html">l</a> <a href="mailto:a@b.c?x=1">m</a>'
-        '<table class="info"><tr><th>K:</th><td>v|1</td></tr></table><table><tr><th>A<th>B</tr><tr><td colspan=2>S</td></tr><tr><td>1<td>2</tr></table>'
+        '<table class="info"><tr><th>K:</th><td>v|1</td></tr></table><table><caption>C</caption><thead><tr><th scope=col>A<th scope=col>B<th>D</tr></thead><tr><td colspan=3>S</td></tr><tr><td>1<td>2<br>3</tr><tfoot><tr><td>end</tr></tfoot></table>'
         "<ul><li>one<li>two<ol><li>x</ol></ul><details><summary>Q?</summary>ans</details><pre>a  b</pre><select><option>o1<option>o2</select><h3>S</h3></main>"
     )
     md = markdown.convert(page, "http://h/x/")
-    for part in ("# T", "two [l](http://h/u/) a@b.c", "**K:** v\\|1", "| A | B |", "| **S** |  |", "| 1 | 2 |", "- one\n- two\n  1. x", "**Q?**", "```\na  b\n```", "- o1\n- o2", "### S"):
+    for part in ("# T", "two [l](http://h/u/) a@b.c", "**K:** v\\|1", "#### C\n\n| A | B | D |\n| --- | --- | --- |\n\n### S\n\n| A | B | D |\n| --- | --- | --- |\n| 1 | 2; 3 |  |\n\n**end**", "- one\n- two\n  1. x", "**Q?**", "```\na  b\n```", "- o1\n- o2", "### S"):
         assert part in md, part
     assert "x\n" not in md.split("# T")[0]
     assert markdown.convert(None) is None and markdown.convert("") == ""
@@ -131,6 +136,16 @@ def test_markdown():
     assert wide.count(" --- |") == 151
 
 
+def test_tables():
+    md = lambda t: markdown.convert(f"<main><table {t}</table></main>")
+    assert md("><tr><td>a:<td>1</tr><tr><td>b<td></tr><tr><td><td>2</tr><tr><th>T</tr><tr><td>l</tr>") == "**a:** 1\n**b:**\n2\n\n### T\n\nl"
+    assert md("class='x visualizacao'>" + "<tr><td>only</tr>" * 12 + "<tr><td>k<td>v</tr>").endswith("**k:** v")
+    plain = "".join(f"<tr><td>{i}<td>x|{i}<td>z</tr>" for i in range(3))
+    assert md(f">{plain}") == "\n".join(f"| {i} | x\\|{i} | z |" for i in range(3))
+    assert md(f"><tr><td>a<td>b<td>c</tr><tr class=agrupador><td>G<td>H</tr>{plain}").startswith("| a | b | c |\n\n### GH\n\n| 0 |")
+    assert md("><tr><td><td><td></tr>") == "" and md(">") == ""
+
+
 def test_heading_levels():
     page = "<main><h2>A</h2><section><h2>B</h2><div><h3>C</h3><h3></h3></div><section><h4>D</h4></section></section><h2>E</h2></main>"
     md = markdown.convert(page)
@@ -375,19 +390,45 @@ def test_streams(spark, tmp_path):
     assert flagged.count() == 1
 
 
+def hot_rows(n=400):
+    g = random.Random(3)
+    return [(g.choice(["hot"] * 5 + ["a", "b", None]), g.choice([i, i * 1000, 7]), i, g.choice([None, i])) for i in range(n)]
+
+
 def test_row_numbers(spark):
     from pyspark.sql import Window
 
-    from siltstone.operators.rank import row_numbers
-
-    g = random.Random(3)
-    rows = [(g.choice(["hot"] * 5 + ["a", "b", None]), i * g.choice([1, 1000])) for i in range(400)]
-    df = spark.createDataFrame(rows, "g string, k long")
-    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
-    got = row_numbers(df, "g", "r", ["k"], buckets=7, total="n")
-    pick = lambda d: sorted((str(r["g"]), r["k"], r["r"]) for r in d.collect())
-    assert [x[2] for x in pick(got)] == [x[2] for x in pick(want)]
-    assert {r["g"]: r["n"] for r in got.collect()} == {k: sum(a == k for a, _ in rows) for k in {a for a, _ in rows}}
+    from siltstone.operators.rank import bucketed, row_numbers
+
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "g string, k long, i long, v long").repartition(3)
+    assert bucketed(df, "g", F.col("k"), size=60).where("g = 'hot'").select("_b").distinct().count() > 2
+    unit = F.col("k") / F.lit(1e6)
+    for by, spread in ((["k", "i"], None), ([unit, "i"], unit)):
+        want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*by)) - 1)
+        for size in (20, 60, 1000):
+            got = row_numbers(df, "g", "r", by, spread, size, total="n")
+            pick = lambda d: {r["i"]: r["r"] for r in d.collect()}
+            assert pick(got) == pick(want)
+            assert {r["g"]: r["n"] for r in got.collect()} == {x[0]: sum(a[0] == x[0] for a in rows) for x in rows}
+    assert row_numbers(df.limit(0), "g", "r", ["k"], size=2).count() == 0
+
+
+def test_carried_over_buckets(spark):
+    from siltstone.operators import rank
+
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "g string, k long, i long, v long").repartition(3)
+    for size in (20, 60, 1000):
+        last = {r["i"]: r["o"] for r in rank.last_before(df, "g", ["k", "i"], F.col("v"), "o", size).collect()}
+        numbers = {r["i"]: r["s"] for r in rank.sessions(df, "g", ["k", "i"], F.lit(900), "s", size).collect()}
+        for group in {r[0] for r in rows}:
+            own = sorted((r[1], r[2], r[3]) for r in rows if r[0] == group)
+            seen, number, before = None, 0, None
+            for k, i, v in own:
+                number += before is None or k - before > 900
+                assert (last[i], numbers[i]) == (seen, number)
+                seen, before = seen if v is None else v, k
 
 
 def test_details(spark):
