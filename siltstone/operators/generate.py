@@ -52,6 +52,20 @@ def stub(prompt: str, temperature: float = 0.0) -> str:
     return f"<REASON>From the text: <quote>{body[:80]}</quote></REASON><ANSWER>{h}</ANSWER>"
 
 
+def with_fallback(*generators: Generator) -> Generator:
+    """The first generator's reply; where it fails, the next one's; the last one's failure is the caller's."""
+
+    def ask(text: str, temperature: float) -> str:
+        for g in generators[:-1]:
+            try:
+                return g(text, temperature)
+            except Exception:  # noqa: BLE001, S112  (any failure of a model is answered by the next)
+                continue
+        return generators[-1](text, temperature)
+
+    return ask
+
+
 #: Contracts of the prompts: what each must return. The wording is this library's own.
 CONTRACTS = {
     "chunks": "Divide the text into self-contained passages, each with a topic.",
@@ -145,6 +159,13 @@ def default_pairs(batches: DataFrame, key: str, docs: str, generator: Generator
     return rows.select(key, "pos", F.col("z")["doc"].alias("doc"), F.col("z")["questions"].alias("question"), F.col("z")["answers"].alias("answer"))
 
 
+def component_pairs(rows: DataFrame, key: str, text: str, generator: Generator = stub) -> DataFrame:
+    """key, question, answer: what a component's text answers, in one pass; pairs that lack either are left out."""
+    got = call(rows.select(key, prompt("qa_pairs", F.col(text)).alias("p")), key, "p", generator, lambda r: is_object(r, "qa_pairs"))
+    pairs = F.from_json(json_object(F.col("reply")), "qa_pairs array<struct<question:string,answer:string>>")["qa_pairs"]
+    return got.select(key, F.inline(pairs)).where("coalesce(question, '') <> '' AND coalesce(answer, '') <> ''")
+
+
 def rephrase(batches: DataFrame, key: str, pairs: str, generator: Generator = stub) -> DataFrame:
     """key, pairs rewritten; a batch with another number of pairs is dropped."""
     asked = batches.select(key, pairs, prompt("qa_pairs", numbered(F.col(pairs))).alias("p"))
@@ -291,3 +312,25 @@ def answer(conversations: DataFrame, corpus: DataFrame, system: str, k: int = 10
     shown = F.when(F.col("label") == "domain_query", F.coalesce("docs", F.lit(""))).otherwise("")
     prompts = history.chat_prompt(joined, shown, system)
     return prompts.join(call(prompts, "conv_id", "prompt", generator).select("conv_id", "reply"), "conv_id").join(label, "conv_id")
+
+
+def plain_chat(conversations: DataFrame, system: str, generator: Generator = stub) -> DataFrame:
+    """conv_id, prompt, reply: the last user turn of each valid conversation, answered without documents."""
+    from . import history
+
+    valid = history.valid_requests(conversations).where("valid").select("conv_id")
+    prompts = history.chat_prompt(conversations.join(valid, "conv_id", "left_semi"), F.lit(""), system)
+    return prompts.join(call(prompts, "conv_id", "prompt", generator).select("conv_id", "reply"), "conv_id")
+
+
+def ask_each(questions: DataFrame, key: str, question: str, generator: Generator = stub) -> DataFrame:
+    """key, reply, attempts, error, seconds: a list of questions put to a service as they are, with the time that each took."""
+    import time
+
+    def timed(text: str, temperature: float) -> str:
+        began = time.monotonic()
+        return f"{generator(text, temperature)}\n{time.monotonic() - began:.6f}"
+
+    got = call(questions, key, question, timed)
+    line = F.regexp_extract("reply", r"\n([0-9.]+)$", 1)
+    return got.withColumns({"seconds": F.nullif(line, F.lit("")).cast("double"), "reply": F.regexp_replace("reply", r"\n[0-9.]+$", "")})

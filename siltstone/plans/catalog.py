@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, crawl, fields, retrieval, texts, training  # noqa: F401  (they register their queries)
+from . import chat, crawl, fields, models, retrieval, texts, training  # noqa: F401  (they register their queries)
 from .registry import QUERIES, SQL
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import assemble, history, rank
+from ..streaming import state
 from .registry import STRIP, query
 
 FLAG = "contains(lower(text), 'er')"
@@ -133,3 +134,18 @@ def session_activity(load):
 def asof_last_event(load):
     bought = F.when(F.col("event_type") == "purchase", F.col("event_id"))
     return rank.last_before(load("events"), "user_id", ["ts", "event_id"], bought, "last_purchase").select("event_id", "last_purchase")
+
+
+@query(
+    """WITH w AS (SELECT event_type, (epoch(date_trunc('second', ts))::BIGINT // 10 - k) * 10 AS s FROM events, range(0, 6) t(k))
+    SELECT strftime(make_timestamp(s * 1000000), '%Y-%m-%d %H:%M:%S') AS since, event_type, count(*) AS n FROM w GROUP BY s, event_type"""
+)
+def request_rate(load):
+    """Requests in sliding minutes; ``since`` is a window's first second."""
+    got = state.request_rate(load("events"), "event_type")
+    return got.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("since"), "event_type", "n")
+
+
+@query(f"SELECT DISTINCT conv_id, sha256({STRIP.format('text')}) AS text_hash FROM conversations WHERE role = 'user' AND {FLAG}")
+def flagged_questions(load):
+    return state.flagged_questions(load("conversations"), F.lower("text").contains("er"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
-from ..operators import assemble, chunks, files, markdown, offerings
+from ..operators import assemble, chunks, details, files, markdown, offerings
 from ..operators.rank import row_numbers
 from .registry import STRIP, query
 
@@ -166,6 +166,53 @@ def html_to_markdown(load):
     return load("pages").select("page_id", markdown.to_markdown(F.col("html"), F.col("url")).alias("markdown"))
 
 
+@query(
+    r"""SELECT page_id, '# ' || trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \n\t\r]+', ' ', 'g')) AS heading FROM pages"""
+)
+def markdown_heading(load):
+    """The first line of each page's Markdown."""
+    return load("pages").select("page_id", F.substring_index(markdown.to_markdown(F.col("html"), F.col("url")), "\n", 1).alias("heading"))
+
+
+@query(
+    """SELECT r_regionkey, '#### ' || r_name || chr(10) || chr(10) || '| Key | Name | Note |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |  |', chr(10) ORDER BY n_nationkey) || chr(10)
+    || chr(10) || '### Sum' || chr(10) || chr(10) || '| Key | Name | Note |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || count(*) || '; x\\|y | a | b |' || chr(10) || chr(10) || '**end**' AS grid,
+    '**Key:** ' || r_regionkey || chr(10) || '**Name:** ' || r_name || chr(10) || chr(10) || '### Part' || chr(10) || chr(10) || 'alone' AS pairs FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name"""
+)
+def markdown_tables(load):
+    """Each region's nations as a table of columns, and its fields as a table of labels."""
+    row = F.concat(F.lit("<tr><td>"), "n_nationkey", F.lit("<td><b></b>"), "n_name", F.lit("</tr>"))
+    rows = load("nation").groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("row")))), lambda x: x["row"]), "").alias("rows"), F.count(F.lit(1)).alias("n"))
+    own = load("region").join(rows, F.col("r_regionkey") == F.col("n_regionkey"))
+    grid = F.concat(
+        F.lit("<table><caption>"), "r_name", F.lit("</caption><thead><tr><th scope=col>Key<th scope=col>Name<th>Note</tr></thead><tbody>"), "rows", F.lit("<tr><td colspan=3>Sum</tr><tr><td>"), "n",
+        F.lit("<br>x|y<td>a<td>b</tr></tbody><tfoot><tr><td>end</tr></tfoot></table>"),
+    )
+    pairs = F.concat(F.lit("<table class=visualizacao><tr><th>Key:<td>"), "r_regionkey", F.lit("</tr><tr><th>Name<td>"), "r_name", F.lit("</tr><tr><th>Part</tr><tr><td>alone</tr></table>"))
+    return own.select("r_regionkey", markdown.to_markdown(grid, F.lit("")).alias("grid"), markdown.to_markdown(pairs, F.lit("")).alias("pairs"))
+
+
+@query("""SELECT page_id, '<p>mail <a href="mailto:p' || page_id || '@h.org">p' || page_id || '@h.org</a> </p>' || CASE WHEN page_id % 2 = 0 THEN '<span id="cloak0f">a</span><script>var x = 1;</script>' ELSE '' END AS shown FROM pages""")
+def mail_revealed(load):
+    n = F.col("page_id").cast("string")
+    cloaked = F.concat(F.lit("<p>mail <span id=\"cloak1a\">hidden</span><script type='x'>var addy1 = 'p' + '"), n, F.lit("' + '&#64;'; addy1 = addy1 + 'h' + '&#46;' + 'org';</script> </p>"))
+    odd = F.when(F.col("page_id") % 2 == 0, '<span id="cloak0f">a</span><script>var x = 1;</script>').otherwise("")
+    return load("pages").select("page_id", text.email_deobfuscate(F.concat(cloaked, odd)).alias("shown"))
+
+
+CODE = "'MAT' || lpad((p_partkey % 10000)::VARCHAR, 4, '0')"
+
+
+@query(f"SELECT p_partkey, '( ' || p_name || ' (' || {CODE} || ') E ALG2020 ) OU FIS1001' AS expr, '(,' || {CODE} || ',E,ALG2020,),OU,FIS1001' AS tokens, p_name AS title FROM part")
+def requirements(load):
+    """Prerequisite cells as expressions and as tokens, and one detail of a table of labels."""
+    code = F.concat(F.lit("MAT"), F.lpad((F.col("p_partkey") % 10000).cast("string"), 4, "0"))
+    cell = F.concat(F.lit('( <a title="'), "p_name", F.lit('">'), code, F.lit("</a> E <a>ALG2020</a> ) OU FIS1001"))
+    pairs = details.detail_pairs(F.concat(F.lit("<table><tr><th>Title:<td>"), "p_name", F.lit("</tr><tr><td>alone</tr></table>")))
+    plain = F.concat(F.lit("( "), code, F.lit(" E ALG2020 ) OU FIS1001"))
+    return load("part").select("p_partkey", details.requirement_expr(cell).alias("expr"), F.array_join(text.requirement_tokens(plain), ",").alias("tokens"), details.syllabus_url(pairs, "Title").alias("title"))
+
+
 _ASKS = "lambda x: ends_with(trim(x, ' ' || chr(10) || chr(9) || chr(13)), '?') OR regexp_matches(lower(trim(x, ' ' || chr(10) || chr(9) || chr(13))), '^(como|existe|existem|qual|quais|o que|onde|quando|por que|posso)')"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import REJECT_EXT, defrag, ext_of
+from ..functions.urls import host as url_host
 
 PAGE = "url string, status int, content_type string, body string"
 
@@ -47,6 +48,24 @@ def fetched(frontier: DataFrame, fetch: Fetcher, attempts: int = 3) -> DataFrame
     return todo.mapInPandas(run, PAGE)
 
 
+def probed(frontier: DataFrame, head: Callable[[str], str | None], host: str, attempts: int = 3) -> DataFrame:
+    """url, content_type: what a HEAD request says of URLs on other hosts; null on ``host`` itself, which is not asked, and after failures."""
+
+    def one(u: str) -> str | None:
+        for _ in range(attempts):
+            try:
+                return head(u)
+            except OSError:
+                continue
+        return None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"url": b["url"], "content_type": pd.Series([one(u) if away else None for u, away in zip(b["url"], b["away"])], dtype=object)})
+
+    return frontier.select("url", (url_host(F.col("url")) != host).alias("away")).mapInPandas(run, "url string, content_type string")
+
+
 def crawl(seeds: DataFrame, snapshot: DataFrame, depth: int) -> DataFrame:
     """url, depth, body reached from ``seeds`` (url) through a snapshot (url, body), level by level."""
     from ..operators.graph import links, reach, resolved, wanted

@@ -13,7 +13,7 @@ from ..functions.keys import text_hash
 
 
 def request_rate(events: DataFrame, key: str, ts: str = "ts", seconds: int = 60, slide: int = 10, late: str = "2 minutes") -> DataFrame:
-    """Requests of each key in sliding windows, with a watermark; ``ts`` without a zone is read as UTC."""
+    """Requests of each key in sliding windows, with a watermark; ``ts`` without a zone is read in the session's."""
     rows = events.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", late)
     return rows.groupBy(F.window("_at", f"{seconds} seconds", f"{slide} seconds"), key).agg(F.count(F.lit(1)).alias("n"))
 

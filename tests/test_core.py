@@ -371,6 +371,36 @@ def test_generation(spark):
     assert "alpha text" in got["prompt"] and "beta" not in got["prompt"] and got["reply"]
 
 
+def test_plain_questions(spark):
+    def down(prompt, temperature):
+        raise RuntimeError("down")
+
+    turns = [(1, 0, "user", "about alpha"), (2, 0, "user", "x"), (2, 1, "assistant", "y"), (3, 0, "user", " ")]
+    conv = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = generate.plain_chat(conv, "Be brief.", generate.with_fallback(down, lambda p, t: p.upper())).collect()
+    assert [r["conv_id"] for r in got] == [1] and "ABOUT ALPHA" in got[0]["reply"] and "<DOCUMENT>" not in got[0]["prompt"]
+    asked = generate.ask_each(conv.selectExpr("conv_id * 10 + turn AS k", "text"), "k", "text", lambda p, t: f"{p}\n2" if p != "y" else down(p, t)).collect()
+    assert {r["k"]: r["reply"] for r in asked} == {10: "about alpha\n2", 20: "x\n2", 21: None, 30: " \n2"}
+    assert all((r["seconds"] is None) == (r["reply"] is None) for r in asked)
+    dead = generate.call(conv.withColumn("p", F.col("text")), "conv_id", "p", generate.with_fallback(down, down)).first()
+    assert dead["reply"] is None and "down" in dead["error"]
+    none = generate.component_pairs(conv, "conv_id", "text", lambda p, t: '{"qa_pairs": [{"question": "q", "answer": ""}]}')
+    assert none.count() == 0
+
+
+def test_probed(spark):
+    from siltstone.sources import pages
+
+    def head(url):
+        if url.endswith("down"):
+            raise OSError
+        return "application/pdf" if url.endswith("f") else None
+
+    urls_ = ["http://h.org/f", "http://x.org/f", "http://x.org/down", "http://x.org/a"]
+    got = pages.probed(spark.createDataFrame([(u,) for u in urls_], "url string"), head, "h.org").collect()
+    assert {r["url"]: r["content_type"] for r in got} == dict(zip(urls_, [None, "application/pdf", None, None]))
+
+
 def test_streams(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     spark.range(4).selectExpr("id AS k").write.parquet(src)
