@@ -110,9 +110,9 @@ def gather_jsonl(spark: SparkSession, path: str, schema: StructType | str, glob:
     return df
 
 
-def combine_json(spark: SparkSession, path: str, schema: StructType | str, folders: tuple[str, ...]) -> DataFrame:
+def combine_json(spark: SparkSession, path: str, schema: StructType | str, folders: tuple[str, ...], glob: str = "*.json") -> DataFrame:
     """The objects of JSON list files below folders of the given names; other items and files are left out, each file is read once."""
-    files = texts(spark, path, "*.json").where(F.col("path").rlike(rf"/(?:{'|'.join(folders)})/"))
+    files = texts(spark, path, glob).where(F.col("path").rlike(rf"/(?:{'|'.join(folders)})/"))
     items = files.select(F.explode(F.from_json("text", "array<string>")).alias("item")).where(F.ltrim("item").startswith("{"))
     shape = schema if isinstance(schema, str) else schema.simpleString()
     return items.select(F.from_json("item", shape).alias("x")).select("x.*")
@@ -128,7 +128,7 @@ def load_split(spark: SparkSession, path: str, split: str, seed: str | None = No
     rows = spark.read.parquet(path).where(F.col("split") == split)
     if seed is None:
         return rows
-    return rows.orderBy(F.sha2(F.concat_ws("|", F.lit(seed), F.to_json(F.struct("*"))), 256))
+    return rows.orderBy(F.sha2(F.concat_ws("|", F.lit(seed), F.to_json(F.struct(*rows.columns))), 256))
 
 
 class Stage:

@@ -196,6 +196,12 @@ def test_sources(spark, tmp_path):
     assert [tuple(r) for r in sources.gather_jsonl(spark, out, "a string, b int").collect()] == [("é", 1)]
 
 
+def test_seeded_split_order(spark, tmp_path):
+    sources.publish(spark.range(50).selectExpr("id", "if(id < 40, 'train', 'val') AS split"), str(tmp_path / "s"))
+    order = lambda seed: [r["id"] for r in sources.load_split(spark, str(tmp_path / "s"), "train", seed).collect()]
+    assert order("a") == order("a") != order("b") and sorted(order("a")) == sorted(order(None)) == list(range(40))
+
+
 def test_retrieval_in_blocks(spark, monkeypatch):
     g = random.Random(2)
     rows = [(i, [g.random() for _ in range(4)]) for i in range(30)]
