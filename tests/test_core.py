@@ -476,3 +476,29 @@ def test_details(spark):
     assert details.expression(cell) == "( Calculus (MAT1010) E ALG2020 ) OU FIS1001"
     df = spark.createDataFrame([(page,), (None,)], "h string").select(details.syllabus_url(details.detail_pairs("h"), "Code").alias("v"))
     assert [r["v"] for r in df.collect()] == ["MAT1010", None]
+
+
+def test_catalogue_pages(spark):
+    from siltstone.operators import details
+
+    row = lambda k, n: f"<tr><td>{k}</td><td> {n} </td><td><a title='Programa Atual do Componente' onclick=\"f({{'idComponente':'{k[-2:]}'}})\">p</a></td></tr>"
+    listing = f"<form><table class=listagem><tbody>{row('MAT1010', 'Calculus')}{row('MAT1011', 'Algebra')}<tr><td>MAT1012<td>no link</tr></tbody></table></form>"
+    page = (
+        "<table class=visualizacao><caption>Dados Gerais do Componente Curricular</caption><tbody><tr><th>Código:</th><td>MAT1010</td></tr><tr><th>Pré-Requisitos:</th><td>( <acronym title='FIS1001 - Physics'>FIS1001</acronym> ou"
+        " <acronym title='X'>ALG2020</acronym> )</td></tr><tr><th>Co-Requisitos:</th><td>-</td></tr></tbody></table><table><caption>Outros componentes que têm esse componente como pré-requisito</caption><tr><td>A</td></tr><tr><td>B</td></tr></table>"
+    )
+    got = details.scraped(
+        spark.createDataFrame([("u", listing), ("v", None)], "unit string, html string"),
+        spark.createDataFrame([("10", page)], "component_id string, html string"),
+        spark.createDataFrame([("11", "<p>programme</p>")], "component_id string, html string"),
+    )
+    found = {r["code"]: r for r in got.collect()}
+    assert set(found) == {"MAT1010", "MAT1011"} and found["MAT1010"]["name"] == "Calculus" and found["MAT1010"]["unit"] == "u"
+    assert found["MAT1010"]["prerequisites"] == "( Physics (FIS1001) OU X (ALG2020) )" and found["MAT1010"]["corequisites"] == "-"
+    assert found["MAT1010"]["equivalences"] == "-" and found["MAT1010"]["required_by"] == "A | B" and not found["MAT1010"]["has_programme"]
+    assert found["MAT1011"]["body"] == "<p>programme</p>" and found["MAT1011"]["prerequisites"] is None
+    assert details.expression("free text") == "free text" and details.expression("") == "-" and details.expression("<acronym title='MAT1010'>MAT1010</acronym>") == "MAT1010 (MAT1010)"
+    part = '<div id="turmasAbertas"><table class="listagem"><caption>2 turmas encontrada(s)</caption><tr><td>a &lt; b<br></td></tr></table></div>'
+    rows = [("u", "2025.1", f"<body><nav>x</nav>{part}</body>"), ("u", "2025.1", f"<body>{part}</body>"), ("v", "2025.1", "<div id=turmasAbertas>none</div>"), ("w", "2025.1", None)]
+    got = details.offering_pages(spark.createDataFrame(rows, "unit string, period string, html string")).collect()
+    assert [(r["unit"], r["body"]) for r in got] == [("u", f"<!DOCTYPE html><html><body>{part}</body></html>")]
