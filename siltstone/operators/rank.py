@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 ROWS, CUTS = 1 << 20, 1024
 
 
@@ -16,10 +18,14 @@ def bucketed(df: DataFrame, group: str, order: Column, spread: Column | None = N
     """``df`` with _b, the bucket of a row within its group (rising with ``order``), and _hot, whether the group was cut.
 
     ``spread`` must rise with ``order`` and lie in [0, 1); without it ``order`` is a number or a time, cut at approximate
-    quantiles. Equal values share a bucket; null groups form one group.
+    quantiles. Equal values share a bucket; null groups form one group. Groups are counted at once, by a pass over ``group``;
+    where none is larger than ``size``, nothing else is read or joined for it.
     """
     parts = F.least(F.ceil(F.col("_n") / size), F.lit(CUTS)).cast("int")
     hot = df.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size).select("_g", parts.alias("_k"))
+    if hot.isEmpty():
+        return df.withColumns({"_b": F.lit(0), "_hot": F.lit(False)})
+    hot = written(hot, "hot")
     if spread is not None:
         own = F.floor(spread * F.col("_k")).cast("int")
     else:
