@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, secrets, toxicity
+from . import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, ranking, secrets, toxicity
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_pii_bilstm_crf": pii.op8_pii_bilstm_crf,
         "op9_language_ppm": language.op9_language_ppm,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_grouped_ties": ranking.op11_grouped_ties,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secret_ownership": secrets.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {"op4_secret_ownership": secrets.SQL, "op10_exact_dedup": exact_dedup.SQL, "op11_grouped_ties": ranking.SQL}
