@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, ranking, secrets, toxicity
+from . import counting, decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, ranking, secrets, toxicity
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_language_ppm": language.op9_language_ppm,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "op11_grouped_ties": ranking.op11_grouped_ties,
+        "op12_token_counts": counting.op12_token_counts,
     }
 
 
