@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import counting, decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, quality, ranking, secrets, toxicity
+from . import counting, decontaminate, exact_dedup, html_text, language, near_dedup, packing, phrases, pii, quality, ranking, secrets, toxicity
 
 
 def queries() -> dict:
@@ -19,8 +19,9 @@ def queries() -> dict:
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "op11_grouped_ties": ranking.op11_grouped_ties,
         "op12_token_counts": counting.op12_token_counts,
+        "op13_phrases": phrases.op13_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secret_ownership": secrets.SQL, "op10_exact_dedup": exact_dedup.SQL, "op11_grouped_ties": ranking.SQL}
+    return {"op4_secret_ownership": secrets.SQL, "op10_exact_dedup": exact_dedup.SQL, "op11_grouped_ties": ranking.SQL, "op13_phrases": phrases.SQL}
