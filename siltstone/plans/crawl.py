@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..operators import files, graph
+from ..operators import crawl, files, graph
 from ..sources.shared import written
 from .registry import query
 
@@ -136,3 +136,100 @@ def ext_of(load):
 @query(f"SELECT page_id, {HOST} || '/' || CASE WHEN p = '' THEN 'index' ELSE p END || CASE WHEN q = '' THEN '' ELSE '_' || regexp_replace(q, '[^A-Za-z0-9_.=&-]', '_', 'g') END || CASE WHEN regexp_matches({PATH}, '\\.[A-Za-z0-9]{{1,5}}$') THEN '' ELSE '.html' END AS local_path FROM (SELECT page_id, url, trim({PATH}, '/') AS p, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages)")
 def url_to_path(load):
     return load("pages").select("page_id", urls.local_path(F.col("url")).alias("local_path"))
+
+
+#: SQL: f has where each linked address ends (null: in a circle), by the rule that _redirects makes its table from.
+FINALS = f"""{LINKS},
+m AS (SELECT DISTINCT regexp_replace(dst_url, '#.*$', '') AS url, ('0x' || substr(sha256(regexp_replace(dst_url, '#.*$', '')), 1, 8))::BIGINT AS h FROM t),
+f AS (SELECT m.url, CASE WHEN h % 17 = 0 THEN NULL WHEN h % 3 < 2 THEN coalesce(regexp_replace(p.url, '#.*$', ''), m.url || '/gone') ELSE m.url END AS final
+  FROM m LEFT JOIN pages p ON p.page_id = h % (SELECT count(*) FROM pages))"""
+
+
+def _redirects(load):
+    """src, dst from every linked address: one in 17 goes round, a third moves once and then to a page, a third straight to a page."""
+    pages, n = load("pages"), load("pages").count()
+    u = urls.defrag(F.col("dst_url"))
+    m = _edges(load).select(u.alias("url")).distinct().withColumn("h", F.conv(F.substring(F.sha2("url", 256), 1, 8), 16, 10).cast("long"))
+    page = m.join(pages.select(F.col("page_id"), F.col("url").alias("page")), F.col("h") % n == F.col("page_id"), "left").withColumn("page", F.coalesce("page", F.concat("url", F.lit("/gone"))))
+    away = page.where("h % 17 <> 0 AND h % 3 < 2")
+    hop = lambda a, b, rows: rows.select(a.alias("src"), b.alias("dst"))
+    more = lambda s: F.concat("url", F.lit(s))
+    url, to, round_ = F.col("url"), F.col("page"), page.where("h % 17 = 0")
+    moved = away.where("h % 3 = 1")
+    parts = [hop(url, to, away.where("h % 3 = 0")), hop(url, more("/moved"), moved), hop(more("/moved"), to, moved), hop(url, more("/a"), round_), hop(more("/a"), more("/b"), round_), hop(more("/b"), url, round_)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _policy(load):
+    start = load("pages").where(urls.same_site(urls.host(F.col("url")), "example.com")).agg(F.min("url")).first()[0]
+    return crawl.Policy(start=start or "http://example.com", root="example.com", inside=4, outside=3)
+
+
+def _crawled(load):
+    spark = load("pages").sparkSession
+    snapshot = load("pages").select("url", F.col("html").alias("body"), F.lit(None).cast("string").alias("content_type"))
+    redirects = written(_redirects(load), "redirects")
+    return spark, crawl.crawl(load("pages").where("page_id % 10 = 0").select("url"), snapshot, _policy(load), redirects, lambda df: written(df, "crawl"))
+
+
+def _within(u, d):
+    h = HOST.replace("url", u)
+    return f"({d} <= CASE WHEN {h} = (SELECT host FROM start) THEN 4 WHEN {h} = 'example.com' OR ends_with({h}, '.example.com') THEN 3 ELSE 0 END)"
+
+
+FINAL_HOST, FINAL_PATH = HOST.replace("url", "final"), PATH.replace("url", "final")
+CRAWLED = rf"""WITH RECURSIVE {FINALS},
+start AS (SELECT {HOST} AS host FROM (SELECT min(url) AS url FROM pages WHERE {HOST} = 'example.com' OR ends_with({HOST}, '.example.com'))),
+e AS (SELECT DISTINCT regexp_replace(src_url, '#.*$', '') AS src, regexp_replace(dst_url, '#.*$', '') AS url FROM t),
+k AS (SELECT final, CASE WHEN final IS NULL THEN 'failed'
+        WHEN (regexp_extract({FINAL_PATH}, '(\.[A-Za-z0-9]{{1,5}})$', 1) IN ('', '.html', '.htm') OR ends_with({FINAL_PATH}, '/')) AND NOT ({FINAL_HOST} = 'example.com' OR ends_with({FINAL_HOST}, '.example.com')) THEN 'refused'
+        WHEN final NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages) THEN 'failed'
+        WHEN regexp_matches(lower({FINAL_PATH}), '\.(css|js|png|jpg|jpeg|gif|svg|ico|webp|atom)$') THEN 'rejected' ELSE 'saved' END AS kind
+      FROM (SELECT final FROM f UNION SELECT regexp_replace(url, '#.*$', '') FROM pages)),
+seeds AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS url FROM pages WHERE page_id % 10 = 0),
+r AS (SELECT url AS final, 0 AS depth FROM seeds JOIN k ON k.final = url WHERE kind = 'saved'
+  UNION SELECT f.final, r.depth + 1 FROM r JOIN e ON e.src = r.final JOIN f ON f.url = e.url JOIN k ON k.final = f.final
+  WHERE kind = 'saved' AND {_within("r.final", "r.depth")} AND {_within("e.url", "r.depth + 1")}),
+q AS (SELECT url, min(depth) AS depth FROM (SELECT url, 0 AS depth FROM seeds UNION ALL SELECT e.url, r.depth + 1 FROM r JOIN e ON e.src = r.final WHERE {_within("r.final", "r.depth")} AND {_within("e.url", "r.depth + 1")}) GROUP BY url),
+z AS (SELECT q.url, CASE WHEN f.url IS NULL THEN q.url ELSE f.final END AS final, depth FROM q LEFT JOIN f ON f.url = q.url),
+visited AS (SELECT url, z.final, depth, CASE WHEN z.final IS NULL AND refused THEN 'refused' WHEN kind <> 'saved' THEN kind WHEN z.final IS NULL THEN 'failed'
+    WHEN row_number() OVER (PARTITION BY z.final, kind ORDER BY depth, url) = 1 THEN 'saved' ELSE 'alias' END AS status
+  FROM (SELECT *, NOT ({HOST} = 'example.com' OR ends_with({HOST}, '.example.com')) AND (regexp_extract({PATH}, '(\.[A-Za-z0-9]{{1,5}})$', 1) IN ('', '.html', '.htm') OR ends_with({PATH}, '/')) AS refused FROM z) z LEFT JOIN k ON k.final = z.final)"""
+
+
+@query(f"{CRAWLED} SELECT url, final, depth, status FROM visited")
+def crawl_under_rules(load):
+    """A crawl from every tenth page under limits of host and depth; pages are known by where redirects end."""
+    return _crawled(load)[1].visited
+
+
+@query(f"{CRAWLED} SELECT * FROM (SELECT 'attempts' AS counter, count(*) AS n FROM visited UNION ALL SELECT s, count(url) FROM (VALUES ('saved'), ('alias'), ('refused'), ('rejected'), ('failed')) c(s) LEFT JOIN visited ON status = s GROUP BY s)")
+def crawl_observed(load):
+    """The counters that the same crawl observes while it writes its levels."""
+    spark, got = _crawled(load)
+    return spark.createDataFrame([*got.counters.items()], "counter string, n long")
+
+
+LOCAL = rf"""{HOST} || '/' || CASE WHEN trim({PATH}, '/') = '' THEN 'index' ELSE trim({PATH}, '/') END || CASE WHEN regexp_extract(url, '\?([^#]*)', 1) = '' THEN '' ELSE '_' || regexp_replace(regexp_extract(url, '\?([^#]*)', 1), '[^A-Za-z0-9_.=&-]', '_', 'g') END
+    || CASE WHEN regexp_matches({PATH}, '\.[A-Za-z0-9]{{1,5}}$') THEN '' ELSE '.html' END"""
+
+
+@query(
+    f"""WITH {FINALS}, o AS (SELECT url AS page, string_split(regexp_replace({LOCAL}, '/[^/]*$', ''), '/') AS folder FROM pages),
+    p AS (SELECT regexp_replace(url, '#.*$', '') AS url, string_split(min({LOCAL}), '/') AS parts FROM pages GROUP BY 1),
+    x AS (SELECT t.src_url, t.href, o.folder, p.parts, len(list_filter(range(1, least(len(o.folder), len(p.parts)) + 1), lambda i: o.folder[1:i] = p.parts[1:i])) AS same
+          FROM t JOIN f ON f.url = regexp_replace(t.dst_url, '#.*$', '') JOIN p ON p.url = f.final JOIN o ON o.page = t.src_url),
+    y AS (SELECT src_url, list(DISTINCT href || chr(1) || repeat('../', len(folder) - same) || array_to_string(parts[same + 1:], '/')) AS new, count(*) AS n FROM x GROUP BY src_url)
+    SELECT page_id, CASE WHEN new IS NULL THEN html ELSE list_reduce(list_prepend(html, new), lambda a, b: replace(a, 'href="' || split_part(b, chr(1), 1) || '"', 'href="' || split_part(b, chr(1), 2) || '"')) END AS html, coalesce(n, 0) AS n_links
+    FROM pages LEFT JOIN y ON y.src_url = url"""
+)
+def pages_relinked(load):
+    """Every page with its links to known pages, through redirects, as relative paths of their copies."""
+    own = load("pages").select("page_id", "url", "html")
+    copies = own.select(urls.defrag(F.col("url")).alias("url"), urls.local_path(F.col("url")).alias("local_path")).groupBy("url").agg(F.min("local_path").alias("local_path"))
+    ends = crawl.finals(written(_redirects(load), "redirects"), lambda df: written(df, "finals")).where("final IS NOT NULL")
+    moved = ends.join(copies.withColumnRenamed("url", "final"), "final").select("url", "local_path")
+    return crawl.relinked(own, copies.unionByName(moved)).select("page_id", "html", "n_links")
