@@ -5,7 +5,8 @@ Texts are cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and those into words ``[^\\
 1. Every task counts its phrases of 2 to ``most`` words into a sketch of ``cells`` saturating bytes, one hash for language and phrase; blocks
    of cells are summed over the tasks. A cell is never below the count of any of its phrases, so a phrase is a candidate only if its own cell and
    those of all shorter phrases in it reach ``least``. What is sent on is one bit a cell (16 MB for the 2 ** 27 of the default).
-2. A second pass writes each candidate once, and the number of words of each language.
+2. A second pass has each task send every candidate that it meets once, in compressed blocks by buckets of hashes, which are merged bucket by bucket; and the
+   number of words of each language.
 3. The candidates and their words, in shards of at most ``SHARD`` terms and ``BYTES`` characters (a longer term makes its own shard), are compiled into automata whose patterns are
    guarded by delimiters on both sides; a pass over the documents of the shard's languages counts all matches, overlapping ones too. Any
    number of candidates works in bounded memory; a shard is what is broadcast, and a pass is what one more shard costs.
@@ -33,8 +34,9 @@ from .store import discard, materialize, table
 from .textkit import LOWER, SPACE, U, chunks, hash_runs, mix, owners, runs, salts
 
 MOST, LEAST, TOP = 3, 10, 2000
-CELLS, PART = 1 << 27, 1 << 18
+CELLS, PART, BUCKETS = 1 << 27, 1 << 18, 1 << 10
 SHARD, BYTES = 400_000, 16_000_000
+BLOCKS = ["bucket", "lang", "held", "size", "n"]
 
 DELIMITER = np.zeros(256, bool)
 DELIMITER[[ord(c) for c in ".,;:!?"]] = True
@@ -153,46 +155,118 @@ def sketch(rows: DataFrame, most: int, least: int, cells: int) -> np.ndarray:
     return out
 
 
-def strings(w: Words, first: np.ndarray, width: int) -> pa.Array:
-    """The phrases of ``width`` words that begin at the words ``first``, with single spaces."""
+def lines(w: Words, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases of ``width`` words that begin at the words ``first``, with single spaces and a line end each; and where each ends."""
     at = (first[:, None] + np.arange(width)).ravel()
-    out, end = laid(w.data, w.starts[at], w.ends[at] - w.starts[at], 0, (np.arange(len(at)) % width < width - 1).astype(np.int64))
-    offsets = np.concatenate([[0], end[width - 1 :: width]]).astype(np.int32)
-    return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(out))
+    out, end = laid(w.data, w.starts[at], w.ends[at] - w.starts[at], 0, np.ones(len(at), np.int64))
+    end = end[width - 1 :: width]
+    out[end - 1] = 0x0A
+    return out, end
+
+
+class Found:
+    """The candidates of a task, each once, sent on as one compressed block for each language and bucket of hashes."""
+
+    def __init__(self, most: int):
+        self.seen = [np.zeros(0, U)] * (most - 1)
+        self.total: dict[str, int] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.langs: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.data: list[np.ndarray] = []
+        self.size: list[np.ndarray] = []
+        self.bytes = 0
+
+    def count(self, w: Words) -> np.ndarray:
+        """Counts the words of each language; the numbers that ``w``'s languages have in this task."""
+        for lang, n in zip(w.langs, np.bincount(w.lang, minlength=len(w.langs)).tolist()):
+            self.total[lang] = self.total.get(lang, 0) + n
+        place = {lang: i for i, lang in enumerate(self.total)}
+        return np.array([place[lang] for lang in w.langs] + [0], np.int64)
+
+    def add(self, w: Words, numbers: np.ndarray, h: np.ndarray, where: np.ndarray, width: int) -> None:
+        new, one = np.unique(h[where], return_index=True)
+        old = self.seen[width - 2]
+        put = np.searchsorted(old, new)
+        fresh = np.append(old, U(0))[put] != new
+        if fresh.any():
+            self.seen[width - 2] = np.insert(old, put[fresh], new[fresh])
+            first = where[one[fresh]]
+            out, end = lines(w, first, width)
+            self.langs.append(numbers[w.lang[first]])
+            self.hashes.append(new[fresh])
+            self.data.append(out)
+            self.size.append(np.diff(end, prepend=0))
+            self.bytes += len(out)
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        if not self.langs:
+            return
+        names = [*self.total]
+        lang, bucket = np.concatenate(self.langs), cell(np.concatenate(self.hashes), BUCKETS)
+        data, size = np.concatenate(self.data), np.concatenate(self.size)
+        start = np.cumsum(size) - size
+        order = np.lexsort((bucket, lang))
+        lang, bucket = lang[order], bucket[order]
+        data, end = laid(data, start[order], size[order], 0, np.zeros(len(order), np.int64))
+        edge = np.flatnonzero(np.append(True, (lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1])))
+        at = np.append(0, end)[np.append(edge, len(lang))]
+        held = [pa.compress(data[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(at[:-1], at[1:])]
+        cols = [pa.array(bucket[edge]), pa.array([names[i] for i in lang[edge]], pa.string()), pa.array(held, pa.binary()), pa.array(np.diff(at)), pa.nulls(len(edge), pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, BLOCKS)
+        self.clear()
+
+    def words(self) -> pa.RecordBatch:
+        n = len(self.total)
+        cols = [pa.array([i % BUCKETS for i in range(n)], pa.int64()), pa.array([*self.total], pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array([*self.total.values()], pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, BLOCKS)
 
 
 def candidates(bits, most: int, cells: int):
-    """Each phrase whose cells all reach the threshold, once a task; and the words of each language, with a null phrase."""
+    """Blocks of the phrases whose cells all reach the threshold, each phrase once a task; and the words of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
-        seen: list[np.ndarray] = [np.zeros(0, U)] * (most - 1)
-        total: dict[str, int] = {}
+        held, found = bits.value, Found(most)
         for w in each(batches):
-            for i, n in enumerate(np.bincount(w.lang, minlength=len(w.langs)).tolist()):
-                total[w.langs[i]] = total.get(w.langs[i], 0) + n
-            below, n = None, len(w.starts)
+            numbers, below, n = found.count(w), None, len(w.starts)
             for width, h in enumerate(w.hashes(most), 2):
                 at = cell(h, cells)
                 ok = (h > 0) & ((held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
                 if below is not None:
                     ok[: n - 1] &= below[:-1] & below[1:]
                 below = ok
-                where = np.flatnonzero(ok)
-                new, one = np.unique(h[where], return_index=True)
-                old = seen[width - 2]
-                put = np.searchsorted(old, new)
-                fresh = np.append(old, U(0))[put] != new
-                if fresh.any():
-                    seen[width - 2] = np.insert(old, put[fresh], new[fresh])
-                    first = where[one[fresh]]
-                    langs = pa.DictionaryArray.from_arrays(pa.array(w.lang[first]), pa.array(w.langs, pa.string())).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([langs, strings(w, first, width), pa.nulls(len(first), pa.int64())], ["lang", "phrase", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([*total], pa.string()), pa.nulls(len(total), pa.string()), pa.array([*total.values()], pa.int64())], ["lang", "phrase", "n"])
+                found.add(w, numbers, h, np.flatnonzero(ok), width)
+            if found.bytes > BYTES:
+                yield from found.blocks()
+        yield from found.blocks()
+        yield found.words()
 
     return run
 
 
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct phrases of blocks sorted by bucket and language; and the sums of their words, with a null phrase."""
+    now, held, n = None, set(), 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if now is not None:
+            found = pa.array(sorted(held), pa.binary()).cast(pa.string())
+            size = len(found) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([now[1]] * size, pa.string()), pa.concat_arrays([found, pa.nulls(1, pa.string())]), pa.concat_arrays([pa.nulls(size - 1, pa.int64()), pa.array([n], pa.int64())])], ["lang", "phrase", "n"])
+
+    for b in batches:
+        for bucket, lang, block, size, words in zip(*(b.column(c).to_pylist() for c in BLOCKS)):
+            if (bucket, lang) != now:
+                yield from out()
+                now, held, n = (bucket, lang), set(), 0
+            if block is not None:
+                held.update(pa.decompress(block, size, "zstd", asbytes=True).split(b"\n")[:-1])
+            n += words or 0
+    yield from out()
+
+
 _automata: dict[str, dict] = {}
 
 
@@ -285,8 +359,9 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, inside:
     rows = rows_of(docs)
     sc = rows.sparkSession.sparkContext
     bits = sc.broadcast(sketch(rows, most, least, cells))
-    found = rows.mapInArrow(candidates(bits, most, cells), "lang string, phrase string, n long")
-    found = materialize(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "candidates")
+    blocks = rows.mapInArrow(candidates(bits, most, cells), "bucket long, lang string, held binary, size long, n long")
+    found = blocks.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(merged, "lang string, phrase string, n long")
+    found = materialize(found, "candidates")
     bits.destroy()
     words = found.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
     terms = numbered(found.where("phrase IS NOT NULL").select("lang", "phrase").unionByName(words))
@@ -310,8 +385,8 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, inside:
     left = lowest.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("_longer") < inside * F.col("a"), F.lit(True)))
     best = Window.partitionBy("lang").orderBy(F.desc("_c.score"), F.desc("a"), "phrase")
     ranked = left.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
-    totals = found.where("phrase IS NULL").select("lang", "n")
-    return ranked.join(F.broadcast(totals), "lang").select("lang", "rank", "phrase", "a", "_c.l", "_c.r", "n", "_c.score")
+    totals = found.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "_c.l", "_c.r", "n", "_c.score")
 
 
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
