@@ -35,7 +35,7 @@ from .textkit import LOWER, SPACE, U, chunks, hash_runs, mix, owners, runs, salt
 
 MOST, LEAST, TOP = 3, 10, 2000
 CELLS, PART, BUCKETS = 1 << 27, 1 << 18, 1 << 10
-SHARD, BYTES = 400_000, 16_000_000
+SHARD, BYTES = 600_000, 24_000_000
 BLOCKS = ["bucket", "lang", "held", "size", "n"]
 
 DELIMITER = np.zeros(256, bool)
@@ -272,18 +272,19 @@ _automata: dict[str, dict] = {}
 
 def compiled(shard) -> dict:
     """The automata of a shard, by language; a worker keeps those of one shard."""
-    key, terms = shard.value
+    key, langs, terms = shard.value
     if key not in _automata:
         import ahocorasick
 
         _automata.clear()
         made: dict = {}
-        for i, (lang, phrase) in enumerate(terms):
-            if lang not in made:
-                made[lang] = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            made[lang].add_word(f" {phrase} ", i)
-        for a in made.values():
-            a.make_automaton()
+        i = 0
+        for lang, block in zip(langs, terms):
+            made[lang] = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            for phrase in block.decode().split("\n"):
+                made[lang].add_word(f" {phrase} ", i)
+                i += 1
+            made[lang].make_automaton()
         _automata[key] = made
     return _automata[key]
 
@@ -304,31 +305,40 @@ def matches(shard, first: int, size: int):
     return run
 
 
-def shards(terms: DataFrame, most: int, size: int) -> Iterator[tuple[int, list[tuple[str, str]]]]:
-    """The rows of ``terms`` (id, lang, phrase), in the order of their ids, by shards: the first id, and the terms."""
-    held: list[tuple[str, str]] = []
-    first = used = 0
+def shards(terms: DataFrame, most: int, size: int) -> Iterator[tuple[int, list[str], list[list[str]]]]:
+    """The rows of ``terms`` (id, lang, phrase), in the order of their ids, by shards: the first id, the languages, and the terms of each.
+
+    Languages share a shard as long as they fit; one that does not fit alone is cut into even shards of its own.
+    """
+    sizes = {r["lang"]: r["count"] for r in terms.groupBy("lang").count().collect()}
+    langs: list[str] = []
+    held: list[list[str]] = []
+    first = n = used = limit = 0
     for r in terms.orderBy("id").toLocalIterator():
-        long = len(r["phrase"]) + 2
-        if held and (len(held) == most or used + long > size):
-            yield first, held
-            held, used = [], 0
-        if not held:
+        lang, long = r["lang"], len(r["phrase"]) + 2
+        own = sizes[lang]
+        if n and (n == limit or used + long > size or (lang != langs[-1] and n + own > most)):
+            yield first, langs, held
+            langs, held, n, used = [], [], 0, 0
+        if not n:
             first = r["id"]
-        held.append((r["lang"], r["phrase"]))
-        used += long
-    if held:
-        yield first, held
+            limit = most if own <= most else -(-own // -(-own // most))
+        if not langs or lang != langs[-1]:
+            langs.append(lang)
+            held.append([])
+        held[-1].append(r["phrase"])
+        n, used = n + 1, used + long
+    if n:
+        yield first, langs, held
 
 
 def counted(rows: DataFrame, terms: DataFrame, most: int = SHARD, size: int = BYTES) -> DataFrame:
     """id, f: how often each of ``terms`` (id from 0 without gaps, lang, phrase) occurs in ``rows``; those that do not are left out."""
     sc = rows.sparkSession.sparkContext
     out = None
-    for first, held in shards(terms, most, size):
-        shard = sc.broadcast((uuid.uuid4().hex, held))
-        langs = sorted({lang for lang, _ in held})
-        found = rows.where(F.col("lang").isin(langs)).mapInArrow(matches(shard, first, len(held)), "id long, f long")
+    for first, langs, held in shards(terms, most, size):
+        shard = sc.broadcast((uuid.uuid4().hex, langs, ["\n".join(x).encode() for x in held]))
+        found = rows.where(F.col("lang").isin(langs)).mapInArrow(matches(shard, first, sum(map(len, held))), "id long, f long")
         found = materialize(found.groupBy("id").agg(F.sum("f").alias("f")), "found")
         shard.destroy()
         out = found if out is None else out.unionByName(found)
