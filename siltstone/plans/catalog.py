@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, chat, crawl, fields, models, retrieval, sinks, texts, training  # noqa: F401  (they register their queries)
+from . import catalogue, chat, crawl, fields, models, retrieval, sinks, streams, texts, training  # noqa: F401  (they register their queries)
 from .registry import QUERIES, SQL
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assemble, retrieve
+from ..operators import assemble, neighbours, retrieve
+from ..sources.shared import written
 from .registry import query, uniform
 
 SCORES = """s AS (SELECT q.vec_id AS query, c.vec_id AS item,
@@ -110,3 +111,12 @@ def golden_join(load):
     top = retrieve.top_k(_queries(load).where("vec_id % 100 = 0"), load("embeddings"), 3)
     stored = top.groupBy(F.col("query").alias("vec_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "item"))), lambda x: x["item"].cast("string")), ",").alias("golden"))
     return retrieve.with_golden(load("embeddings").select("vec_id", "label"), stored, "vec_id")
+
+
+@query(
+    """WITH s AS (SELECT q.vec_id AS query, c.vec_id AS item, round(list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item)::INT AS rank FROM s) SELECT * FROM r WHERE rank <= 6"""
+)
+def all_neighbours(load):
+    """The nearest vectors of every vector, by cells."""
+    return neighbours.knn_join(load("embeddings"), 6, lambda df: written(df, "cells")).found

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import assemble
-from ..sources import files, pages
+from ..sources import files, pages, stages
 from ..sources.shared import shared_dir
 from ..streaming import state
 from .registry import STRIP, query
@@ -85,3 +85,49 @@ def placeholder_rows(load):
     codes = load("supplier").select(F.col("s_suppkey").cast("string").alias("code"))
     known = load("supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("body"))
     return pages.placeholders(codes, known, "none")
+
+
+def _steps():
+    """Cleaned texts, their hashes, a count of each source, and a report that reads the first two."""
+    from ..functions.keys import strip, text_hash
+
+    clean = lambda t: t["documents"].select("doc_id", "source", strip(F.col("text")).alias("text"))
+    hashed = lambda t: t["cleaned"].select("doc_id", "source", text_hash(F.col("text")).alias("hash"))
+    by_source = lambda t: t["hashed"].groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.max("hash").alias("top"))
+    report = lambda t: t["cleaned"].join(t["hashed"].select("doc_id", "hash"), "doc_id").select("doc_id", F.length("text").alias("size"), "hash")
+    return [
+        stages.Step("report", "doc_id", {"cleaned": "doc_id", "hashed": "doc_id"}, report),
+        stages.Step("by_source", "source", {"hashed": "source"}, by_source),
+        stages.Step("hashed", "doc_id", {"cleaned": "doc_id"}, hashed),
+        stages.Step("cleaned", "doc_id", {"documents": "doc_id"}, clean),
+    ]
+
+
+@query(
+    """WITH d AS (SELECT doc_id, source, doc_id % 100 = 0 AS changed, doc_id % 100 = 50 AS padded, doc_id % 100 = 75 AS fresh FROM documents WHERE doc_id IS NOT NULL)
+    SELECT 'cleaned' AS stage, doc_id::VARCHAR AS key, CASE WHEN changed OR padded OR fresh THEN 2 ELSE 1 END AS round FROM d
+    UNION ALL SELECT unnest(['hashed', 'report']), doc_id::VARCHAR, CASE WHEN changed OR fresh THEN 2 ELSE 1 END FROM d
+    UNION ALL SELECT 'by_source', source, CASE WHEN bool_or(changed OR fresh) THEN 2 ELSE 1 END FROM d WHERE source IS NOT NULL GROUP BY source"""
+)
+def staged_rounds(load):
+    """The run that worked out each row of a graph of stages: before the second, some texts changed, some only in white space around them, some came in."""
+    docs = load("documents").select("doc_id", "source", "text")
+    graph = stages.Graph(docs.sparkSession, _folder(docs), _steps())
+    odd = F.col("doc_id") % 100
+    old = F.when(odd == 0, F.concat(F.lit("old "), F.coalesce("text", F.lit("")))).when(odd == 50, F.concat(F.lit(" "), "text", F.lit("\n"))).otherwise(F.col("text"))
+    graph.run({"documents": docs.where(odd != 75).withColumn("text", old)})
+    graph.run({"documents": docs})
+    parts = [graph.table(n).select(F.lit(n).alias("stage"), F.col(graph.steps[n].key).cast("string").alias("key"), F.col("_round").alias("round")) for n in graph.order]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("SELECT doc_id, n_chars, CASE WHEN doc_id // 50 % 3 = 0 THEN 2 ELSE 1 END AS round FROM documents")
+def batches_written_again(load):
+    """Batches of fifty ids as files named by their keys; a second run writes every third batch again."""
+    docs, at = load("documents").select("doc_id", "n_chars", F.expr("doc_id div 50").alias("batch_no")), _folder(load("documents"))
+    files.write_batches(docs.withColumn("round", F.lit(1)), at, "batch_no", "doc_id")
+    files.write_batches(docs.where("batch_no % 3 = 0").withColumn("round", F.lit(2)), at, "batch_no", "doc_id")
+    return files.gather_jsonl(docs.sparkSession, at, "doc_id long, n_chars long, round int")

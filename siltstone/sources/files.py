@@ -159,3 +159,13 @@ class Stage:
         return valid_groups(rows, self.spark.read.parquet(self.path), group)
 
 
+def write_batches(df: DataFrame, path: str, group: str, key: str) -> None:
+    """JSON lines in one folder for each batch, named by the hash of the set of its keys; a batch is the rows of one ``group``.
+
+    A batch that is written again replaces its own folder and no other, so a run that is repeated leaves each row once.
+    """
+    from ..functions.keys import set_hash
+
+    names = df.groupBy(group).agg(set_hash(F.col(key).cast("string")).alias("batch")).withColumnRenamed(group, "_group")
+    rows = df.join(names, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
+    rows.repartition("batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(path)
