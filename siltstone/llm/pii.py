@@ -47,6 +47,11 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
 ENDING = re.compile(r"\s*[A-Za-z]{2,}")
+#: Frequent top-level domains, one of which ends an added address, and words that are no domain before a spelled-out dot.
+TOP_LEVEL = "ai app at be biz br ca ch cn co com cz de dev dk edu es eu fi fr gov gr hu ie in info io it jp kr me mil mx net nl no nz org pl pt ro ru se tv uk us".split()
+NO_DOMAIN = "a an any each her his its my no of our that the their this your".split()
+AT, DOT = r"\s*(?:@|[\[({]\s*at\s*[\])}]|\bat\b)\s*", r"\s*(?:\.|[\[({]\s*(?:dot|\.)\s*[\])}]|\bdot\b)\s*"
+ADDRESS = re.compile(rf"(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?:{DOT}[a-z0-9_%+-]+)*{AT}(?!(?:dot|{'|'.join(NO_DOMAIN)})\b)[a-z0-9-]+(?:{DOT}[a-z0-9-]+)*{DOT}(?:{'|'.join(TOP_LEVEL)})(?![a-z0-9-])", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -110,7 +115,7 @@ def _symbol_table() -> np.ndarray:
     for k, c in enumerate(SIGNS):
         out[ord(c)] = 3 + k
     for k, c in enumerate(SPELLED):
-        out[ord(c)] = 3 + len(SIGNS) + k
+        out[ord(c)] = out[ord(c.upper())] = 3 + len(SIGNS) + k
     return out
 
 
@@ -173,7 +178,7 @@ def plausible(kind: str, s: str) -> bool:
     """The plain test of an added span."""
     n = len(digits_of(s))
     if kind == "email":
-        return len(s) >= 6 and bool(re.search(r"(@|\bat\b).*(\.|\bdot\b)\W*[A-Za-z0-9]{2,}$", s, re.S))
+        return len(s) <= 254 and ADDRESS.fullmatch(s) is not None
     if kind == "ip":
         parts = re.findall(r"[0-9]+", s)
         return len(parts) == 4 and all(map(byte_part, parts))
@@ -183,8 +188,13 @@ def plausible(kind: str, s: str) -> bool:
 
 
 def added_spans(t: str, tags: np.ndarray, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    out = []
-    cut = np.flatnonzero(np.diff(tags, prepend=0, append=0)) if len(tags) else ()
+    out: list[tuple[str, int, int]] = []
+    if not tags.any():
+        return out
+    taken = np.zeros(len(t), bool)
+    for _, a, b in base:
+        taken[a:b] = True
+    cut = np.flatnonzero(np.diff(tags, prepend=0, append=0))
     for a, b in zip(cut[:-1], cut[1:]):
         if not tags[a]:
             continue
@@ -197,9 +207,12 @@ def added_spans(t: str, tags: np.ndarray, base: list[tuple[str, int, int]]) -> l
             a -= 1
         while a < b < len(t) and t[b - 1].isalnum() and t[b].isalnum():
             b += 1
-        if kind == "email" and re.search(r"(?:\bdot[\])]?|\.)$", t[a:b]) and (m := ENDING.match(t, b)):
+        if kind == "email" and re.search(r"(?i:\bdot[\])]?|\.)$", t[a:b]) and (m := ENDING.match(t, b)):
             b = m.end()
-        if plausible(kind, t[a:b]) and not any(x < b and a < y for _, x, y in base + out):
+        if kind == "email" and (m := ADDRESS.search(t[a:b])):
+            a, b = a + m.start(), a + m.end()
+        if plausible(kind, t[a:b]) and not taken[a:b].any():
+            taken[a:b] = True
             out.append((kind, int(a), int(b)))
     return out
 
@@ -209,12 +222,13 @@ def variants(g: np.random.Generator) -> tuple[str, int]:
     word = lambda lo, hi: "".join(g.choice(list("abcdefghijklmnopqrstuvwxyz"), g.integers(lo, hi)))
     num = lambda n: "".join(map(str, g.integers(0, 10, n)))
     pick = lambda *a: a[g.integers(len(a))]
-    kind = pick(0, 1, 1, 1, 2, 3, 4, 4)
+    kind = pick(0, 0, 1, 1, 1, 2, 2, 3, 4, 4)
     if kind == 1:
         at, dot = pick((" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " dot "), ("[at]", "."), ("@", "."), (" @ ", "."))
-        return word(3, 9) + pick("", ".", "_") + pick("", num(2)) + at + word(3, 9) + dot + pick("com", "org", "net", "example.com", "de", "fr"), 1
+        s = word(3, 9) + pick("", "", f".{word(2, 8)}", f"_{word(2, 8)}") + pick("", num(2)) + at + word(3, 9) + dot + pick("com", "org", "net", "example.com", "de", "fr", "co" + dot + "uk")
+        return pick(s, s, s.upper(), s.replace(" at ", " AT ").replace(" dot ", " DOT ")), 1
     if kind == 2:
-        dot = pick(".", "[.]", "(.)", " . ", ".")
+        dot = pick(".", "[.]", "(.)", " . ", ".", " dot ", " DOT ", "[dot]")
         return dot.join(str(x) for x in g.integers(0, 256, 4)), 2
     if kind == 3:
         d = pick("4", "5", "37", "6011") + num(20)
@@ -225,8 +239,12 @@ def variants(g: np.random.Generator) -> tuple[str, int]:
     if kind == 4:
         a, b, c = num(3), num(3), num(4)
         cc = pick("+1 ", "+44 ", "+49", "0049 ", "001-", "1-", "")
-        body = pick(f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"{a}/{b}{c}")
+        body = pick(f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"{a}/{b}{c}", f"0{a}/{b}{c}", f"0{a} {b}{c}")
         return cc + body, 4
+    w = lambda: word(2, 9)
+    spoken = pick(f"{w()} at {w()} dot {w()}", f"{w()} at dot {w()}", f"{w()} at {w()}", f"{w()} dot {w()}", f"at {num(1)} dot", f"{w()} at {num(2)}", f"the dot com {w()}", f"{w()} at the dot com {w()}", f"{w()}. {w()} at {w()}. {w()}")
+    if g.random() < 0.5:
+        return pick(spoken, spoken, spoken.upper(), spoken.capitalize()), 0
     return pick(
         f"{g.integers(1990, 2031)}-{g.integers(1, 13):02d}-{g.integers(1, 29):02d}",
         f"{g.integers(1, 13)}/{g.integers(1, 29)}/{g.integers(1990, 2031)}",

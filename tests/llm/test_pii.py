@@ -16,6 +16,17 @@ PLAIN = "The long road along the river was quiet and the people of the house wen
 SPELLED = ["jane at example dot com", "mary [at] harbor [dot] org", "john(at)garden(dot)net"]
 
 
+#: Prose that holds no personal data, and spellings that no template of the training writes.
+PROSE = [
+    "We should meet at noon dot the end of it.", "Take a look at dot com bubble stories.", "We met at the dot of noon.", "He was at 5 dot 3 points.", "LOOK AT THE DOT COM BOOM", "Polka dot at home, dot by dot.",
+    "They arrived at dawn. Come in.", "She laughed at him. De facto it was over.", "Version 10.4.2 came at 12.30 on 2024-03-01.", "See pp. 120-135 and ISBN 978-0-306-40615-7.", "A dot at the end is a full stop.",
+]
+OTHER = [
+    ("jane.doe AT example DOT com", "email"), ("mark.lee at harbour-town dot co dot uk", "email"), ("PETER AT GARDEN DOT ORG", "email"), ("anna_b [ at ] river [ dot ] net", "email"), ("info{at}museum{dot}de", "email"), ("sam (AT) school (DOT) edu", "email"),
+    ("192 dot 168 dot 0 dot 1", "ip"), ("10 DOT 20 DOT 30 DOT 40", "ip"), ("172[.]16[.]254[.]3", "ip"), ("0176/1234567", "phone"), ("0171 2345678", "phone"), ("(415) 555-0132", "phone"), ("0049 171 234 5678", "phone"), ("4111.1111.1111.1111", "card"), ("4111  1111  1111  1111", "card"),
+]
+
+
 def by_regex(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
     tests = {
@@ -119,3 +130,17 @@ def test_held_out_variants(spark):
     assert wanted > 150 and hit >= 0.9 * wanted
     assert added >= 0.9 * found
     assert not pii.added_spans(PLAIN * 5, model.tags([PLAIN * 5])[0], [])
+    prose = [PLAIN + x + " " + PLAIN for x in PROSE]
+    assert [pii.added_spans(t, tags, pii.base_spans(t)) for t, tags in zip(prose, model.tags(prose))] == [[]] * len(PROSE)
+    apart = [PLAIN * 2 + f"You can reach us under {x} at any time. " + PLAIN for x, _ in OTHER]
+    got = [{(k, t[a:b]) for k, a, b in pii.added_spans(t, tags, pii.base_spans(t))} for t, tags in zip(apart, model.tags(apart))]
+    print([x for x, g in zip(OTHER, got) if g != {x[::-1]}])
+    assert sum(g == {x[::-1]} for x, g in zip(OTHER, got)) >= 0.8 * len(OTHER)
+    assert sum(len(g - {x[::-1]}) for x, g in zip(OTHER, got)) <= 1
+
+
+def test_long_text_full_of_spans():
+    """Spans are compared with what they touch only."""
+    t = "0176/1234567 " * 20000
+    tags = np.tile(np.array([4] * 12 + [0], np.int8), 20000)
+    assert len(pii.added_spans(t, tags, pii.base_spans(t))) == 20000
