@@ -143,52 +143,63 @@ def around(document: Column, first: Column, last: Column, tail: int = 200, reach
     return F.substring(document, start, F.greatest(stop - start + 1, F.lit(0)))
 
 
-def around_batch(document: Column, first: Column, last: Column, tail: int = 200, reach: int = 4000) -> Column:
-    """``around`` with the last chunk searched behind the first; the whole document if a chunk is empty or neither is found."""
+def around_batch(document: Column, first: Column, last: Column, tail: int = 200, reach: int = 4000, second: Column | None = None) -> Column:
+    """``around`` with the last chunk searched behind the first; where neither is found, from the second chunk, if there is one.
+
+    The whole document if the first or last chunk is empty or none is found.
+    """
     f, l = F.right(first, F.lit(tail)), F.right(last, F.lit(tail))  # noqa: E741
     a = F.position(f, document)
     behind = F.when(a > 0, a + F.length(f)).otherwise(F.lit(1))
     b = F.position(l, F.substring(document, behind, F.length(document)))
     b = F.when(b > 0, b + behind - 1).otherwise(F.lit(0))
     start = F.when(a > 0, a).otherwise(b)
+    if second is not None:
+        again = F.position(F.right(second, F.lit(tail)), document)
+        start = F.when((start == 0) & (F.coalesce(F.length(second), F.lit(0)) > 0), again).otherwise(start)
     stop = F.when(b > 0, b).otherwise(start + 1) + F.length(l) - 1 + reach
     low = F.greatest(F.lit(1), start - reach)
     known = (F.length(first) > 0) & (F.length(last) > 0) & (start > 0)
     return F.when(known, F.substring(document, low, stop - low + 1)).otherwise(document)
 
 
+ESCAPE = re.compile(r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})|\\')
+
+
 def repair(s: str | None) -> str | None:
     """A JSON object from text that is nearly one; null if it cannot be read.
 
-    The text from the first to the last brace is read. Wherever the decoder stops, what it stumbled over is escaped and
-    it reads again: a raw control character, a stray backslash, or else the last quote before, which then was part of a string.
+    The text from the first to the last brace is read. Raw control characters in strings are read as they are. If the decoder stops at a backslash that
+    escapes nothing, all of these are doubled in one pass; wherever else it stops, the last quote before was part of a string and is escaped.
     """
     if s is None:
         return None
     body = s[s.find("{") : s.rfind("}") + 1] or s
     shown: str | None = body
+    doubled = False
     for _ in range(len(body) + 1):
         try:
-            got = json.loads(shown)
+            got = json.loads(shown, strict=False)
             return json.dumps(got, ensure_ascii=False) if isinstance(got, dict) else None
         except json.JSONDecodeError as e:
-            shown = _mended(shown, e)
+            if e.msg.startswith("Invalid \\") and not doubled:
+                doubled = True
+                shown = ESCAPE.sub(lambda m: m[0] if len(m[0]) > 1 else "\\\\", shown)
+            else:
+                shown = _quoted(shown, e)
         if shown is None:
             break
     pair = re.search(r'"question"\s*:\s*"(.*?)"\s*,\s*"answer"\s*:\s*"(.*)"', body, re.S)
     return json.dumps({"question": pair[1], "answer": pair[2]}, ensure_ascii=False) if pair else None
 
 
-def _mended(s: str, e: json.JSONDecodeError) -> str | None:
-    """``s`` with one character escaped at the decoder's error; null where nothing can be."""
-    if e.msg.startswith("Invalid control"):
-        return s[: e.pos] + json.dumps(s[e.pos])[1:-1] + s[e.pos + 1 :]
-    if e.msg.startswith("Unterminated"):
+def _quoted(s: str, e: json.JSONDecodeError) -> str | None:
+    """``s`` with the last open quote before the decoder's error escaped; null where none can be."""
+    if e.msg.startswith(("Unterminated", "Invalid \\")):
         return None
-    mark = "\\" if e.msg.startswith("Invalid \\") else '"'
-    at = s.rfind(mark, 0, e.pos + (mark == "\\"))
-    while mark == '"' and at > 0 and (at - len(s[:at].rstrip("\\"))) % 2:
-        at = s.rfind(mark, 0, at)
+    at = s.rfind('"', 0, e.pos)
+    while at > 0 and (at - len(s[:at].rstrip("\\"))) % 2:
+        at = s.rfind('"', 0, at)
     return s[:at] + "\\" + s[at:] if at >= 0 else None
 
 

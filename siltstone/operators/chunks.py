@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .rank import row_numbers
@@ -61,10 +61,35 @@ def valid_chunks(items: Column) -> Column:
 
 
 def chunk_rows(parts: DataFrame, file: str, part_no: str, items: str) -> DataFrame:
-    """file, ordinal, chunk_hash, chunk, topic; a file with a part that has no valid item yields nothing."""
-    whole = parts.withColumn("ok", F.size(valid_chunks(F.col(items))))
-    good = whole.groupBy(file).agg(F.min("ok").alias("least")).where("least > 0").select(file)
-    rows = whole.join(good, file, "left_semi").select(file, part_no, F.posexplode(valid_chunks(F.col(items))).alias("pos", "item"))
-    n = ordinals(rows, file, part_no, "pos")
-    rows = rows.withColumn("ordinal", n)
+    """file, ordinal, chunk_hash, chunk, topic; a file with a part that has no valid item yields nothing.
+
+    One shuffle by file, of parts: each is numbered on from the valid items of the parts before, and then unfolded.
+    """
+    here = Window.partitionBy(file)
+    n = F.size("_valid")
+    rows = parts.withColumn("_valid", valid_chunks(F.col(items)))
+    rows = rows.withColumns({"_least": F.min(n).over(here), "_ahead": F.coalesce(F.sum(n).over(here.orderBy(part_no).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}).where("_least > 0")
+    rows = rows.select(file, "_ahead", F.posexplode("_valid").alias("pos", "item")).withColumn("ordinal", (F.col("_ahead") + F.col("pos")).cast("int"))
     return rows.select(file, "ordinal", F.concat(F.lit("chunk_"), file, F.lit("_"), "ordinal").alias("chunk_hash"), "item.chunk", "item.topic")
+
+
+class SplitText:
+    """A table function: the parts of ``split_text`` with their numbers and places, told while it walks the text's offsets."""
+
+    def eval(self, text: str, limit: int):
+        todo, no = [(0, len(text))] if text is not None else [], 0
+        while todo:
+            a, b = todo.pop()
+            if b - a <= limit:
+                yield no, a, text[a:b]
+                no += 1
+                continue
+            half = a + max(1, (b - a) // 2)
+            cut = next((k + len(m) for m in MARKS if (k := text.rfind(m, a, half)) >= 0 and k + len(m) < b), half)
+            todo += [(cut, b), (a, cut)]
+
+
+def register_split(spark: SparkSession, name: str = "split_text") -> str:
+    """Make the table function known to SQL: ``FROM documents, LATERAL split_text(text, 40000)`` gives part_no, start, part; Arrow carries its rows."""
+    spark.udtf.register(name, F.udtf(SplitText, returnType="part_no int, start int, part string", useArrow=True))
+    return name

@@ -341,3 +341,48 @@ def intersect_text(load):
 def file_progress(load):
     rows = row_numbers(load("documents").select("doc_id", "source"), "source", "done", ["doc_id"], total="total")
     return rows.select("doc_id", (F.col("done") + 1).alias("done"), "total")
+
+
+@query(
+    r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, '' AS path FROM documents WHERE text IS NOT NULL
+      UNION ALL SELECT doc_id, CASE side WHEN 0 THEN substr(t, 1, cut) ELSE substr(t, cut + 1) END, path || side
+      FROM (SELECT doc_id, t, path, CASE WHEN strpos(h, chr(10) || '.') > 0 THEN half - strpos(h, chr(10) || '.') + 1 WHEN strpos(h, chr(10)) > 0 THEN half - strpos(h, chr(10)) + 1 WHEN strpos(h, ' .') > 0 THEN half - strpos(h, ' .') + 1 ELSE half END AS cut
+        FROM (SELECT *, reverse(substr(t, 1, length(t) // 2)) AS h, length(t) // 2 AS half FROM r WHERE length(t) > 400)), (VALUES (0), (1)) s(side)),
+    p AS (SELECT doc_id, t AS part, row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1 AS part_no, sum(length(t)) OVER (PARTITION BY doc_id ORDER BY path) - length(t) AS start FROM r WHERE length(t) <= 400)
+    SELECT doc_id, part_no::INT AS part_no, start::INT AS start, part FROM p"""
+)
+def split_parts(load):
+    """The parts of every text by the table function in SQL."""
+    docs = load("documents")
+    name = chunks.register_split(docs.sparkSession)
+    return docs.sparkSession.sql(f"SELECT doc_id, part_no, start, part FROM {{docs}}, LATERAL {name}(text, 400)", docs=docs)
+
+
+@query(
+    """SELECT doc_id, CASE WHEN length(a) > 0 AND length(b) > 0 AND start > 0 THEN substr(text, greatest(1, start - 400), start + length(l) + 400 - greatest(1, start - 400) + 1) ELSE text END AS around
+    FROM (SELECT *, right(b, 20) AS l, CASE WHEN length(c) > 0 THEN strpos(text, right(c, 20)) ELSE 0 END AS start
+      FROM (SELECT doc_id, text, text || '+' AS a, text || '-' AS b, substr(text, length(text) // 2 + 1, 30) AS c FROM documents))"""
+)
+def context_window_second(load):
+    """Batches whose first and last chunk are not in the document are found by their second."""
+    rows = load("documents").select("doc_id", "text", F.expr("substr(text, length(text) div 2 + 1, 30)").alias("c"))
+    window = text.around_batch(F.col("text"), F.concat("text", F.lit("+")), F.concat("text", F.lit("-")), 20, 400, F.col("c"))
+    return rows.select("doc_id", window.alias("around"))
+
+
+@query(
+    r"""SELECT page_id, replace(replace(replace(replace(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS title,
+    len(regexp_extract_all(html, '<details')) AS details, len(regexp_extract_all(html, '<summary')) AS summaries, len(regexp_extract_all(html, '<(?:b|strong)>')) AS n_bold FROM pages"""
+)
+def page_signals(load):
+    """What the tree of a page tells of its questions."""
+    s = markdown.signals("html")
+    rows = load("pages").select("page_id", s.alias("s"))
+    return rows.select("page_id", "s.title", F.col("s.details").cast("long").alias("details"), F.col("s.summaries").cast("long").alias("summaries"), F.size("s.bold").cast("long").alias("n_bold"))
+
+
+@query("WITH a AS (SELECT doc_id // 2 AS g, count(*) AS n FROM documents GROUP BY 1), b AS (SELECT doc_id // 2 AS g, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1) SELECT d.doc_id FROM documents d JOIN labels USING (doc_id) JOIN a ON a.g = d.doc_id // 2 JOIN b ON b.g = a.g AND b.n = a.n")
+def cache_complete_groups(load):
+    """Cached rows of the pairs of documents that are cached whole."""
+    docs = load("documents").select("doc_id", F.expr("doc_id div 2").alias("g"))
+    return files.valid_groups(docs, docs.join(load("labels").select("doc_id"), "doc_id"), "g").select("doc_id")
