@@ -6,7 +6,8 @@ a few measures (length, share of link text, punctuation), and labels all blocks
 
 It is trained on at most ``PAGES`` pages of the table with at most ``LONGEST`` characters, chosen by a hash of page_id, and on
 ``MADE`` pages. In the table's pages the author's own elements tell the article: article and main, without the nav, header,
-footer, aside, form and similar elements inside. Pages that mark no article are not learnt from. (That a block repeats over
+footer, aside, form and similar elements inside. Each such page is learnt from three times, once as it is and twice with the article's own element
+hidden, as unnamed divs, table cells or nothing, so that pages without such marks are read by what they hold. Pages that mark no article are not learnt from. (That a block repeats over
 pages tells nothing here: articles have copies, and licence lines within them repeat.) Made pages are composed
 of the blocks so found in other layouts (menus, sidebars, notices, adverts, forms and reader comments), labelled by what
 was composed; a part of them carries names that are usual for such parts, another random names or none. Scripts,
@@ -36,9 +37,9 @@ from .textkit import LOWER, SPACE, U, hash_runs, owners, runs
 PAGES, MADE = 300, 700
 LONGEST = 1 << 18
 SLICE = 1 << 14
-PATH, WORDS, EXTRA = 128, 64, 6
+PATH, WORDS, EXTRA = 256, 64, 6
 DIM, HIDDEN = 24, 16
-STEPS, BATCH, RATE = 300, 32, 0.01
+STEPS, BATCH, RATE = 700, 32, 0.01
 CELLS = 60_000
 
 TAG = re.compile(
@@ -236,6 +237,14 @@ def labelled(pages: list[str]) -> list[tuple[list[tuple[str, tuple[str, ...], in
     return out
 
 
+def hidden(page: list[tuple[str, tuple[str, ...], int]], g: np.random.Generator) -> list[tuple[str, tuple[str, ...], int]]:
+    """A page's blocks as if its article stood in unnamed or oddly named divs, or in nothing of its own."""
+    odd = lambda: "".join("abcdefghijklmnopqrstuvwxyz"[i] for i in g.integers(0, 26, g.integers(1, 7)))
+    forms = [(), ("<div",), ("<div", odd()), ("<div", odd(), "<div", odd()), ("<main", "<div", odd(), "<div", odd()), ("<table", "<tbody", "<tr", "<td"), ("<table", "<tr", "<td"), ("<section", odd())]
+    new = forms[int(g.integers(len(forms)))]
+    return [(t, tuple(y for x in path for y in (new if x in ("<article", "<main") else (x,))), n) for t, path, n in page]
+
+
 def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) -> tuple[str, list[bool]]:
     """A page composed of article texts and of others in a random layout, and whether each of its blocks is article."""
     pick = lambda xs: xs[int(g.integers(len(xs)))]
@@ -288,8 +297,11 @@ def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) ->
 
     for kind in g.permutation(["header", "nav", pick(ASIDE), "aside"])[: int(g.integers(1, 5))]:
         extra(str(kind))
-    tag = pick(["article", "main"] if plain else ["article", "main", "div", "section", "article", "div"])
-    html.append(f"<{tag}{attrs(ARTICLE) if tag in ('div', 'section') else ''}>")
+    tags = [pick(["article", "main", "div", "section", ""] if plain else ["article", "main", "div", "section", "article", "div"])]
+    tags = [t for t in tags if t] + ["div"] * int(pick([0, 0, 0, 1, 2]))
+    cells = g.random() < 0.08  # the article is a cell of a table
+    html.append("<table><tr><td>" * cells)
+    html.append("".join(f"<{t}{attrs(ARTICLE) if t in ('div', 'section') else ''}>" for t in tags))
     if g.random() < 0.6:
         html.append(f"<h1>{put(words(2, 12), True)}</h1>")
     for _ in range(int(g.integers(1, 14))):
@@ -307,7 +319,7 @@ def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) ->
             link = f' <a href="/y">{words(1, 4)}</a>' if g.random() < 0.2 else ""
             html.append(pick([f"<p>{s}{link}</p>", f"<p><b>{s}{link}<br>", f"<p>{s}{link}"]))
             put("", True)
-    html.append(f"</{tag}>")
+    html.append("".join(f"</{t}>" for t in reversed(tags)) + "</td></tr></table>" * cells)
     for kind in g.permutation(["comments", "footer", pick(ASIDE), "form", "aside"])[: int(g.integers(1, 5))]:
         extra(str(kind))
     return f"<html><body>{''.join(html)}</body></html>", labels
@@ -316,7 +328,7 @@ def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) ->
 def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     g = np.random.default_rng(17)
     known = labelled(pages)
-    rows = [(features(page), y) for page, y in known]
+    rows = [(features(p), y) for page, y in known for p in (page, hidden(page, g), hidden(page, g))]
     inside = [t for page, y in known for (t, _, _), ok in zip(page, y) if ok and len(t) > 40]
     inside = inside or ["some words of a page that has more of them, and then some others"]
     outside = [t for page, y in known for (t, _, _), ok in zip(page, y) if not ok] or inside

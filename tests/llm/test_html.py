@@ -95,6 +95,45 @@ def test_written_layouts(fitted):
         assert [x for x in got if x in s] == s and len(got) <= len(s) + 1
 
 
+def parts(page):
+    """The article's inner html, and what stands before and after the element."""
+    before, _, rest = page.partition("<article>")
+    inner, _, after = rest.partition("</article>")
+    return before, inner, after
+
+
+@pytest.mark.parametrize(("opens", "closes"), [("<div>", "</div>"), ('<div class="c1">', "</div>"), ('<main><div class="x"><div class="y">', "</div></div></main>"), ("", ""), ("<table><tr><td>", "</td></tr></table>")])
+def test_pages_that_hide_their_article(fitted, opens, closes):
+    """Held-out pages whose article element is renamed or unwrapped keep their article and little else."""
+    model, pages = fitted
+    kept = wanted = wrong = other = 0
+    for page in pages[1::2]:
+        before, inner, after = parts(page)
+        want = html_text.blocks(page)
+        want = [html_text.placed(p) for _, p, _ in want]
+        own = html_text.blocks(before + opens + inner + closes + after)
+        if len(own) != len(want):
+            continue
+        got = model.label([own])[0]
+        kept, wanted = kept + (got & np.array(want)).sum(), wanted + sum(want)
+        wrong, other = wrong + (got & ~np.array(want)).sum(), other + len(want) - sum(want)
+    print(repr(opens), "kept", kept, wanted, "wrong", wrong, other)
+    assert wanted > 500 and kept >= 0.95 * wanted and wrong <= 0.05 * other
+
+
+def test_unmarked_layouts(fitted):
+    model, pages = fitted
+    s = [t for t in article_of(pages[1]).split("\n") + article_of(pages[3]).split("\n") if len(t) > 60][:4]
+    p = "".join(f"<p>{html.escape(x)}</p>" for x in s)
+    for page in (
+        f"<body><h1>Title of it</h1>{p}</body>",
+        f"<body><div><div>{p}</div></div></body>",
+        f'<nav><a href="/a">A</a></nav><table><tr><td>{p}</td></tr></table><footer>All rights</footer>',
+        f'<main><div class="x"><div class="y">{p}</div></div></main>',
+    ):
+        assert [x for x in extracted(model, page).split("\n") if x in s] == s
+
+
 def test_long_pages_and_slices(fitted, monkeypatch):
     model, _ = fitted
     page = "<article>" + "".join(f"<p>block {i} with some words</p>" for i in range(3000)) + "</article>"
