@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import urls
 from ..operators import assemble
-from ..sources import files, pages, stages
+from ..sources import files, pages, recorded, stages
 from ..sources.shared import shared_dir
 from ..streaming import state
 from .registry import STRIP, query
@@ -131,3 +132,17 @@ def batches_written_again(load):
     files.write_batches(docs.withColumn("round", F.lit(1)), at, "batch_no", "doc_id")
     files.write_batches(docs.where("batch_no % 3 = 0").withColumn("round", F.lit(2)), at, "batch_no", "doc_id")
     return files.gather_jsonl(docs.sparkSession, at, "doc_id long, n_chars long, round int")
+
+
+@query(
+    """SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS dir, page_id || '.html' AS name, strlen(html) AS length, sha256(html) AS body, url AS original_url, CASE WHEN page_id % 2 = 0 THEN 'from ' || page_id END AS source_page_url
+    FROM pages WHERE page_id % 5 > 0 AND strlen(html) > 2000"""
+)
+def recorded_round_trip(load):
+    """Pages as files with their records, some with another suffix, read again by suffix and length."""
+    own, at = load("pages"), _folder(load("pages"))
+    name = F.concat("page_id", F.when(F.col("page_id") % 5 == 0, ".txt").otherwise(".html"))
+    rows = own.select(F.concat_ws("/", urls.host(F.col("url")), name).alias("path"), F.encode("html", "utf-8").alias("content"), F.col("url").alias("original_url"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("from "), "page_id")).alias("source_page_url"))
+    recorded.record(rows.select("path", "content", "original_url", "source_page_url"), at)
+    got = recorded.recorded(own.sparkSession, at).where("ext = '.html' AND length > 2000")
+    return got.select("dir", F.substring_index("path", "/", -1).alias("name"), "length", F.sha2(F.col("content"), 256).alias("body"), "original_url", "source_page_url")
