@@ -146,3 +146,18 @@ def recorded_round_trip(load):
     recorded.record(rows.select("path", "content", "original_url", "source_page_url"), at)
     got = recorded.recorded(own.sparkSession, at).where("ext = '.html' AND length > 2000")
     return got.select("dir", F.substring_index("path", "/", -1).alias("name"), "length", F.sha2(F.col("content"), 256).alias("body"), "original_url", "source_page_url")
+
+
+@query(
+    """SELECT source || '/' || doc_id AS name, strlen(text) AS length, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN CASE WHEN length(text) > 2000 THEN '' ELSE trim(text) END ELSE text END AS text
+    FROM documents WHERE strlen(text) > 0 AND source IS NOT NULL AND doc_id % 4 < 3"""
+)
+def extracted_tree(load):
+    """Documents as a tree of files of four kinds: one is not looked for, one has no reader, long papers are left empty."""
+    docs, at = load("documents").where("source IS NOT NULL"), _folder(load("documents"))
+    kind = F.element_at(F.array(F.lit(".bin"), F.lit(".pdf"), F.lit(".Txt"), F.lit(".log")), (F.col("doc_id") % 4 + 1).cast("int"))
+    recorded.record(docs.select(F.concat("source", F.lit("/"), "doc_id", kind).alias("path"), F.encode("text", "utf-8").alias("content")), at)
+    tree = files.tree(docs.sparkSession, files.Config(at, extensions=(".bin", ".pdf", ".txt")))
+    texts = files.extract_text(tree, 2000, lambda b: b.decode()).withColumnRenamed("path", "_path")
+    name = F.regexp_extract("path", r"([^/]+/[^/]+)\.[^./]*$", 1)
+    return tree.join(texts, F.col("path") == F.col("_path")).select(name.alias("name"), "length", "text")

@@ -54,3 +54,14 @@ def style_schedule(load):
     out = assemble.style_schedule(rows.select("doc_id", F.col("i").cast("int").alias("i"), "lang"), "i", F.col("lang") != "en", iterations=2)
     key = assemble.styled_key(F.concat(F.lit("chunk_"), "doc_id"), F.col("style"), F.col("iteration"))
     return out.select("doc_id", "i", "style", "iteration", key.alias("styled_hash"))
+
+
+@query(
+    "SELECT origin, count(*) AS n, min(key) AS first, max(key) AS last, count(DISTINCT lang) AS langs FROM (SELECT lang, key, array_to_string(list_slice(string_split(key, '_'), 1, 2), '_') AS origin "
+    "FROM (SELECT lang, 'chunk_' || substr(sha256(source), 1, 12) || '_' || doc_id AS key FROM documents)) GROUP BY origin"
+)
+def origin_groups(load):
+    """What the pairs of each origin have in common."""
+    key = F.concat(F.lit("chunk_"), F.substring(F.sha2("source", 256), 1, 12), F.lit("_"), "doc_id")
+    rows = load("documents").select("lang", key.alias("key")).withColumn("origin", assemble.origins(F.col("key")))
+    return rows.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"), F.count_distinct("lang").alias("langs"))
