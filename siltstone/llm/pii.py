@@ -50,8 +50,10 @@ ENDING = re.compile(r"\s*[A-Za-z]{2,}")
 #: Frequent top-level domains, one of which ends an added address, and words that are no domain before a spelled-out dot.
 TOP_LEVEL = "ai app at be biz br ca ch cn co com cz de dev dk edu es eu fi fr gov gr hu ie in info io it jp kr me mil mx net nl no nz org pl pt ro ru se tv uk us".split()
 NO_DOMAIN = "a an any each her his its my no of our that the their this your".split()
-AT, DOT = r"\s*(?:@|[\[({]\s*at\s*[\])}]|\bat\b)\s*", r"\s*(?:\.|[\[({]\s*(?:dot|\.)\s*[\])}]|\bdot\b)\s*"
-ADDRESS = re.compile(rf"(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?:{DOT}[a-z0-9_%+-]+)*{AT}(?!(?:dot|{'|'.join(NO_DOMAIN)})\b)[a-z0-9-]+(?:{DOT}[a-z0-9-]+)*{DOT}(?:{'|'.join(TOP_LEVEL)})(?![a-z0-9-])", re.I)
+#: What stands for the signs; spelled-out ones need white space or brackets around them, so each text is read in one way only.
+AT, SPELLED_DOT = r"(?:\s*(?:@|[\[({]\s*at\s*[\])}])\s*|\s+at\s+)", r"(?:\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s+dot\s+)"
+DOT = rf"(?:\s*\.\s*|{SPELLED_DOT})"
+ADDRESS = re.compile(rf"(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?:{SPELLED_DOT}[a-z0-9._%+-]+)*{AT}(?!(?:dot|{'|'.join(NO_DOMAIN)})\b)[a-z0-9-]+(?:{DOT}[a-z0-9-]+)*{DOT}(?:{'|'.join(TOP_LEVEL)})(?![a-z0-9-])", re.I)
 
 
 def luhn(digits: str) -> bool:

@@ -144,3 +144,5 @@ def test_long_text_full_of_spans():
     t = "0176/1234567 " * 20000
     tags = np.tile(np.array([4] * 12 + [0], np.int8), 20000)
     assert len(pii.added_spans(t, tags, pii.base_spans(t))) == 20000
+    for t in ("a.b." * 5000, "a dot " * 5000, "at a dot b " * 3000, "x" * 20000, "- . " * 5000):
+        pii.added_spans(t, np.ones(len(t), np.int8), [])
