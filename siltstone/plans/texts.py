@@ -395,3 +395,18 @@ def title_or_stem(load):
     """Titles, and the stem of the address for every third page, as if it had none."""
     title = F.when(F.col("page_id") % 3 > 0, F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).otherwise(" ")
     return load("pages").select("page_id", files.title_or_stem(title, F.col("url")).alias("title"))
+
+
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+    b AS (SELECT page_id, regexp_split_to_array(a, '</?(?:p|h1)>') AS parts FROM a),
+    c AS (SELECT page_id, generate_subscripts(parts, 1) AS i, replace(replace(replace(replace(replace(regexp_replace(unnest(parts), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&') AS t FROM b),
+    d AS (SELECT page_id, i, regexp_replace(t, '[^0-9A-Za-zÀ-ÖØ-öø-ÿ]+', ' ', 'g') AS t FROM c WHERE regexp_replace(t, '\s', '', 'g') <> '')
+    SELECT page_id, count(*) AS n_blocks, string_agg(trim(t), chr(10) ORDER BY i) AS words FROM d GROUP BY page_id"""
+)
+def markdown_words(load):
+    """The words of each block of a page's Markdown, without its marks."""
+    md = markdown.to_markdown(F.col("html"), F.col("url"))
+    rows = load("pages").select("page_id", F.split(md, "\n\n").alias("blocks"))
+    plain = F.transform("blocks", lambda b: F.trim(F.regexp_replace(b, "[^0-9A-Za-zÀ-ÖØ-öø-ÿ]+", " ")))
+    return rows.select("page_id", F.size("blocks").cast("long").alias("n_blocks"), F.array_join(plain, "\n").alias("words"))
