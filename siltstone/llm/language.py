@@ -9,8 +9,8 @@ share when code lengths are read as probabilities.
 Trees hold every context and byte of their sample: languages, bytes and contexts have no cap. Languages are kept in
 blocks of ``TOGETHER``, whose trees share one sorted table of (context, byte) with a column for each language.
 Before coding, A-Z and the upper-case letters of Latin-1 are lower-cased, and every other ASCII character
-counts as a space; only the first of several spaces is coded. Learnt from at most ``PER_LANG`` documents of at most
-``LONGEST`` bytes of each language outside the held-out fold (a bound on fitting alone); all texts are scored whole.
+counts as a space; only the first of several spaces is coded. Learnt from at most ``PER_LANG`` documents of each language outside the
+held-out fold, of texts over ``LONGEST`` bytes from as much out of their middle (a bound on fitting alone); all texts are scored whole.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0; ties go to the language that sorts
 first; without training rows all texts give ``und``; a doc_id that occurs with several languages counts for each.
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .labelled import fold
@@ -178,13 +178,19 @@ def fit(texts: dict[str, list[bytes]]) -> Model:
     return Model(list(trees), [Block(own[k : k + TOGETHER]) for k in range(0, len(own), TOGETHER)])
 
 
+def bounded(text: Column) -> Column:
+    """``text``, or a slice from its middle where it has more than ``LONGEST`` bytes; a character has four at most."""
+    n = LONGEST // 4
+    return F.when(F.octet_length(text) <= LONGEST, text).otherwise(F.substring(text, F.floor((F.length(text) - n) / 2).cast("int") + 1, F.lit(n)))
+
+
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on documents that are chosen by a hash of doc_id."""
-    own = docs.select("doc_id", "lang").where((fold(4) != 2) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= LONGEST))
+    own = docs.select("doc_id", "lang").where((fold(4) != 2) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = materialize(own.withColumn("r", rank).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct(), "sample")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
-    rows = docs.select("doc_id", "lang", "text").where(F.octet_length("text") <= LONGEST).join(ids, ["doc_id", "lang"]).distinct().collect()
+    rows = docs.select("doc_id", "lang", bounded(F.col("text")).alias("text")).where("text IS NOT NULL").join(ids, ["doc_id", "lang"]).distinct().collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"].encode("utf-8", "replace"))

@@ -84,3 +84,11 @@ def test_a_doc_id_with_two_languages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["lang_pred"] for r in language.identify(docs).collect()}
     assert got == {"x", "y", "und"}
+
+
+def test_language_of_long_documents_only(spark):
+    """Texts over the bound are learnt from in part, so their language can be predicted."""
+    words = {"aa": "alpha beta gamma delta epsilon zeta", "bb": "raz dwa trzy cztery piec szesc"}
+    rows = [(i, f"{words['aa']} " * (3 if i < 20 else 1), "aa") for i in range(40)] + [(100 + i, f"{words['bb']} " * 1500, "bb") for i in range(12)] + [(999, "trzy cztery dwa raz", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[999] == "bb" and all(got[100 + i] == "bb" for i in range(12)) and all(got[i] == "aa" for i in range(40))
