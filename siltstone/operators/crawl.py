@@ -166,12 +166,12 @@ def replaced(html: str, new: dict[str, str]) -> tuple[str, int]:
     return "".join([*out, html[at:]]), n
 
 
-def relinked(pages: DataFrame, visited: DataFrame) -> DataFrame:
+def relinked(pages: DataFrame, visited: DataFrame, watch: Observation | None = None) -> DataFrame:
     """page columns, html with the links to visited pages as relative paths, n_links: the links exchanged.
 
     ``pages`` are (url, html) and other columns; ``visited`` (url, local_path) are the addresses that have a local copy. A link is looked up as written,
     as resolved on its page, and without its fragment, which is put back. Pages without a copy of their own, and links without one, stay as they are.
-    The new values of a page come to it as one array, from one shuffle by address.
+    The new values of a page come to it as one array, from one shuffle by address. ``watch`` observes rewritten, the pages that changed, and exchanged, the links.
     """
     known = visited.where("url IS NOT NULL AND local_path IS NOT NULL").groupBy("url").agg(F.min("local_path").alias("local_path"))
     own = known.select(F.col("url").alias("_own"), F.col("local_path").alias("_path"))
@@ -192,4 +192,5 @@ def relinked(pages: DataFrame, visited: DataFrame) -> DataFrame:
             cols = [pa.array([h for h, _ in got], pa.string()) if c == "html" else b.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([n for _, n in got], pa.int64())], [*names, "n_links"])
 
-    return rows.mapInArrow(run, StructType([*pages.schema.fields, StructField("n_links", LongType())]))
+    out = rows.mapInArrow(run, StructType([*pages.schema.fields, StructField("n_links", LongType())]))
+    return out if watch is None else out.observe(watch, F.count_if(F.col("n_links") > 0).alias("rewritten"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("exchanged"))

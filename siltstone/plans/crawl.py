@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions import urls
@@ -217,19 +218,32 @@ LOCAL = rf"""{HOST} || '/' || CASE WHEN trim({PATH}, '/') = '' THEN 'index' ELSE
     || CASE WHEN regexp_matches({PATH}, '\.[A-Za-z0-9]{{1,5}}$') THEN '' ELSE '.html' END"""
 
 
-@query(
-    f"""WITH {FINALS}, o AS (SELECT url AS page, string_split(regexp_replace({LOCAL}, '/[^/]*$', ''), '/') AS folder FROM pages),
+RELINKED = f"""WITH {FINALS}, o AS (SELECT url AS page, string_split(regexp_replace({LOCAL}, '/[^/]*$', ''), '/') AS folder FROM pages),
     p AS (SELECT regexp_replace(url, '#.*$', '') AS url, string_split(min({LOCAL}), '/') AS parts FROM pages GROUP BY 1),
     x AS (SELECT t.src_url, t.href, o.folder, p.parts, len(list_filter(range(1, least(len(o.folder), len(p.parts)) + 1), lambda i: o.folder[1:i] = p.parts[1:i])) AS same
           FROM t JOIN f ON f.url = regexp_replace(t.dst_url, '#.*$', '') JOIN p ON p.url = f.final JOIN o ON o.page = t.src_url),
     y AS (SELECT src_url, list(DISTINCT href || chr(1) || repeat('../', len(folder) - same) || array_to_string(parts[same + 1:], '/')) AS new, count(*) AS n FROM x GROUP BY src_url)
     SELECT page_id, CASE WHEN new IS NULL THEN html ELSE list_reduce(list_prepend(html, new), lambda a, b: replace(a, 'href="' || split_part(b, chr(1), 1) || '"', 'href="' || split_part(b, chr(1), 2) || '"')) END AS html, coalesce(n, 0) AS n_links
     FROM pages LEFT JOIN y ON y.src_url = url"""
-)
+
+
+@query(RELINKED)
 def pages_relinked(load):
     """Every page with its links to known pages, through redirects, as relative paths of their copies."""
+    return _relinked(load)
+
+
+def _relinked(load, watch=None):
     own = load("pages").select("page_id", "url", "html")
     copies = own.select(urls.defrag(F.col("url")).alias("url"), urls.local_path(F.col("url")).alias("local_path")).groupBy("url").agg(F.min("local_path").alias("local_path"))
     ends = crawl.finals(written(_redirects(load), "redirects"), lambda df: written(df, "finals")).where("final IS NOT NULL")
     moved = ends.join(copies.withColumnRenamed("url", "final"), "final").select("url", "local_path")
-    return crawl.relinked(own, copies.unionByName(moved)).select("page_id", "html", "n_links")
+    return crawl.relinked(own, copies.unionByName(moved), watch).select("page_id", "html", "n_links")
+
+
+@query(f"WITH r AS ({RELINKED}) SELECT 'rewritten' AS counter, count(*) FILTER (n_links > 0) AS n FROM r UNION ALL SELECT 'exchanged', sum(n_links)::BIGINT FROM r")
+def relink_observed(load):
+    """What is counted while the rewritten pages are written."""
+    watch = Observation()
+    written(_relinked(load, watch), "pages")
+    return load("pages").sparkSession.createDataFrame([*watch.get.items()], "counter string, n long")
