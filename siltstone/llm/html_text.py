@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -43,9 +45,12 @@ STEPS, BATCH, RATE = 700, 32, 0.01
 CELLS = 60_000
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S,
 )
+#: The same up to a tag's name, for pages on which the quotes of a tag do not close.
+HEAD = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)|<[!?][^>]*(?:>|\Z)", re.S)
+EDGES = re.compile(r"[>\"']")
 NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 #: Fixed sets of HTML element names.
@@ -61,90 +66,143 @@ ENDS = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr"
 SCOPE = frozenset("article aside blockquote body div dl figure footer form header li main nav ol section table td ul".split())
 
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """(text, path, characters inside links) of each leaf block, in page order."""
-    out: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+@lru_cache(100_000)
+def bin_of(name: str) -> int:
+    return crc32(name.encode()) % PATH
+
+
+class Path:
+    """The names of the open tags, outermost first. It holds its last tag's names and the path around it, so that depth costs nothing."""
+
+    __slots__ = ("apart", "article", "bits", "last", "names", "outer")
+
+    def __init__(self, outer: Path | None = None, names: tuple[str, ...] = ()):
+        self.outer, self.names = outer, names
+        self.bits, self.last, self.article, self.apart = (outer.bits, outer.last, outer.article, outer.apart) if outer else (0, (), False, False)
+        for x in names:
+            self.bits |= 1 << bin_of(x)
+        self.last = (*self.last, *names)[-2:]
+        self.article = self.article or "<article" in names or "<main" in names
+        self.apart = self.apart or not APART.isdisjoint(names)
+
+    def __iter__(self) -> Iterator[str]:
+        steps, at = [], self
+        while at is not None:
+            steps.append(at.names)
+            at = at.outer
+        return (x for names in reversed(steps) for x in names)
+
+    def row(self) -> bytes:
+        """The buckets of a path as bits: every name, and the last two once more by place."""
+        bits = self.bits
+        for k, x in enumerate(reversed(self.last)):
+            bits |= 1 << bin_of(f"-{k}{x}")
+        return bits.to_bytes(PATH // 8, "little")
+
+
+Block = tuple[str, Path, int]
+
+
+def closings(page: str) -> tuple[list[int], list[int]]:
+    """The places of angles and quotes, and for each where a tag closes that meets it outside of quotes (-1: nowhere), in one pass from the end."""
+    found = [(m.start(), m[0]) for m in EDGES.finditer(page)]
+    ends = [-1] * (len(found) + 1)
+    same: dict[str, int] = {}
+    for k in range(len(found) - 1, -1, -1):
+        at, sign = found[k]
+        if sign == ">":
+            ends[k] = at
+        else:
+            ends[k] = ends[same[sign] + 1] if sign in same else -1
+            same[sign] = k
+    return [at for at, _ in found], ends
+
+
+def blocks(page: str) -> list[Block]:
+    """(text, path, characters inside links) of each leaf block, in page order; in time linear in the page."""
+    out: list[Block] = []
+    stack: list[str] = []
+    paths = [Path()]  # that of the root, then of each open tag
+    where: dict[str, list[int]] = {}  # the places of open tags in the stack
+    scopes: list[int] = []
     parts: list[tuple[str, bool]] = []
-    links = 0
+    edges: tuple[list[int], list[int]] | None = None
 
     def flush() -> None:
         if parts:
             text = " ".join(entities.unescape("".join(s for s, _ in parts)).split())
             if text:
                 inside = sum(len(s) for s, a in parts if a)
-                out.append((text, tuple(x for _, names in stack for x in names), min(inside, len(text))))
+                out.append((text, paths[-1], min(inside, len(text))))
             parts.clear()
 
     def pop(k: int) -> None:
-        nonlocal links
-        links -= sum(t == "a" for t, _ in stack[k:])
-        del stack[k:]
+        for t in stack[k:]:
+            where[t].pop()
+        del stack[k:], paths[k + 1 :]
+        while scopes and scopes[-1] >= k:
+            scopes.pop()
 
     pos, size = 0, len(page)
     while pos < size:
-        m = TAG.search(page, pos)
+        m = (TAG if edges is None else HEAD).search(page, pos)
         if m is None:
-            parts.append((page[pos:], links > 0))
+            parts.append((page[pos:], bool(where.get("a"))))
             break
         if m.start() > pos:
-            parts.append((page[pos : m.start()], links > 0))
+            parts.append((page[pos : m.start()], bool(where.get("a"))))
         pos = m.end()
-        tag = m[2] or m[5]
+        if edges is None:
+            tag, closing, attrs = m[2] or m[5], m[1] or m[4], m[3] or m[6] or ""
+            if m[5]:
+                edges = closings(page)
+        else:
+            tag, closing, attrs = m[2], m[1], ""
+            if tag:
+                end = edges[1][bisect_left(edges[0], pos)]
+                end = page.find(">", pos) if end < 0 else end
+                attrs, pos = (page[pos:], size) if end < 0 else (page[pos:end], end + 1)
         if not tag:
             continue
-        tag, closing, attrs = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
+        tag = tag.lower()
         if closing:
             if tag in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+            if where.get(tag):
+                pop(where[tag][-1])
             continue
         if tag in RAW:
             if not (tag == "svg" and CLOSED.search(attrs)):  # only there a slash closes an element
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-                pos = end.end() if end else size
+                end_tag = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
+                pos = end_tag.end() if end_tag else size
             continue
         if tag == "br":
             parts.append((" ", False))
         if tag in BLOCK:
             flush()
             ends = ENDS.get(tag, ("p",) if tag in SCOPE or tag[0] == "h" else ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    pop(k)
-                    break
-                if stack[k][0] in SCOPE and tag != "body":
-                    break
+            nearest = max((where[t][-1] for t in ends if where.get(t)), default=-1)
+            if nearest >= (scopes[-1] if scopes and tag != "body" else 0):
+                pop(nearest)
         if tag in VOID:
             continue
-        names = [f"<{tag}"] if tag in BLOCK else []
-        if attrs and tag in BLOCK:
-            for key, *values in NAME.findall(attrs):
-                names += PART.findall(next(filter(None, values), "").lower())
-        links += tag == "a"
-        stack.append((tag, tuple(names)))
+        if tag in BLOCK:
+            names = [f"<{tag}"]
+            if attrs:
+                for key, *values in NAME.findall(attrs):
+                    names += PART.findall(next(filter(None, values), "").lower())
+            paths.append(Path(paths[-1], tuple(names)))
+        else:
+            paths.append(paths[-1])
+        where.setdefault(tag, []).append(len(stack))
+        if tag in SCOPE:
+            scopes.append(len(stack))
+        stack.append(tag)
     flush()
     return out
 
 
-_paths: dict[tuple[str, ...], np.ndarray] = {}
-
-
-def path_bins(path: tuple[str, ...]) -> np.ndarray:
-    """Buckets of a path: every name, and the names of the last two steps once more by place."""
-    got = _paths.get(path)
-    if got is None:
-        if len(_paths) > 100_000:
-            _paths.clear()
-        names = [*path, *(f"-{k}{x}" for k, x in enumerate(reversed(path[-2:])))]
-        got = _paths[path] = np.array([crc32(x.encode()) % PATH for x in names], np.int64)
-    return got
-
-
-def features(page_blocks: list[tuple[str, tuple[str, ...], int]], at: int = 0, total: int | None = None) -> np.ndarray:
+def features(page_blocks: list[Block], at: int = 0, total: int | None = None) -> np.ndarray:
     """One row for each block: tag-path vector, hashed-word vector, measures. The blocks begin at ``at`` of ``total`` in their page."""
     n = len(page_blocks)
     total = n if total is None else total
@@ -160,9 +218,9 @@ def features(page_blocks: list[tuple[str, tuple[str, ...], int]], at: int = 0, t
     count = np.maximum(np.diff(first), 1)
     bag = np.bincount(who * WORDS + (h >> U(58)).astype(np.int64), minlength=n * WORDS).reshape(n, WORDS)
     out[:, PATH : PATH + WORDS] = np.minimum(bag / np.sqrt(count)[:, None], 2)
-    for i, (text, path, inside) in enumerate(page_blocks):
-        bins = path_bins(path)
-        out[i, bins] = 1
+    rows = np.frombuffer(b"".join(path.row() for _, path, _ in page_blocks), np.uint8).reshape(n, -1)
+    out[:, :PATH] = np.unpackbits(rows, axis=1, bitorder="little")
+    for i, (text, _, inside) in enumerate(page_blocks):
         k = PATH + WORDS
         out[i, k : k + EXTRA] = (
             np.log1p(len(text)) / 8,
@@ -187,13 +245,13 @@ class Model:
         h, kept = nn.bilstm(z, mask, {k: v for k, v in self.p.items() if k[0] in "fr"}, keep)
         return h, kept, h @ self.p["o"] + self.p["c"]
 
-    def inputs(self, page_blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
+    def inputs(self, page_blocks: list[Block]) -> np.ndarray:
         """What the network reads of each block, made ``SLICE`` blocks at a time."""
         n = len(page_blocks)
         parts = [features(page_blocks[a : a + SLICE], a, n) @ self.p["w"] + self.p["d"] for a in range(0, n, SLICE)]
         return np.tanh(np.concatenate([np.zeros((0, DIM), np.float32), *parts]))
 
-    def label(self, pages: list[list[tuple[str, tuple[str, ...], int]]]) -> list[np.ndarray]:
+    def label(self, pages: list[list[Block]]) -> list[np.ndarray]:
         """Whether each block of each page belongs to the article; pages of like length share a batch."""
         out = [np.zeros(len(r), bool) for r in pages]
         order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
@@ -222,12 +280,12 @@ ASIDE = "nav menu navbar sidebar header masthead footer ad ads advert advertisem
 ARTICLE = "article main content post entry story body text".split()
 
 
-def placed(path: tuple[str, ...]) -> bool:
+def placed(path: Path) -> bool:
     """Whether a path stands inside an article element and in no element that is set apart from it."""
-    return ("<article" in path or "<main" in path) and not APART & set(path)
+    return path.article and not path.apart
 
 
-def labelled(pages: list[str]) -> list[tuple[list[tuple[str, tuple[str, ...], int]], np.ndarray]]:
+def labelled(pages: list[str]) -> list[tuple[list[Block], np.ndarray]]:
     """The blocks of pages that mark their article, and which of them are article."""
     out = []
     for page in map(blocks, pages):
@@ -237,12 +295,25 @@ def labelled(pages: list[str]) -> list[tuple[list[tuple[str, tuple[str, ...], in
     return out
 
 
-def hidden(page: list[tuple[str, tuple[str, ...], int]], g: np.random.Generator) -> list[tuple[str, tuple[str, ...], int]]:
+def hidden(page: list[Block], g: np.random.Generator) -> list[Block]:
     """A page's blocks as if its article stood in unnamed or oddly named divs, or in nothing of its own."""
     odd = lambda: "".join("abcdefghijklmnopqrstuvwxyz"[i] for i in g.integers(0, 26, g.integers(1, 7)))
     forms = [(), ("<div",), ("<div", odd()), ("<div", odd(), "<div", odd()), ("<main", "<div", odd(), "<div", odd()), ("<table", "<tbody", "<tr", "<td"), ("<table", "<tr", "<td"), ("<section", odd())]
     new = forms[int(g.integers(len(forms)))]
-    return [(t, tuple(y for x in path for y in (new if x in ("<article", "<main") else (x,))), n) for t, path, n in page]
+    moved: dict[Path, Path] = {}
+
+    def move(path: Path) -> Path:
+        steps, at = [], path
+        while at is not None and at not in moved:
+            steps.append(at)
+            at = at.outer
+        out = moved.get(at)
+        for step in reversed(steps):
+            names = tuple(y for x in step.names for y in (new if x in ("<article", "<main") else (x,)))
+            out = moved[step] = Path(out, names)
+        return out
+
+    return [(t, move(path), n) for t, path, n in page]
 
 
 def made_page(g: np.random.Generator, inside: list[str], outside: list[str]) -> tuple[str, list[bool]]:

@@ -1,7 +1,9 @@
 """Main text: held-out pages of the table, other layouts, markup at its edges, very long pages."""
 
+import bisect
 import html
 import os
+import random
 import re
 
 import numpy as np
@@ -141,3 +143,22 @@ def test_long_pages_and_slices(fitted, monkeypatch):
     whole = model.label([own])[0]
     monkeypatch.setattr(html_text, "SLICE", 700)
     assert (model.label([own])[0] == whole).all() and len(own) == 3000
+
+
+def test_deep_and_odd_pages_in_linear_time():
+    deep = html_text.blocks("<div class=a>x" * 60000)
+    assert len(deep) == 60000 and list(deep[2][1]) == ["<div", "a"] * 3
+    assert html_text.features(deep[-5:]).shape[0] == 5
+    assert texts('<a ">" ' * 60000 + "<p>end</p>")[-1].endswith("end")
+    assert len(texts("<b>" * 60000 + "<h1>t</h1></i>" * 30000)) == 30000
+
+
+def test_tags_whose_quotes_do_not_close():
+    plain = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+    r = random.Random(4)
+    for _ in range(3000):
+        page = "".join(r.choice("a \"'>") for _ in range(r.randrange(12)))
+        places, ends = html_text.closings(page)
+        for k in range(len(page) + 1):
+            m = plain.match(page, k)
+            assert ends[bisect.bisect_left(places, k)] == (m.end() - 1 if m else -1)
