@@ -1,13 +1,16 @@
 """HTML to Markdown: a tolerant event parser builds a small tree, which rules turn into text.
 
-Error recovery is an open-element list with implied ends for p, li, table cells, rows and dt/dd. The parser and the
-rules run in a pandas UDF; documents stay whole.
+Errors are mended as browsers do: ends implied for p, li, rows, cells and dt/dd; rows implied around cells; what stands in a table
+but in no cell goes before it (foster parenting); end tags reach out of no cell and inline ones out of no block; and links, bold
+and slanted text that is closed out of order or left open at a block's end goes on in the next (a list of active formats, with
+elements split where they overlap). The parser and the rules run in a pandas UDF; documents stay whole.
 """
 
 from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -23,6 +26,16 @@ VOID = frozenset("area base br col embed hr img input link meta source wbr".spli
 IMPLIED = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 FENCE = {"p": {"div", "section", "article", "li", "td", "th", "blockquote", "body", "details"}, "li": {"ul", "ol"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 BLOCKS = frozenset("p div section article main ul ol table blockquote pre h1 h2 h3 h4 h5 h6 hr details dl figure body".split())
+#: HTML's elements of tables, those that hold only rows and cells, what may stand in them, formats that shape Markdown, and elements that inline end tags do not leave.
+CELLS = frozenset("td th caption".split())
+ROWS = frozenset("table thead tbody tfoot tr".split())
+PARTS = {"tr": ROWS - {"tr"}, "td": frozenset({"tr"}), "th": frozenset({"tr"}), **dict.fromkeys("thead tbody tfoot caption colgroup col".split(), frozenset({"table"}))}
+IN_TABLE = frozenset([*PARTS, *"script style template form input".split()])
+FORMATS = frozenset("a b em i strong".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SPECIAL = BLOCKS | CELLS | ROWS | frozenset("root html head li dt dd header footer nav aside form button address center figcaption summary select".split())
+#: At most so many equal formats stay active, and an end tag splits at most so many blocks.
+ALIKE, SPLITS = 3, 8
 
 
 #: Fixed value: HTML reads a larger colspan as this one.
@@ -33,10 +46,10 @@ PAIR_TABLES = frozenset(("visualizacao", "programaRelatorio"))
 
 
 class Node:
-    __slots__ = ("attrs", "blocky", "kids", "tag")
+    __slots__ = ("attrs", "blocky", "kids", "tag", "up")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.kids, self.blocky = tag, attrs or {}, [], False
+        self.tag, self.attrs, self.kids, self.blocky, self.up = tag, {} if attrs is None else attrs, [], False, None
 
     def walk(self):
         todo = [self]
@@ -61,34 +74,184 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("root")
         self.open = [self.root]
+        self.count = Counter({"root": 1})
+        self.active: list[Node | None] = []  # open or interrupted formats; None where a cell begins
         self.deepest = 1
 
-    def handle_starttag(self, tag, attrs):
-        ends = IMPLIED.get(tag, {"p"} if tag in BLOCKS else set())
-        fence = FENCE.get(tag, FENCE["p"])
+    def cut(self, k: int) -> None:
+        """Close the open elements from the k-th on."""
+        for n in reversed(self.open[k:]):
+            self.count[n.tag] -= 1
+            if n.tag in CELLS:
+                while self.active and self.active.pop() is not None:
+                    pass
+        del self.open[k:]
+
+    def innermost(self, tags: frozenset[str] | set[str], stop: frozenset[str] | set[str]) -> int:
+        """The place of the innermost open element of ``tags``, 0 if there is none or one of ``stop`` lies inside it."""
+        if not any(self.count[t] for t in tags):
+            return 0
         for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in ends:
-                del self.open[k:]
-                break
-            if self.open[k].tag in fence:
-                break
+            if self.open[k].tag in tags:
+                return k
+            if self.open[k].tag in stop:
+                return 0
+        return 0
+
+    def place(self, new: Node | str, into: Node) -> None:
+        """Put content into an element; before its table, if only rows and cells may stand there."""
+        stays = not new.strip() if isinstance(new, str) else new.tag in IN_TABLE
+        if into.tag in ROWS and not stays:
+            table = next(n for n in reversed(self.open) if n.tag == "table") if self.count["table"] else None
+            if table is not None and table.up is not None:
+                kids = table.up.kids
+                k = next(k for k in range(len(kids) - 1, -1, -1) if kids[k] is table)
+                kids.insert(k, new)
+                into = table.up
+            else:
+                into.kids.append(new)
+        else:
+            into.kids.append(new)
+        if isinstance(new, Node):
+            new.up = into
+
+    def push(self, node: Node) -> Node:
+        self.place(node, self.open[-1])
+        self.open.append(node)
+        self.count[node.tag] += 1
+        self.deepest = max(self.deepest, len(self.open))
+        return node
+
+    def resume(self) -> None:
+        """Open the active formats again that a closed block has interrupted."""
+        k = len(self.active)
+        while k and self.active[k - 1] is not None and not self.is_open(self.active[k - 1]):
+            k -= 1
+        for k in range(k, len(self.active)):
+            self.active[k] = self.push(Node(self.active[k].tag, self.active[k].attrs))
+
+    def is_open(self, n: Node) -> bool:
+        return self.count[n.tag] > 0 and any(o is n for o in reversed(self.open))
+
+    def last_format(self, tag: str) -> Node | None:
+        for n in reversed(self.active):
+            if n is None or n.tag == tag:
+                return n
+        return None
+
+    def close_format(self, tag: str) -> None:
+        """Close a format; blocks that began inside it are split from it, so that each keeps what it had."""
+        for _ in range(SPLITS):
+            fmt = self.last_format(tag)
+            if fmt is None:
+                self.close_inline(tag)
+                return
+            if not self.is_open(fmt):
+                self.active.remove(fmt)
+                return
+            k = next(k for k in range(len(self.open) - 1, 0, -1) if self.open[k] is fmt)
+            if any(n.tag in CELLS or n.tag == "table" for n in self.open[k:]):
+                return
+            far = next((j for j in range(k + 1, len(self.open)) if self.open[j].tag in SPECIAL), 0)
+            if not far:
+                self.cut(k)
+                self.active.remove(fmt)
+                return
+            self.split(fmt, k, far)
+
+    def split(self, fmt: Node, k: int, far: int) -> None:
+        """Take the block at ``far`` out of the format at ``k``: formats between are copied, other elements between are closed."""
+        block = last = self.open[far]
+        mark = self.active.index(fmt)
+        for j in range(far - 1, k, -1):
+            between = self.open[j]
+            if between not in self.active:
+                self.count[between.tag] -= 1
+                del self.open[j]
+                continue
+            copy = Node(between.tag, between.attrs)
+            at = self.active.index(between)
+            self.active[at] = self.open[j] = copy
+            if last is block:
+                mark = at + 1
+            self.detach(last)
+            copy.kids.append(last)
+            last.up, last = copy, copy
+        self.detach(last)
+        self.place(last, self.open[k - 1])
+        inner = Node(fmt.tag, fmt.attrs)
+        inner.kids, block.kids, inner.up = block.kids, [inner], block
+        for n in inner.kids:
+            if isinstance(n, Node):
+                n.up = inner
+        self.active.insert(mark, inner)
+        self.active.remove(fmt)
+        del self.open[k]
+        self.open.insert(next(j for j in range(len(self.open) - 1, 0, -1) if self.open[j] is block) + 1, inner)
+
+    def detach(self, n: Node) -> None:
+        if n.up is not None:
+            kids = n.up.kids
+            del kids[next(k for k in range(len(kids) - 1, -1, -1) if kids[k] is n)]
+
+    def close_inline(self, tag: str) -> None:
+        if k := self.innermost({tag}, SPECIAL):
+            self.cut(k)
+
+    def handle_starttag(self, tag, attrs):
         node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].kids.append(node)
-        if tag not in VOID:
-            self.open.append(node)
-            self.deepest = max(self.deepest, len(self.open))
+        if tag in PARTS and (table := self.innermost({"table"}, frozenset())):
+            held = self.innermost(PARTS[tag], {"table"} - PARTS[tag])
+            self.cut((held or self.innermost(PARTS["tr"], frozenset()) or table) + 1)
+            if tag in ("td", "th") and not held:
+                self.push(Node("tr"))
+        else:
+            ends = IMPLIED.get(tag, {"p"} if tag in BLOCKS else set())
+            if ends and (k := self.innermost(ends, FENCE.get(tag, FENCE["p"]) | {"table"})):
+                self.cut(k)
+            if tag in HEADINGS and self.open[-1].tag in HEADINGS:
+                self.cut(len(self.open) - 1)
+            if tag == "a" and (old := self.last_format("a")) is not None:
+                self.close_format("a")
+                if old in self.active:
+                    self.active.remove(old)
+            if tag not in SPECIAL:
+                self.resume()
+        if tag in VOID:
+            self.place(node, self.open[-1])
+            return
+        self.push(node)
+        if tag in CELLS:
+            self.active.append(None)
+        if tag in FORMATS:
+            own = self.active[len(self.active) - next((k for k, n in enumerate(reversed(self.active)) if n is None), len(self.active)) :]
+            alike = [n for n in own if n.tag == tag]
+            if len(alike) >= ALIKE:
+                self.active.remove(alike[0])
+            self.active.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].kids.append(Node(tag, {k: v or "" for k, v in attrs}))
+        self.place(Node(tag, {k: v or "" for k, v in attrs}), self.open[-1])
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                break
+        if tag in FORMATS:
+            self.close_format(tag)
+        elif tag in PARTS or tag == "table":
+            if k := self.innermost({tag}, set() if tag == "table" else {"table"}):
+                self.cut(k)
+        elif tag in HEADINGS:
+            if k := self.innermost(HEADINGS, CELLS | {"table"}):
+                self.cut(k)
+        elif tag in SPECIAL:
+            if k := self.innermost({tag}, CELLS | {"table"}):
+                self.cut(k)
+        else:
+            self.close_inline(tag)
 
     def handle_data(self, data):
-        self.open[-1].kids.append(data)
+        if self.active and not data.isspace():
+            self.resume()
+        self.place(data, self.open[-1])
 
 
 def parse(html: str) -> Node:
@@ -345,12 +508,13 @@ SIGNALS = StructType(
 
 @F.pandas_udf(SIGNALS)
 def signals(html: pd.Series) -> pd.DataFrame:
-    """What tells a page of questions: title, foldable parts, bold texts."""
+    """What tells a page of questions: title, foldable parts, bold texts (one a tag as written: its text up to the end of its first block)."""
 
     def one(h):
         nodes = list(parse(h or "").walk())
         title = next((n.text().strip() for n in nodes if n.tag == "title"), None)
-        bold = [n.text().strip() for n in nodes if n.tag in ("b", "strong")]
+        written = {id(n.attrs): n for n in reversed(nodes) if n.tag in ("b", "strong")}  # parts of a tag share its attributes
+        bold = [n.text().strip() for n in reversed(written.values())]
         return title, sum(n.tag == "details" for n in nodes), sum(n.tag == "summary" for n in nodes), bold
 
     return pd.DataFrame([one(h) for h in html], columns=["title", "details", "summaries", "bold"])

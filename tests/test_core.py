@@ -120,7 +120,7 @@ def test_chunk_rows(spark):
 
 def test_markdown():
     page = (
-        '<body><nav>x</nav><main><h2>T</h2><p>a <b>bold<br>next<p>two <a href="/u/index.html">l</a> <a href="mailto:a@b.c?x=1">m</a>'
+        '<body><nav>x</nav><main><h2>T</h2><p>a <b>bold</b><br>next<p>two <a href="/u/index.html">l</a> <a href="mailto:a@b.c?x=1">m</a>'
         '<table class="info"><tr><th>K:</th><td>v|1</td></tr></table><table><caption>C</caption><thead><tr><th scope=col>A<th scope=col>B<th>D</tr></thead><tr><td colspan=3>S</td></tr><tr><td>1<td>2<br>3</tr><tfoot><tr><td>end</tr></tfoot></table>'
         "<ul><li>one<li>two<ol><li>x</ol></ul><details><summary>Q?</summary>ans</details><pre>a  b</pre><select><option>o1<option>o2</select><h3>S</h3></main>"
     )
