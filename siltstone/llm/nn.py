@@ -21,93 +21,102 @@ def lstm_params(g: np.random.Generator, size: int, hidden: int, name: str) -> Pa
     }
 
 
-def lstm(x: np.ndarray, mask: np.ndarray, p: Params, name: str, keep: bool = True):
-    """States of every step; masked steps pass the state on. Returns states and what the backward pass needs."""
-    steps, n, _ = x.shape
-    hid = p[f"{name}h"].shape[0]
-    z_in = x @ p[f"{name}x"] + p[f"{name}b"]
-    h, c = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
-    out = np.zeros((steps, n, hid), np.float32)
+def bilstm(x: np.ndarray, mask: np.ndarray, p: Params, keep: bool = True):
+    """States of both directions at every step, and what the backward pass needs; masked steps pass the state on.
+
+    The directions run side by side on axis 1, the second from the end, so that a step is one call for both.
+    """
+    x = np.stack([x, x[::-1]], 1)
+    mask = np.stack([mask, mask[::-1]], 1)[..., None]
+    w, hidden, bias = (np.stack([p[f"f{k}"], p[f"r{k}"]]) for k in "xhb")
+    z_in = x @ w + bias[:, None]
+    steps, _, n, _ = z_in.shape
+    hid = hidden.shape[1]
+    h, c = np.zeros((2, n, hid), z_in.dtype), np.zeros((2, n, hid), z_in.dtype)
+    out = np.zeros((steps, 2, n, hid), z_in.dtype)
+    whole = mask.all((1, 2, 3))
     tape = []
     for t in range(steps):
-        z = z_in[t] + h @ p[f"{name}h"]
-        gates = sigmoid(z[:, : 3 * hid])
-        i, f, o = gates[:, :hid], gates[:, hid : 2 * hid], gates[:, 2 * hid :]
-        g = np.tanh(z[:, 3 * hid :])
-        m = mask[t][:, None]
+        z = z_in[t] + h @ hidden
+        gates = sigmoid(z[..., : 3 * hid])
+        i, f, o = gates[..., :hid], gates[..., hid : 2 * hid], gates[..., 2 * hid :]
+        g = np.tanh(z[..., 3 * hid :])
         c_new = f * c + i * g
         tc = np.tanh(c_new)
         if keep:
-            tape.append((h, c, i, f, o, g, tc, m))
-        c = m * c_new + (1 - m) * c
-        h = m * (o * tc) + (1 - m) * h
+            tape.append((h, c, i, f, o, g, tc))
+        if whole[t]:
+            c, h = c_new, o * tc
+        else:
+            m = mask[t]
+            c, h = m * c_new + (1 - m) * c, m * (o * tc) + (1 - m) * h
         out[t] = h
-    return out, (x, tape)
-
-
-def lstm_back(d_out: np.ndarray, kept, p: Params, name: str) -> tuple[np.ndarray, Params]:
-    x, tape = kept
-    steps, n, hid = d_out.shape
-    dz_all = np.zeros((steps, n, 4 * hid), np.float32)
-    dwh = np.zeros_like(p[f"{name}h"])
-    dh, dc = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
-    for t in range(steps - 1, -1, -1):
-        h, c, i, f, o, g, tc, m = tape[t]
-        dh = dh + d_out[t]
-        own = dh * m
-        dct = dc * m + own * o * (1 - tc * tc)
-        dz = np.concatenate([dct * g * i * (1 - i), dct * c * f * (1 - f), own * tc * o * (1 - o), dct * i * (1 - g * g)], 1)
-        dz_all[t] = dz
-        dwh += h.T @ dz
-        dc = dct * f + dc * (1 - m)
-        dh = dz @ p[f"{name}h"].T + dh * (1 - m)
-    flat = dz_all.reshape(-1, 4 * hid)
-    grads = {f"{name}x": x.reshape(-1, x.shape[2]).T @ flat, f"{name}h": dwh, f"{name}b": flat.sum(0)}
-    return (flat @ p[f"{name}x"].T).reshape(x.shape), grads
-
-
-def bilstm(x: np.ndarray, mask: np.ndarray, p: Params, keep: bool = True):
-    a, ka = lstm(x, mask, p, "f", keep)
-    b, kb = lstm(x[::-1], mask[::-1], p, "r", keep)
-    return np.concatenate([a, b[::-1]], 2), (ka, kb)
+    return np.concatenate([out[:, 0], out[::-1, 1]], 2), (x, mask, whole, tape)
 
 
 def bilstm_back(d: np.ndarray, kept, p: Params) -> tuple[np.ndarray, Params]:
+    x, mask, whole, tape = kept
     hid = d.shape[2] // 2
-    dx, ga = lstm_back(np.ascontiguousarray(d[:, :, :hid]), kept[0], p, "f")
-    dy, gb = lstm_back(np.ascontiguousarray(d[::-1, :, hid:]), kept[1], p, "r")
-    return dx + dy[::-1], ga | gb
-
-
-def logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
+    d_out = np.stack([d[:, :, :hid], d[::-1, :, hid:]], 1)
+    w, hidden = (np.stack([p[f"f{k}"], p[f"r{k}"]]) for k in "xh")
+    back = hidden.transpose(0, 2, 1)
+    steps, _, n, _ = d_out.shape
+    dz = np.zeros((steps, 2, n, 4 * hid), d_out.dtype)
+    dh, dc = np.zeros((2, n, hid), d_out.dtype), np.zeros((2, n, hid), d_out.dtype)
+    for t in range(steps - 1, -1, -1):
+        _, c, i, f, o, g, tc = tape[t]
+        dh = dh + d_out[t]
+        own, stay = (dh, None) if whole[t] else (dh * mask[t], 1 - mask[t])
+        dct = (dc if whole[t] else dc * mask[t]) + own * o * (1 - tc * tc)
+        z = dz[t]
+        z[..., :hid] = dct * g * i * (1 - i)
+        z[..., hid : 2 * hid] = dct * c * f * (1 - f)
+        z[..., 2 * hid : 3 * hid] = own * tc * o * (1 - o)
+        z[..., 3 * hid :] = dct * i * (1 - g * g)
+        dc = dct * f if stay is None else dct * f + dc * stay
+        dh = z @ back if stay is None else z @ back + dh * stay
+    before = np.stack([step[0] for step in tape])
+    grads = {}
+    for k, name in enumerate("fr"):
+        flat = dz[:, k].reshape(-1, 4 * hid)
+        grads[f"{name}x"] = x[:, k].reshape(-1, x.shape[3]).T @ flat
+        grads[f"{name}h"] = before[:, k].reshape(-1, hid).T @ flat
+        grads[f"{name}b"] = flat.sum(0)
+    dx = dz @ w.transpose(0, 2, 1)
+    return dx[:, 0] + dx[::-1, 1], grads
 
 
 def crf(e: np.ndarray, tags: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Mean negative log-likelihood of tag paths, and its gradients; steps are masked only at the end."""
+    """Mean negative log-likelihood of tag paths, and its gradients; steps are masked only at the end.
+
+    Forward and backward sums are kept as shares of each step's sum, whose logarithms make up the total.
+    """
     steps, n, k = e.shape
-    alpha = np.zeros((steps, n, k))
-    alpha[0] = e[0]
+    top, most = e.max(2), trans.max()
+    x, way = np.exp(e - top[:, :, None]), np.exp(trans - most)
+    alpha, scale = np.empty((steps, n, k)), np.ones((steps, n))
+    scale[0] = x[0].sum(1)
+    alpha[0] = x[0] / scale[0][:, None]
+    live = mask > 0
+    whole = live.all(1)
     for t in range(1, steps):
-        new = logsumexp(alpha[t - 1][:, :, None] + trans[None], 1) + e[t]
-        alpha[t] = np.where(mask[t][:, None] > 0, new, alpha[t - 1])
-    total = logsumexp(alpha[-1], 1)
-    beta = np.zeros((steps, n, k))
-    d_trans = np.zeros((k, k))
-    rows = np.arange(n)
-    gold = e[0][rows, tags[0]].astype(float)
+        new = (alpha[t - 1] @ way) * x[t]
+        scale[t] = new.sum(1)
+        new /= scale[t][:, None]
+        alpha[t] = new if whole[t] else np.where(live[t][:, None], new, alpha[t - 1])
+    beta = np.ones((steps, n, k))
+    ahead = np.zeros((steps, n, k))
     for t in range(steps - 1, 0, -1):
-        m = mask[t][:, None]
-        ahead = e[t] + beta[t]
-        beta[t - 1] = np.where(m > 0, logsumexp(trans[None] + ahead[:, None, :], 2), beta[t])
-        pairs = np.exp(alpha[t - 1][:, :, None] + trans[None] + ahead[:, None, :] - total[:, None, None]) * m[:, :, None]
-        d_trans += pairs.sum(0)
-        np.subtract.at(d_trans, (tags[t - 1], tags[t]), mask[t])
-        gold += mask[t] * (e[t][rows, tags[t]] + trans[tags[t - 1], tags[t]])
-    marginal = np.exp(alpha + beta - total[None, :, None])
-    d_e = marginal * mask[:, :, None]
-    np.subtract.at(d_e, (np.arange(steps)[:, None], rows[None], tags), mask)
+        ahead[t] = x[t] * beta[t] / scale[t][:, None]
+        new = ahead[t] @ way.T
+        beta[t - 1] = new if whole[t] else np.where(live[t][:, None], new, beta[t])
+    total = np.log(scale[0]) + top[0] + ((np.log(scale[1:]) + top[1:] + most) * live[1:]).sum(0)
+    step, rows = np.arange(steps)[:, None], np.arange(n)[None]
+    gold = e[0][rows[0], tags[0]] + ((e[step, rows, tags][1:] + trans[tags[:-1], tags[1:]]) * mask[1:]).sum(0)
+    d_trans = way * (alpha[:-1].reshape(-1, k).T @ (ahead[1:] * live[1:, :, None]).reshape(-1, k))
+    np.subtract.at(d_trans, (tags[:-1], tags[1:]), mask[1:])
+    d_e = alpha * beta * mask[:, :, None]
+    d_e[step, rows, tags] -= mask
     return float((total - gold).mean()), (d_e / n).astype(np.float32), (d_trans / n).astype(np.float32)
 
 
@@ -128,24 +137,44 @@ def viterbi(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> np.ndarray:
 
 
 def states(ids: np.ndarray, mask: np.ndarray, table: np.ndarray, hidden: np.ndarray) -> np.ndarray:
-    """The states of ``lstm`` without what training needs: ``table`` has each symbol's input terms, masked steps lie at one end."""
+    """The states of one direction without what training needs: ``table`` has each symbol's input terms, masked steps lie at one end.
+
+    The batch lies along the last axis in memory, and steps work in place; the result is a view with the usual axes.
+    """
     steps, n = ids.shape
     hid = hidden.shape[0]
-    scale = np.ones(4 * hid, np.float32)
-    scale[: 3 * hid] = 0.5  # sigmoid(x) is (1 + tanh(x / 2)) / 2
-    table, hidden = table * scale, hidden * scale
-    h, c = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
-    out = np.empty((steps, n, hid), np.float32)
+    scale = np.full((4 * hid, 1), -1, np.float32)  # sigmoid(x) is 1 / (1 + exp(-x)), tanh(x) is 2 sigmoid(2 x) - 1
+    scale[3 * hid :] = -2
+    table, hidden = np.ascontiguousarray(table.T * scale), np.ascontiguousarray(hidden.T * scale)
+    h, c = np.zeros((hid, n), np.float32), np.zeros((hid, n), np.float32)
+    out = np.empty((steps, hid, n), np.float32)
+    z, x = np.empty((4 * hid, n), np.float32), np.empty((4 * hid, n), np.float32)
+    i, f, o, g = z[:hid], z[hid : 2 * hid], z[2 * hid : 3 * hid], z[3 * hid :]
     whole = mask.all(1)
-    for t in range(steps):
-        z = np.tanh(table[ids[t]] + h @ hidden)
-        gates = z[:, : 3 * hid] * 0.5 + 0.5
-        c = gates[:, hid : 2 * hid] * c + gates[:, :hid] * z[:, 3 * hid :]
-        h = gates[:, 2 * hid :] * np.tanh(c)
-        if not whole[t]:
-            c, h = c * mask[t][:, None], h * mask[t][:, None]
-        out[t] = h
-    return out
+    with np.errstate(over="ignore"):  # an infinite exponential is a closed gate
+        for t in range(steps):
+            np.take(table, ids[t], axis=1, out=x, mode="clip")
+            np.matmul(hidden, h, out=z)
+            z += x
+            np.exp(z, out=z)
+            z += 1
+            np.reciprocal(z, out=z)
+            g *= 2
+            g -= 1
+            g *= i
+            c *= f
+            c += g
+            h = out[t]
+            np.multiply(c, -2, out=h)
+            np.exp(h, out=h)
+            h += 1
+            np.divide(2, h, out=h)
+            h -= 1
+            h *= o
+            if not whole[t]:
+                c *= mask[t]
+                h *= mask[t]
+    return out.transpose(0, 2, 1)
 
 
 def best_paths(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> np.ndarray:

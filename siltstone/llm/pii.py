@@ -29,7 +29,7 @@ from .store import table
 from .textkit import chunks
 
 KINDS = ("email", "ip", "card", "phone")
-SIZE, STRIDE = 480, 432
+SIZE, STRIDE = 960, 912
 EDGE = (SIZE - STRIDE) // 2
 EXAMPLE = 96
 DIM, HIDDEN = 10, 12
@@ -37,7 +37,7 @@ TOGETHER = 768
 SAMPLE_DOCS = 600
 LONGEST = 1 << 16
 WINDOWS = 1500
-STEPS, BATCH, RATE = 600, 64, 0.01
+STEPS, BATCH, RATE = 800, 64, 0.01
 
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -145,13 +145,15 @@ class Model:
         tags. Where no step's best tag makes up for what these can gain, the path without tags is best.
         """
         p, (f, r) = self.p, (self.p["e"] @ self.p[f"{d}x"] + self.p[f"{d}b"] for d in "fr")
-        e = nn.states(ids, mask, f, p["fh"]) @ p["o"][:HIDDEN] + nn.states(ids[::-1], mask[::-1], r, p["rh"])[::-1] @ p["o"][HIDDEN:] + p["c"]
+        at = np.ascontiguousarray(p["o"].T)  # (tags, states), as the batch is the last axis here
+        e = at[:, :HIDDEN] @ nn.states(ids, mask, f, p["fh"]).transpose(0, 2, 1)
+        e += at[:, HIDDEN:] @ nn.states(ids[::-1], mask[::-1], r, p["rh"])[::-1].transpose(0, 2, 1)
+        e += p["c"][:, None]
         gain = 2 * max(0.0, float(p["t"].max() - p["t"][0, 0]))
-        top = np.maximum(np.maximum(e[:, :, 1], e[:, :, 2]), np.maximum(e[:, :, 3], e[:, :, 4]))
-        open_ = np.flatnonzero(((e[:, :, 0] - top <= gain) & (mask > 0)).any(0))
+        open_ = np.flatnonzero(((e[:, 0] - e[:, 1:].max(1) <= gain) & (mask > 0)).any(0))
         out = np.zeros(ids.shape, np.int8)
         if len(open_):
-            out[:, open_] = nn.best_paths(e[:, open_], mask[:, open_], p["t"])
+            out[:, open_] = nn.best_paths(e[:, :, open_].transpose(0, 2, 1), mask[:, open_], p["t"])
         return out
 
     def tags(self, texts: list[str]) -> list[np.ndarray]:
@@ -303,7 +305,9 @@ def fit(texts: list[str], steps: int | None = None) -> Model:
     }
     model, rows = Model(p), examples(texts)
     adam = nn.Adam(p, RATE)
-    for _ in range(steps or STEPS):
+    steps = steps or STEPS
+    for step in range(steps):
+        adam.rate = RATE * (1 - 0.9 * step / steps)  # small at the end, so that rounding does not decide what is learnt
         own = [rows[i] for i in g.integers(0, len(rows), BATCH)]
         ids, tags, mask = np.zeros((EXAMPLE, BATCH), np.int64), np.zeros((EXAMPLE, BATCH), np.int64), np.zeros((EXAMPLE, BATCH), np.float32)
         for j, (w, y) in enumerate(own):
