@@ -113,13 +113,15 @@ def citation_hosts(c: Column) -> Column:
 
 def doc_field(c: Column, name: str) -> Column:
     """A field of a document's metadata block."""
-    return F.nullif(strip(F.regexp_extract(c, rf"(?m)^{name}:[ \t]*(.*)$", 1)), F.lit(""))
+    block = F.regexp_extract(c, r"(?s)^\s*(<doc_metadata>.*?</doc_metadata>)", 1)
+    return F.nullif(strip(F.regexp_extract(block, rf"(?m)^{name}:[ \t]*(.*)$", 1)), F.lit(""))
 
 
 def doc_body(c: Column) -> Column:
-    """A document without its metadata block and outer quotes."""
-    body = strip(F.regexp_replace(c, r"(?s)<doc_metadata>.*?</doc_metadata>", ""))
-    return F.btrim(body, F.lit('"'))
+    """A document without the metadata block before it and the pair of quotes around it; other blocks and quotes are its own."""
+    body = strip(F.regexp_replace(c, r"(?s)^\s*<doc_metadata>.*?</doc_metadata>", ""))
+    quoted = (F.length(body) > 1) & body.startswith('"') & body.endswith('"')
+    return F.when(quoted, strip(F.substring(body, F.lit(2), F.length(body) - 2))).otherwise(body)
 
 
 def escape_html(c: Column) -> Column:

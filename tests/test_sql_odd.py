@@ -39,3 +39,9 @@ def test_open_references_as_in_sql(spark, tmp_path):
     assert dict(got)[1] == "# A &amp"
     assert len(same(spark, tmp_path / "b", "markdown_words", pages=(OPEN, PAGES))) == 2
     assert len(same(spark, tmp_path / "c", "page_signals", pages=(OPEN, PAGES))) == 2
+
+
+def test_metadata_keeps_the_quotes_of_a_text(spark, tmp_path):
+    texts = ['he said "no"', '"all of it"', '"', "", None, 'a <doc_metadata>\nFile: b\n</doc_metadata> c"', " x "]
+    rows = [(i, t, None if i == 6 else f"s{i}") for i, t in enumerate(texts)]
+    assert len(same(spark, tmp_path, "doc_metadata", documents=(rows, "doc_id long, text string, source string"))) == 7
