@@ -75,9 +75,9 @@ def ingested_stream(load):
     """SELECT page_id, body, status FROM (SELECT page_id, url, html AS body, 200 AS status FROM pages WHERE NOT regexp_matches(lower(url), '\\.(css|js|png|jpg|jpeg|gif|svg|ico|webp|atom)([?#]|$)'))"""
 )
 def fetched_pages(load):
-    """Every page through a fetcher that knows the snapshot's addresses; suffixes that are never fetched are left out."""
+    """Every page through a fetcher that knows the snapshot's addresses; suffixes that are never fetched are left out. An address is asked for once, however many pages have it."""
     own = load("pages")
-    got = pages.fetched(own.select("url"), lambda u: (200, "text/html", u))
+    got = pages.fetched(own.select("url").distinct(), lambda u: (200, "text/html", u))
     return got.join(own, "url").select("page_id", F.when(F.col("body") == F.col("url"), F.col("html")).alias("body"), "status")
 
 

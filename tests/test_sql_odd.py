@@ -45,3 +45,8 @@ def test_metadata_keeps_the_quotes_of_a_text(spark, tmp_path):
     texts = ['he said "no"', '"all of it"', '"', "", None, 'a <doc_metadata>\nFile: b\n</doc_metadata> c"', " x "]
     rows = [(i, t, None if i == 6 else f"s{i}") for i, t in enumerate(texts)]
     assert len(same(spark, tmp_path, "doc_metadata", documents=(rows, "doc_id long, text string, source string"))) == 7
+
+
+def test_pages_of_one_address_are_fetched_once(spark, tmp_path):
+    rows = [(1, "http://a.org/x", "one"), (2, "http://a.org/x", "two"), (3, "http://a.org/y.png", "three"), (4, "http://a.org/z", None)]
+    assert len(same(spark, tmp_path, "fetched_pages", pages=(rows, PAGES))) == 3
