@@ -73,9 +73,11 @@ def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
     return first.select("_row.*").unionByName(df.where(F.col(key).isNull()))
 
 
-def collision_suffix(df: DataFrame, name: str, key: str) -> DataFrame:
-    """``name`` made unique: the second owner of a name gets _1 before its suffix, the third _2, by key (a number or a time)."""
+def collision_suffix(df: DataFrame, name: str, key: str, at_end: bool = False) -> DataFrame:
+    """``name`` made unique: the second owner of a name gets _1 before its suffix (or ``at_end``), the third _2, by key (a number or a time)."""
     n = F.col("_owner")
+    if at_end:
+        return row_numbers(df, name, "_owner", [key]).withColumn("unique_name", F.when(n == 0, F.col(name)).otherwise(F.concat(name, F.lit("_"), n))).drop("_owner")
     stem, ext = F.regexp_extract(name, r"^(.*?)(\.[^./]*)?$", 1), F.regexp_extract(name, r"(\.[^./]*)$", 1)
     return row_numbers(df, name, "_owner", [key]).withColumn("unique_name", F.when(n == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), n, ext))).drop("_owner")
 

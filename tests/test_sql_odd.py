@@ -50,3 +50,9 @@ def test_metadata_keeps_the_quotes_of_a_text(spark, tmp_path):
 def test_pages_of_one_address_are_fetched_once(spark, tmp_path):
     rows = [(1, "http://a.org/x", "one"), (2, "http://a.org/x", "two"), (3, "http://a.org/y.png", "three"), (4, "http://a.org/z", None)]
     assert len(same(spark, tmp_path, "fetched_pages", pages=(rows, PAGES))) == 3
+
+
+def test_names_with_suffixes_as_in_sql(spark, tmp_path):
+    rows = [(1, "http://a.org/x.html", ""), (2, "http://b.org/x.html", ""), (3, "http://b.org/d/x.html/", ""), (4, "http://b.org/y", "")]
+    got = same(spark, tmp_path, "filename_collision_suffix", pages=(rows, PAGES))
+    assert {r[2] for r in got} == {"x.html", "x.html_1", "x.html_2", "y"}
