@@ -146,7 +146,7 @@ def glob_regex(globs: list[str]) -> str:
                 s += re.escape(c)
             i += 1
         out.append(s)
-    return "^(?:" + "|".join(out) + ")$"
+    return "(?s)^(?:" + "|".join(out) + r")\z"
 
 
 @F.pandas_udf(StringType())

@@ -56,3 +56,10 @@ def test_names_with_suffixes_as_in_sql(spark, tmp_path):
     rows = [(1, "http://a.org/x.html", ""), (2, "http://b.org/x.html", ""), (3, "http://b.org/d/x.html/", ""), (4, "http://b.org/y", "")]
     got = same(spark, tmp_path, "filename_collision_suffix", pages=(rows, PAGES))
     assert {r[2] for r in got} == {"x.html", "x.html_1", "x.html_2", "y"}
+
+
+def test_numbers_of_any_length_are_ignored(spark, tmp_path):
+    paths = ["/en/1", "/en/12", "/en/12345678901234567890", "/en/14121/", "/en/14408.html", "/1a/12", "/1/x", "/de/x", "/De/", "/de", "", "/", "/en/21"]
+    rows = [(i, f"http://a.org{p}", "") for i, p in enumerate(paths)]
+    got = same(spark, tmp_path, "glob_ignore", pages=(rows, PAGES))
+    assert {r[1] for r in got} == {"/en/14121/", "/en/14408.html", "/1/x", "/de", "", "/", "/en/21"}
