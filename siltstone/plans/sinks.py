@@ -95,7 +95,7 @@ def _steps():
     clean = lambda t: t["documents"].select("doc_id", "source", strip(F.col("text")).alias("text"))
     hashed = lambda t: t["cleaned"].select("doc_id", "source", text_hash(F.col("text")).alias("hash"))
     by_source = lambda t: t["hashed"].groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.max("hash").alias("top"))
-    report = lambda t: t["cleaned"].join(t["hashed"].select("doc_id", "hash"), "doc_id").select("doc_id", F.length("text").alias("size"), "hash")
+    report = lambda t: t["cleaned"].select("doc_id", F.length("text").alias("size")).join(t["hashed"].select("doc_id", "hash"), "doc_id").select("doc_id", "size", "hash")
     return [
         stages.Step("report", "doc_id", {"cleaned": "doc_id", "hashed": "doc_id"}, report),
         stages.Step("by_source", "source", {"hashed": "source"}, by_source),

@@ -4,7 +4,8 @@ A stage's output for a key depends on the rows of its inputs that have this key.
 of those rows and of the stage's version. A run goes through the graph in topological order; of each stage it computes the keys
 whose mark is new, drops those that no input has any more, and leaves the rest alone. A stage whose output for a key comes out as before
 ends the change there. Outputs are appended, and a narrow table of marks, written anew by each run, tells which of them hold; a run that
-is broken off leaves the marks of the one before.
+is broken off leaves the marks of the one before. Outputs that no longer hold are listed beside the marks, so those that do are read by leaving
+that list out: it is as small as the changes, and wide rows need not be shuffled to meet the marks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .shared import removed
 
-HELD = ["_key", "_run", "_round"]
+HELD = ["_key", "_run"]
 
 
 @dataclass(frozen=True)
@@ -65,9 +66,10 @@ class Graph:
 
     def table(self, name: str) -> DataFrame:
         """The output that holds of a stage, with _round: the run that computed the row."""
-        _, marks = self.latest(name)
-        rows = self.spark.read.parquet(f"{self.folder}/{name}/rows")
-        return rows.join(marks.select(*HELD), ["_key", "_run"]).drop("_key", "_run")
+        n, marks = self.latest(name)
+        rows = self.spark.read.parquet(f"{self.folder}/{name}/rows").join(F.broadcast(marks.select("_run", "_round").distinct()), "_run")
+        dead = self.spark.read.parquet(f"{self.folder}/{name}/dead/run={n}")
+        return (rows if dead.isEmpty() else rows.join(dead, HELD, "left_anti")).drop(*HELD)
 
     def run(self, sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Bring all stages up to date with ``sources``; the outputs by name."""
@@ -92,10 +94,16 @@ class Graph:
         pending = f"{at}/pending-{run}"
         new.write.parquet(pending)
         new = self.spark.read.parquet(pending)
-        todo = new.where(F.col("_run") == run).select(F.col("_key").alias("_todo"))
-        part = {k: inputs[k].join(todo, inputs[k][c].cast("string") == todo["_todo"], "left_semi") for k, c in step.inputs.items()}
-        out = step.compute(part)
-        out = out.join(todo, out[step.key].cast("string") == todo["_todo"]).withColumnRenamed("_todo", "_key").withColumn("_run", F.lit(run))
+        if old is None:
+            part = {k: inputs[k].where(F.col(c).isNotNull()) for k, c in step.inputs.items()}
+        else:
+            new.where(F.col("_run") == run).select(F.col("_key").alias("_todo")).write.parquet(f"{at}/todo-{run}")
+            todo = self.spark.read.parquet(f"{at}/todo-{run}")
+            part = {k: inputs[k].join(todo, inputs[k][c].cast("string") == todo["_todo"], "left_semi") for k, c in step.inputs.items()}
+        out = step.compute(part).withColumns({"_key": F.col(step.key).cast("string"), "_run": F.lit(run)}).where("_key IS NOT NULL")
         out.write.mode("append").parquet(f"{at}/rows")
+        held = self.spark.read.parquet(f"{at}/rows").select(*HELD).join(F.broadcast(new.select("_run").distinct()), "_run")
+        held.join(new, HELD, "left_anti").select(*HELD).distinct().write.mode("overwrite").parquet(f"{at}/dead/run={n + 1}")
         new.write.parquet(f"{at}/marks/run={n + 1}")
         removed(self.spark, pending)
+        removed(self.spark, f"{at}/todo-{run}")
