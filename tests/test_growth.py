@@ -1,7 +1,10 @@
 """What may not grow faster than the tables: shuffles of wide rows, blocks, batches for Python."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from siltstone.operators import neighbours
 from siltstone.sources import stages
 
 
@@ -20,3 +23,13 @@ def test_held_rows_are_read_without_a_shuffle(spark, tmp_path):
         assert sorted(map(tuple, g.table("up").select("id", "x", "_round").collect())) == [(1, "A", 1), (2, "Z", 2)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_small_cells_share_blocks():
+    sizes = pd.DataFrame({"cell": range(300), "n": [3] * 299 + [1000], "radius": 0.1})
+    first, parts = neighbours.packed(sizes, np.random.default_rng(1).standard_normal((300, 4)), 128)
+    own = [range(f, f + m) for f, m in zip(first, parts)]
+    rows = np.zeros(max(r.stop for r in own), int)
+    for r, n in zip(own, sizes["n"]):
+        rows[r.start : r.stop] += -(-n // len(r))
+    assert rows.max() <= 128 and len(rows) <= 20 and rows.min() > 0 and parts[-1] == 8
