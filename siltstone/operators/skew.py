@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 KEEP = 4096
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` over four tasks a core by ``key``: what costs much time a row in Python, but is read from few small files, is else one task."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def most_frequent(sizes: DataFrame, key: str, n: str, keep: int = KEEP) -> DataFrame:
     """key: the at most ``keep`` keys with the largest ``n``; null keys are left out."""
     return sizes.where(F.col(key).isNotNull()).orderBy(F.desc(n), key).limit(keep).select(key)

@@ -4,12 +4,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from siltstone.operators import neighbours
-from siltstone.sources import stages
+from siltstone.operators import details, generate, neighbours, retrieve
+from siltstone.plans import catalog
+from siltstone.sources import files, stages
 
 
 def shuffles(df):
-    return df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")
+    return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
 
 
 def test_held_rows_are_read_without_a_shuffle(spark, tmp_path):
@@ -33,3 +34,9 @@ def test_small_cells_share_blocks():
     for r, n in zip(own, sizes["n"]):
         rows[r.start : r.stop] += -(-n // len(r))
     assert rows.max() <= 128 and len(rows) <= 20 and rows.min() > 0 and parts[-1] == 8
+
+
+def test_rows_of_one_small_file_are_spread(spark, tmp_path):
+    rows = [(i, f"n{i}", 1, "b", "t") for i in range(10)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int, p_brand string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert catalog.queries()["requirements"](spark, str(tmp_path)).rdd.getNumPartitions() > 4
