@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .markdown import VOID, Node, parse
+from .skew import spread
 
 #: Fixed values of the catalogue's pages: titles, names and captions that tell what a part is.
 PROGRAMME_LINK = "Programa Atual do Componente"
@@ -133,8 +134,8 @@ def scraped(listings: DataFrame, details: DataFrame, programmes: DataFrame) -> D
 
     ``listings`` has unit and html, the other two component_id and html. A component without a detail page has null fields.
     """
-    own = listings.select("unit", F.inline(listed("html")))
-    fields = details.select("component_id", component_details("html").alias("d")).select("component_id", *[F.col(f"d.{n}").alias(n) for n in DETAILS.names if n not in ("code", "name")])
+    own = spread(listings.select("unit", "html"), "html").select("unit", F.inline(listed("html")))
+    fields = spread(details.select("component_id", "html"), "component_id").select("component_id", component_details("html").alias("d")).select("component_id", *[F.col(f"d.{n}").alias(n) for n in DETAILS.names if n not in ("code", "name")])
     bodies = programmes.select("component_id", F.col("html").alias("body"))
     return own.join(fields, "component_id", "left").join(bodies, "component_id", "left").withColumn("has_programme", F.col("body").isNotNull())
 

@@ -25,12 +25,12 @@ def _text(c):
     CASE WHEN p_partkey % 2 = 0 THEN p_type END AS equivalences, CASE WHEN p_partkey % 2 = 0 THEN 'one | two' END AS required_by, p_partkey % 3 = 0 AS has_programme, CASE WHEN p_partkey % 3 = 0 THEN p_name END AS body FROM part"""
 )
 def component_scrape(load):
-    """Listings of a unit's components, detail pages of every other one, programmes of every third."""
+    """Listings of a unit's components, on pages that grow no longer with the table, detail pages of every other one, programmes of every third."""
     part = load("part")
     line = F.concat(
         F.lit("<tr><td>"), _code(), F.lit("</td><td>"), _text(F.col("p_name")), F.lit("</td><td><a title='Programa Atual do Componente' onclick=\"go({'idComponente' : '"), "p_partkey", F.lit("'})\">p</a></td></tr>")
     )
-    listings = part.groupBy("p_size").agg(F.array_join(F.collect_list(line), "").alias("rows"))
+    listings = part.groupBy("p_size", F.expr("p_partkey div 5000").alias("page")).agg(F.array_join(F.collect_list(line), "").alias("rows"))
     listings = listings.select(F.concat(F.lit("unit "), "p_size").alias("unit"), F.concat(F.lit("<table class=listagem><tbody>"), "rows", F.lit("<tr><td>X<td>no link</tr></tbody></table>")).alias("html"))
     page = F.concat(
         F.lit("<table><caption>Dados Gerais do Componente Curricular</caption><tr><th>Pré-Requisitos:</th><td>( <acronym title='ABC1000 - "), "p_brand",

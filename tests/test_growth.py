@@ -40,3 +40,12 @@ def test_rows_of_one_small_file_are_spread(spark, tmp_path):
     rows = [(i, f"n{i}", 1, "b", "t") for i in range(10)]
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int, p_brand string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     assert catalog.queries()["requirements"](spark, str(tmp_path)).rdd.getNumPartitions() > 4
+
+
+def test_listing_pages_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    rows = [(i * 1000, f"n{i}", 1, "b", "t") for i in range(20)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    seen, scraped = [], details.scraped
+    monkeypatch.setattr(details, "scraped", lambda listings, *more: seen.append(listings.count()) or scraped(listings, *more))
+    assert catalog.queries()["component_scrape"](spark, str(tmp_path)).count() == 20
+    assert seen == [4]
