@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..functions.keys import seeded_uniform
 from .rank import row_numbers
 
-BROADCAST = 2000
+BROADCAST, SCORES = 2000, 1 << 20  # queries sent at once, and products held at once
 
 
 def ranked(scored: DataFrame, k: int, descending: bool = True) -> DataFrame:
@@ -49,14 +49,16 @@ def best(queries: DataFrame, corpus: DataFrame, k: int, qid: str = "vec_id", cid
             ids, vectors = held.value
             kept = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)  # of each query: signed scores and places in ``items``
             items: list = []
-            for b in batches:
-                if not len(b) or not len(ids):
+            worst = np.full(len(ids), -np.inf)  # of each query: what a score must reach to be kept
+            step = max(1, SCORES // max(1, len(ids)))
+            for b in (b.slice(at, step) for b in batches for at in range(0, len(b), step)):
+                if not len(ids):
                     continue
                 flat = b.column("cv").flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
                 scores = np.round(flat @ vectors.T, 6) * sign
                 base = len(items)
                 items += b.column("item").to_pylist()
-                for j in range(len(ids)):
+                for j in np.flatnonzero(scores.max(0) >= worst).tolist():
                     s = np.concatenate([kept[j][0], scores[:, j]])
                     at = np.concatenate([kept[j][1], base + np.arange(len(b))])
                     if len(s) > k:
@@ -64,6 +66,7 @@ def best(queries: DataFrame, corpus: DataFrame, k: int, qid: str = "vec_id", cid
                         near = np.array(sorted(near.tolist(), key=lambda x: (-s[x], items[at[x]]))[:k], np.int64)
                         s, at = s[near], at[near]
                     kept[j] = s, at
+                    worst[j] = s.min() if len(s) == k else -np.inf
                 used = np.unique(np.concatenate([at for _, at in kept]))
                 items = [items[x] for x in used.tolist()]
                 kept = [(s, np.searchsorted(used, at)) for s, at in kept]

@@ -49,3 +49,15 @@ def test_listing_pages_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(details, "scraped", lambda listings, *more: seen.append(listings.count()) or scraped(listings, *more))
     assert catalog.queries()["component_scrape"](spark, str(tmp_path)).count() == 20
     assert seen == [4]
+
+
+def test_products_are_held_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "SCORES", 64)
+    g = np.random.default_rng(5)
+    x = np.round(g.standard_normal((300, 4)), 1)  # with ties
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(g.permutation(300), x)], "vec_id long, embedding array<double>").coalesce(2)
+    ids = np.array([r["vec_id"] for r in df.collect()])
+    s = np.round(x @ x.T, 6)
+    for found, sign in ((retrieve.top_k, -1), (retrieve.tail_k, 1)):
+        got = {(r["query"], r["rank"]): r["item"] for r in found(df.where("vec_id < 30"), df, 7).collect()}
+        assert got == {(int(q), n + 1): int(ids[j]) for i, q in enumerate(ids) if q < 30 for n, j in enumerate(sorted(range(300), key=lambda j: (sign * s[i, j], ids[j]))[:7])}
