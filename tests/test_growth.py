@@ -61,3 +61,14 @@ def test_products_are_held_in_parts(spark, monkeypatch):
     for found, sign in ((retrieve.top_k, -1), (retrieve.tail_k, 1)):
         got = {(r["query"], r["rank"]): r["item"] for r in found(df.where("vec_id < 30"), df, 7).collect()}
         assert got == {(int(q), n + 1): int(ids[j]) for i, q in enumerate(ids) if q < 30 for n, j in enumerate(sorted(range(300), key=lambda j: (sign * s[i, j], ids[j]))[:7])}
+
+
+def test_prompts_come_in_small_batches(spark):
+    name = generate.BATCH[0]
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, str(1 << 30))
+        generate.call(spark.createDataFrame([(1, "x")], "k int, p string"), "k", "p")
+        assert int(spark.conf.get(name)) <= 8 << 20
+    finally:
+        spark.conf.set(name, before)
