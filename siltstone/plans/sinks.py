@@ -158,6 +158,6 @@ def extracted_tree(load):
     kind = F.element_at(F.array(F.lit(".bin"), F.lit(".pdf"), F.lit(".Txt"), F.lit(".log")), (F.col("doc_id") % 4 + 1).cast("int"))
     recorded.record(docs.select(F.concat("source", F.lit("/"), "doc_id", kind).alias("path"), F.encode("text", "utf-8").alias("content")), at)
     tree = files.tree(docs.sparkSession, files.Config(at, extensions=(".bin", ".pdf", ".txt")))
-    texts = files.extract_text(tree, 2000, lambda b: b.decode()).withColumnRenamed("path", "_path")
+    texts = files.extract_text(tree, 2000, lambda b: b.decode(), keep=("length",))
     name = F.regexp_extract("path", r"([^/]+/[^/]+)\.[^./]*$", 1)
-    return tree.join(texts, F.col("path") == F.col("_path")).select(name.alias("name"), "length", "text")
+    return texts.select(name.alias("name"), "length", "text")

@@ -72,3 +72,11 @@ def test_prompts_come_in_small_batches(spark):
         assert int(spark.conf.get(name)) <= 8 << 20
     finally:
         spark.conf.set(name, before)
+
+
+def test_files_are_read_once(spark, tmp_path):
+    for name, body in (("a.html", "<p>x</p>"), ("b.txt", "y"), ("c.pdf", "z"), ("d.csv", "")):
+        (tmp_path / name).write_text(body)
+    got = files.extract_text(files.tree(spark, files.Config(str(tmp_path))), pdf=bytes.decode, keep=("length",))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan binaryFile") == 1
+    assert sorted((r["text"], r["length"]) for r in got.collect()) == [("x", 8), ("y", 1), ("z", 1)]
