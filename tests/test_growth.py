@@ -80,3 +80,15 @@ def test_files_are_read_once(spark, tmp_path):
     got = files.extract_text(files.tree(spark, files.Config(str(tmp_path))), pdf=bytes.decode, keep=("length",))
     assert got._jdf.queryExecution().executedPlan().toString().count("FileScan binaryFile") == 1
     assert sorted((r["text"], r["length"]) for r in got.collect()) == [("x", 8), ("y", 1), ("z", 1)]
+
+
+def test_batches_are_put_in_place_by_their_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(i, i // 4, None if i % 3 else "é") for i in range(40)], "id long, b long, x string")
+    files.write_batches(rows, str(tmp_path), "b", "id")
+    first = sorted(tmp_path.iterdir())
+    assert len(first) == 10 and not (tmp_path / "_SUCCESS").exists()
+    (first[0] / "part-0000.json").write_text("{}\n")
+    files.write_batches(rows, str(tmp_path), "b", "id")
+    assert sorted(tmp_path.iterdir()) == first and [len(list(f.iterdir())) for f in first] == [1] * 10
+    got = files.gather_jsonl(spark, str(tmp_path), "id long, b long, x string").collect()
+    assert sorted(map(str, got)) == sorted(map(str, rows.collect()))
