@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 Params = dict[str, np.ndarray]
+#: Rows that ``emissions`` adds or drops together.
+AT_ONCE = 32
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -177,6 +179,93 @@ def states(ids: np.ndarray, mask: np.ndarray, table: np.ndarray, hidden: np.ndar
     return out.transpose(0, 2, 1)
 
 
+def emissions(ids: np.ndarray, lengths: np.ndarray, p: Params) -> np.ndarray:
+    """Scores (steps, tags, rows) of a bidirectional network over symbols; rows are sorted by length, and what lies behind an end is undefined.
+
+    A step takes states, symbols and bias through one product, which also gives the scores of the step before. It works on the
+    rows that are not over yet, rounded up to ``AT_ONCE``, so that padding costs next to nothing. The batch lies along the last axis,
+    and cells are held times -2, as their tanh needs them.
+    """
+    steps, n = ids.shape
+    (hid, wide), dim, k = p["fh"].shape, p["e"].shape[1], p["o"].shape[1]
+    out = np.empty((steps, k, n), np.float32)
+    out[:] = p["c"][:, None]
+    scale = np.full(wide, -1, np.float32)  # sigmoid(x) is 1 / (1 + exp(-x)), tanh(x) is 2 sigmoid(2 x) - 1
+    scale[3 * hid :] = -2
+    signs = np.ascontiguousarray(p["e"].T)
+    over = np.searchsorted(lengths, np.arange(steps), "right")  # rows that ended before a step
+    with np.errstate(over="ignore"):  # an infinite exponential is a closed gate
+        for name, at, order in (("f", p["o"][:hid], range(steps)), ("r", p["o"][hid:], range(steps - 1, -1, -1))):
+            w = np.zeros((wide + k, hid + dim + 1), np.float32)
+            w[:wide] = (np.concatenate([p[f"{name}h"], p[f"{name}x"], p[f"{name}b"][None]]) * scale).T
+            w[wide:, :hid] = at.T
+            first, last = n, None  # the first row in work, and the step whose scores are still to come
+            x, c = np.empty((hid + dim + 1, 0), np.float32), np.empty((hid, 0), np.float32)
+            for t in order:
+                live = over[t] // AT_ONCE * AT_ONCE
+                if live != first:
+                    if last is not None:
+                        out[last, :, first:] += w[wide:, :hid] @ x[:hid]
+                        last = None
+                    held, kept = x, c
+                    x, c = np.zeros((hid + dim + 1, n - live), np.float32), np.zeros((hid, n - live), np.float32)
+                    x[-1] = 1
+                    both = min(n - live, n - first)
+                    if both:
+                        x[:hid, -both:], c[:, -both:] = held[:hid, -both:], kept[:, -both:]
+                    first = live
+                    z = np.empty((wide + k, n - live), np.float32)
+                    gates, sigmoids, (i, f, o, g), scores = z[:wide], z[: 3 * hid], z[:wide].reshape(4, hid, n - live), z[wide:]
+                    h, symbol = x[:hid], x[hid:-1]
+                np.take(signs, ids[t, first:], axis=1, out=symbol, mode="clip")
+                np.matmul(w, x, out=z)
+                if last is not None:
+                    out[last, :, first:] += scores
+                last = t
+                np.exp(gates, out=gates)
+                gates += 1
+                np.reciprocal(sigmoids, out=sigmoids)
+                np.divide(-4, g, out=g)
+                g += 2
+                g *= i
+                c *= f
+                c += g
+                np.exp(c, out=h)
+                h += 1
+                np.divide(2, h, out=h)
+                h -= 1
+                h *= o
+                if over[t] > first:  # the second direction starts a row from its end
+                    c[:, : over[t] - first] = 0
+                    h[:, : over[t] - first] = 0
+            if last is not None:
+                out[last, :, first:] += w[wide:, :hid] @ x[:hid]
+    return out
+
+
+def tagged(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Rows of scores (steps, tags, rows) whose best path may have a tag other than 0: a bound, exact for the rest.
+
+    A run of tags gains at most its scores over those of tag 0, the best transition into it and out of it (none at an end of the row)
+    and the best inner one at each of its other steps. Where no run can gain, the path of zeros is best.
+    """
+    steps, _, n = e.shape
+    into, leave, inner = (float(x.max() - trans[0, 0]) for x in (trans[0, 1:], trans[1:, 0], trans[1:, 1:]))
+    least = inner - into - leave - 0.01  # room for rounding
+    last = np.asarray(lengths) - 1
+    gain = e[:, 1:].max(1)
+    gain -= e[:, 0]
+    gain += inner
+    gain[0] -= into
+    best = np.zeros(n, np.float32)
+    for t in range(steps):
+        np.maximum(best, 0, out=best)
+        best += gain[t]
+        gain[t] = best
+    live = np.arange(steps)[:, None] <= last
+    return (gain[last, np.arange(n)] >= least + leave) | ((gain >= least) & live).any(0)
+
+
 def best_paths(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """``viterbi`` with the batch as the last axis, for many rows and few tags."""
     steps, n, k = e.shape

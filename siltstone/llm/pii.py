@@ -138,45 +138,42 @@ class Model:
         h, kept = nn.bilstm(x, mask, {k: v for k, v in self.p.items() if k[0] in "fr"}, keep)
         return x, h, kept, h @ self.p["o"] + self.p["c"]
 
-    def decode(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """The best path of each window.
-
-        A path with tags at some steps has at most two transitions for each that it need not share with the path without
-        tags. Where no step's best tag makes up for what these can gain, the path without tags is best.
-        """
-        p, (f, r) = self.p, (self.p["e"] @ self.p[f"{d}x"] + self.p[f"{d}b"] for d in "fr")
-        at = np.ascontiguousarray(p["o"].T)  # (tags, states), as the batch is the last axis here
-        e = at[:, :HIDDEN] @ nn.states(ids, mask, f, p["fh"]).transpose(0, 2, 1)
-        e += at[:, HIDDEN:] @ nn.states(ids[::-1], mask[::-1], r, p["rh"])[::-1].transpose(0, 2, 1)
-        e += p["c"][:, None]
-        gain = 2 * max(0.0, float(p["t"].max() - p["t"][0, 0]))
-        open_ = np.flatnonzero(((e[:, 0] - e[:, 1:].max(1) <= gain) & (mask > 0)).any(0))
-        out = np.zeros(ids.shape, np.int8)
-        if len(open_):
-            out[:, open_] = nn.best_paths(e[:, :, open_].transpose(0, 2, 1), mask[:, open_], p["t"])
-        return out
-
     def tags(self, texts: list[str]) -> list[np.ndarray]:
         """The reconciled tag of every character: 0 for none, else the kind's number."""
         out = [np.zeros(len(t), np.int8) for t in texts]
         coded = [symbols(t) if t else np.zeros(0, np.uint8) for t in texts]
         todo = [(i, k) for i, t in enumerate(texts) if t for k in windows(len(t))]
         todo.sort(key=lambda x: min(len(texts[x[0]]) - x[1], SIZE))
+        held, n_held = [], 0  # scores of windows that may hold tags, until there are enough for one decoding
         for at in range(0, len(todo), TOGETHER):
             part = todo[at : at + TOGETHER]
-            longest = min(max(len(texts[i]) - k for i, k in part), SIZE)
-            ids = np.zeros((longest, len(part)), np.int64)
-            mask = np.zeros((longest, len(part)), np.float32)
+            lengths = np.array([min(len(texts[i]) - k, SIZE) for i, k in part])
+            rows = np.zeros((len(part), lengths[-1]), np.uint8)
             for j, (i, k) in enumerate(part):
-                w = coded[i][k : k + SIZE]
-                ids[: len(w), j], mask[: len(w), j] = w, 1
-            best = self.decode(ids, mask)
-            for j, (i, k) in enumerate(part):
-                a, last = EDGE if k else 0, k + SIZE >= len(texts[i])
-                b = len(texts[i]) - k if last else SIZE - EDGE
-                out[i][k + a : k + b] = best[a:b, j]
+                rows[j, : lengths[j]] = coded[i][k : k + SIZE]
+            e = nn.emissions(rows.T.astype(np.int64, "C"), lengths, self.p)
+            open_ = np.flatnonzero(nn.tagged(e, lengths, self.p["t"]))
+            held.append((np.take(e, open_, axis=2), lengths[open_], [part[j] for j in open_]))
+            n_held += len(open_)
+            if n_held and (n_held >= TOGETHER or at + TOGETHER >= len(todo)):
+                for (i, k), path in zip((w for h in held for w in h[2]), self.paths(held)):
+                    a, b = EDGE if k else 0, len(path) if k + SIZE >= len(texts[i]) else SIZE - EDGE
+                    out[i][k + a : k + b] = path[a:b]
+                held, n_held = [], 0
         return out
 
+    def paths(self, held: list[tuple]) -> Iterator[np.ndarray]:
+        """The best path of each window, from scores (steps, tags, windows) and lengths in several parts."""
+        lengths = np.concatenate([h[1] for h in held])
+        e = np.zeros((lengths.max(), len(KINDS) + 1, len(lengths)), np.float32)
+        at = 0
+        for scores, own, _ in held:
+            e[: len(scores), :, at : at + len(own)] = scores[: len(e)]
+            at += len(own)
+        mask = (np.arange(len(e))[:, None] < lengths).astype(np.float32)
+        best = nn.best_paths(e.transpose(0, 2, 1), mask, self.p["t"])
+        return (best[:n, j] for j, n in enumerate(lengths.tolist()))
+
 
 def plausible(kind: str, s: str) -> bool:
     """The plain test of an added span."""

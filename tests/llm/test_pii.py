@@ -100,6 +100,37 @@ def test_inference_equals_training_forms():
     assert (nn.viterbi(x, mask, trans) == nn.best_paths(x, mask, trans)).all()
 
 
+def test_scores_equal_training_forms():
+    """Rows of any length, of which only those that are not over are worked on; rows without a possible tag are told exactly."""
+    g = np.random.default_rng(8)
+    k = len(pii.KINDS) + 1
+    p = nn.lstm_params(g, pii.DIM, pii.HIDDEN, "f") | nn.lstm_params(g, pii.DIM, pii.HIDDEN, "r")
+    p |= {"e": g.standard_normal((9, pii.DIM)).astype(np.float32), "o": g.standard_normal((2 * pii.HIDDEN, k)).astype(np.float32)}
+    p |= {"c": (2 * (np.arange(k) == 0)).astype(np.float32), "t": (g.standard_normal((k, k)) + 2 * np.eye(k)).astype(np.float32)}
+    lengths = np.sort(g.integers(1, 40, 150))
+    mask = (np.arange(40)[:, None] < lengths).astype(np.float32)
+    ids = g.integers(0, 9, (40, 150))
+    want = pii.Model(p).emissions(ids, mask)[3]
+    got = nn.emissions(ids, lengths, p)
+    assert np.allclose(want * mask[..., None], got.transpose(0, 2, 1) * mask[..., None], atol=1e-4)
+    for shift in (0, 2, 4, 6):
+        e = want + shift * (np.arange(k) == 0).astype(np.float32)
+        has = nn.viterbi(e, mask, p["t"]).any(0)
+        may = nn.tagged(np.ascontiguousarray(e.transpose(0, 2, 1)), lengths, p["t"])
+        assert not (has & ~may).any()
+    assert not may.all()
+
+
+def test_padding_is_not_worked_on(monkeypatch):
+    """Steps of short rows beside long ones cost no products."""
+    done, product = [], np.matmul
+    monkeypatch.setattr(nn.np, "matmul", lambda a, b, **more: done.append(b.shape[1]) or product(a, b, **more))
+    model = pii.Model(pii.fit(["a 1 b"], steps=1).p)
+    done.clear()
+    model.tags(["x" * 40] * 300 + ["y" * 900])
+    assert sum(done) < 2 * (300 * 40 + 900 + 1000 * nn.AT_ONCE)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 def test_held_out_variants(spark):
     """Variants of another seed in documents that training never saw; exact spans count."""
