@@ -11,11 +11,12 @@ from ..streaming import processors
 from .registry import STRIP, query
 
 
-def _fed(parts, schema, at: str):
-    """A stream of tables, each a batch of its own, through files of the shared folder."""
+def _fed(parts, schema, at: str, run):
+    """What ``run`` makes of a stream of tables, through files of the shared folder: it goes on with each, as a batch of its own, once all its files are there."""
     for p in parts:
-        p.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    return parts[0].sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+        p.write.mode("append").parquet(f"{at}/in")
+        out = run(p.sparkSession.readStream.schema(schema).parquet(f"{at}/in"))
+    return out
 
 
 def _folder(df) -> str:
@@ -36,9 +37,9 @@ def streamed_domain_history(load):
     rows = load("conversations")
     last = F.col("turn")
     at = _folder(rows)
-    stream = _fed([rows.where(last < 2), rows.where((last >= 2) & (last < 5)), rows.where(last >= 5)], rows.schema, at)
     flagged = (last % 4 == 0) & F.lower("text").contains("er")
-    return processors.drained(processors.domain_histories(stream, flagged, 4), at)
+    parts = [rows.where(last < 2), rows.where((last >= 2) & (last < 5)), rows.where(last >= 5)]
+    return _fed(parts, rows.schema, at, lambda stream: processors.drained(processors.domain_histories(stream, flagged, 4), at))
 
 
 @query(
@@ -62,6 +63,5 @@ def limited_requests(load):
     batch = sum(((F.col("ts") + late >= F.lit(c)).cast("int") for c in cuts), F.lit(0))
     parts = [rows.where(batch == k) for k in range(4)]
     end = rows.agg(F.max("ts").alias("ts")).select(F.lit(None).cast("string").alias("event_type"), F.lit(-1).cast("long").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("ts"))
-    stream = _fed([*parts, end], rows.schema, at)
-    out = processors.drained(processors.limited(stream, "event_type", 3, 1800, "30 minutes"), at)
-    return out.where("event_id >= 0").select(F.col("key").alias("event_type"), "event_id", "wait", "admitted")
+    out = _fed([*parts, end], rows.schema, at, lambda stream: processors.limited_table(stream, at, "event_type", 3, 1800, 1800))
+    return out.select(F.col("key").alias("event_type"), "event_id", "wait", "admitted")

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone.plans import streams
 from siltstone.streaming import processors
 
 
@@ -98,3 +99,22 @@ def test_limited_at_any_split(spark, tmp_path, parts):
     df = stream(spark, batches, "k string, event_id long, ts timestamp_ntz", tmp_path)
     got = processors.drained(processors.limited(df, "k", 3, 60, "2 minutes"), str(tmp_path)).collect()
     assert {x["event_id"]: (x["key"], x["wait"], x["admitted"]) for x in got if x["event_id"] >= 0} == admissions(events, 3, 60)
+
+
+@pytest.mark.parametrize("size", [16, 1 << 18])
+def test_limited_table_cuts_keys(spark, tmp_path, monkeypatch, size):
+    """Four batches of several files, which overlap in time; where keys are cut, no task takes the whole of one."""
+    r = random.Random(size)
+    t0 = datetime(2024, 1, 1)
+    events = [(r.choice(["a", "a", "b", None]), i, None if i % 50 == 49 else t0 + timedelta(seconds=r.randrange(1_200))) for i in range(300)]
+    arrival = sorted(events, key=lambda e: (e[2] or t0) + timedelta(seconds=r.random() * 60))
+    schema = "k string, event_id long, ts timestamp_ntz"
+    parts = [spark.createDataFrame(b, schema).repartition(3) for b in (arrival[:80], arrival[80:81], arrival[81:200], arrival[200:], [("end", -1, t0 + timedelta(hours=9))])]
+    buckets, cut = [], processors.rank.bucketed
+    monkeypatch.setattr(processors.rank, "bucketed", lambda *a, **k: buckets.append(cut(*a, **k)) or buckets[-1])
+    out = streams._fed(parts, parts[0].schema, str(tmp_path), lambda s: processors.limited_table(s, str(tmp_path), "k", 3, 60, 120, size))
+    got = out.collect()
+    assert len(got) == 300 - 6 and out.columns == ["key", "event_id", "at", "wait", "admitted"]
+    assert {x["event_id"]: (x["key"], x["wait"], x["admitted"]) for x in got} == admissions(events, 3, 60)
+    assert len(list(tmp_path.glob("out/batch=*"))) == 5 and len(list(tmp_path.glob("in/*.parquet"))) > 5
+    assert any("_k" in b._jdf.queryExecution().optimizedPlan().toString() for b in buckets) == (size == 16)
