@@ -2,17 +2,17 @@
 
 Texts are cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and those into words ``[^\\x20\\x09]+`` (A-Z lower-cased); everything is per language.
 
-1. Every task counts its phrases of 2 to ``most`` words into a sketch of ``cells`` saturating bytes, one hash for language and phrase; blocks
-   of cells are summed over the tasks. A cell is never below the count of any of its phrases, so a phrase is a candidate only if its own cell and
-   those of all shorter phrases in it reach ``least``. What is sent on is one bit a cell (16 MB for the 2 ** 27 of the default).
-2. A second pass has each task send every candidate that it meets once, in compressed blocks by buckets of hashes, which are merged bucket by bucket; and the
-   number of words of each language.
-3. The candidates and their words, in shards of at most ``SHARD`` terms and ``BYTES`` characters (a longer term makes its own shard), are compiled into automata whose patterns are
-   guarded by delimiters on both sides; a pass over the documents of the shard's languages counts all matches, overlapping ones too. Any
-   number of candidates works in bounded memory; a shard is what is broadcast, and a pass is what one more shard costs.
-4. Counts are summed and thresholds applied; products are decimals, so they are exact beyond 64 bits.
-
-The width of the sketch decides how many false candidates are counted, never the result. Within a task candidates are told apart by 64-bit hashes.
+1. Every task counts its phrases of 1 to ``most`` words into the cells of a sketch, one hash for language and phrase. Of the 2 ** 36 cells only those
+   met are held, sorted and sent on as compressed gaps and counts, by parts that are summed over the tasks. A cell is never below the count of any of its
+   phrases, so a phrase is a candidate only if its own cell and those of all shorter phrases in it reach ``least``. What tasks get back is one bit for
+   neighbouring cells, ``ROOM`` bits for each cell that reaches it, so the share of false candidates does not grow with the documents.
+2. A second pass reads the documents in groups of about ``GROUP`` bytes. Words that are candidates are counted and become three symbols each, one of each of three
+   alphabets; the longer candidates of a group are compiled into automata of at most ``SHARD`` terms and ``BYTES`` symbols, which count all matches in the group, overlapping ones
+   too. What is a candidate is the same in all groups, so sums over the groups are exact, and nothing that a task holds grows with the table.
+3. Candidates are sent with their counts, in compressed blocks by buckets of hashes, which are summed bucket by bucket; those below ``least`` go.
+4. Thresholds are applied to phrases and their parts, which are at least as frequent; products are decimals, so they are exact beyond 64 bits.
+
+The width of the sketch decides how many false candidates are counted, never the result. Within a group words and candidates are told apart by 64-bit hashes.
 
 Defined results: a null text is empty, a null language is ``und``; rows count as often as they are repeated, whatever their ids; texts are
 never cut; other columns are ignored; an empty table gives no rows.
@@ -20,23 +20,26 @@ never cut; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import discard, materialize, table
-from .textkit import LOWER, SPACE, U, chunks, hash_runs, mix, owners, runs, salts
+from .textkit import LOWER, SPACE, U, chunks, give_back, hash_runs, mix, owners, runs, salts
 
 MOST, LEAST, TOP = 3, 10, 2000
-CELLS, PART, BUCKETS = 1 << 27, 1 << 18, 1 << 10
-SHARD, BYTES = 600_000, 24_000_000
-BLOCKS = ["bucket", "lang", "held", "size", "n"]
+CELLS, PARTS, BUCKETS = 1 << 36, 1 << 10, 1 << 10
+#: Cells that a task holds; bits of the broadcast for each cell that reaches the threshold, and at most.
+HELD, ROOM, WIDEST = 1 << 23, 64, 1 << 31
+GROUP, SHARD, BYTES = 16 << 20, 600_000, 24_000_000
+PIECES = ["part", "size", "held"]
+BLOCKS = ["bucket", "lang", "held", "size", "f", "n"]
 
 DELIMITER = np.zeros(256, bool)
 DELIMITER[[ord(c) for c in ".,;:!?"]] = True
@@ -49,12 +52,17 @@ def rows_of(docs: DataFrame) -> DataFrame:
 
 
 def laid(data: np.ndarray, starts: np.ndarray, size: np.ndarray, before: int, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of ``data`` one after the other, with so many spaces before and after each; and where each ends."""
+    """Runs of ``data`` one after the other, with so many spaces before and after each; and where each ends. Places are worked out for about a million at once."""
     end = np.cumsum(before + size + after)
     out = np.full(int(end[-1]) if len(end) else 0, 0x20, np.uint8)
-    ahead = np.cumsum(size) - size
-    step = np.arange(size.sum())
-    out[np.repeat(end - after - size - ahead, size) + step] = data[np.repeat(starts - ahead, size) + step]
+    to, until, first = end - after - size, np.cumsum(size), 0
+    while first < len(size):
+        done = until[first] - size[first]
+        some = slice(first, max(first + 1, int(np.searchsorted(until, done + (1 << 20), "right"))))
+        n = size[some]
+        ahead, step = until[some] - n - done, np.arange(n.sum())
+        out[np.repeat(to[some] - ahead, n) + step] = data[np.repeat(starts[some] - ahead, n) + step]
+        first = some.stop
     return out, end
 
 
@@ -75,11 +83,12 @@ class Words:
             self.last[:-1] = (doc[1:] != doc[:-1]) | (marks[self.starts[1:]] != marks[self.ends[:-1]])
 
     def hashes(self, most: int) -> list[np.ndarray]:
-        """For 2 to ``most`` words: the hash of the phrase that begins at each word, with its language; 0 where the piece ends before."""
+        """For 1 to ``most`` words: the hash of the phrase that begins at each word, with its language; 0 where the piece ends before."""
         n, k = len(self.starts), salts(2 * most)
         own = np.array([int.from_bytes(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for x in self.langs] + [0], U)[self.lang]
         word = hash_runs(self.data, self.starts, self.ends)
-        out, acc, ok = [], own + word * k[0], np.ones(n, bool)
+        acc, ok = own + word * k[0], np.ones(n, bool)
+        out = [mix(acc + k[most]) | U(1)]
         for j in range(1, most):
             ok[n - j :] = False
             ok[: n - j] &= ~self.last[j - 1 : n - 1]
@@ -87,14 +96,6 @@ class Words:
             out.append(np.where(ok, mix(acc + k[most + j]) | U(1), U(0)))
         return out
 
-    def text(self, lang: int) -> str:
-        """The pieces of a language, each word between single spaces and each piece before a line end."""
-        mine = np.flatnonzero(self.lang == lang)
-        last = self.last[mine]
-        out, end = laid(self.data, self.starts[mine], self.ends[mine] - self.starts[mine], 1, 2 * last)
-        out[end[last] - 1] = 0x0A
-        return out.tobytes().decode("utf-8", "surrogatepass")
-
 
 def each(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     for b in batches:
@@ -106,139 +107,245 @@ def cell(h: np.ndarray, cells: int) -> np.ndarray:
     return (h >> U(64 - (cells.bit_length() - 1))).astype(np.int64)
 
 
+def folded(held: np.ndarray) -> np.ndarray:
+    """Sorted cells with their counts, each as cell << 8 | count; those of equal cells are summed, up to 255."""
+    held = np.sort(held)
+    at = held >> 8
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+    return (at[first] << 8) | np.minimum(np.add.reduceat(held & 255, first), 255) if len(at) else held
+
+
+def coded(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending numbers below 2 ** 32 as the bytes of their gaps, low ones first, and their counts."""
+    gaps = np.diff(at, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return pa.compress(gaps.T.tobytes() + n.astype(np.uint8).tobytes(), "zstd", asbytes=True)
+
+
+def decoded(block, size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(block, 5 * size, "zstd"), np.uint8)
+    gaps = np.ascontiguousarray(raw[: 4 * size].reshape(4, size).T).view("<u4")[:, 0]
+    return np.cumsum(gaps, dtype=np.int64), raw[4 * size :].astype(np.int64)
+
+
+def parts_of(cells: int) -> int:
+    return min(PARTS, cells // 8)
+
+
 def sketched(most: int, cells: int):
-    part = min(PART, cells)
+    parts = parts_of(cells)
+    span = cells // parts
+
+    def out(held: np.ndarray) -> pa.RecordBatch:
+        at = held >> 8
+        edge = np.searchsorted(at, np.arange(parts + 1) * span)
+        own = np.flatnonzero(np.diff(edge))
+        blocks = [coded(at[i:j] - p * span, held[i:j] & 255) for p, i, j in zip(own.tolist(), edge[own], edge[own + 1])]
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.diff(edge)[own]), pa.array(blocks, pa.binary())], PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(cells, np.uint8)
+        held, more, n = np.zeros(0, np.int64), [], 0
         for w in each(batches):
             h = np.concatenate(w.hashes(most))
-            at, n = np.unique(cell(h[h > 0], cells), return_counts=True)
-            held[at] = np.minimum(held[at] + n, 255)
-        for i in range(0, cells, part):
-            if held[i : i + part].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i // part]), pa.array([pa.compress(held[i : i + part].tobytes(), "zstd", asbytes=True)], pa.binary())], ["part", "held"])
+            more.append(cell(h[h > 0], cells) << 8 | 1)
+            n += len(more[-1])
+            if n > HELD // 2:
+                held, more, n = folded(np.concatenate([held, *more])), [], 0
+                if len(held) > HELD:
+                    yield out(held)
+                    held = held[:0]
+        yield out(folded(np.concatenate([held, *more])))
 
     return run
 
 
-def summed(least: int, part: int):
-    """The sums of sorted parts, as bits that tell which cells reach ``least``."""
+def summed(least: int):
+    """The cells that reach ``least``, of sorted parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, np.zeros(part, np.uint16)
+        now, held, more, n = None, np.zeros(0, np.int64), [], 0
 
-        def bits() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], ["part", "held"])
+        def out() -> pa.RecordBatch:
+            all_ = folded(np.concatenate([held, *more]))
+            at = all_[(all_ & 255) >= least] >> 8
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([len(at)]), pa.array([coded(at, np.zeros(len(at)))], pa.binary())], PIECES)
 
         for b in batches:
-            for p, x in zip(b.column("part").to_pylist(), b.column("held")):
+            for p, size, x in zip(b.column("part").to_pylist(), b.column("size").to_pylist(), b.column("held")):
                 if p != now:
                     if now is not None:
-                        yield bits()
-                    now, total = p, np.zeros(part, np.uint16)
-                total = np.minimum(total + np.frombuffer(pa.decompress(x.as_buffer(), part, "zstd"), np.uint8), 255).astype(np.uint16)
+                        yield out()
+                    now, held, more, n = p, held[:0], [], 0
+                at, count = decoded(x.as_buffer(), size)
+                more.append(at << 8 | count)
+                n += size
+                if n > HELD // 2:
+                    held, more, n = folded(np.concatenate([held, *more])), [], 0
         if now is not None:
-            yield bits()
+            yield out()
 
     return run
 
 
 def sketch(rows: DataFrame, most: int, least: int, cells: int) -> np.ndarray:
-    """One bit a cell, packed: whether its count over all rows is at least ``least``."""
+    """Packed bits, a power of two of them: whether any of the cells with the same first bits counts at least ``least`` over all rows."""
     assert least <= 255
-    part = min(PART, cells)
-    parts = rows.mapInArrow(sketched(most, cells), "part long, held binary").repartition("part").sortWithinPartitions("part")
-    out = np.zeros(cells // 8, np.uint8)
-    for r in parts.mapInArrow(summed(least, part), "part long, held binary").toLocalIterator():
-        out[r["part"] * part // 8 : (r["part"] + 1) * part // 8] = np.frombuffer(r["held"], np.uint8)
+    schema = "part long, size long, held binary"
+    full = rows.mapInArrow(sketched(most, cells), schema).repartition("part").sortWithinPartitions("part").mapInArrow(summed(least), schema)
+    full = materialize(full, "cells")
+    n = full.agg(F.sum("size")).first()[0] or 0
+    bits = min(cells, WIDEST, max(PARTS * 8, 1 << (ROOM * n).bit_length()))
+    parts = parts_of(cells)
+    out = np.zeros((parts, bits // parts // 8), np.uint8)
+    for r in full.toLocalIterator():
+        mine = np.zeros(bits // parts, bool)
+        mine[decoded(r["held"], r["size"])[0] // (cells // bits)] = True
+        out[r["part"]] = np.packbits(mine)
+    discard(full)
+    return out.ravel()
+
+
+class Group:
+    """The words of some documents with the hashes of the candidates that begin at them, 0 where none does, by widths."""
+
+    def __init__(self, held: list[tuple[Words, np.ndarray, list[np.ndarray]]]):
+        before = np.cumsum([0, *(len(w.data) for w, _, _ in held)])
+        self.data = np.concatenate([w.data for w, _, _ in held])
+        self.starts, self.ends = (np.concatenate([getattr(w, k) + n for (w, _, _), n in zip(held, before)]) for k in ("starts", "ends"))
+        self.last = np.concatenate([w.last for w, _, _ in held])
+        self.lang = np.concatenate([lang for _, lang, _ in held])
+        self.hashes = [np.concatenate(h) for h in zip(*(h for _, _, h in held))]
+
+    def lines(self, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The phrases of ``width`` words that begin at the words ``first``, with single spaces and a line end each; and their sizes."""
+        at = (first[:, None] + np.arange(width)).ravel()
+        out, end = laid(self.data, self.starts[at], self.ends[at] - self.starts[at], 0, np.ones(len(at), np.int64))
+        end = end[width - 1 :: width]
+        out[end - 1] = 0x0A
+        return out, np.diff(end, prepend=0)
+
+    def coded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word that is a candidate is first met, how often it occurs, and three symbols for each word of the group (0 for others), each of an alphabet of its own."""
+        at = np.flatnonzero(self.hashes[0])
+        _, one, own, n = np.unique(self.hashes[0][at], return_index=True, return_inverse=True, return_counts=True)
+        place = np.empty(len(n), np.int64)
+        place[np.argsort(-n, kind="stable")] = np.arange(len(n))  # frequent words first: an automaton looks through the edges of a node in turn
+        base = max(1, round(len(n) ** (1 / 3)) + 1)
+        symbols = np.zeros((len(self.starts), 3), "<u4")
+        code = place[own]
+        for i, digit in enumerate((code // base // base, code // base % base, code % base)):
+            symbols[at, i] = digit + i * base + 1
+        return at[one], n, symbols
+
+
+def string(symbols: np.ndarray) -> str:
+    return symbols.tobytes().decode("utf-32-le")
+
+
+def matches(symbols: np.ndarray, last: np.ndarray, first: np.ndarray, width: np.ndarray, most: int, size: int) -> np.ndarray:
+    """How often terms (first word, width) occur in a text of words in symbols that no term crosses the ends of, by automata of at most ``most`` terms and ``size`` symbols.
+
+    The symbols of the places in a word differ, so terms match whole words only.
+    """
+    import ahocorasick
+
+    known = symbols[:, 0] > 0
+    count = np.where(known, 3, 0) + (last | ~known)  # a 0 after each piece, and in place of a word that no term holds
+    text = np.zeros(int(count.sum()), "<u4")
+    at = np.cumsum(count) - count
+    for i in range(3):
+        text[at[known] + i] = symbols[known, i]
+    text = string(text)
+    key = symbols[first].astype(np.int64)
+    order = np.argsort(key[:, 0] << 42 | key[:, 1] << 21 | key[:, 2], kind="stable")  # terms of an automaton begin alike, so it leaves most of the text soon
+    first, width = first[order], width[order]
+    out, until, i = np.zeros(len(first), np.int64), np.cumsum(3 * width), 0
+    while i < len(first):
+        before = until[i] - 3 * width[i]
+        j = max(i + 1, min(i + most, int(np.searchsorted(until, before + size, "right"))))
+        n = width[i:j]
+        ahead = np.cumsum(n) - n
+        some = string(symbols[np.repeat(first[i:j] - ahead, n) + np.arange(n.sum())])
+        ends = (until[i:j] - before).tolist()
+        made = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, (x, y) in enumerate(zip([0, *ends], ends)):
+            made.add_word(some[x:y], k)
+        made.make_automaton()
+        out[order[i:j]] = np.bincount(np.fromiter(map(itemgetter(1), made.iter(text)), np.int64), minlength=j - i)
+        i = j
     return out
 
 
-def lines(w: Words, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The phrases of ``width`` words that begin at the words ``first``, with single spaces and a line end each; and where each ends."""
-    at = (first[:, None] + np.arange(width)).ravel()
-    out, end = laid(w.data, w.starts[at], w.ends[at] - w.starts[at], 0, np.ones(len(at), np.int64))
-    end = end[width - 1 :: width]
-    out[end - 1] = 0x0A
-    return out, end
-
-
 class Found:
-    """The candidates of a task, each once, sent on as one compressed block for each language and bucket of hashes."""
+    """The documents of a group and the candidates in them, each of which is sent on once, in one compressed block for each language and bucket of hashes."""
 
-    def __init__(self, most: int):
-        self.seen = [np.zeros(0, U)] * (most - 1)
+    def __init__(self, shard: int, size: int):
+        self.shard, self.limit = shard, size
         self.total: dict[str, int] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.langs: list[np.ndarray] = []
-        self.hashes: list[np.ndarray] = []
-        self.data: list[np.ndarray] = []
-        self.size: list[np.ndarray] = []
+        self.held: list[tuple[Words, np.ndarray, list[np.ndarray]]] = []
         self.bytes = 0
 
-    def count(self, w: Words) -> np.ndarray:
-        """Counts the words of each language; the numbers that ``w``'s languages have in this task."""
+    def add(self, w: Words, hashes: list[np.ndarray]) -> None:
         for lang, n in zip(w.langs, np.bincount(w.lang, minlength=len(w.langs)).tolist()):
             self.total[lang] = self.total.get(lang, 0) + n
         place = {lang: i for i, lang in enumerate(self.total)}
-        return np.array([place[lang] for lang in w.langs] + [0], np.int64)
-
-    def add(self, w: Words, numbers: np.ndarray, h: np.ndarray, where: np.ndarray, width: int) -> None:
-        new, one = np.unique(h[where], return_index=True)
-        old = self.seen[width - 2]
-        put = np.searchsorted(old, new)
-        fresh = np.append(old, U(0))[put] != new
-        if fresh.any():
-            self.seen[width - 2] = np.insert(old, put[fresh], new[fresh])
-            first = where[one[fresh]]
-            out, end = lines(w, first, width)
-            self.langs.append(numbers[w.lang[first]])
-            self.hashes.append(new[fresh])
-            self.data.append(out)
-            self.size.append(np.diff(end, prepend=0))
-            self.bytes += len(out)
+        self.held.append((w, np.array([place[lang] for lang in w.langs] + [0], np.int32)[w.lang], hashes))
+        self.bytes += len(w.data)
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
-        if not self.langs:
+        if not self.held:
             return
-        names = [*self.total]
-        lang, bucket = np.concatenate(self.langs), cell(np.concatenate(self.hashes), BUCKETS)
-        data, size = np.concatenate(self.data), np.concatenate(self.size)
-        start = np.cumsum(size) - size
+        g = Group(self.held)
+        self.held, self.bytes = [], 0
+        one, n, symbols = g.coded()
+        terms = [(one, 1)]
+        for width, h in enumerate(g.hashes[1:], 2):
+            where = np.flatnonzero(h)
+            terms.append((where[np.unique(h[where], return_index=True)[1]], width))
+        held = g.hashes[1] > 0
+        held[1:] |= held[:-1].copy()
+        symbols[~held] = 0  # words in no candidate of two words, and so in no longer one
+        first, width = np.concatenate([x for x, _ in terms[1:]]), np.concatenate([np.full(len(x), k) for x, k in terms[1:]])
+        f = np.concatenate([n, matches(symbols, g.last, first, width, self.shard, self.limit)])
+        del symbols, first, width
+        data, size = zip(*(g.lines(*x) for x in terms))
+        data, size = np.concatenate(data), np.concatenate(size)
+        lang = np.concatenate([g.lang[first] for first, _ in terms])
+        bucket = np.concatenate([cell(g.hashes[width - 1][first], BUCKETS) for first, width in terms])
+        del g, terms
         order = np.lexsort((bucket, lang))
-        lang, bucket = lang[order], bucket[order]
-        data, end = laid(data, start[order], size[order], 0, np.zeros(len(order), np.int64))
-        edge = np.flatnonzero(np.append(True, (lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1])))
-        at = np.append(0, end)[np.append(edge, len(lang))]
-        held = [pa.compress(data[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(at[:-1], at[1:])]
-        cols = [pa.array(bucket[edge]), pa.array([names[i] for i in lang[edge]], pa.string()), pa.array(held, pa.binary()), pa.array(np.diff(at)), pa.nulls(len(edge), pa.int64())]
+        lang, bucket, f = lang[order], bucket[order], f[order].astype("<i8")
+        data, end = laid(data, (np.cumsum(size) - size)[order], size[order], 0, np.zeros(len(order), np.int64))
+        edge = np.append(np.flatnonzero(np.append(True, (lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1])) if len(lang) else lang), len(lang))
+        names, first, end = [*self.total], edge[:-1], np.append(0, end)
+        held, counts = ([pa.compress(x[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(at[:-1], at[1:])] for x, at in ((data, end[edge]), (f, edge)))
+        cols = [pa.array(bucket[first]), pa.array([names[i] for i in lang[first]], pa.string()), pa.array(held, pa.binary()), pa.array(np.diff(end[edge])), pa.array(counts, pa.binary()), pa.array(np.diff(edge))]
         yield pa.RecordBatch.from_arrays(cols, BLOCKS)
-        self.clear()
+        give_back()
 
     def words(self) -> pa.RecordBatch:
         n = len(self.total)
-        cols = [pa.array([i % BUCKETS for i in range(n)], pa.int64()), pa.array([*self.total], pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array([*self.total.values()], pa.int64())]
+        empty = pa.nulls(n, pa.binary())
+        cols = [pa.array([i % BUCKETS for i in range(n)], pa.int64()), pa.array([*self.total], pa.string()), empty, pa.nulls(n, pa.int64()), empty, pa.array([*self.total.values()], pa.int64())]
         return pa.RecordBatch.from_arrays(cols, BLOCKS)
 
 
-def candidates(bits, most: int, cells: int):
-    """Blocks of the phrases whose cells all reach the threshold, each phrase once a task; and the words of each language."""
+def candidates(bits, most: int, shard: int, size: int):
+    """Blocks of the phrases whose bits and those of their parts are all set, with their counts (n: how many phrases); and the words of each language (n), without phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = bits.value, Found(most)
+        held, found = bits.value, Found(shard, size)
         for w in each(batches):
-            numbers, below, n = found.count(w), None, len(w.starts)
-            for width, h in enumerate(w.hashes(most), 2):
-                at = cell(h, cells)
+            hashes, below, n = w.hashes(most), None, len(w.starts)
+            for h in hashes:
+                at = cell(h, 8 * len(held))
                 ok = (h > 0) & ((held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
-                if below is not None:
+                if below is not None and n:
                     ok[: n - 1] &= below[:-1] & below[1:]
+                    ok[n - 1] = False
                 below = ok
-                found.add(w, numbers, h, np.flatnonzero(ok), width)
-            if found.bytes > BYTES:
+                h[~ok] = 0
+            found.add(w, hashes)
+            if found.bytes > GROUP:
                 yield from found.blocks()
         yield from found.blocks()
         yield found.words()
@@ -246,113 +353,43 @@ def candidates(bits, most: int, cells: int):
     return run
 
 
-def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct phrases of blocks sorted by bucket and language; and the sums of their words, with a null phrase."""
-    now, held, n = None, set(), 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        if now is not None:
-            found = pa.array(sorted(held), pa.binary()).cast(pa.string())
-            size = len(found) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([now[1]] * size, pa.string()), pa.concat_arrays([found, pa.nulls(1, pa.string())]), pa.concat_arrays([pa.nulls(size - 1, pa.int64()), pa.array([n], pa.int64())])], ["lang", "phrase", "n"])
-
-    for b in batches:
-        for bucket, lang, block, size, words in zip(*(b.column(c).to_pylist() for c in BLOCKS)):
-            if (bucket, lang) != now:
-                yield from out()
-                now, held, n = (bucket, lang), set(), 0
-            if block is not None:
-                held.update(pa.decompress(block, size, "zstd", asbytes=True).split(b"\n")[:-1])
-            n += words or 0
-    yield from out()
-
-
-_automata: dict[str, dict] = {}
-
-
-def compiled(shard) -> dict:
-    """The automata of a shard, by language; a worker keeps those of one shard."""
-    key, langs, terms = shard.value
-    if key not in _automata:
-        import ahocorasick
-
-        _automata.clear()
-        made: dict = {}
-        i = 0
-        for lang, block in zip(langs, terms):
-            made[lang] = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for phrase in block.decode().split("\n"):
-                made[lang].add_word(f" {phrase} ", i)
-                i += 1
-            made[lang].make_automaton()
-        _automata[key] = made
-    return _automata[key]
-
-
-def matches(shard, first: int, size: int):
-    """Counts the matches of a shard's terms, which are numbered from ``first``."""
+def merged(least: int):
+    """The phrases of blocks sorted by bucket and language that occur ``least`` times, with their sums; and the sums of the words, with a null phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = compiled(shard)
-        total = np.zeros(size, np.int64)
-        for w in each(batches):
-            for i, lang in enumerate(w.langs):
-                if lang in made:
-                    total += np.bincount(np.fromiter(map(itemgetter(1), made[lang].iter(w.text(i))), np.int64), minlength=size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at + first), pa.array(total[at])], ["id", "f"])
+        now, held, n = None, [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if now is not None:
+                found = sums(held) if held else None
+                found = found.filter(pc.greater_equal(found["f"], least)) if held else pa.table({"phrase": pa.array([], pa.binary()), "f": pa.array([], pa.int64())})
+                phrase = pa.array([x[:-1] for x in found["phrase"].to_pylist()], pa.binary()).cast(pa.string())
+                size = len(phrase) + 1
+                f = found["f"].combine_chunks()
+                cols = [pa.array([now[1]] * size, pa.string()), pa.concat_arrays([phrase, pa.nulls(1, pa.string())]), pa.concat_arrays([f, pa.nulls(1, pa.int64())]), pa.concat_arrays([pa.nulls(size - 1, pa.int64()), pa.array([n], pa.int64())])]
+                yield pa.RecordBatch.from_arrays(cols, ["lang", "phrase", "f", "n"])
 
-    return run
+        for b in batches:
+            for bucket, lang, block, size, f, number in zip(*(b.column(c).to_pylist() for c in BLOCKS)):
+                if (bucket, lang) != now:
+                    yield from out()
+                    now, held, n = (bucket, lang), [], 0
+                if block is None:
+                    n += number
+                    continue
+                data = pa.decompress(block, size, "zstd")
+                ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x0A).astype(np.int64) + 1
+                phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), number, [None, pa.py_buffer(np.append(0, ends)), data])
+                held.append(pa.table({"phrase": phrases, "f": np.frombuffer(pa.decompress(f, 8 * number, "zstd"), "<i8")}))
+                if len(held) == 64:
+                    held = [sums(held)]
+        yield from out()
 
+    return run
 
-def shards(terms: DataFrame, most: int, size: int) -> Iterator[tuple[int, list[str], list[list[str]]]]:
-    """The rows of ``terms`` (id, lang, phrase), in the order of their ids, by shards: the first id, the languages, and the terms of each.
 
-    Languages share a shard as long as they fit; one that does not fit alone is cut into even shards of its own.
-    """
-    sizes = {r["lang"]: r["count"] for r in terms.groupBy("lang").count().collect()}
-    langs: list[str] = []
-    held: list[list[str]] = []
-    first = n = used = limit = 0
-    for r in terms.orderBy("id").toLocalIterator():
-        lang, long = r["lang"], len(r["phrase"]) + 2
-        own = sizes[lang]
-        if n and (n == limit or used + long > size or (lang != langs[-1] and n + own > most)):
-            yield first, langs, held
-            langs, held, n, used = [], [], 0, 0
-        if not n:
-            first = r["id"]
-            limit = most if own <= most else -(-own // -(-own // most))
-        if not langs or lang != langs[-1]:
-            langs.append(lang)
-            held.append([])
-        held[-1].append(r["phrase"])
-        n, used = n + 1, used + long
-    if n:
-        yield first, langs, held
-
-
-def counted(rows: DataFrame, terms: DataFrame, most: int = SHARD, size: int = BYTES) -> DataFrame:
-    """id, f: how often each of ``terms`` (id from 0 without gaps, lang, phrase) occurs in ``rows``; those that do not are left out."""
-    sc = rows.sparkSession.sparkContext
-    out = None
-    for first, langs, held in shards(terms, most, size):
-        shard = sc.broadcast((uuid.uuid4().hex, langs, ["\n".join(x).encode() for x in held]))
-        found = rows.where(F.col("lang").isin(langs)).mapInArrow(matches(shard, first, sum(map(len, held))), "id long, f long")
-        found = materialize(found.groupBy("id").agg(F.sum("f").alias("f")), "found")
-        shard.destroy()
-        out = found if out is None else out.unionByName(found)
-    return rows.sparkSession.createDataFrame([], "id long, f long") if out is None else out
-
-
-def numbered(terms: DataFrame) -> DataFrame:
-    """``terms`` with id, from 0 without gaps, in the order of lang and phrase: by ranges, and the sizes of the ranges ahead."""
-    ranged = materialize(terms.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase").select("*", F.monotonically_increasing_id().alias("_m")), "ranged")
-    at = F.shiftright("_m", 33)
-    sizes = ranged.groupBy(at.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    ahead = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_ahead"))
-    place = F.col("_ahead") + F.col("_m").bitwiseAND((1 << 33) - 1)
-    return ranged.join(F.broadcast(ahead), at == F.col("_p")).select(place.alias("id"), *terms.columns)
+def sums(held: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(held).group_by("phrase").aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).select(["phrase", "f"])
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -369,16 +406,12 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, inside:
     rows = rows_of(docs)
     sc = rows.sparkSession.sparkContext
     bits = sc.broadcast(sketch(rows, most, least, cells))
-    blocks = rows.mapInArrow(candidates(bits, most, cells), "bucket long, lang string, held binary, size long, n long")
-    found = blocks.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(merged, "lang string, phrase string, n long")
-    found = materialize(found, "candidates")
+    blocks = rows.mapInArrow(candidates(bits, most, shard, size), "bucket long, lang string, held binary, size long, f binary, n long")
+    found = blocks.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(merged(least), "lang string, phrase string, f long, n long")
+    found = materialize(found, "counts")
     bits.destroy()
-    words = found.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    terms = numbered(found.where("phrase IS NOT NULL").select("lang", "phrase").unionByName(words))
-    terms = materialize(terms, "terms")
-    counts = materialize(terms.join(counted(rows, terms, shard, size), "id").select("lang", "phrase", "f", F.split("phrase", " ").alias("_w")), "counts")
-    discard(terms)
-    one = counts.where(F.size("_w") > 1).where(F.col("f") >= least).withColumnRenamed("f", "a")
+    counts = found.where("phrase IS NOT NULL").select("lang", "phrase", "f", F.split("phrase", " ").alias("_w"))
+    one = counts.where(F.size("_w") > 1).withColumnRenamed("f", "a")
 
     def part(start, length) -> Column:
         return F.array_join(F.slice("_w", start, length), " ")

@@ -72,3 +72,40 @@ def test_exact_scores(spark):
     rows = [(10**12 + 7, 10**12 + 11, 10**12 + 13), (3 * 10**9, 4 * 10**12 + 1, 3 * 10**9 + 1), (10, 10, 10)]
     got = [r[0] for r in spark.createDataFrame(rows, "a long, l long, r long").select(phrases.score(F.col("a"), F.col("l"), F.col("r"))).collect()]
     assert got == [1000000 * a * a // (x * y) for a, x, y in rows]
+
+
+def test_documents_are_read_twice(spark, monkeypatch):
+    """Once for the sketch and once for the counts, however many terms there are."""
+    rows, read, whole = made(2, 120), spark.sparkContext.accumulator(0), phrases.rows_of
+
+    def watched(docs):
+        def count(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        return whole(docs).mapInArrow(count, "lang string, text string")
+
+    monkeypatch.setattr(phrases, "rows_of", watched)
+    assert run(spark, rows, shard=20) == plain(rows)
+    assert read.value == 2 * len(rows)
+
+
+def test_parts_of_the_sketch_sum_up(monkeypatch):
+    """Tasks that send what they hold several times, and cells beyond the range of a count."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "HELD", 40)
+    rows = [("en", x[1]) for x in made(3, 80) if x[1]] + [("en", "x " * 900)]
+    batches = [pa.record_batch({"lang": pa.array([x]), "text": pa.array([y])}) for x, y in rows]
+    for cells in (1 << 7, 1 << 36):
+        n = Counter(c for w in phrases.each(iter(batches)) for h in w.hashes(3) for c in phrases.cell(h[h > 0], cells).tolist())
+        parts = pa.Table.from_batches(phrases.sketched(3, cells)(iter(batches))).sort_by("part")
+        span, got = cells // phrases.parts_of(cells), set()
+        for b in phrases.summed(10)(iter(parts.to_batches(max_chunksize=5))):
+            for p, size, held in zip(*(b.column(c).to_pylist() for c in phrases.PIECES)):
+                got |= set((phrases.decoded(held, size)[0] + p * span).tolist())
+        assert got == {c for c, k in n.items() if k >= 10}
+    at = np.array([0, 5, (1 << 26) - 1])
+    assert all((x == y).all() for x, y in zip(phrases.decoded(phrases.coded(at, np.array([1, 255, 9])), 3), (at, [1, 255, 9])))
