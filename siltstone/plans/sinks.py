@@ -15,6 +15,10 @@ from .registry import STRIP, query
 from .training import SPLIT
 
 
+#: Files of a folder of an own tree.
+FOLDER = 50_000
+
+
 def _folder(df) -> str:
     return f"{shared_dir(df.sparkSession)}/siltstone-sink-{uuid.uuid4().hex}"
 
@@ -153,11 +157,11 @@ def recorded_round_trip(load):
     FROM documents WHERE strlen(text) > 0 AND source IS NOT NULL AND doc_id % 4 < 3"""
 )
 def extracted_tree(load):
-    """Documents as a tree of files of four kinds: one is not looked for, one has no reader, long papers are left empty."""
+    """Documents as a tree of files of four kinds: one is not looked for, one has no reader, long papers are left empty. Folders hold about ``FOLDER`` files, and one of them is listed at a time."""
     docs, at = load("documents").where("source IS NOT NULL"), _folder(load("documents"))
     kind = F.element_at(F.array(F.lit(".bin"), F.lit(".pdf"), F.lit(".Txt"), F.lit(".log")), (F.col("doc_id") % 4 + 1).cast("int"))
-    recorded.record(docs.select(F.concat("source", F.lit("/"), "doc_id", kind).alias("path"), F.encode("text", "utf-8").alias("content")), at)
-    tree = files.tree(docs.sparkSession, files.Config(at, extensions=(".bin", ".pdf", ".txt")))
-    texts = files.extract_text(tree, 2000, lambda b: b.decode(), keep=("length",))
+    part = F.pmod(F.xxhash64("source", "doc_id"), F.lit(-(-docs.count() // FOLDER) or 1)).cast("string")
+    recorded.record(docs.select(F.concat(part, F.lit("/"), "source", F.lit("/"), "doc_id", kind).alias("path"), F.encode("text", "utf-8").alias("content")), at)
     name = F.regexp_extract("path", r"([^/]+/[^/]+)\.[^./]*$", 1)
-    return texts.select(name.alias("name"), "length", "text")
+    texts = lambda tree: files.extract_text(tree, 2000, lambda b: b.decode(), keep=("length",)).select(name.alias("name"), "length", "text")
+    return files.by_folder(docs.sparkSession, files.Config(at, extensions=(".bin", ".pdf", ".txt")), texts, f"{at}-texts")

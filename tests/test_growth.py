@@ -92,3 +92,25 @@ def test_batches_are_put_in_place_by_their_tasks(spark, tmp_path):
     assert sorted(tmp_path.iterdir()) == first and [len(list(f.iterdir())) for f in first] == [1] * 10
     got = files.gather_jsonl(spark, str(tmp_path), "id long, b long, x string").collect()
     assert sorted(map(str, got)) == sorted(map(str, rows.collect()))
+
+
+def test_files_are_listed_folder_by_folder(spark, tmp_path, monkeypatch):
+    """No scan has the files of more than one folder, and the folders of the query's own tree hold a bounded number."""
+    from siltstone.plans import sinks
+
+    monkeypatch.setattr(sinks, "FOLDER", 8, raising=False)
+    rows = [(i, f" t{i} ", "en", f"s{i % 3}", 4) for i in range(200)] + [(200, "", "en", "s", 0), (201, "x" * 2001, "en", "s", 0), (205, None, "en", "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    scans, tree = [], files.tree
+    monkeypatch.setattr(files, "tree", lambda *a: scans.append(tree(*a)) or scans[-1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.hive.filesourcePartitionFileCacheSize")}
+    got = {r["name"]: (r["length"], r["text"]) for r in catalog.queries()["extracted_tree"](spark, str(tmp_path)).collect()}
+    want = {f"{s}/{i}": (len(t), None if i % 4 == 0 else ("" if len(t) > 2000 else t.strip()) if i % 4 == 1 else t) for i, t, _, s, _ in rows if t and i % 4 < 3}
+    assert got == want
+    assert len(scans) > 10 and max(len(s.inputFiles()) for s in scans) < 30
+    assert {k: spark.conf.get(k) for k in before} == before
+
+
+def test_a_tree_without_files(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.queries()["extracted_tree"](spark, str(tmp_path)).collect() == []
