@@ -37,7 +37,7 @@ MOST, LEAST, TOP = 3, 10, 2000
 CELLS, PARTS, BUCKETS = 1 << 36, 1 << 10, 1 << 10
 #: Cells that a task holds; bits of the broadcast for each cell that reaches the threshold, and at most.
 HELD, ROOM, WIDEST = 1 << 23, 64, 1 << 31
-GROUP, SHARD, BYTES = 16 << 20, 600_000, 24_000_000
+GROUP, SHARD, BYTES = 8 << 20, 600_000, 24_000_000
 PIECES = ["part", "size", "held"]
 BLOCKS = ["bucket", "lang", "held", "size", "f", "n"]
 
@@ -107,12 +107,19 @@ def cell(h: np.ndarray, cells: int) -> np.ndarray:
     return (h >> U(64 - (cells.bit_length() - 1))).astype(np.int64)
 
 
-def folded(held: np.ndarray) -> np.ndarray:
-    """Sorted cells with their counts, each as cell << 8 | count; those of equal cells are summed, up to 255."""
-    held = np.sort(held)
-    at = held >> 8
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
-    return (at[first] << 8) | np.minimum(np.add.reduceat(held & 255, first), 255) if len(at) else held
+def folded(parts: list[np.ndarray]) -> np.ndarray:
+    """Sorted cells with their counts, each as cell << 8 | count; those of equal cells are summed, up to 255. Empties the list."""
+    held = np.concatenate(parts)
+    parts.clear()
+    if not len(held):
+        return held
+    held.sort()
+    first = np.flatnonzero(np.append(True, (held[1:] ^ held[:-1]) > 255))
+    n = np.add.reduceat(held.view("<u8").view(np.uint8)[::8], first, dtype=np.int64)
+    held = held[first]
+    held &= ~255
+    held |= np.minimum(n, 255, out=n)
+    return held
 
 
 def coded(at: np.ndarray, n: np.ndarray) -> bytes:
@@ -143,17 +150,17 @@ def sketched(most: int, cells: int):
         return pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.diff(edge)[own]), pa.array(blocks, pa.binary())], PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, more, n = np.zeros(0, np.int64), [], 0
+        held, n = [np.zeros(0, np.int64)], 0
         for w in each(batches):
             h = np.concatenate(w.hashes(most))
-            more.append(cell(h[h > 0], cells) << 8 | 1)
-            n += len(more[-1])
-            if n > HELD // 2:
-                held, more, n = folded(np.concatenate([held, *more])), [], 0
-                if len(held) > HELD:
-                    yield out(held)
-                    held = held[:0]
-        yield out(folded(np.concatenate([held, *more])))
+            held.append(cell(h[h > 0], cells) << 8 | 1)
+            n += len(held[-1])
+            if n > HELD // 4:
+                held, n = [folded(held)], 0
+                if len(held[0]) > HELD:
+                    yield out(held.pop())
+        yield out(folded([np.zeros(0, np.int64), *held]))
+        give_back()
 
     return run
 
@@ -162,10 +169,10 @@ def summed(least: int):
     """The cells that reach ``least``, of sorted parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, more, n = None, np.zeros(0, np.int64), [], 0
+        now, held, n = None, [], 0
 
         def out() -> pa.RecordBatch:
-            all_ = folded(np.concatenate([held, *more]))
+            all_ = folded(held)
             at = all_[(all_ & 255) >= least] >> 8
             return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([len(at)]), pa.array([coded(at, np.zeros(len(at)))], pa.binary())], PIECES)
 
@@ -174,12 +181,12 @@ def summed(least: int):
                 if p != now:
                     if now is not None:
                         yield out()
-                    now, held, more, n = p, held[:0], [], 0
+                    now, held, n = p, [], 0
                 at, count = decoded(x.as_buffer(), size)
-                more.append(at << 8 | count)
+                held.append(at << 8 | count)
                 n += size
-                if n > HELD // 2:
-                    held, more, n = folded(np.concatenate([held, *more])), [], 0
+                if n > HELD // 4:
+                    held, n = [folded(held)], 0
         if now is not None:
             yield out()
 
@@ -254,9 +261,10 @@ def matches(symbols: np.ndarray, last: np.ndarray, first: np.ndarray, width: np.
     at = np.cumsum(count) - count
     for i in range(3):
         text[at[known] + i] = symbols[known, i]
+    del known, count, at
     text = string(text)
-    key = symbols[first].astype(np.int64)
-    order = np.argsort(key[:, 0] << 42 | key[:, 1] << 21 | key[:, 2], kind="stable")  # terms of an automaton begin alike, so it leaves most of the text soon
+    key = symbols[first].astype(np.int64) @ np.array([1 << 42, 1 << 21, 1])
+    order = np.argsort(key, kind="stable")  # terms of an automaton begin alike, so it leaves most of the text soon
     first, width = first[order], width[order]
     out, until, i = np.zeros(len(first), np.int64), np.cumsum(3 * width), 0
     while i < len(first):
